@@ -1,0 +1,38 @@
+from pyspark.sql import Window, functions as F
+
+from txstream.operators.ordering import keyed_positions
+
+
+def _skewed(spark, n=6000):
+    # key 0 holds a third of all rows; the rest spread over 200 keys
+    return spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 200 + 1).alias("k"),
+        ((F.col("id") * 7919) % 1000).alias("ts"))
+
+
+def test_positions_equal_row_number_under_skew(spark):
+    df = _skewed(spark)
+    got = keyed_positions(df, ["k"], ["ts", "event_id"], "seq", num_partitions=16)
+    want = df.withColumn("seq", F.row_number().over(
+        Window.partitionBy("k").orderBy("ts", "event_id")))
+    assert got.select("event_id", "seq").exceptAll(want.select("event_id", "seq")).count() == 0
+    assert got.count() == df.count()
+
+
+def test_hot_key_is_spread_over_several_tasks(spark):
+    from txstream.operators.ordering import keyed_order
+    df = _skewed(spark)
+    parts = (keyed_order(df, ["k"], ["ts", "event_id"], 16)
+             .filter("k = 0").select(F.spark_partition_id().alias("p")).distinct().count())
+    assert parts >= 4
+
+
+def test_positions_multi_key_and_empty(spark):
+    df = spark.createDataFrame([(1, "a", 1, 5), (2, "a", 1, 3), (3, "a", 2, 1), (4, "b", 1, 1)],
+                               "event_id long, k1 string, k2 long, ts long")
+    got = {r.event_id: r.seq for r in
+           keyed_positions(df, ["k1", "k2"], ["ts", "event_id"], num_partitions=3).collect()}
+    assert got == {2: 1, 1: 2, 3: 1, 4: 1}
+    empty = spark.createDataFrame([], "event_id long, k long, ts long")
+    assert keyed_positions(empty, ["k"], ["ts"], num_partitions=4).count() == 0

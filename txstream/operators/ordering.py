@@ -6,7 +6,9 @@ give -- but range-partitions on ``(key, order)`` instead of hashing on the key.
 A key that holds a third of all rows is therefore spread over many contiguous
 tasks; each task numbers its slice locally (sorted within the partition), and
 one tiny summary (a row per partition) supplies the offset of every slice that
-continues a key from earlier partitions.
+continues a key from earlier partitions.  The numbered slices are written once
+to the shared scratch folder (``materialize``): range bounds are sampled per
+shuffle, so recomputing them for the summary could cut the slices differently.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from txstream.session import materialize
+
 
 def _default_parts(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -58,7 +62,9 @@ def keyed_positions(df: DataFrame, keys, order, out: str = "seq",
     ranged = keyed_order(df, keys, order, num_partitions)
     schema = T.StructType(ranged.schema.fields + [T.StructField("_pid", T.IntegerType(), False),
                                                   T.StructField("_local_seq", T.LongType(), False)])
-    local = ranged.mapInPandas(_local_numbering(keys), schema)
+    # Range bounds are sampled per exchange, so the numbered rows are written
+    # once and every consumer below reads the same slices.
+    local = materialize(ranged.mapInPandas(_local_numbering(keys), schema), "positions")
 
     # One row per non-empty partition: its first key, and its last key with that
     # key's row count in the partition.  Size is bounded by the partition count.

@@ -64,3 +64,16 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder for one run's tables or checkpoints."""
     return f"{checkpoint_root(spark)}/txstream-scratch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a Parquet table in the shared scratch folder and read it back.
+
+    Cuts lineage (a lost executor re-reads files instead of recomputing) and
+    pins results that must be identical for every consumer of the frame --
+    e.g. rows numbered after a sampled range partitioning.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)

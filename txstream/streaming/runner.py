@@ -19,5 +19,5 @@ def run_available_now(writer: DataStreamWriter, timeout_s: float | None = None)
 
 def batch_durations_ms(q: StreamingQuery) -> list[int]:
     """Trigger durations of the micro-batches still held in ``recentProgress``."""
-    return [int(p["durationMs"].get("triggerExecution", 0)) for p in q.recentProgress
-            if p.get("numInputRows", 0) > 0]
+    return [int(p.durationMs.get("triggerExecution", 0)) for p in q.recentProgress
+            if p.numInputRows > 0]
