@@ -52,14 +52,27 @@ HOURLY_BUCKET = "yyyy-MM-dd--HH"
 
 def text_writer(stream: DataFrame, line: Column, path: str, checkpoint: str,
                 time_ms: str = "timestamp", bucket_format: str = HOURLY_BUCKET,
-                max_records_per_file: int = 100_000) -> DataStreamWriter:
+                max_records_per_file: int = 100_000,
+                num_partitions: int | None = None) -> DataStreamWriter:
     """One UTF-8 line per row into ``bucket=<time bucket>/`` folders (UTC buckets).
 
+    Each micro-batch is range-partitioned on ``(bucket, time, line)`` before the
+    write: every task receives a contiguous run of buckets, so a batch writes
+    about ``buckets + tasks`` files instead of ``buckets x tasks``, and a hot
+    bucket is split over several tasks rather than landing on one.
+    ``num_partitions=0`` writes from the input tasks as they are.
     Files roll per micro-batch and at ``max_records_per_file`` lines (Spark has
     no byte-size or idle roll; the trigger interval plays the time roll).
     """
+    spark = stream.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions")) if num_partitions is None \
+        else num_partitions
     out = stream.select(line.alias("value"),
-                        F.date_format(ms_to_ntz(time_ms), bucket_format).alias("bucket"))
+                        F.date_format(ms_to_ntz(time_ms), bucket_format).alias("bucket"),
+                        F.col(time_ms).alias("_t"))
+    if n > 0:
+        out = out.repartitionByRange(n, "bucket", "_t", "value")
+    out = out.drop("_t")
     return (out.writeStream.format("text").partitionBy("bucket")
             .option("path", path).option("checkpointLocation", checkpoint)
             .option("maxRecordsPerFile", max_records_per_file))
