@@ -161,3 +161,20 @@ def rate_total(df: DataFrame, time_ms: str = "timestamp", window: str = "1 minut
               .agg(F.count(F.lit(1)).alias("events"))
               .select(*_window_cols(window_seconds), "events",
                       (F.col("events") / F.lit(float(window_seconds))).alias("rate_per_sec")))
+
+
+def rate_sliding_stream(stream: DataFrame, by: str | None = "partition",
+                        time_ms: str = "timestamp", window: str = "1 minute",
+                        slide: str = "5 seconds", window_seconds: int = 60,
+                        watermark: str = "1 minute") -> DataFrame:
+    """Streaming form of :func:`rate_sliding` (``by=None`` gives :func:`rate_total`).
+
+    The watermark bounds the state: a window is emitted once (append mode) when
+    the watermark passes its end; rows later than the watermark are dropped by
+    Spark and show up in ``numRowsDroppedByWatermark`` of the query progress.
+    """
+    keyed = stream.withColumn("_et", event_time(time_ms)).withWatermark("_et", watermark)
+    keys = ([by] if by else []) + [F.window("_et", window, slide)]
+    return (keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("events"))
+                 .select(*([by] if by else []), *_window_cols(window_seconds), "events",
+                         (F.col("events") / F.lit(float(window_seconds))).alias("rate_per_sec")))

@@ -127,6 +127,10 @@ ORACLE: dict[str, str] = {
     "rate_sliding": _rate(True, SLIDE_MS),
     "rate_tumbling": _rate(True, WINDOW_MS),
     "rate_total": _rate(False, SLIDE_MS),
+    "rate_sliding_streamed": f"select * from ({_rate(True, SLIDE_MS)}) w where window_end_ms <= "
+                             f"(select max(epoch_us(ts) // 1000) from events)",
+    "load_feedback": f"select {fx.partition_of_sql('cast(event_id as varchar)', fx.TOPIC_PARTITIONS)} "
+                     f"as partition, count(*) as events from events group by 1",
     "audit_missing": f"select id from {SEQ} s where not exists "
                      f"(select 1 from {DELIVERED} d where d.id = s.id)",
     "audit_duplicates": f"select id, count(*) as copies from {DELIVERED} d group by id "

@@ -289,6 +289,30 @@ def rate_total(spark, sf):
     return _round(r, ["rate_per_sec"])
 
 
+def rate_sliding_streamed(spark, sf):
+    """E3 as a watermarked stream over the events file (append mode): every window
+    closed by the final watermark (= the latest event time) is emitted once."""
+    root = scratch_path(spark, "rate_stream")
+    tx = fx.with_partition(fx.transactions_from_events(fx.events_stream(spark, sf)))
+    r = metrics.rate_sliding_stream(tx, "partition", window=RATE_WINDOW, slide=RATE_SLIDE,
+                                    window_seconds=RATE_SECONDS, watermark="0 seconds")
+    out = _drain(spark, r, root, "out")
+    return _round(out, ["rate_per_sec"])
+
+
+def load_feedback(spark, sf):
+    """Payload events -> topic (4 partitions, keyed by id text) -> read back in the
+    same session; events per partition as seen by the reader."""
+    from txstream.plans.load import load_writers, read_samples
+    root = scratch_path(spark, "load")
+    ev = gen.generate_from(fx.events_stream(spark, sf), "event_id", "payload_events",
+                           clock=_gen_clock())
+    writer, reader = load_writers(spark, ev, root, num_partitions=fx.TOPIC_PARTITIONS)
+    run_available_now(writer)
+    run_available_now(reader())
+    return metrics.event_counter(read_samples(spark, root), "partition")
+
+
 # ---------------------------------------------------------------- audits R1-R4
 def audit_missing(spark, sf):
     return audit.audit_missing(fx.sequence_events(spark, sf), fx.delivered(spark, sf))
@@ -347,6 +371,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rate_sliding": rate_sliding,
     "rate_tumbling": rate_tumbling,
     "rate_total": rate_total,
+    "rate_sliding_streamed": rate_sliding_streamed,
+    "load_feedback": load_feedback,
     "audit_missing": audit_missing,
     "audit_duplicates": audit_duplicates,
     "audit_gaps": audit_gaps,
