@@ -123,7 +123,7 @@ def rolling_quantile(df: DataFrame, by: str, order: str, value: str, q: float =
     if chunk_rows < n:
         raise ValueError("chunk_rows must be >= n")
     pos = keyed_positions(df, [by], [order], "_seq", num_partitions)
-    chunk = F.floor((F.col("_seq") - 1) / chunk_rows).cast("bigint")
+    chunk = F.expr(f"(_seq - 1) div {int(chunk_rows)}")
     in_tail = ((F.col("_seq") - 1) % chunk_rows) >= (chunk_rows - (n - 1))
     own = pos.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
     halo = (pos.filter(in_tail).withColumn("_chunk", chunk + 1)

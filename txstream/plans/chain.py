@@ -25,7 +25,7 @@ from txstream.functions.codec import to_log_record
 from txstream.session import scratch_path
 from txstream.sources import log as logsrc
 from txstream.sources import topic as topics
-from txstream.streaming.runner import run_available_now
+from txstream.streaming.runner import run_all_available_now, run_available_now
 from txstream.streaming.sinks import process_writer
 
 
@@ -79,8 +79,6 @@ def run_chain(spark: SparkSession, transactions: DataFrame, root: str | None = N
     """Run the three stages to completion, one after the other."""
     paths = ChainPaths.under(root or scratch_path(spark, "chain"))
     run_available_now(log_stage(transactions, paths))
-    to_topic, to_quarantine = topic_stage(spark, paths)
-    run_available_now(to_topic)
-    run_available_now(to_quarantine)
+    run_all_available_now(topic_stage(spark, paths))   # two readers of one log
     run_available_now(process_stage(spark, paths, start=start))
     return paths

@@ -17,6 +17,20 @@ def run_available_now(writer: DataStreamWriter, timeout_s: float | None = None)
     return q
 
 
+def run_all_available_now(writers, timeout_s: float | None = None) -> list[StreamingQuery]:
+    """Start independent ``availableNow`` queries together and wait for all of them."""
+    queries = [w.trigger(availableNow=True).start() for w in writers]
+    for q in queries:
+        finished = q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
+        if finished is False:
+            for other in queries:
+                other.stop()
+            raise TimeoutError(f"stream {q.name or q.id} did not finish in {timeout_s}s")
+        if q.exception() is not None:
+            raise RuntimeError(str(q.exception()))
+    return queries
+
+
 def batch_durations_ms(q: StreamingQuery) -> list[int]:
     """Trigger durations of the micro-batches still held in ``recentProgress``."""
     return [int(p.durationMs.get("triggerExecution", 0)) for p in q.recentProgress
