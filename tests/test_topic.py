@@ -74,3 +74,20 @@ def test_stream_written_topic_rejects_batch_append(spark, scratch):
         pass
     back = topics.scan(spark, f"{root}/topic", REC, stream=False)
     assert back.count() == fx.transactions(spark, SF_SMALL).count()
+
+
+def test_file_log_latest_start(spark, scratch):
+    from pyspark.sql import types as T
+    from txstream.functions.codec import to_log_record
+    from txstream.sources.log import read_log, scan_values
+    root = scratch("log")
+    tx = fx.transactions(spark, SF_SMALL)
+    to_log_record(tx, keep=["event_id"]).write.parquet(f"{root}/log")
+    extra = [T.StructField("event_id", T.LongType())]
+    s = read_log(spark, f"{root}/log", starting="latest", group=f"{root}/g", extra_fields=extra)
+    to_log_record(tx.limit(5), keep=["event_id"]).write.mode("append").parquet(f"{root}/log")
+    decoded, _ = scan_values(s, keep=["event_id"])
+    out = _drain(spark, decoded, root, "o")
+    assert out.count() == 5
+    s2 = read_log(spark, f"{root}/log", group=f"{root}/g2", extra_fields=extra)
+    assert _drain(spark, s2, root, "o2").count() == tx.count() + 5

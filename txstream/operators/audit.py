@@ -11,8 +11,12 @@ def floor_div(name: str, d: int) -> Column:
 
 
 def audit_missing(produced: DataFrame, delivered: DataFrame, key: str = "id") -> DataFrame:
-    """Keys produced but never delivered (anti join; no per-key grouping)."""
-    return produced.select(key).join(delivered.select(key), key, "left_anti")
+    """Keys produced but never delivered.
+
+    Delivered keys are de-duplicated first (map-side partial aggregation), so a
+    key replayed many times cannot skew the anti join's build side.
+    """
+    return produced.select(key).join(delivered.select(key).distinct(), key, "left_anti")
 
 
 def audit_duplicates(delivered: DataFrame, key: str = "id") -> DataFrame:

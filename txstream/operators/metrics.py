@@ -38,10 +38,22 @@ def observe_counter(df: DataFrame, name: str | Observation = "event_counter") ->
     return df.observe(name, F.count(F.lit(1)).alias("events"))
 
 
-def last_n(df: DataFrame, by: str, order: str, n: int = RING_BUFFER_SIZE) -> DataFrame:
-    """Newest ``n`` rows per ``by`` by descending ``order``."""
-    w = Window.partitionBy(by).orderBy(F.col(order).desc())
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
+def last_n(df: DataFrame, by: str, order: str, n: int = RING_BUFFER_SIZE,
+           fan_in: int = 256) -> DataFrame:
+    """Newest ``n`` rows per ``by`` by descending ``order``.
+
+    Two rounds of top-``n``: first per group and block of ``fan_in`` input tasks,
+    then per group.  Each round is planned with a partial ``WindowGroupLimit``
+    ahead of its shuffle, so no task ever receives more than about
+    ``n * fan_in`` rows of a group, however many input tasks there are.
+    """
+    newest = F.col(order).desc()
+    blocked = df.withColumn("_blk", F.floor(F.spark_partition_id() / F.lit(fan_in)))
+    w1 = Window.partitionBy(by, "_blk").orderBy(newest)
+    first = (blocked.withColumn("_rn", F.row_number().over(w1))
+                    .filter(F.col("_rn") <= n).drop("_rn", "_blk"))
+    w2 = Window.partitionBy(by).orderBy(newest)
+    return first.withColumn("_rn", F.row_number().over(w2)).filter(F.col("_rn") <= n).drop("_rn")
 
 
 def _qname(q: float) -> str:

@@ -13,6 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from txstream import schemas
 from txstream.functions.codec import decode_json, to_log_record
+from txstream.sources import groups
 
 
 def log_writer(records: DataFrame, path_or_topic: str, checkpoint: str,
@@ -29,8 +30,13 @@ def log_writer(records: DataFrame, path_or_topic: str, checkpoint: str,
 
 def read_log(spark: SparkSession, path_or_topic: str, fmt: str = "parquet",
              stream: bool = True, starting: str = "earliest",
-             kafka_options: dict | None = None, extra_fields=()) -> DataFrame:
-    """Scan the log from the earliest record (default) as a stream or a batch."""
+             kafka_options: dict | None = None, extra_fields=(),
+             group: str | None = None) -> DataFrame:
+    """Scan the log from the earliest record (default) as a stream or a batch.
+
+    ``starting="latest"`` on the file log needs ``group`` (the checkpoint folder
+    of the reading query) to remember which records existed at its first start.
+    """
     if fmt == "kafka":
         r = (spark.readStream if stream else spark.read).format("kafka")
         r = r.option("subscribe", path_or_topic).option("startingOffsets", starting)
@@ -38,9 +44,15 @@ def read_log(spark: SparkSession, path_or_topic: str, fmt: str = "parquet",
             r = r.option(k, v)
         return r.load()
     schema = T.StructType(list(extra_fields) + list(schemas.LOG_RECORD.fields))
-    if stream:
-        return spark.readStream.schema(schema).parquet(path_or_topic)
-    return spark.read.schema(schema).parquet(path_or_topic)
+    if not stream:
+        return spark.read.schema(schema).parquet(path_or_topic)
+    df = spark.readStream.schema(schema).parquet(path_or_topic)
+    if starting == "latest":
+        if group is None:
+            raise ValueError("starting='latest' on the file log needs a group")
+        groups.create_group(spark, path_or_topic, group, "latest")
+        df = groups.skip_group_start(spark, df, group)
+    return df
 
 
 def scan_values(log: DataFrame, schema: T.StructType = schemas.TRANSACTION, keep=()):

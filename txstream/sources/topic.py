@@ -18,7 +18,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from txstream.functions.partitioning import partition_of
-from txstream.sources.fs import has_data_files, path_exists
+from txstream.sources import groups
+from txstream.sources.fs import path_exists
+
+create_group = groups.create_group
 
 PARTITION = "partition"
 DEFAULT_PARTITIONS = 4  # fixed value: partition count of the main and dead-letter topics
@@ -52,24 +55,6 @@ def spark_of(df: DataFrame) -> SparkSession:
     return df.sparkSession
 
 
-def _group_start_path(group: str) -> str:
-    return f"{group}/_group_start"
-
-
-def create_group(spark: SparkSession, topic: str, group: str, start: str = "earliest") -> None:
-    """Create the consumer group once; a restart keeps its original start point."""
-    marker = _group_start_path(group)
-    if path_exists(spark, marker):
-        return
-    files = spark.createDataFrame([], "file_path string")
-    if start == "latest" and has_data_files(spark, topic):
-        files = spark.read.parquet(topic).select(F.col("_metadata.file_path").alias("file_path")) \
-                     .distinct()
-    elif start != "earliest" and start != "latest":
-        raise ValueError(start)
-    files.write.mode("overwrite").parquet(marker)
-
-
 def scan(spark: SparkSession, topic: str, record: T.StructType, group: str | None = None,
          start: str = "earliest", stream: bool = True, partitions=None,
          max_files_per_trigger: int | None = None) -> DataFrame:
@@ -84,16 +69,13 @@ def scan(spark: SparkSession, topic: str, record: T.StructType, group: str | Non
     else:
         if group is None:
             raise ValueError("a streaming scan needs a consumer group (checkpoint folder)")
-        create_group(spark, topic, group, start)
+        groups.create_group(spark, topic, group, start)
         reader = spark.readStream.schema(schema)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
         df = reader.parquet(topic)
         if start == "latest":
-            seen = spark.read.parquet(_group_start_path(group))
-            df = (df.withColumn("_file", F.col("_metadata.file_path"))
-                    .join(seen.withColumnRenamed("file_path", "_file"), "_file", "left_anti")
-                    .drop("_file"))
+            df = groups.skip_group_start(spark, df, group)
     if partitions is not None:
         df = df.filter(F.col(PARTITION).isin(list(partitions)))
     return df
