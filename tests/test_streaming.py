@@ -132,3 +132,35 @@ def test_console_sink_prints(spark, scratch, capfd):
     run_available_now(console_writer(s, row_to_line("transaction"), num_rows=3)
                       .option("checkpointLocation", scratch("console")))
     # the console sink prints from the JVM; only check that the query finished cleanly
+
+
+def test_continuous_chain_reaches_the_same_result(spark, scratch):
+    import time
+    from txstream.plans.chain import start_chain
+    root = scratch("cont")
+    tx = fx.transactions_from_events(fx.events_stream(spark, SF_SMALL))
+    n = fx.table(spark, SF_SMALL, "events").count()
+    queries = start_chain(spark, tx, root, trigger_interval="200 milliseconds")
+    try:
+        paths = ChainPaths.under(root)
+        deadline = time.time() + 120
+        done = 0
+        while time.time() < deadline:
+            for q in queries.values():
+                assert q.exception() is None
+            try:
+                done = (spark.read.parquet(paths.documents).count() > 0 and
+                        spark.read.parquet(paths.dead_letters).count() +
+                        spark.read.parquet(paths.topic).filter("amount > 0").count())
+            except Exception:  # noqa: BLE001 - tables appear as the stages commit
+                done = 0
+            if done == n:
+                break
+            time.sleep(1)
+    finally:
+        for q in queries.values():
+            q.stop()
+    assert done == n
+    want = fx.transactions(spark, SF_SMALL).filter("amount > 0") \
+        .select("accountId").distinct().count()
+    assert spark.read.parquet(paths.documents).count() == want

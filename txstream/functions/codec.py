@@ -72,3 +72,16 @@ def row_to_line(kind: str) -> Column:
     fmt, fields = _LINE_FIELDS[kind]
     # format_string renders a null %s as "null" (as the JVM string concat does)
     return F.format_string(fmt, *[F.col(f) for f in fields])
+
+
+def parse_sequence_line(line: str | Column = "value") -> list[Column]:
+    """Inverse of ``row_to_line("sequence_event")``: ``id``, ``timestamp``, ``payload``.
+
+    Lines that do not have the layout give nulls (an audit then reports them).
+    """
+    line = F.col(line) if isinstance(line, str) else line
+    pattern = r"^ChaosEvent\(id=(-?\d+), timestamp=(-?\d+), payload=(.*)\)$"
+    ok = line.rlike(pattern)
+    part = lambda i: F.when(ok, F.regexp_extract(line, pattern, i))
+    return [part(1).cast("bigint").alias("id"), part(2).cast("bigint").alias("timestamp"),
+            part(3).alias("payload")]

@@ -82,3 +82,27 @@ def run_chain(spark: SparkSession, transactions: DataFrame, root: str | None = N
     run_all_available_now(topic_stage(spark, paths))   # two readers of one log
     run_available_now(process_stage(spark, paths, start=start))
     return paths
+
+
+def start_chain(spark: SparkSession, transactions: DataFrame, root: str,
+                trigger_interval: str = "1 second", start: str = "earliest",
+                fmt: str = "parquet", kafka_options: dict | None = None) -> dict:
+    """Start the stages as long-running queries with a processing-time trigger.
+
+    The trigger interval is the knob for commit frequency and latency (one
+    commit per micro-batch).  Each stage keeps its own checkpoint, so any of
+    them can be stopped and restarted independently and resumes where it left
+    off.  Returns the running queries by stage name.
+    """
+    paths = ChainPaths.under(root)
+
+    def go(writer, name):
+        return writer.queryName(f"{name}-{abs(hash(root)) % 10**8}") \
+            .trigger(processingTime=trigger_interval).start()
+
+    queries = {"log": go(log_stage(transactions, paths, fmt, kafka_options), "log")}
+    to_topic, to_quarantine = topic_stage(spark, paths)
+    queries["topic"] = go(to_topic, "topic")
+    queries["quarantine"] = go(to_quarantine, "quarantine")
+    queries["process"] = go(process_stage(spark, paths, start=start), "process")
+    return queries

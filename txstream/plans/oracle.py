@@ -131,6 +131,9 @@ ORACLE: dict[str, str] = {
                              f"(select max(epoch_us(ts) // 1000) from events)",
     "load_feedback": f"select {fx.partition_of_sql('cast(event_id as varchar)', fx.TOPIC_PARTITIONS)} "
                      f"as partition, count(*) as events from events group by 1",
+    "recovery_audit": "select count(*) as produced, count(*) as delivered, cast(0 as bigint) as "
+                      "missing, cast(0 as bigint) as duplicated, cast(0 as bigint) as altered "
+                      "from events",
     "audit_missing": f"select id from {SEQ} s where not exists "
                      f"(select 1 from {DELIVERED} d where d.id = s.id)",
     "audit_duplicates": f"select id, count(*) as copies from {DELIVERED} d group by id "

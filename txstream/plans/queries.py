@@ -330,6 +330,23 @@ def audit_payload(spark, sf):
     return audit.audit_payload(fx.delivered(spark, sf))
 
 
+def recovery_audit(spark, sf):
+    """Sequence events -> 1-partition topic -> text lines; the processor is
+    restarted once and the producer re-run on its checkpoint; then the lines
+    are parsed back and audited against what was produced."""
+    from txstream.plans import recovery
+    root = scratch_path(spark, "recovery")
+    events = fx.events_stream(spark, sf)
+    from txstream.functions.clock import ntz_to_ms
+    seq = events.select(F.col("event_id").alias("id"), ntz_to_ms("ts").alias("timestamp"),
+                        F.col("event_id").cast("string").alias("payload"))
+    run_available_now(recovery.producer(seq, root))
+    run_available_now(recovery.processor(spark, root))
+    run_available_now(recovery.producer(seq, root))      # restart: nothing new
+    run_available_now(recovery.processor(spark, root))   # restart: nothing re-read
+    return recovery.summary(fx.sequence_events(spark, sf), recovery.delivered(spark, root))
+
+
 def flagship(spark, sf):
     """Documents of the transaction flow: route, enrich, first row per account."""
     docs = to_document(enrich_fee(route(fx.transactions(spark, sf))[0]), keep=["event_id"])
@@ -377,5 +394,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_duplicates": audit_duplicates,
     "audit_gaps": audit_gaps,
     "audit_payload": audit_payload,
+    "recovery_audit": recovery_audit,
     "document_first_per_account": flagship,
 }
