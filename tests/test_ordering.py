@@ -36,3 +36,25 @@ def test_positions_multi_key_and_empty(spark):
     assert got == {2: 1, 1: 2, 3: 1, 4: 1}
     empty = spark.createDataFrame([], "event_id long, k long, ts long")
     assert keyed_positions(empty, ["k"], ["ts"], num_partitions=4).count() == 0
+
+
+def test_positions_null_key_spanning_partitions(spark):
+    df = spark.range(300).select(F.col("id").alias("event_id"),
+                                 F.when(F.col("id") < 200, F.lit(None)).otherwise(F.lit(1))
+                                 .cast("long").alias("k"))
+    got = keyed_positions(df, ["k"], ["event_id"], num_partitions=6)
+    seqs = sorted(r.seq for r in got.filter("k is null").collect())
+    assert seqs == list(range(1, 201))
+
+
+def test_positions_continue_across_arrow_batches(spark):
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        df = _skewed(spark, 3000)
+        got = keyed_positions(df, ["k"], ["ts", "event_id"], "seq", num_partitions=5)
+        want = df.withColumn("seq", F.row_number().over(
+            Window.partitionBy("k").orderBy("ts", "event_id")))
+        assert got.select("event_id", "seq").exceptAll(want.select("event_id", "seq")) \
+                  .count() == 0
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")

@@ -30,24 +30,37 @@ def keyed_order(df: DataFrame, keys, order, num_partitions: int | None = None) -
     return df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
 
 
+def _same_key_as_previous(cur: pd.DataFrame, prev: pd.DataFrame) -> pd.Series:
+    """Row-wise key equality of two aligned frames, with null equal to null."""
+    same = pd.Series(True, index=cur.index)
+    for c in cur.columns:
+        a, b = cur[c], prev[c]
+        same &= (a == b) | (a.isna() & b.isna())
+    return same
+
+
 def _local_numbering(keys: list[str]):
+    """Number rows per key run inside one sorted partition, across Arrow batches."""
     def run(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        last_key, last_seq = None, 0
+        last_row, last_seq = None, 0
         for pdf in batches:
             if pdf.empty:
                 continue
-            k = pdf[keys].apply(tuple, axis=1) if len(keys) > 1 else pdf[keys[0]]
-            new = k.ne(k.shift())
-            if last_key is not None:
-                new.iloc[0] = k.iloc[0] != last_key
-            grp = new.cumsum()
-            seq = pdf.groupby(grp).cumcount() + 1
-            if last_key is not None and not new.iloc[0]:
-                seq = seq.where(grp != grp.iloc[0], seq + last_seq)
+            k = pdf[keys].reset_index(drop=True)
+            prev = k.shift(1)
+            if last_row is not None:
+                prev.iloc[0] = last_row
+            new = ~_same_key_as_previous(k, prev)
+            if last_row is None:
+                new.iloc[0] = True
+            run_id = new.cumsum()
+            seq = k.groupby(run_id.to_numpy()).cumcount().to_numpy() + 1
+            if not new.iloc[0]:                  # first run continues the previous batch
+                seq[run_id.to_numpy() == run_id.iloc[0]] += last_seq
             pdf = pdf.assign(_pid=pid, _local_seq=seq.astype("int64"))
-            last_key, last_seq = k.iloc[-1], int(pdf["_local_seq"].iloc[-1])
+            last_row, last_seq = k.iloc[-1], int(seq[-1])
             yield pdf
     return run
 
@@ -71,14 +84,19 @@ def keyed_positions(df: DataFrame, keys, order, out: str = "seq",
     per_part = (local.groupBy("_pid")
                      .agg(F.min(F.struct(*keys)).alias("head"),
                           F.max(F.struct(*keys, "_local_seq")).alias("tail")))
-    heads = per_part.select("_pid", *[F.col(f"head.{k}").alias(k) for k in keys])
+    heads = per_part.select("_pid", *[F.col(f"head.{k}").alias(f"_h_{k}") for k in keys])
     tails = per_part.select(F.col("_pid").alias("_tpid"),
                             *[F.col(f"tail.{k}").alias(f"_t_{k}") for k in keys],
                             F.col("tail._local_seq").alias("_tcount"))
-    cond = [F.col("_tpid") < F.col("_pid")] + [F.col(k) == F.col(f"_t_{k}") for k in keys]
+    cond = [F.col("_tpid") < F.col("_pid")] + \
+           [F.col(f"_h_{k}").eqNullSafe(F.col(f"_t_{k}")) for k in keys]
     offsets = (heads.join(tails, cond, "inner")
-                    .groupBy("_pid", *keys).agg(F.sum("_tcount").alias("_offset")))
+                    .groupBy("_pid", *[f"_h_{k}" for k in keys])
+                    .agg(F.sum("_tcount").alias("_offset"))
+                    .withColumnRenamed("_pid", "_opid"))
     # ``offsets`` has at most one row per partition: a proven bound, so broadcast.
-    return (local.join(F.broadcast(offsets), ["_pid", *keys], "left")
+    on = [F.col("_pid") == F.col("_opid")] + \
+         [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
+    return (local.join(F.broadcast(offsets), on, "left")
                  .withColumn(out, F.col("_local_seq") + F.coalesce(F.col("_offset"), F.lit(0)))
-                 .drop("_pid", "_local_seq", "_offset"))
+                 .drop("_pid", "_opid", "_local_seq", "_offset", *[f"_h_{k}" for k in keys]))
