@@ -36,14 +36,14 @@ def decode_json(df: DataFrame, schema: T.StructType, value: str = "value",
     """
     text = F.col(value).cast("string")
     parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    parsed = df.select(*_cols(keep), text.alias(value),
-                       F.from_json(text, parse_schema,
-                                   {"mode": "PERMISSIVE",
-                                    "columnNameOfCorruptRecord": CORRUPT}).alias("_r"))
-    bad = (F.col(f"_r.{CORRUPT}").isNotNull() | F.col(value).isNull()
-           | (F.trim(F.col(value)) == ""))
-    decoded = parsed.filter(~bad).select(*_cols(keep), *[F.col(f"_r.{f.name}").alias(f.name)
-                                                          for f in schema.fields])
+    parsed_struct = F.from_json(text, parse_schema, {"mode": "PERMISSIVE",
+                                                     "columnNameOfCorruptRecord": CORRUPT})
+    # ``inline`` of a one-element array is a plan barrier: the filters below
+    # cannot be pushed under it, which would inline the parser into the filter
+    # and parse every record twice.
+    parsed = df.select(*_cols(keep), text.alias(value), F.inline(F.array(parsed_struct)))
+    bad = (F.col(CORRUPT).isNotNull() | F.col(value).isNull() | (F.trim(F.col(value)) == ""))
+    decoded = parsed.filter(~bad).select(*_cols(keep), *[F.col(f.name) for f in schema.fields])
     quarantine = parsed.filter(bad).select(*_cols(keep), F.col(value))
     return decoded, quarantine
 
