@@ -39,3 +39,28 @@ def test_first_per_key_is_partial_aggregation(spark):
     assert plan.count("HashAggregate") + plan.count("ObjectHashAggregate") + \
         plan.count("SortAggregate") >= 2   # partial + final: a hot key is reduced map-side
     assert "Window" not in plan
+
+
+def test_compaction_keeps_results_and_bounds_directories(spark, scratch):
+    from txstream.operators.documents import compact, latest_base
+    from txstream.sources.fs import list_dirs
+    store = scratch("docs")
+    rows = [(i, i % 7, 10 + i, i, 5) for i in range(40)]
+    for b in range(4):
+        insert_once(spark.createDataFrame(rows[b * 10:(b + 1) * 10], COLS), store, b, columns=DOC)
+    before = sorted(tuple(r) for r in read_documents(spark, store, DOC).collect())
+    compact(spark, store, 2)
+    assert latest_base(spark, store) == 2
+    assert sorted(d for d in list_dirs(spark, store) if d.startswith("batch=")) == ["batch=3"]
+    assert sorted(tuple(r) for r in read_documents(spark, store, DOC).collect()) == before
+    # a later batch still sees compacted keys; a replay of a compacted batch adds nothing
+    insert_once(spark.createDataFrame([(99, 1, 1, 0, 5), (98, 50, 1, 0, 5)], COLS), store, 4,
+                columns=DOC)
+    insert_once(spark.createDataFrame(rows[0:10], COLS), store, 1, columns=DOC)
+    after = {r._id: r.amount for r in read_documents(spark, store).collect()}
+    assert after[1] == dict((r[0], r[1]) for r in before)[1] and after[50] == 1
+    assert len(after) == len(before) + 1
+    compact(spark, store, 4)
+    assert latest_base(spark, store) == 4 and not [d for d in list_dirs(spark, store)
+                                                   if d.startswith("batch=")]
+    assert len(read_documents(spark, store).collect()) == len(after)

@@ -13,13 +13,20 @@ batches the earlier batch wins.  The store is a Parquet table with one
   out small at run time and keeps a shuffle join otherwise.
 * the batch's directory is overwritten as a whole, so a replayed batch (at-least-
   once delivery from ``foreachBatch``) writes the same rows again: effectively once.
+* ``compact`` folds all batches up to ``k`` into a base version ``_base/v=<k>``
+  (an LSM-style merge) so the number of directories a batch has to list and
+  scan stays bounded.  Readers use the newest complete base plus the batches
+  after it; deleting what a base covers is garbage collection, so a crash at
+  any point leaves a consistent store.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txstream.sources.fs import path_exists
+from txstream.sources.fs import delete, has_data_files, list_dirs, path_exists
+
+BASE = "_base"
 
 
 def first_per_key(df: DataFrame, key: str, order=("timestamp", "event_id")) -> DataFrame:
@@ -32,14 +39,50 @@ def first_per_key(df: DataFrame, key: str, order=("timestamp", "event_id")) -> D
               .select(*df.columns))
 
 
+def latest_base(spark: SparkSession, store: str) -> int | None:
+    """Newest complete base version (its write has committed), or None."""
+    versions = []
+    for name in list_dirs(spark, f"{store}/{BASE}"):
+        if name.startswith("v=") and path_exists(spark, f"{store}/{BASE}/{name}/_SUCCESS"):
+            versions.append(int(name[2:]))
+    return max(versions) if versions else None
+
+
+def _deltas(spark: SparkSession, store: str, after: int | None,
+            before: int | None) -> DataFrame | None:
+    batches = [int(n[6:]) for n in list_dirs(spark, store) if n.startswith("batch=")]
+    batches = [b for b in batches if (after is None or b > after)
+               and (before is None or b < before)]
+    if not batches or not has_data_files(spark, f"{store}/batch={batches[0]}"):
+        return None
+    d = spark.read.parquet(store)
+    if after is not None:
+        d = d.filter(F.col("batch") > after)                     # partition pruning
+    if before is not None:
+        d = d.filter(F.col("batch") < before)
+    return d.drop("batch")
+
+
+def _documents(spark: SparkSession, store: str, before: int | None) -> DataFrame | None:
+    v = latest_base(spark, store)
+    parts = []
+    if v is not None:
+        parts.append(spark.read.parquet(f"{store}/{BASE}/v={v}"))
+    d = _deltas(spark, store, v, before)
+    if d is not None:
+        parts.append(d)
+    if not parts:
+        return None
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def stored_keys(spark: SparkSession, store: str, key: str = "_id",
                 before_batch: int | None = None) -> DataFrame | None:
-    if not path_exists(spark, store):
-        return None
-    stored = spark.read.parquet(store)
-    if before_batch is not None:
-        stored = stored.filter(F.col("batch") < before_batch)  # partition pruning
-    return stored.select(key)
+    docs = _documents(spark, store, before_batch)
+    return None if docs is None else docs.select(key)
 
 
 def insert_once(batch: DataFrame, store: str, batch_id: int, key: str = "_id",
@@ -60,5 +103,30 @@ def insert_once(batch: DataFrame, store: str, batch_id: int, key: str = "_id",
 
 
 def read_documents(spark: SparkSession, store: str, columns=None) -> DataFrame:
-    docs = spark.read.parquet(store)
-    return docs.select(*(columns or [c for c in docs.columns if c != "batch"]))
+    docs = _documents(spark, store, None)
+    if docs is None:
+        raise FileNotFoundError(f"no documents under {store}")
+    return docs.select(*(columns or docs.columns))
+
+
+def compact(spark: SparkSession, store: str, upto_batch: int, vacuum: bool = True) -> None:
+    """Fold every batch ``<= upto_batch`` into base version ``upto_batch``.
+
+    Only batches that are committed (older than any batch still in flight) may
+    be compacted.  The new base is written completely before anything is
+    deleted; ``vacuum`` then removes older bases and the folded batches.
+    """
+    v = latest_base(spark, store)
+    if v is not None and v >= upto_batch:
+        return
+    docs = _documents(spark, store, upto_batch + 1)
+    if docs is None:
+        return
+    docs.write.mode("overwrite").parquet(f"{store}/{BASE}/v={upto_batch}")
+    if vacuum:
+        for name in list_dirs(spark, f"{store}/{BASE}"):
+            if name.startswith("v=") and int(name[2:]) < upto_batch:
+                delete(spark, f"{store}/{BASE}/{name}")
+        for name in list_dirs(spark, store):
+            if name.startswith("batch=") and int(name[6:]) <= upto_batch:
+                delete(spark, f"{store}/{name}")

@@ -65,13 +65,14 @@ def topic_stage(spark: SparkSession, paths: ChainPaths,
 
 def process_stage(spark: SparkSession, paths: ChainPaths, start: str = "earliest",
                   fee: int = 5, num_partitions: int = topics.DEFAULT_PARTITIONS,
-                  group: str = "transaction-group", max_files_per_trigger: int | None = None):
+                  group: str = "transaction-group", max_files_per_trigger: int | None = None,
+                  compact_every: int | None = None):
     record = schemas.with_fields(schemas.TRANSACTION, T.StructField("event_id", schemas.L))
     group_dir = f"{paths.checkpoints}/{group}"
     stream = topics.scan(spark, paths.topic, record, group=group_dir, start=start,
                          max_files_per_trigger=max_files_per_trigger)
     return process_writer(stream, paths.documents, paths.dead_letters, group_dir, fee,
-                          num_partitions)
+                          num_partitions, compact_every)
 
 
 def run_chain(spark: SparkSession, transactions: DataFrame, root: str | None = None,

@@ -27,3 +27,16 @@ def has_data_files(spark: SparkSession, path: str) -> bool:
         if not name.startswith(("_", ".")):
             return True
     return False
+
+
+def list_dirs(spark: SparkSession, path: str) -> list[str]:
+    """Names of the direct sub-directories of ``path`` (empty if it does not exist)."""
+    fs, p = _fs_path(spark, path)
+    if not fs.exists(p):
+        return []
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.delete(p, True))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from txstream.functions.clock import ms_to_ntz
-from txstream.operators.documents import insert_once
+from txstream.operators.documents import compact, insert_once
 from txstream.operators.enrich import DEFAULT_FEE, enrich_fee, to_document
 from txstream.operators.routing import route
 from txstream.sources.topic import DEFAULT_PARTITIONS, PARTITION, assign_partition
@@ -22,9 +22,14 @@ DEAD_LETTER_COLUMNS = ["accountId", "timestamp", "amount", "event_id"]
 
 
 def process_batch(batch: DataFrame, batch_id: int, documents: str, dead_letters: str,
-                  fee: int = DEFAULT_FEE, num_partitions: int = DEFAULT_PARTITIONS) -> None:
+                  fee: int = DEFAULT_FEE, num_partitions: int = DEFAULT_PARTITIONS,
+                  compact_every: int | None = None) -> None:
     """Route one micro-batch: main rows -> enriched documents (insert once),
-    the rest -> the dead-letter topic (keyed by accountId)."""
+    the rest -> the dead-letter topic (keyed by accountId).
+
+    With ``compact_every=k`` the document store folds every batch before this
+    one into its base each ``k`` batches (those batches are committed).
+    """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         main, dead = route(batch)
@@ -36,13 +41,16 @@ def process_batch(batch: DataFrame, batch_id: int, documents: str, dead_letters:
             .parquet(f"{dead_letters}/batch={batch_id}"))
     finally:
         batch.unpersist()
+    if compact_every and batch_id > 0 and batch_id % compact_every == 0:
+        compact(batch.sparkSession, documents, batch_id - 1)
 
 
 def process_writer(stream: DataFrame, documents: str, dead_letters: str, checkpoint: str,
-                   fee: int = DEFAULT_FEE,
-                   num_partitions: int = DEFAULT_PARTITIONS) -> DataStreamWriter:
+                   fee: int = DEFAULT_FEE, num_partitions: int = DEFAULT_PARTITIONS,
+                   compact_every: int | None = None) -> DataStreamWriter:
     def each(batch: DataFrame, batch_id: int) -> None:
-        process_batch(batch, batch_id, documents, dead_letters, fee, num_partitions)
+        process_batch(batch, batch_id, documents, dead_letters, fee, num_partitions,
+                      compact_every)
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
 
 
