@@ -183,3 +183,27 @@ def test_process_stage_with_small_batches_and_compaction(spark):
     assert a.select("_id").exceptAll(b.select("_id")).count() == 0
     assert spark.read.parquet(again.dead_letters).count() == \
         spark.read.parquet(paths.dead_letters).count()
+
+
+def test_late_rows_are_dropped_and_counted(spark, scratch):
+    from txstream.operators import metrics
+    from txstream.streaming.runner import rows_dropped_by_watermark
+    root = scratch("late")
+    base = 1704067200000
+    on_time = spark.createDataFrame([(0, base + i * 1000) for i in range(120)],
+                                    "partition long, timestamp long")
+    late = spark.createDataFrame([(0, base + 5_000), (0, base + 6_000)],
+                                 "partition long, timestamp long")
+    on_time.write.parquet(f"{root}/in/a")
+    late.write.parquet(f"{root}/in/b")
+    s = (spark.readStream.schema("partition long, timestamp long")
+         .option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true")
+         .parquet(f"{root}/in"))
+    r = metrics.rate_sliding_stream(s, "partition", window="10 seconds", slide="10 seconds",
+                                    window_seconds=10, watermark="5 seconds")
+    q = run_available_now(r.writeStream.format("parquet").option("path", f"{root}/o")
+                          .option("checkpointLocation", f"{root}/ck"))
+    out = spark.read.parquet(f"{root}/o")
+    assert rows_dropped_by_watermark(q) == 2
+    first = out.filter(F.col("window_start_ms") == base).first()
+    assert first.events == 10                      # the two late rows were not added

@@ -35,3 +35,9 @@ def batch_durations_ms(q: StreamingQuery) -> list[int]:
     """Trigger durations of the micro-batches still held in ``recentProgress``."""
     return [int(p.durationMs.get("triggerExecution", 0)) for p in q.recentProgress
             if p.numInputRows > 0]
+
+
+def rows_dropped_by_watermark(q: StreamingQuery) -> int:
+    """Late rows the query's stateful operators dropped (over ``recentProgress``)."""
+    return sum(int(op.numRowsDroppedByWatermark) for p in q.recentProgress
+               for op in p.stateOperators)
