@@ -1,4 +1,4 @@
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from txstream import schemas
 from txstream.plans import fixtures as fx
@@ -7,9 +7,7 @@ from txstream.streaming.runner import run_available_now
 
 from tests.conftest import SF_SMALL
 
-REC = schemas.with_fields(schemas.TRANSACTION,
-                          __import__("pyspark.sql.types", fromlist=["x"]).StructField(
-                              "event_id", schemas.L))
+REC = schemas.with_fields(schemas.TRANSACTION, T.StructField("event_id", T.LongType()))
 
 
 def _drain(spark, stream, root, name):
@@ -77,7 +75,6 @@ def test_stream_written_topic_rejects_batch_append(spark, scratch):
 
 
 def test_file_log_latest_start(spark, scratch):
-    from pyspark.sql import types as T
     from txstream.functions.codec import to_log_record
     from txstream.sources.log import read_log, scan_values
     root = scratch("log")

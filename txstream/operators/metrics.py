@@ -13,7 +13,6 @@
 
 from __future__ import annotations
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Observation, Window, functions as F, types as T
 

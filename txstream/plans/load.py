@@ -13,7 +13,7 @@ the metrics table -- see ``txstream.operators.metrics``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from txstream import schemas
 from txstream.functions.clock import lag_ms, now_ms

@@ -20,7 +20,10 @@ from txstream.operators.enrich import enrich_fee, exact_duplicates, to_document
 from txstream.operators.ordering import keyed_positions
 from txstream.operators.routing import route, split_counts
 from txstream.plans import fixtures as fx
-from txstream.plans.chain import ChainPaths, process_stage, run_chain
+from txstream.functions.clock import ntz_to_ms
+from txstream.plans import recovery
+from txstream.plans.chain import ChainPaths, log_stage, process_stage, run_chain
+from txstream.plans.load import load_writers, read_samples
 from txstream.session import scratch_path
 from txstream.sources import generators as gen
 from txstream.sources import log as logsrc
@@ -177,7 +180,6 @@ def topic_scan_latest(spark, sf):
 def log_scan_earliest(spark, sf):
     root = scratch_path(spark, "log_scan")
     paths = ChainPaths.under(root)
-    from txstream.plans.chain import log_stage
     run_available_now(log_stage(fx.transactions_from_events(fx.events_stream(spark, sf)), paths))
     log = logsrc.read_log(spark, paths.log, extra_fields=[T.StructField("event_id", T.LongType())])
     decoded, _ = logsrc.scan_values(log, schemas.TRANSACTION, keep=["event_id"])
@@ -227,7 +229,6 @@ def restart_no_reprocess(spark, sf):
 def bucketed_text_lines(spark, sf):
     root = scratch_path(spark, "text_sink")
     e = fx.events_stream(spark, sf)
-    from txstream.functions.clock import ntz_to_ms
     seq = e.select(F.col("event_id").alias("id"), ntz_to_ms("ts").alias("timestamp"),
                    F.col("event_id").cast("string").alias("payload"))
     run_available_now(text_writer(seq, row_to_line("sequence_event"), f"{root}/lines",
@@ -303,7 +304,6 @@ def rate_sliding_streamed(spark, sf):
 def load_feedback(spark, sf):
     """Payload events -> topic (4 partitions, keyed by id text) -> read back in the
     same session; events per partition as seen by the reader."""
-    from txstream.plans.load import load_writers, read_samples
     root = scratch_path(spark, "load")
     ev = gen.generate_from(fx.events_stream(spark, sf), "event_id", "payload_events",
                            clock=_gen_clock())
@@ -334,10 +334,8 @@ def recovery_audit(spark, sf):
     """Sequence events -> 1-partition topic -> text lines; the processor is
     restarted once and the producer re-run on its checkpoint; then the lines
     are parsed back and audited against what was produced."""
-    from txstream.plans import recovery
     root = scratch_path(spark, "recovery")
     events = fx.events_stream(spark, sf)
-    from txstream.functions.clock import ntz_to_ms
     seq = events.select(F.col("event_id").alias("id"), ntz_to_ms("ts").alias("timestamp"),
                         F.col("event_id").cast("string").alias("payload"))
     run_available_now(recovery.producer(seq, root))
