@@ -2,9 +2,12 @@
 
 A group is a checkpoint folder.  Its start point is fixed when the group is
 first created: ``earliest`` takes every file, ``latest`` skips the files that
-already exist.  For ``latest`` the set of existing files is written once, as a
-small Parquet table inside the group folder, and later anti-joined away on
-``_metadata.file_path``; a restart reuses it, so the start never moves.
+already exist.  For ``latest`` the list of existing files -- which Spark's file
+index already holds on the driver, so no data is scanned -- is written once as a
+small Parquet table inside the group folder and later anti-joined away on the
+file of each row (``_metadata.file_path``); a restart reuses it, so the start
+never moves.  Files are matched on their last two path components (directory
+and name), which are the same whatever URI form a path is reported in.
 """
 
 from __future__ import annotations
@@ -27,15 +30,22 @@ def create_group(spark: SparkSession, path: str, group: str, start: str = "earli
     marker = start_marker(group)
     if path_exists(spark, marker):
         return
-    files = spark.createDataFrame([], "file_path string")
+    names: list[tuple[str]] = []
     if start == "latest" and has_data_files(spark, path):
-        files = (spark.read.parquet(path)
-                 .select(F.col("_metadata.file_path").alias("file_path")).distinct())
-    files.write.mode("overwrite").parquet(marker)
+        names = [(_tail(f),) for f in spark.read.parquet(path).inputFiles()]
+    spark.createDataFrame(names, "file string").write.mode("overwrite").parquet(marker)
+
+
+def _tail(path: str) -> str:
+    return "/".join(path.rstrip("/").split("/")[-2:])
+
+
+def _tail_col(path_col):
+    return F.regexp_extract(path_col, r"([^/]+/[^/]+)$", 1)
 
 
 def skip_group_start(spark: SparkSession, stream: DataFrame, group: str) -> DataFrame:
     """Drop rows of files that existed when a ``latest`` group was created."""
-    seen = spark.read.parquet(start_marker(group)).withColumnRenamed("file_path", "_file")
-    return (stream.withColumn("_file", F.col("_metadata.file_path"))
+    seen = spark.read.parquet(start_marker(group)).withColumnRenamed("file", "_file")
+    return (stream.withColumn("_file", _tail_col(F.col("_metadata.file_path")))
                   .join(seen, "_file", "left_anti").drop("_file"))
