@@ -207,3 +207,26 @@ def test_late_rows_are_dropped_and_counted(spark, scratch):
     assert rows_dropped_by_watermark(q) == 2
     first = out.filter(F.col("window_start_ms") == base).first()
     assert first.events == 10                      # the two late rows were not added
+
+
+def test_running_histogram_over_several_batches(spark, scratch):
+    from txstream.operators import metrics
+    from txstream.streaming.metrics_sink import histogram_writer, latest_histogram
+    from txstream.sources.fs import list_dirs
+    root = scratch("hist")
+    data = spark.range(3000).select(F.col("id").alias("event_id"),
+                                    (F.col("id") % 2).alias("partition"),
+                                    ((F.col("id") * 37) % 1000).alias("lag"))
+    for i in range(4):   # four files -> four micro-batches
+        data.filter((F.col("event_id") >= i * 750) & (F.col("event_id") < (i + 1) * 750)) \
+            .write.parquet(f"{root}/in/f{i}")
+    s = (spark.readStream.schema(data.schema).option("maxFilesPerTrigger", 1)
+         .option("recursiveFileLookup", "true").parquet(f"{root}/in"))
+    q = run_available_now(histogram_writer(s, f"{root}/out", f"{root}/ck", n=500))
+    assert len([p for p in q.recentProgress if p.numInputRows > 0]) == 4
+    got = {r.partition: r for r in latest_histogram(spark, f"{root}/out").collect()}
+    want = {r.partition: r for r in metrics.lag_histogram(data, n=500).collect()}
+    for p in (0, 1):
+        assert got[p]["count"] == 500 and abs(got[p].p99 - want[p].p99) < 1e-9
+        assert abs(got[p].mean - want[p].mean) < 1e-9
+    assert len(list_dirs(spark, f"{root}/out/_state")) <= 2

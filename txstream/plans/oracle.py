@@ -116,6 +116,7 @@ ORACLE: dict[str, str] = {
     "event_counter": f"select partition, count(*) as events from {LAG} l group by partition",
     "lag_histogram": _hist("linear"),
     "lag_histogram_n_plus_1": _hist("n_plus_1"),
+    "lag_histogram_streamed": _hist("linear"),
     "lag_p99": f"select partition, round(quantile_cont(lag, 0.99), 6) as p99 "
                f"from {LAST_1000} r group by partition",
     "lag_p99_avg": f"select round(avg(p99), 6) as avg_p99, count(*) as groups from "

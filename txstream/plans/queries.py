@@ -28,6 +28,7 @@ from txstream.session import scratch_path
 from txstream.sources import generators as gen
 from txstream.sources import log as logsrc
 from txstream.sources import topic as topics
+from txstream.streaming.metrics_sink import histogram_writer, latest_histogram
 from txstream.streaming.runner import run_available_now
 from txstream.streaming.sinks import process_batch, text_writer
 
@@ -259,6 +260,17 @@ def lag_histogram_n_plus_1(spark, sf):
     return _round(h, HIST_DOUBLES)
 
 
+def lag_histogram_streamed(spark, sf):
+    """E2 on a stream: the lag samples arrive as a file stream; the running
+    histogram after the last micro-batch is returned."""
+    root = scratch_path(spark, "lag_stream")
+    tx = fx.with_partition(fx.transactions_from_events(fx.events_stream(spark, sf)))
+    samples = tx.select("event_id", "partition",
+                        ((F.col("event_id") * fx.LAG_FACTOR) % fx.LAG_MOD).alias("lag"))
+    run_available_now(histogram_writer(samples, f"{root}/out", f"{root}/_ck"))
+    return _round(latest_histogram(spark, f"{root}/out"), HIST_DOUBLES)
+
+
 def lag_p99(spark, sf):
     return _round(metrics.lag_p99(fx.lag_samples(spark, sf)), ["p99"])
 
@@ -380,6 +392,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_counter": event_counter,
     "lag_histogram": lag_histogram,
     "lag_histogram_n_plus_1": lag_histogram_n_plus_1,
+    "lag_histogram_streamed": lag_histogram_streamed,
     "lag_p99": lag_p99,
     "lag_p99_avg": lag_p99_avg,
     "lag_rolling_p99": lag_rolling_p99,
