@@ -230,3 +230,14 @@ def test_running_histogram_over_several_batches(spark, scratch):
         assert got[p]["count"] == 500 and abs(got[p].p99 - want[p].p99) < 1e-9
         assert abs(got[p].mean - want[p].mean) < 1e-9
     assert len(list_dirs(spark, f"{root}/out/_state")) <= 2
+
+
+def test_chain_on_empty_input(spark, scratch):
+    root = scratch("empty")
+    schema = fx.table(spark, SF_SMALL, "events").schema
+    spark.createDataFrame([], schema).write.parquet(f"{root}/events.parquet")
+    tx = fx.transactions_from_events(fx.events_stream(spark, root))
+    paths = run_chain(spark, tx)
+    from txstream.sources.fs import has_data_files
+    for p in (paths.documents, paths.dead_letters):
+        assert not has_data_files(spark, p) or spark.read.parquet(p).count() == 0
