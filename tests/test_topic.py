@@ -88,3 +88,21 @@ def test_file_log_latest_start(spark, scratch):
     assert out.count() == 5
     s2 = read_log(spark, f"{root}/log", group=f"{root}/g2", extra_fields=extra)
     assert _drain(spark, s2, root, "o2").count() == tx.count() + 5
+
+
+def test_latest_group_prunes_old_files_before_reading(spark, scratch):
+    root = scratch("topic")
+    topic, group = f"{root}/topic", f"{root}/group"
+    tx = fx.transactions(spark, SF_SMALL)
+    topics.append(tx, topic, "accountId")
+    topics.create_group(spark, topic, group, start="latest")
+    topics.append(tx.limit(3), topic, "accountId")
+    s = topics.scan(spark, topic, REC, group=group, start="latest")
+    # with no slack, files older than the group are not opened at all
+    from txstream.sources import groups
+    raw = spark.readStream.schema(topics.topic_schema(REC)).parquet(topic)
+    pruned = groups.skip_group_start(spark, raw, group, commit_slack_ms=0)
+    q = run_available_now(pruned.writeStream.format("noop")
+                          .option("checkpointLocation", f"{root}/ck_noop"))
+    assert sum(p.numInputRows for p in q.recentProgress) == 3
+    assert _drain(spark, s, root, "o").count() == 3

@@ -40,3 +40,8 @@ def list_dirs(spark: SparkSession, path: str) -> list[str]:
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _fs_path(spark, path)
     return bool(fs.delete(p, True))
+
+
+def modification_ms(spark: SparkSession, path: str) -> int:
+    fs, p = _fs_path(spark, path)
+    return int(fs.getFileStatus(p).getModificationTime())

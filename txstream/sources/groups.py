@@ -8,6 +8,15 @@ small Parquet table inside the group folder and later anti-joined away on the
 file of each row (``_metadata.file_path``); a restart reuses it, so the start
 never moves.  Files are matched on their last two path components (directory
 and name), which are the same whatever URI form a path is reported in.
+
+Old files are not even opened: a file that is not in the snapshot was committed
+after the group was created, so its modification time is later than the
+creation time minus ``commit_slack_ms`` (the longest a writer takes from
+writing a file to committing it).  Everything older is pruned by a filter on
+``_metadata.file_modification_time``, which Spark applies to the file listing;
+only the remaining, recent files go through the exact anti join.  The creation
+time is read from the file system (the snapshot's ``_SUCCESS`` file), the same
+clock that stamps the data files.
 """
 
 from __future__ import annotations
@@ -17,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from txstream.sources.fs import has_data_files, path_exists
 
 STARTS = ("earliest", "latest")
+DEFAULT_COMMIT_SLACK_MS = 3_600_000
 
 
 def start_marker(group: str) -> str:
@@ -44,8 +54,18 @@ def _tail_col(path_col):
     return F.regexp_extract(path_col, r"([^/]+/[^/]+)$", 1)
 
 
-def skip_group_start(spark: SparkSession, stream: DataFrame, group: str) -> DataFrame:
+def created_ms(spark: SparkSession, group: str) -> int:
+    """Creation time of a group by the file system's clock (epoch ms)."""
+    from txstream.sources.fs import modification_ms
+    return modification_ms(spark, f"{start_marker(group)}/_SUCCESS")
+
+
+def skip_group_start(spark: SparkSession, stream: DataFrame, group: str,
+                     commit_slack_ms: int = DEFAULT_COMMIT_SLACK_MS) -> DataFrame:
     """Drop rows of files that existed when a ``latest`` group was created."""
+    bound = created_ms(spark, group) - commit_slack_ms
+    recent = stream.filter(F.col("_metadata.file_modification_time")
+                           >= F.timestamp_millis(F.lit(bound)))
     seen = spark.read.parquet(start_marker(group)).withColumnRenamed("file", "_file")
-    return (stream.withColumn("_file", _tail_col(F.col("_metadata.file_path")))
+    return (recent.withColumn("_file", _tail_col(F.col("_metadata.file_path")))
                   .join(seen, "_file", "left_anti").drop("_file"))
