@@ -58,3 +58,16 @@ def test_positions_continue_across_arrow_batches(spark):
                   .count() == 0
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_slice_count_follows_input_size(spark):
+    from txstream.operators import ordering
+    df = spark.range(1000)
+    assert ordering._default_parts(df) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    old = ordering.TARGET_SLICE_BYTES
+    try:
+        ordering.TARGET_SLICE_BYTES = 1000
+        n = ordering._default_parts(df)
+        assert n >= ordering.estimated_bytes(df) // 1000 > 1
+    finally:
+        ordering.TARGET_SLICE_BYTES = old

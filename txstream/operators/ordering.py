@@ -19,8 +19,29 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from txstream.session import materialize
 
 
+TARGET_SLICE_BYTES = 256 * 1024 * 1024
+MAX_SLICES = 200_000
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (file sizes through the projection)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimates are optional
+        return None
+
+
 def _default_parts(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """Range slices for ``df``: about 256 MB each, never fewer than the shuffle setting.
+
+    AQE may coalesce range partitions but never splits them, so the count is
+    chosen from the estimated input size up front.
+    """
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = estimated_bytes(df)
+    if size is None:
+        return floor
+    return int(min(MAX_SLICES, max(floor, -(-size // TARGET_SLICE_BYTES))))
 
 
 def keyed_order(df: DataFrame, keys, order, num_partitions: int | None = None) -> DataFrame:
