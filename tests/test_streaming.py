@@ -241,3 +241,18 @@ def test_chain_on_empty_input(spark, scratch):
     from txstream.sources.fs import has_data_files
     for p in (paths.documents, paths.dead_letters):
         assert not has_data_files(spark, p) or spark.read.parquet(p).count() == 0
+
+
+def test_chain_from_generator_stream_invariants(spark):
+    n = 1234
+    gen = generate_stream(spark, "transactions", rows_per_second=n, num_partitions=3,
+                          deterministic=True, start_ms=1704067200000)
+    paths = run_chain(spark, gen)
+    dead = spark.read.parquet(paths.dead_letters)
+    docs = spark.read.parquet(paths.documents)
+    assert dead.count() == -(-n // 10)
+    assert docs.count() == n - -(-n // 10)
+    assert docs.agg(F.min("transactionFee"), F.max("transactionFee")).first() == (5, 5)
+    # one partition per key in the dead-letter topic
+    assert dead.groupBy("accountId").agg(F.countDistinct("partition").alias("p")) \
+               .filter("p > 1").count() == 0

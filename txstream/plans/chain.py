@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from txstream import schemas
 from txstream.functions.codec import to_log_record
@@ -46,7 +46,13 @@ class ChainPaths:
 
 def log_stage(transactions: DataFrame, paths: ChainPaths, fmt: str = "parquet",
               kafka_options: dict | None = None):
-    """Stage 1 writer: key = text of accountId, value = JSON record; event_id rides along."""
+    """Stage 1 writer: key = text of accountId, value = JSON record.
+
+    ``event_id`` rides along when the input has one (it breaks timestamp ties
+    downstream); generated transactions use their id.
+    """
+    if "event_id" not in transactions.columns:
+        transactions = transactions.withColumn("event_id", F.col("accountId"))
     records = to_log_record(transactions, keep=["event_id"])
     return logsrc.log_writer(records, paths.log, f"{paths.checkpoints}/log", fmt, kafka_options)
 
