@@ -182,7 +182,8 @@ def rate_sliding_stream(stream: DataFrame, by: str | None = "partition",
 
     The watermark bounds the state: a window is emitted once (append mode) when
     the watermark passes its end; rows later than the watermark are dropped by
-    Spark and show up in ``numRowsDroppedByWatermark`` of the query progress.
+    Spark and counted (per late window) in ``numRowsDroppedByWatermark`` of the
+    query progress -- see ``streaming.runner.rows_dropped_by_watermark``.
     """
     keyed = stream.withColumn("_et", event_time(time_ms)).withWatermark("_et", watermark)
     keys = ([by] if by else []) + [F.window("_et", window, slide)]

@@ -38,6 +38,11 @@ def batch_durations_ms(q: StreamingQuery) -> list[int]:
 
 
 def rows_dropped_by_watermark(q: StreamingQuery) -> int:
-    """Late rows the query's stateful operators dropped (over ``recentProgress``)."""
+    """Late input the query's stateful operators dropped (over ``recentProgress``).
+
+    Spark counts what reaches the state store: after map-side partial
+    aggregation that is one row per late window (and task), not per raw row.
+    Lateness is judged against the previous micro-batch's watermark.
+    """
     return sum(int(op.numRowsDroppedByWatermark) for p in q.recentProgress
                for op in p.stateOperators)
