@@ -256,3 +256,20 @@ def test_chain_from_generator_stream_invariants(spark):
     # one partition per key in the dead-letter topic
     assert dead.groupBy("accountId").agg(F.countDistinct("partition").alias("p")) \
                .filter("p > 1").count() == 0
+
+
+def test_rate_source_defaults_per_kind(spark, scratch):
+    import time
+    from txstream.sources.generators import DEFAULT_RATES
+    root = scratch("rate")
+    s = generate_stream(spark, "sequence_events")
+    q = (s.writeStream.format("parquet").option("path", f"{root}/o")
+         .option("checkpointLocation", f"{root}/ck").trigger(processingTime="1 second").start())
+    try:
+        time.sleep(6)
+    finally:
+        q.stop()
+    out = spark.read.parquet(f"{root}/o")
+    assert DEFAULT_RATES["sequence_events"] == 1
+    assert 1 <= out.count() <= 10
+    assert out.filter("payload != cast(id as string)").count() == 0

@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from txstream.functions.clock import now_ms
 
-# Fixed value: the generators' default filler size.
+# Default filler size and default rates (rows per second) per record type.
 DEFAULT_PAYLOAD_SIZE = 100
 FILLER_CHAR = "*"
+DEFAULT_RATES = {"transactions": 10, "sequence_events": 1, "payload_events": 1000}
 
 
 def transaction_columns(id_col: Column, clock: Column) -> list[Column]:
@@ -60,13 +61,16 @@ def generate_from(df: DataFrame, id_col: str, kind: str = "transactions",
 
 
 def generate_stream(spark: SparkSession, kind: str = "transactions",
-                    rows_per_second: int = 10, num_partitions: int = 1,
+                    rows_per_second: int | None = None, num_partitions: int = 1,
                     deterministic: bool = False, start_ms: int = 0, **kw) -> DataFrame:
     """Unbounded, rate-limited stream; ids 0, 1, 2, ... and a per-row clock.
 
     ``deterministic=True`` uses ``rate-micro-batch``: ``rows_per_second`` rows per
     micro-batch with timestamps fixed by ``start_ms`` -- repeatable in tests.
+    The default rate depends on the record type (``DEFAULT_RATES``).
     """
+    if rows_per_second is None:
+        rows_per_second = DEFAULT_RATES[kind]
     if deterministic:
         src = (spark.readStream.format("rate-micro-batch")
                .option("rowsPerBatch", rows_per_second)
