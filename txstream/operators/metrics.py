@@ -136,10 +136,10 @@ def rolling_quantile(df: DataFrame, by: str, order: str, value: str, q: float =
     pos = keyed_positions(df, [by], [order], "_seq", num_partitions)
     chunk = F.expr(f"(_seq - 1) div {int(chunk_rows)}")
     in_tail = ((F.col("_seq") - 1) % chunk_rows) >= (chunk_rows - (n - 1))
-    own = pos.withColumn("_chunk", chunk).withColumn("_halo", F.lit(False))
-    halo = (pos.filter(in_tail).withColumn("_chunk", chunk + 1)
-               .withColumn("_halo", F.lit(True)))
-    both = own.unionByName(halo)
+    # one pass: every row goes to its chunk, tail rows also to the next one
+    targets = F.when(in_tail, F.array(chunk, chunk + 1)).otherwise(F.array(chunk))
+    both = (pos.withColumn("_chunk", F.explode(targets))
+               .withColumn("_halo", F.col("_chunk") != chunk))
     fields = [f for f in both.schema.fields if f.name not in ("_halo", "_chunk")]
     schema = T.StructType(fields + [T.StructField(out, T.DoubleType())])
     return (both.groupBy(by, "_chunk")
