@@ -50,7 +50,7 @@ def scans(plan: str) -> str:
     for m in re.finditer(r"FileScan parquet \[[^\]]*\][^\n]*?Location: \w+\(\d+ paths\)\[([^\]]*)\]"
                          r"[^\n]*?PushedFilters: \[([^\]]*)\][^\n]*?ReadSchema: struct<([^>]*)>",
                          plan):
-        where = m.group(1).rstrip("/").split("/")[-1]
+        where = re.sub(r"-[0-9a-f]{12}$", "", m.group(1).rstrip("/").split("/")[-1])
         cols = len(m.group(3).split(",")) if m.group(3) else 0
         pushed = m.group(2) or "none"
         out.append(f"{where}: {cols} col(s), pushed: {pushed}")
