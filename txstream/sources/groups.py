@@ -51,7 +51,7 @@ def _tail(path: str) -> str:
 
 
 def _tail_col(path_col):
-    return F.regexp_extract(path_col, r"([^/]+/[^/]+)$", 1)
+    return F.substring_index(path_col, "/", -2)
 
 
 def created_ms(spark: SparkSession, group: str) -> int:
