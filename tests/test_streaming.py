@@ -273,3 +273,25 @@ def test_rate_source_defaults_per_kind(spark, scratch):
     assert DEFAULT_RATES["sequence_events"] == 1
     assert 1 <= out.count() <= 10
     assert out.filter("payload != cast(id as string)").count() == 0
+
+
+def test_keyed_batch_writer_orders_each_batch(spark, scratch):
+    from txstream.streaming.sinks import keyed_batch_writer
+    root = scratch("keyed")
+    seen = []
+
+    def check(batch, batch_id):
+        def per_part(it):
+            import pandas as pd
+            for pdf in it:
+                yield pd.DataFrame({"ok": [bool((pdf[["accountId", "timestamp", "event_id"]]
+                                                 .apply(tuple, axis=1).is_monotonic_increasing))],
+                                    "n": [len(pdf)]})
+        res = batch.mapInPandas(per_part, "ok boolean, n long").collect()
+        seen.append((batch_id, all(r.ok for r in res), sum(r.n for r in res)))
+
+    s = fx.transactions_from_events(fx.events_stream(spark, SF_SMALL))
+    run_available_now(keyed_batch_writer(s, ["accountId"], ["timestamp", "event_id"], check,
+                                         f"{root}/ck", num_partitions=4))
+    n = fx.table(spark, SF_SMALL, "events").count()
+    assert seen and all(ok for _, ok, _ in seen) and sum(k for _, _, k in seen) == n

@@ -96,3 +96,19 @@ def console_writer(stream: DataFrame, line: Column | None = None,
 def noop_writer(stream: DataFrame, checkpoint: str) -> DataStreamWriter:
     """Accept and discard rows: a read-throughput harness."""
     return stream.writeStream.format("noop").option("checkpointLocation", checkpoint)
+
+
+def keyed_batch_writer(stream: DataFrame, keys, order, fn, checkpoint: str,
+                       num_partitions: int | None = None) -> DataStreamWriter:
+    """Hand every micro-batch to ``fn(batch, batch_id)`` with each key's rows
+    contiguous and in ``order`` inside its partitions.
+
+    Streaming frames reject sorts, so the ordering is applied per micro-batch
+    (``keyed_order``: range partitioning on ``(keys, order)``, so a hot key is
+    spread over several contiguous tasks rather than one).
+    """
+    from txstream.operators.ordering import keyed_order
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        fn(keyed_order(batch, keys, order, num_partitions), batch_id)
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
