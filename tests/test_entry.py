@@ -11,3 +11,21 @@ def test_every_query_has_an_oracle():
     assert set(entry_mod.queries()) == set(entry_mod.oracle_sql())
     for name in entry_mod.queries():
         assert "pipeline" not in name and not name.startswith("op")
+
+
+def test_workers_import_the_package_from_any_directory(tmp_path):
+    """Pandas stages must work when the driver does not run from the repository."""
+    import subprocess
+    import sys
+    from pathlib import Path
+    repo = Path(__file__).resolve().parents[1]
+    code = ("import sys; sys.path.insert(0, %r)\n"
+            "import __spark_entry__ as e\n"
+            "from pyspark.sql import SparkSession\n"
+            "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled','false')"
+            ".getOrCreate()\n"
+            "print('ROWS', e.queries()['keyed_order'](s, '/root/testdata/sf0.001').count())\n"
+            % str(repo))
+    out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True,
+                         text=True, timeout=600)
+    assert "ROWS 1000" in out.stdout, out.stderr[-2000:]

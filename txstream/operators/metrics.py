@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, Window, functions as F, types as
 
 from txstream.functions.clock import event_time
 from txstream.operators.ordering import keyed_positions
+from txstream.session import ship_package
 
 # The quantiles a sample histogram reports.
 HISTOGRAM_QUANTILES = (0.5, 0.75, 0.95, 0.98, 0.99, 0.999)
@@ -133,6 +134,7 @@ def rolling_quantile(df: DataFrame, by: str, order: str, value: str, q: float =
     """
     if chunk_rows < n:
         raise ValueError("chunk_rows must be >= n")
+    ship_package(df.sparkSession)
     pos = keyed_positions(df, [by], [order], "_seq", num_partitions)
     chunk = F.expr(f"(_seq - 1) div {int(chunk_rows)}")
     in_tail = ((F.col("_seq") - 1) % chunk_rows) >= (chunk_rows - (n - 1))

@@ -16,7 +16,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from txstream.session import materialize
+from txstream.session import materialize, ship_package
 
 
 TARGET_SLICE_BYTES = 256 * 1024 * 1024
@@ -93,6 +93,7 @@ def keyed_positions(df: DataFrame, keys, order, out: str = "seq",
     ``order`` must make rows unique within a key (add a tie-breaker column).
     """
     keys, order = list(keys), list(order)
+    ship_package(df.sparkSession)
     ranged = keyed_order(df, keys, order, num_partitions)
     schema = T.StructType(ranged.schema.fields + [T.StructField("_pid", T.IntegerType(), False),
                                                   T.StructField("_local_seq", T.LongType(), False)])

@@ -37,6 +37,7 @@ def get_session(master: str = "local[8]", app: str = "txstream",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
+    ship_package(spark)
     return spark
 
 
@@ -77,3 +78,33 @@ def materialize(df, name: str):
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.parquet(path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``txstream`` importable in Python workers (as ``--py-files`` would).
+
+    Arrow-batched pandas stages pickle functions that live in this package, so
+    the workers must import it.  The package is zipped once per application and
+    added with ``addPyFile``; Spark distributes it with the job's other files.
+    """
+    import hashlib
+    import io
+    import zipfile
+    from pathlib import Path
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = Path(__file__).resolve().parent
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(pkg.rglob("*.py")):
+            z.write(f, str(f.relative_to(pkg.parent)))
+    digest = hashlib.sha1(buf.getvalue()).hexdigest()[:12]
+    target = Path(tempfile.mkdtemp(prefix="txstream-pyfiles-")) / f"txstream-{digest}.zip"
+    target.write_bytes(buf.getvalue())
+    sc.addPyFile(str(target))
+    _SHIPPED.add(sc.applicationId)
