@@ -106,3 +106,14 @@ def test_latest_group_prunes_old_files_before_reading(spark, scratch):
                           .option("checkpointLocation", f"{root}/ck_noop"))
     assert sum(p.numInputRows for p in q.recentProgress) == 3
     assert _drain(spark, s, root, "o").count() == 3
+
+
+def test_kafka_format_is_wired_to_sparks_connector(spark, scratch):
+    """The connector jar is not on this class path: the failure must come from
+    Spark's source lookup for ``kafka``, i.e. the options reached the connector."""
+    import pytest
+    from txstream.sources.log import read_log
+    with pytest.raises(Exception) as err:
+        read_log(spark, "transactions", fmt="kafka",
+                 kafka_options={"kafka.bootstrap.servers": "localhost:9"})
+    assert "kafka" in str(err.value).lower()

@@ -57,11 +57,13 @@ def spark_of(df: DataFrame) -> SparkSession:
 
 def scan(spark: SparkSession, topic: str, record: T.StructType, group: str | None = None,
          start: str = "earliest", stream: bool = True, partitions=None,
-         max_files_per_trigger: int | None = None) -> DataFrame:
+         max_files_per_trigger: int | None = None,
+         max_bytes_per_trigger: str | None = None) -> DataFrame:
     """Read a topic; rows carry their ``partition``.
 
     ``partitions`` restricts the read to some partitions (pruned at listing).
-    For streams ``group`` is required and names the checkpoint folder to use.
+    For streams ``group`` is required and names the checkpoint folder to use;
+    ``max_files_per_trigger`` / ``max_bytes_per_trigger`` bound a micro-batch.
     """
     schema = topic_schema(record)
     if not stream:
@@ -73,6 +75,8 @@ def scan(spark: SparkSession, topic: str, record: T.StructType, group: str | Non
         reader = spark.readStream.schema(schema)
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+        if max_bytes_per_trigger:
+            reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
         df = reader.parquet(topic)
         if start == "latest":
             df = groups.skip_group_start(spark, df, group)
