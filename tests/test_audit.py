@@ -36,3 +36,11 @@ def test_parse_sequence_line_round_trip(spark):
     bad = spark.createDataFrame([("junk",)], "value string").select(*parse_sequence_line())
     assert tuple(bad.first()) == (None, None, None)
     assert F
+
+
+def test_gaps_with_negative_ids_and_bucket_edges(spark):
+    ids = [-9, -8, -5, -1, 0, 3, 4, 8, 9, 10, 17]
+    got = sorted(tuple(r) for r in
+                 audit.audit_gaps(_seq(spark, ids), bucket_width=4).collect())
+    want = sorted((a + 1, b - 1, b - a - 1) for a, b in zip(ids, ids[1:]) if b - a > 1)
+    assert got == want

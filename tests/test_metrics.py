@@ -74,3 +74,14 @@ def test_event_counter_and_observation(spark):
     obs = Observation("events")
     metrics.observe_counter(df, obs).count()
     assert obs.get["events"] == 100
+
+
+def test_two_round_top_n_equals_single_window(spark):
+    df = spark.range(0, 20000, 1, 40).select(
+        F.col("id").alias("event_id"), (F.col("id") % 3).alias("partition"),
+        ((F.col("id") * 7919) % 100003).alias("lag"))
+    got = metrics.last_n(df, "partition", "lag", n=700, fan_in=3)
+    w = Window.partitionBy("partition").orderBy(F.col("lag").desc())
+    want = df.withColumn("r", F.row_number().over(w)).filter("r <= 700").drop("r")
+    assert got.count() == want.count() == 2100
+    assert got.exceptAll(want).count() == 0

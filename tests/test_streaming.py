@@ -295,3 +295,21 @@ def test_keyed_batch_writer_orders_each_batch(spark, scratch):
                                          f"{root}/ck", num_partitions=4))
     n = fx.table(spark, SF_SMALL, "events").count()
     assert seen and all(ok for _, ok, _ in seen) and sum(k for _, _, k in seen) == n
+
+
+def test_text_sink_spreads_a_hot_bucket(spark, scratch):
+    import glob
+    root = scratch("hot")
+    base = 1704067200000
+    rows = [(i, base + (0 if i % 3 == 0 else 3_600_000 * (i % 50 + 1)), str(i))
+            for i in range(3000)]                     # a third of all rows in one hour
+    spark.createDataFrame(rows, "id long, timestamp long, payload string") \
+        .coalesce(1).write.parquet(f"{root}/in")
+    s = spark.readStream.schema("id long, timestamp long, payload string").parquet(f"{root}/in")
+    run_available_now(text_writer(s, row_to_line("sequence_event"), f"{root}/lines",
+                                  f"{root}/ck", num_partitions=8))
+    hot = glob.glob(f"{root}/lines/bucket=2024-01-01--00/*.txt")
+    assert len(hot) >= 2                               # the hot hour came from several tasks
+    lines = spark.read.schema("value string, bucket string").text(f"{root}/lines")
+    assert lines.count() == 3000
+    assert lines.filter("bucket = '2024-01-01--00'").count() == 1000
