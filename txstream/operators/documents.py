@@ -130,3 +130,8 @@ def compact(spark: SparkSession, store: str, upto_batch: int, vacuum: bool = Tru
         for name in list_dirs(spark, store):
             if name.startswith("batch=") and int(name[6:]) <= upto_batch:
                 delete(spark, f"{store}/{name}")
+
+
+# The same batch-keyed layout serves any append-per-batch table (dead letters):
+read_store = read_documents
+compact_store = compact

@@ -203,7 +203,7 @@ def document_insert_once(spark, sf):
 
 def _chain_output(spark, paths: ChainPaths) -> DataFrame:
     docs = read_documents(spark, paths.documents)
-    dead = spark.read.parquet(paths.dead_letters)
+    dead = read_documents(spark, paths.dead_letters)
     return (docs.select(F.lit("document").alias("kind"), F.col("_id").alias("accountId"),
                         "timestamp", "amount", "transactionFee")
             .unionByName(dead.select(F.lit("dead_letter").alias("kind"), "accountId",

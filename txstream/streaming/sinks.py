@@ -27,8 +27,9 @@ def process_batch(batch: DataFrame, batch_id: int, documents: str, dead_letters:
     """Route one micro-batch: main rows -> enriched documents (insert once),
     the rest -> the dead-letter topic (keyed by accountId).
 
-    With ``compact_every=k`` the document store folds every batch before this
-    one into its base each ``k`` batches (those batches are committed).
+    With ``compact_every=k`` the document and dead-letter stores fold every
+    batch before this one into their bases each ``k`` batches (those batches
+    are committed); read them with ``operators.documents.read_store``.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -43,6 +44,7 @@ def process_batch(batch: DataFrame, batch_id: int, documents: str, dead_letters:
         batch.unpersist()
     if compact_every and batch_id > 0 and batch_id % compact_every == 0:
         compact(batch.sparkSession, documents, batch_id - 1)
+        compact(batch.sparkSession, dead_letters, batch_id - 1)
 
 
 def process_writer(stream: DataFrame, documents: str, dead_letters: str, checkpoint: str,
