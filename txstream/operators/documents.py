@@ -60,6 +60,8 @@ def _deltas(spark: SparkSession, store: str, after: int | None,
         d = d.filter(F.col("batch") > after)                     # partition pruning
     if before is not None:
         d = d.filter(F.col("batch") < before)
+    if "partition" in d.columns:        # directory values are inferred as int
+        d = d.withColumn("partition", F.col("partition").cast("bigint"))
     return d.drop("batch")
 
 
