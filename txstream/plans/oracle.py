@@ -109,6 +109,7 @@ ORACLE: dict[str, str] = {
     "document_first_per_account": FIRST_DOCS,
     "chain_end_to_end": CHAIN,
     "restart_no_reprocess": CHAIN,
+    "chain_small_batches_compacted": CHAIN,
     "bucketed_text_lines": f"select strftime(ts, '%Y-%m-%d--%H') as bucket, "
                            f"'ChaosEvent(id=' || event_id || ', timestamp=' || "
                            f"(epoch_us(ts) // 1000) || ', payload=' || event_id || ')' as line "

@@ -227,6 +227,19 @@ def restart_no_reprocess(spark, sf):
     return _chain_output(spark, paths)
 
 
+def chain_small_batches_compacted(spark, sf):
+    """The chain with one topic file per micro-batch and both stores compacted
+    every two batches.  Topic files are per partition and a key lives in one
+    partition, so each account arrives in one batch: the stores must hold the
+    same rows as with one large batch."""
+    tx = fx.transactions_from_events(fx.events_stream(spark, sf))
+    paths = run_chain(spark, tx)
+    small = ChainPaths(paths.log, paths.topic, paths.quarantine, paths.documents + "_small",
+                       paths.dead_letters + "_small", paths.checkpoints + "_small")
+    run_available_now(process_stage(spark, small, max_files_per_trigger=1, compact_every=2))
+    return _chain_output(spark, small)
+
+
 def bucketed_text_lines(spark, sf):
     root = scratch_path(spark, "text_sink")
     e = fx.events_stream(spark, sf)
@@ -388,6 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "document_insert_once": document_insert_once,
     "chain_end_to_end": chain_end_to_end,
     "restart_no_reprocess": restart_no_reprocess,
+    "chain_small_batches_compacted": chain_small_batches_compacted,
     "bucketed_text_lines": bucketed_text_lines,
     "event_counter": event_counter,
     "lag_histogram": lag_histogram,
