@@ -7,6 +7,8 @@ the same rows again -- effectively once.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -35,16 +37,28 @@ def process_batch(batch: DataFrame, batch_id: int, documents: str, dead_letters:
     try:
         main, dead = route(batch)
         docs = to_document(enrich_fee(main, fee), keep=["event_id"])
-        insert_once(docs, documents, batch_id, key="_id", columns=DOCUMENT_COLUMNS)
         cols = [c for c in DEAD_LETTER_COLUMNS if c in dead.columns]
-        (assign_partition(dead.select(*cols), "accountId", num_partitions)
-            .write.mode("overwrite").partitionBy(PARTITION)
-            .parquet(f"{dead_letters}/batch={batch_id}"))
+        dead_out = assign_partition(dead.select(*cols), "accountId", num_partitions)
+
+        def write_documents():
+            insert_once(docs, documents, batch_id, key="_id", columns=DOCUMENT_COLUMNS)
+
+        def write_dead_letters():
+            dead_out.write.mode("overwrite").partitionBy(PARTITION) \
+                .parquet(f"{dead_letters}/batch={batch_id}")
+
+        # the two outputs only read the persisted batch: run them as concurrent jobs
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for f in [pool.submit(write_documents), pool.submit(write_dead_letters)]:
+                f.result()
     finally:
         batch.unpersist()
     if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-        compact(batch.sparkSession, documents, batch_id - 1)
-        compact(batch.sparkSession, dead_letters, batch_id - 1)
+        spark = batch.sparkSession
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            for f in [pool.submit(compact, spark, store, batch_id - 1)
+                      for store in (documents, dead_letters)]:
+                f.result()
 
 
 def process_writer(stream: DataFrame, documents: str, dead_letters: str, checkpoint: str,
