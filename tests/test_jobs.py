@@ -20,3 +20,19 @@ def test_recovery_jobs_from_the_command_line(spark, scratch):
     jobs.run(spark, ["recovery-processor", "--root", root, "--available-now"])
     got = recovery.delivered(spark, root)
     assert sorted(r.id for r in got.collect()) == list(range(12))
+
+
+def test_load_test_and_report(spark, scratch):
+    root = scratch("jobs")
+    jobs.run(spark, ["load-test", "--root", root, "--rows-per-second", "100",
+                     "--max-records", "50", "--parallelism", "2", "--payload-size", "8",
+                     "--trigger", "500 milliseconds"])
+    jobs.run(spark, ["load-report", "--root", root])
+    samples = spark.read.parquet(f"{root}/lag")
+    assert samples.count() >= 50
+    p99 = spark.read.parquet(f"{root}/report/lag_p99")
+    assert p99.count() == samples.select("partition").distinct().count()
+    avg = spark.read.parquet(f"{root}/report/lag_p99_avg").first()
+    assert avg.avg_p99 >= 0 and avg.groups == p99.count()
+    total = spark.read.parquet(f"{root}/report/rate_total")
+    assert total.agg({"events": "max"}).first()[0] >= 1

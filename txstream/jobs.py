@@ -7,8 +7,10 @@
     python -m txstream.jobs recovery-processor --root R [--start latest]
     python -m txstream.jobs load-test         --root R [--rows-per-second 1000]
                                               [--payload-size 100] [--parallelism 1]
+    python -m txstream.jobs load-report       --root R     (batch: rates and p99 tables)
 
-Every job keeps its own checkpoint under ``R/_checkpoints``; ``--trigger``
+Every job keeps its own checkpoint under ``R/_checkpoints`` (or under
+``--checkpoint-root``); ``--trigger``
 sets the micro-batch interval (default 1 second), ``--available-now`` processes
 what is there and stops, ``--max-records N`` stops a generator after N rows.
 Each job only wires arguments to the library functions.
@@ -30,8 +32,9 @@ from txstream.sources.generators import generate_stream
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="txstream.jobs")
     p.add_argument("job", choices=["generate", "log-to-topic", "process", "recovery-producer",
-                                   "recovery-processor", "load-test"])
+                                   "recovery-processor", "load-test", "load-report"])
     p.add_argument("--root", required=True, help="folder of the job's tables")
+    p.add_argument("--checkpoint-root", help="folder for the chain's checkpoints")
     p.add_argument("--trigger", default="1 second")
     p.add_argument("--available-now", action="store_true")
     p.add_argument("--rows-per-second", type=int)
@@ -57,6 +60,8 @@ def _bounded(stream, max_records):
 def writers(spark: SparkSession, args) -> list:
     root = args.root
     paths = ChainPaths.under(root)
+    if args.checkpoint_root:
+        paths.checkpoints = args.checkpoint_root
     kafka = ({"kafka.bootstrap.servers": args.kafka_bootstrap_servers}
              if args.kafka_bootstrap_servers else None)
     if args.job == "generate":
@@ -79,9 +84,29 @@ def writers(spark: SparkSession, args) -> list:
     return [writer, reader()]
 
 
+def load_report(spark: SparkSession, root: str, window: str = "1 minute",
+                slide: str = "5 seconds", window_seconds: int = 60) -> None:
+    """The load test's four dashboard figures, written as tables under ``root/report``:
+    per-partition rate, total rate, p99 lag per partition and its average."""
+    from txstream.operators import metrics
+    samples = load.read_samples(spark, root)
+    out = f"{root}/report"
+    metrics.rate_sliding(samples, "partition", "processed_at", window, slide, window_seconds) \
+        .write.mode("overwrite").parquet(f"{out}/rate")
+    metrics.rate_total(samples, "processed_at", window, slide, window_seconds) \
+        .write.mode("overwrite").parquet(f"{out}/rate_total")
+    metrics.lag_p99(samples, "partition", "processed_at").write.mode("overwrite") \
+        .parquet(f"{out}/lag_p99")
+    metrics.lag_p99_avg(samples, "partition", "processed_at").write.mode("overwrite") \
+        .parquet(f"{out}/lag_p99_avg")
+
+
 def run(spark: SparkSession, argv: list[str]) -> list:
     args = _parser().parse_args(argv)
     checkpoint_root(spark)
+    if args.job == "load-report":
+        load_report(spark, args.root)
+        return []
     started = []
     for w in writers(spark, args):
         w = w.trigger(availableNow=True) if args.available_now \

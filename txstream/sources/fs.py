@@ -45,3 +45,8 @@ def delete(spark: SparkSession, path: str) -> bool:
 def modification_ms(spark: SparkSession, path: str) -> int:
     fs, p = _fs_path(spark, path)
     return int(fs.getFileStatus(p).getModificationTime())
+
+
+def mkdirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.mkdirs(p)

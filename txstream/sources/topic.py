@@ -19,7 +19,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from txstream.functions.partitioning import partition_of
 from txstream.sources import groups
-from txstream.sources.fs import path_exists
+from txstream.sources.fs import mkdirs, path_exists
 
 create_group = groups.create_group
 
@@ -71,6 +71,8 @@ def scan(spark: SparkSession, topic: str, record: T.StructType, group: str | Non
     else:
         if group is None:
             raise ValueError("a streaming scan needs a consumer group (checkpoint folder)")
+        if not path_exists(spark, topic):
+            mkdirs(spark, topic)           # subscribing before the first write is fine
         groups.create_group(spark, topic, group, start)
         reader = spark.readStream.schema(schema)
         if max_files_per_trigger:
