@@ -84,11 +84,14 @@ def writers(spark: SparkSession, args) -> list:
     return [writer, reader()]
 
 
-def load_report(spark: SparkSession, root: str, window: str = "1 minute",
-                slide: str = "5 seconds", window_seconds: int = 60) -> None:
+def load_report(spark: SparkSession, root: str, window: str | None = None,
+                slide: str | None = None, window_seconds: int | None = None) -> None:
     """The load test's four dashboard figures, written as tables under ``root/report``:
     per-partition rate, total rate, p99 lag per partition and its average."""
     from txstream.operators import metrics
+    window = window or metrics.RATE_WINDOW
+    slide = slide or metrics.RATE_STEP
+    window_seconds = window_seconds or metrics.RATE_WINDOW_SECONDS
     samples = load.read_samples(spark, root)
     out = f"{root}/report"
     metrics.rate_sliding(samples, "partition", "processed_at", window, slide, window_seconds) \

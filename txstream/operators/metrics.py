@@ -20,9 +20,11 @@ from txstream.functions.clock import event_time
 from txstream.operators.ordering import keyed_positions
 from txstream.session import ship_package
 
-# The quantiles a sample histogram reports.
+# The quantiles a sample histogram reports, its ring-buffer size,
+# and the dashboard's rate window and sampling step.
 HISTOGRAM_QUANTILES = (0.5, 0.75, 0.95, 0.98, 0.99, 0.999)
 RING_BUFFER_SIZE = 1000
+RATE_WINDOW, RATE_STEP, RATE_WINDOW_SECONDS = "1 minute", "5 seconds", 60
 
 
 def event_counter(df: DataFrame, by: str = "partition") -> DataFrame:
@@ -155,8 +157,8 @@ def _window_cols(window_seconds: int):
 
 
 def rate_sliding(df: DataFrame, by: str = "partition", time_ms: str = "timestamp",
-                 window: str = "1 minute", slide: str = "5 seconds",
-                 window_seconds: int = 60) -> DataFrame:
+                 window: str = RATE_WINDOW, slide: str = RATE_STEP,
+                 window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
     """Events per second per group over sliding windows (count / window length).
 
     Plain count divided by the window length -- no extrapolation at the edges.
@@ -167,8 +169,8 @@ def rate_sliding(df: DataFrame, by: str = "partition", time_ms: str = "timestamp
                       (F.col("events") / F.lit(float(window_seconds))).alias("rate_per_sec")))
 
 
-def rate_total(df: DataFrame, time_ms: str = "timestamp", window: str = "1 minute",
-               slide: str = "5 seconds", window_seconds: int = 60) -> DataFrame:
+def rate_total(df: DataFrame, time_ms: str = "timestamp", window: str = RATE_WINDOW,
+               slide: str = RATE_STEP, window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
     """Sum over groups of :func:`rate_sliding`: one window aggregation, no per-group step."""
     return (df.groupBy(F.window(event_time(time_ms), window, slide))
               .agg(F.count(F.lit(1)).alias("events"))
@@ -177,8 +179,8 @@ def rate_total(df: DataFrame, time_ms: str = "timestamp", window: str = "1 minut
 
 
 def rate_sliding_stream(stream: DataFrame, by: str | None = "partition",
-                        time_ms: str = "timestamp", window: str = "1 minute",
-                        slide: str = "5 seconds", window_seconds: int = 60,
+                        time_ms: str = "timestamp", window: str = RATE_WINDOW,
+                        slide: str = RATE_STEP, window_seconds: int = RATE_WINDOW_SECONDS,
                         watermark: str = "1 minute") -> DataFrame:
     """Streaming form of :func:`rate_sliding` (``by=None`` gives :func:`rate_total`).
 
