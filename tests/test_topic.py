@@ -95,17 +95,19 @@ def test_latest_group_prunes_old_files_before_reading(spark, scratch):
     topic, group = f"{root}/topic", f"{root}/group"
     tx = fx.transactions(spark, SF_SMALL)
     topics.append(tx, topic, "accountId")
-    topics.create_group(spark, topic, group, start="latest")
+    # with no slack, files older than the group are not opened at all
+    topics.create_group(spark, topic, group, start="latest", commit_slack_ms=0)
     topics.append(tx.limit(3), topic, "accountId")
     s = topics.scan(spark, topic, REC, group=group, start="latest")
-    # with no slack, files older than the group are not opened at all
     from txstream.sources import groups
     raw = spark.readStream.schema(topics.topic_schema(REC)).parquet(topic)
-    pruned = groups.skip_group_start(spark, raw, group, commit_slack_ms=0)
+    pruned = groups.skip_group_start(spark, raw, group)
     q = run_available_now(pruned.writeStream.format("noop")
                           .option("checkpointLocation", f"{root}/ck_noop"))
     assert sum(p.numInputRows for p in q.recentProgress) == 3
     assert _drain(spark, s, root, "o").count() == 3
+    # the group's file list holds only files younger than creation minus slack
+    assert spark.read.parquet(groups.start_marker(group)).count() == 0
 
 
 def test_kafka_format_is_wired_to_sparks_connector(spark, scratch):
