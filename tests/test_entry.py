@@ -29,3 +29,18 @@ def test_workers_import_the_package_from_any_directory(tmp_path):
     out = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True,
                          text=True, timeout=600)
     assert "ROWS 1000" in out.stdout, out.stderr[-2000:]
+
+
+def test_cleanup_scratch_only_removes_old_folders(spark, scratch):
+    import os
+    import time
+    from txstream.session import cleanup_scratch
+    root = scratch("cleanup-root")
+    os.makedirs(f"{root}/old-a/x")
+    os.makedirs(f"{root}/old-b")
+    past = time.time() - 7200
+    for d in ("old-a", "old-b"):
+        os.utime(f"{root}/{d}", (past, past))
+    os.makedirs(f"{root}/new-c")
+    assert cleanup_scratch(spark, 3600, root=root) == 2
+    assert sorted(os.listdir(root)) == ["new-c"]

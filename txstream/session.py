@@ -108,3 +108,30 @@ def ship_package(spark: SparkSession) -> None:
     target.write_bytes(buf.getvalue())
     sc.addPyFile(str(target))
     _SHIPPED.add(sc.applicationId)
+
+
+def cleanup_scratch(spark: SparkSession, older_than_s: float, root: str | None = None) -> int:
+    """Delete this library's scratch folders older than ``older_than_s`` seconds.
+
+    Only direct children of ``<spark.checkpoint.dir>/txstream-scratch`` (or of
+    ``root``) are considered; the age is their modification time by the file
+    system's clock compared with a fresh marker's.  Returns how many were deleted.
+    Call it between jobs: a folder still read by a live query must be younger.
+    """
+    base = root or f"{checkpoint_root(spark)}/txstream-scratch"
+    sc = spark.sparkContext
+    jvm = sc._jvm
+    fs_path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = fs_path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(fs_path):
+        return 0
+    probe = jvm.org.apache.hadoop.fs.Path(f"{base}/.clock-{uuid.uuid4().hex}")
+    fs.create(probe, True).close()
+    now_ms = fs.getFileStatus(probe).getModificationTime()
+    fs.delete(probe, False)
+    deleted = 0
+    for st in fs.listStatus(fs_path):
+        if st.isDirectory() and now_ms - st.getModificationTime() > older_than_s * 1000:
+            fs.delete(st.getPath(), True)
+            deleted += 1
+    return deleted
