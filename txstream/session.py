@@ -9,6 +9,7 @@ tests, a laptop -- does the library pick a local folder and register it.
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -81,33 +82,48 @@ def materialize(df, name: str):
 
 
 _SHIPPED: set[str] = set()
+_SHIP_LOCK = threading.Lock()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Make ``txstream`` importable in Python workers (as ``--py-files`` would).
 
     Arrow-batched pandas stages pickle functions that live in this package, so
-    the workers must import it.  The package is zipped once per application and
-    added with ``addPyFile``; Spark distributes it with the job's other files.
+    the workers must import it.  The package is zipped once per application
+    (one file per content digest) and added with ``addPyFile``; Spark
+    distributes it with the job's other files.  Safe to call from many threads.
     """
     import hashlib
     import io
+    import os
     import zipfile
     from pathlib import Path
 
     sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    pkg = Path(__file__).resolve().parent
-    buf = io.BytesIO()
-    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
-        for f in sorted(pkg.rglob("*.py")):
-            z.write(f, str(f.relative_to(pkg.parent)))
-    digest = hashlib.sha1(buf.getvalue()).hexdigest()[:12]
-    target = Path(tempfile.mkdtemp(prefix="txstream-pyfiles-")) / f"txstream-{digest}.zip"
-    target.write_bytes(buf.getvalue())
-    sc.addPyFile(str(target))
-    _SHIPPED.add(sc.applicationId)
+    with _SHIP_LOCK:
+        if sc.applicationId in _SHIPPED:
+            return
+        pkg = Path(__file__).resolve().parent
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+            for f in sorted(pkg.rglob("*.py")):
+                info = zipfile.ZipInfo(str(f.relative_to(pkg.parent)), (2020, 1, 1, 0, 0, 0))
+                z.writestr(info, f.read_bytes())
+        data = buf.getvalue()
+        digest = hashlib.sha1(data).hexdigest()[:12]
+        folder = Path(tempfile.gettempdir()) / f"txstream-pyfiles-{digest}"
+        folder.mkdir(parents=True, exist_ok=True)
+        target = folder / f"txstream-{digest}.zip"
+        if not target.exists():
+            tmp = folder / f".{uuid.uuid4().hex}.zip"
+            tmp.write_bytes(data)
+            os.replace(tmp, target)
+        try:
+            sc.addPyFile(str(target))
+        except Exception as e:  # noqa: BLE001 - the same file added before is fine
+            if "already" not in str(e).lower():
+                raise
+        _SHIPPED.add(sc.applicationId)
 
 
 def cleanup_scratch(spark: SparkSession, older_than_s: float, root: str | None = None) -> int:
