@@ -56,3 +56,38 @@ def test_keyed_positions_match_brute_force(spark, rows, parts):
         pdf["seq"] = pdf.groupby("k").cumcount() + 1
         want = dict(zip(pdf.event_id, pdf.seq))
     assert got == want
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.tuples(st.integers(0, 2), st.integers(0, 1000)), min_size=1,
+                       max_size=120),
+       n=st.integers(1, 12), extra=st.integers(0, 20), parts=st.integers(1, 5))
+def test_rolling_quantile_matches_brute_force(spark, values, n, extra, parts):
+    import numpy as np
+    from txstream.operators.metrics import rolling_quantile
+    rows = [(i, g, v) for i, (g, v) in enumerate(values)]
+    df = spark.createDataFrame(rows, "event_id long, grp long, v long")
+    got = {r.event_id: r.q for r in rolling_quantile(df, "grp", "event_id", "v", q=0.9, n=n,
+                                                     out="q", chunk_rows=n + extra,
+                                                     num_partitions=parts).collect()}
+    want = {}
+    for g in {g for _, g, _ in rows}:
+        seq = [(i, v) for i, gg, v in rows if gg == g]
+        for k, (i, _) in enumerate(seq):
+            window = [v for _, v in seq[max(0, k - n + 1):k + 1]]
+            want[i] = float(np.percentile(window, 90))
+    assert got.keys() == want.keys()
+    assert all(abs(got[i] - want[i]) < 1e-9 for i in want)
+
+
+@SETTINGS
+@given(ids=st.lists(st.integers(-40, 40), min_size=0, max_size=40),
+       width=st.integers(1, 9))
+def test_gaps_match_brute_force(spark, ids, width):
+    from txstream.operators.audit import audit_gaps
+    df = spark.createDataFrame([(i,) for i in ids], "id long")
+    got = sorted(tuple(r) for r in audit_gaps(df, bucket_width=width).collect())
+    u = sorted(set(ids))
+    want = sorted((a + 1, b - 1, b - a - 1) for a, b in zip(u, u[1:]) if b - a > 1)
+    assert got == want
