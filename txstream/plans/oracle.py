@@ -99,6 +99,9 @@ ORACLE: dict[str, str] = {
                    f"{SEQ_LINE} as line from {SEQ} c",
     "keyed_order": f"select event_id, accountId, timestamp, row_number() over "
                    f"(partition by accountId order by timestamp, event_id) as seq from {TX} t",
+    "keyed_order_streamed": f"select event_id, accountId, timestamp, row_number() over "
+                            f"(partition by accountId order by timestamp, event_id) as seq "
+                            f"from {TX} t",
     "topic_partition_counts": f"select {PART} as partition, count(*) as records, "
                               f"count(distinct accountId) as keys from {TX} t group by 1",
     "topic_round_trip": f"select *, {PART} as partition from {TX} t",
@@ -115,6 +118,7 @@ ORACLE: dict[str, str] = {
                            f"(epoch_us(ts) // 1000) || ', payload=' || event_id || ')' as line "
                            f"from events",
     "event_counter": f"select partition, count(*) as events from {LAG} l group by partition",
+    "event_counter_observed": "select count(*) as events from events",
     "lag_histogram": _hist("linear"),
     "lag_histogram_n_plus_1": _hist("n_plus_1"),
     "lag_histogram_streamed": _hist("linear"),

@@ -30,7 +30,7 @@ from txstream.sources import log as logsrc
 from txstream.sources import topic as topics
 from txstream.streaming.metrics_sink import histogram_writer, latest_histogram
 from txstream.streaming.runner import run_available_now
-from txstream.streaming.sinks import process_batch, text_writer
+from txstream.streaming.sinks import keyed_batch_writer, noop_writer, process_batch, text_writer
 
 TX_EID = schemas.with_fields(schemas.TRANSACTION, T.StructField("event_id", T.LongType()))
 ROUND = 6  # doubles are compared at 6 decimals
@@ -130,6 +130,23 @@ def keyed_order_q(spark, sf):
         .select("event_id", "accountId", "timestamp", "seq")
 
 
+def keyed_order_streamed(spark, sf):
+    """D1 on a stream: every micro-batch is handed over ordered per account
+    (``keyed_batch_writer``) and numbered; one batch holds the whole table."""
+    root = scratch_path(spark, "keyed_stream")
+    out = f"{root}/out"
+
+    def number(batch, batch_id):
+        keyed_positions(batch, ["accountId"], ["timestamp", "event_id"], "seq") \
+            .select("event_id", "accountId", "timestamp", "seq") \
+            .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    tx = fx.transactions_from_events(fx.events_stream(spark, sf))
+    run_available_now(keyed_batch_writer(tx, ["accountId"], ["timestamp", "event_id"], number,
+                                         f"{root}/_ck"))
+    return spark.read.parquet(out).drop("batch")
+
+
 def topic_partition_counts(spark, sf):
     root = scratch_path(spark, "topic_counts")
     topics.append(fx.transactions(spark, sf), f"{root}/topic", "accountId")
@@ -256,6 +273,17 @@ def event_counter(spark, sf):
     return metrics.event_counter(fx.lag_samples(spark, sf), "partition")
 
 
+def event_counter_observed(spark, sf):
+    """E1 as a metric: a running count observed on the events stream (noop sink),
+    read back from the query's progress as a one-row frame."""
+    root = scratch_path(spark, "observed")
+    s = metrics.observe_counter(fx.events_stream(spark, sf), "event_counter")
+    q = run_available_now(noop_writer(s, f"{root}/_ck"))
+    total = sum(int(p.observedMetrics["event_counter"]["events"]) for p in q.recentProgress
+                if "event_counter" in p.observedMetrics)
+    return spark.createDataFrame([(total,)], "events long")
+
+
 def _round(df: DataFrame, cols) -> DataFrame:
     return df.select(*[F.round(c, ROUND).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
@@ -393,6 +421,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "decode_quarantine": decode_quarantine,
     "row_to_line": row_to_line_q,
     "keyed_order": keyed_order_q,
+    "keyed_order_streamed": keyed_order_streamed,
     "topic_partition_counts": topic_partition_counts,
     "topic_round_trip": topic_round_trip,
     "topic_scan_all": topic_scan_all,
@@ -404,6 +433,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chain_small_batches_compacted": chain_small_batches_compacted,
     "bucketed_text_lines": bucketed_text_lines,
     "event_counter": event_counter,
+    "event_counter_observed": event_counter_observed,
     "lag_histogram": lag_histogram,
     "lag_histogram_n_plus_1": lag_histogram_n_plus_1,
     "lag_histogram_streamed": lag_histogram_streamed,
