@@ -85,9 +85,12 @@ def run_chain(spark: SparkSession, transactions: DataFrame, root: str | None = N
               start: str = "earliest") -> ChainPaths:
     """Run the three stages to completion, one after the other."""
     paths = ChainPaths.under(root or scratch_path(spark, "chain"))
-    run_available_now(log_stage(transactions, paths))
-    run_all_available_now(topic_stage(spark, paths))   # two readers of one log
-    run_available_now(process_stage(spark, paths, start=start))
+    tag = paths.log.rstrip("/").split("/")[-2][-12:]   # names show up in progress and logs
+    run_available_now(log_stage(transactions, paths).queryName(f"log-{tag}"))
+    to_topic, to_quarantine = topic_stage(spark, paths)   # two readers of one log
+    run_all_available_now([to_topic.queryName(f"topic-{tag}"),
+                           to_quarantine.queryName(f"quarantine-{tag}")])
+    run_available_now(process_stage(spark, paths, start=start).queryName(f"process-{tag}"))
     return paths
 
 
