@@ -47,7 +47,8 @@ def test_stream_equals_batch_for_chain(spark):
     assert docs.exceptAll(want_docs.select(*docs.columns)).count() == 0
     dl = spark.read.parquet(paths.dead_letters)
     assert sorted(r.event_id for r in dl.collect()) == sorted(r.event_id for r in dead.collect())
-    assert spark.read.parquet(paths.quarantine).count() == 0
+    from txstream.plans.chain import read_quarantine
+    assert read_quarantine(spark, paths).count() == 0
     # restart on the same checkpoint processes nothing again
     run_available_now(process_stage(spark, paths))
     assert spark.read.parquet(paths.documents).count() == docs.count()
@@ -61,12 +62,11 @@ def test_chain_quarantines_bad_log_records(spark, scratch):
             (4, b"7", b'{"accountId":7}')]
     spark.createDataFrame(rows, "event_id long, key binary, value binary") \
         .write.parquet(paths.log)
-    from txstream.plans.chain import topic_stage
-    to_topic, to_q = topic_stage(spark, paths)
-    run_available_now(to_topic)
-    run_available_now(to_q)
+    from txstream.plans.chain import read_quarantine, topic_stage
+    run_available_now(topic_stage(spark, paths))
     run_available_now(process_stage(spark, paths))
-    assert sorted(r.event_id for r in spark.read.parquet(paths.quarantine).collect()) == [2, 3]
+    q = {r.event_id: r.value for r in read_quarantine(spark, paths).collect()}
+    assert sorted(q) == [2, 3] and q[2] == "junk"
     assert [r._id for r in spark.read.parquet(paths.documents).collect()] == [1]
     assert [r.event_id for r in spark.read.parquet(paths.dead_letters).collect()] == [4]
 
@@ -170,8 +170,7 @@ def test_process_stage_with_small_batches_and_compaction(spark):
     from txstream.operators.documents import latest_base, read_documents
     tx_stream = fx.transactions_from_events(fx.events_stream(spark, SF_SMALL))
     paths = run_chain(spark, tx_stream)
-    again = ChainPaths(paths.log, paths.topic, paths.quarantine, paths.documents + "2",
-                       paths.dead_letters + "2", paths.checkpoints + "2")
+    again = paths.with_outputs("2")
     q = run_available_now(process_stage(spark, again, max_files_per_trigger=1, compact_every=2))
     batches = [p for p in q.recentProgress if p.numInputRows > 0]
     assert len(batches) >= 3

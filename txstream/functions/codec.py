@@ -24,6 +24,25 @@ def to_log_record(df: DataFrame, key: str = "accountId",
                      encode_json(*fields).cast("binary").alias("value"))
 
 
+BAD = "_bad"
+
+
+def parse_json(df: DataFrame, schema: T.StructType, value: str = "value",
+               keep=()) -> DataFrame:
+    """One parse of JSON text: ``keep`` columns, the raw ``value``, the fields of
+    ``schema`` and a boolean ``_bad`` flag (see :func:`decode_json`)."""
+    text = F.col(value).cast("string")
+    parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
+    parsed_struct = F.from_json(text, parse_schema, {"mode": "PERMISSIVE",
+                                                     "columnNameOfCorruptRecord": CORRUPT})
+    # ``inline`` of a one-element array is a plan barrier: filters on the flag
+    # cannot be pushed under it, which would inline the parser into the filter
+    # and parse every record twice.
+    parsed = df.select(*_cols(keep), text.alias(value), F.inline(F.array(parsed_struct)))
+    bad = (F.col(CORRUPT).isNotNull() | F.col(value).isNull() | (F.trim(F.col(value)) == ""))
+    return parsed.withColumn(BAD, bad).drop(CORRUPT)
+
+
 def decode_json(df: DataFrame, schema: T.StructType, value: str = "value",
                 keep=()) -> tuple[DataFrame, DataFrame]:
     """Decode JSON text into ``schema``; return ``(decoded, quarantine)``.
@@ -34,17 +53,10 @@ def decode_json(df: DataFrame, schema: T.StructType, value: str = "value",
     fields are ignored.  Both outputs come from one parse of the input; the
     caller can persist or ``foreachBatch`` over it to avoid a second parse.
     """
-    text = F.col(value).cast("string")
-    parse_schema = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
-    parsed_struct = F.from_json(text, parse_schema, {"mode": "PERMISSIVE",
-                                                     "columnNameOfCorruptRecord": CORRUPT})
-    # ``inline`` of a one-element array is a plan barrier: the filters below
-    # cannot be pushed under it, which would inline the parser into the filter
-    # and parse every record twice.
-    parsed = df.select(*_cols(keep), text.alias(value), F.inline(F.array(parsed_struct)))
-    bad = (F.col(CORRUPT).isNotNull() | F.col(value).isNull() | (F.trim(F.col(value)) == ""))
-    decoded = parsed.filter(~bad).select(*_cols(keep), *[F.col(f.name) for f in schema.fields])
-    quarantine = parsed.filter(bad).select(*_cols(keep), F.col(value))
+    parsed = parse_json(df, schema, value, keep)
+    decoded = parsed.filter(~F.col(BAD)).select(*_cols(keep),
+                                                *[F.col(f.name) for f in schema.fields])
+    quarantine = parsed.filter(F.col(BAD)).select(*_cols(keep), F.col(value))
     return decoded, quarantine
 
 

@@ -68,7 +68,7 @@ def writers(spark: SparkSession, args) -> list:
         s = generate_stream(spark, "transactions", args.rows_per_second, args.parallelism)
         return [log_stage(_bounded(s, args.max_records), paths, args.log_format, kafka)]
     if args.job == "log-to-topic":
-        return list(topic_stage(spark, paths, args.partitions))
+        return [topic_stage(spark, paths, args.partitions)]
     if args.job == "process":
         return [process_stage(spark, paths, start=args.start, num_partitions=args.partitions,
                               compact_every=args.compact_every)]

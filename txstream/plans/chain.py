@@ -5,7 +5,8 @@ each with its own checkpoint:
 
 1. ``log_stage``     transactions -> keyed JSON log records (file log or kafka)
 2. ``topic_stage``   log (from earliest) -> decode -> keyed topic, 4 partitions;
-                     undecodable records -> quarantine table
+                     undecodable records -> the topic's reserved partition -1
+                     (one parse, one exactly-once file sink; readers prune it)
 3. ``process_stage`` topic (a consumer group) -> route -> enrich -> documents
                      (insert once) + dead-letter topic, in ``foreachBatch``
 
@@ -16,16 +17,17 @@ enrichment are narrow.  ``availableNow`` runs them to completion in sequence
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from txstream import schemas
-from txstream.functions.codec import to_log_record
+from txstream.functions.codec import BAD, parse_json, to_log_record
+from txstream.functions.partitioning import partition_of
 from txstream.session import scratch_path
 from txstream.sources import log as logsrc
 from txstream.sources import topic as topics
-from txstream.streaming.runner import run_all_available_now, run_available_now
+from txstream.streaming.runner import run_available_now
 from txstream.streaming.sinks import process_writer
 
 
@@ -33,16 +35,21 @@ from txstream.streaming.sinks import process_writer
 class ChainPaths:
     log: str
     topic: str
-    quarantine: str
     documents: str
     dead_letters: str
     checkpoints: str
 
     @classmethod
     def under(cls, root: str) -> "ChainPaths":
-        return cls(f"{root}/log", f"{root}/topic", f"{root}/quarantine", f"{root}/documents",
+        return cls(f"{root}/log", f"{root}/topic", f"{root}/documents",
                    f"{root}/dead_letters", f"{root}/_checkpoints")
 
+    def with_outputs(self, suffix: str) -> "ChainPaths":
+        """Same log and topic, separate documents, dead letters and checkpoints."""
+        return replace(self, documents=self.documents + suffix,
+                       dead_letters=self.dead_letters + suffix,
+                       checkpoints=self.checkpoints + suffix)
+
 
 def log_stage(transactions: DataFrame, paths: ChainPaths, fmt: str = "parquet",
               kafka_options: dict | None = None):
@@ -59,14 +66,31 @@ def log_stage(transactions: DataFrame, paths: ChainPaths, fmt: str = "parquet",
 
 def topic_stage(spark: SparkSession, paths: ChainPaths,
                 num_partitions: int = topics.DEFAULT_PARTITIONS):
-    """Stage 2 writers: decoded records -> topic; undecodable ones -> quarantine."""
+    """Stage 2 writer: every log record is parsed once; decoded records go to
+    their key's partition, undecodable ones (raw text kept in ``value``) to the
+    reserved quarantine partition of the same topic.  One exactly-once sink."""
     log = logsrc.read_log(spark, paths.log, extra_fields=[T.StructField("event_id", T.LongType())])
-    good, bad = logsrc.scan_values(log, schemas.TRANSACTION, keep=["event_id"])
-    to_topic = topics.topic_writer(good, paths.topic, "accountId", f"{paths.checkpoints}/topic",
-                                   num_partitions)
-    to_quarantine = (bad.writeStream.format("parquet").option("path", paths.quarantine)
-                     .option("checkpointLocation", f"{paths.checkpoints}/quarantine"))
-    return to_topic, to_quarantine
+    parsed = parse_json(log.withColumn("value", F.col("value").cast("string")),
+                        schemas.TRANSACTION, "value", keep=["event_id"])
+    bad = F.col(BAD)
+    fields = [F.when(~bad, F.col(f.name)).alias(f.name) for f in schemas.TRANSACTION.fields]
+    out = parsed.select(*fields, "event_id", F.when(bad, F.col("value")).alias("value"),
+                        F.when(bad, F.lit(topics.QUARANTINE_PARTITION).cast("bigint"))
+                         .otherwise(partition_of("accountId", num_partitions))
+                         .alias(topics.PARTITION))
+    return (out.writeStream.format("parquet").partitionBy(topics.PARTITION)
+            .option("path", paths.topic)
+            .option("checkpointLocation", f"{paths.checkpoints}/topic"))
+
+
+def read_quarantine(spark: SparkSession, paths: ChainPaths) -> DataFrame:
+    """Records the topic stage could not decode: ``event_id`` and raw ``value``."""
+    schema = T.StructType([T.StructField("event_id", T.LongType()),
+                           T.StructField("value", T.StringType()),
+                           T.StructField(topics.PARTITION, T.LongType())])
+    return (spark.read.schema(schema).parquet(paths.topic)
+            .filter(F.col(topics.PARTITION) == topics.QUARANTINE_PARTITION)
+            .select("event_id", "value"))
 
 
 def process_stage(spark: SparkSession, paths: ChainPaths, start: str = "earliest",
@@ -87,9 +111,7 @@ def run_chain(spark: SparkSession, transactions: DataFrame, root: str | None = N
     paths = ChainPaths.under(root or scratch_path(spark, "chain"))
     tag = paths.log.rstrip("/").split("/")[-2][-12:]   # names show up in progress and logs
     run_available_now(log_stage(transactions, paths).queryName(f"log-{tag}"))
-    to_topic, to_quarantine = topic_stage(spark, paths)   # two readers of one log
-    run_all_available_now([to_topic.queryName(f"topic-{tag}"),
-                           to_quarantine.queryName(f"quarantine-{tag}")])
+    run_available_now(topic_stage(spark, paths).queryName(f"topic-{tag}"))
     run_available_now(process_stage(spark, paths, start=start).queryName(f"process-{tag}"))
     return paths
 
@@ -111,8 +133,6 @@ def start_chain(spark: SparkSession, transactions: DataFrame, root: str,
             .trigger(processingTime=trigger_interval).start()
 
     queries = {"log": go(log_stage(transactions, paths, fmt, kafka_options), "log")}
-    to_topic, to_quarantine = topic_stage(spark, paths)
-    queries["topic"] = go(to_topic, "topic")
-    queries["quarantine"] = go(to_quarantine, "quarantine")
+    queries["topic"] = go(topic_stage(spark, paths), "topic")
     queries["process"] = go(process_stage(spark, paths, start=start), "process")
     return queries

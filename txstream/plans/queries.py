@@ -251,8 +251,7 @@ def chain_small_batches_compacted(spark, sf):
     same rows as with one large batch."""
     tx = fx.transactions_from_events(fx.events_stream(spark, sf))
     paths = run_chain(spark, tx)
-    small = ChainPaths(paths.log, paths.topic, paths.quarantine, paths.documents + "_small",
-                       paths.dead_letters + "_small", paths.checkpoints + "_small")
+    small = paths.with_outputs("_small")
     run_available_now(process_stage(spark, small, max_files_per_trigger=1, compact_every=2))
     return _chain_output(spark, small)
 

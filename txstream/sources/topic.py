@@ -25,6 +25,7 @@ create_group = groups.create_group
 
 PARTITION = "partition"
 DEFAULT_PARTITIONS = 4  # fixed value: partition count of the main and dead-letter topics
+QUARANTINE_PARTITION = -1   # reserved partition for records that could not be decoded
 
 
 def assign_partition(df: DataFrame, key: str, num_partitions: int = DEFAULT_PARTITIONS) -> DataFrame:
@@ -61,7 +62,8 @@ def scan(spark: SparkSession, topic: str, record: T.StructType, group: str | Non
          max_bytes_per_trigger: str | None = None) -> DataFrame:
     """Read a topic; rows carry their ``partition``.
 
-    ``partitions`` restricts the read to some partitions (pruned at listing).
+    ``partitions`` restricts the read to some partitions (pruned at listing);
+    by default the reserved quarantine partition is skipped the same way.
     For streams ``group`` is required and names the checkpoint folder to use;
     ``max_files_per_trigger`` / ``max_bytes_per_trigger`` bound a micro-batch.
     """
@@ -84,4 +86,6 @@ def scan(spark: SparkSession, topic: str, record: T.StructType, group: str | Non
             df = groups.skip_group_start(spark, df, group)
     if partitions is not None:
         df = df.filter(F.col(PARTITION).isin(list(partitions)))
+    else:
+        df = df.filter(F.col(PARTITION) >= 0)
     return df
