@@ -314,3 +314,16 @@ def test_text_sink_spreads_a_hot_bucket(spark, scratch):
     lines = spark.read.schema("value string, bucket string").text(f"{root}/lines")
     assert lines.count() == 3000
     assert lines.filter("bucket = '2024-01-01--00'").count() == 1000
+
+
+def test_run_all_available_now_runs_independent_queries(spark, scratch):
+    from txstream.streaming.runner import run_all_available_now
+    root = scratch("many")
+    s = fx.transactions_from_events(fx.events_stream(spark, SF_SMALL))
+    writers = [s.filter(cond).writeStream.format("parquet").option("path", f"{root}/o{i}")
+               .option("checkpointLocation", f"{root}/ck{i}")
+               for i, cond in enumerate(["amount > 0", "amount <= 0 or amount is null"])]
+    qs = run_all_available_now(writers)
+    assert all(not q.isActive for q in qs)
+    n = fx.table(spark, SF_SMALL, "events").count()
+    assert spark.read.parquet(f"{root}/o0").count() + spark.read.parquet(f"{root}/o1").count() == n
