@@ -36,3 +36,15 @@ def test_load_test_and_report(spark, scratch):
     assert avg.avg_p99 >= 0 and avg.groups == p99.count()
     total = spark.read.parquet(f"{root}/report/rate_total")
     assert total.agg({"events": "max"}).first()[0] >= 1
+
+
+def test_checkpoint_root_moves_the_checkpoints(spark, scratch):
+    import os
+    root, ck = scratch("jobs"), scratch("ck")
+    jobs.run(spark, ["generate", "--root", root, "--checkpoint-root", ck,
+                     "--rows-per-second", "20", "--max-records", "10",
+                     "--trigger", "500 milliseconds"])
+    jobs.run(spark, ["log-to-topic", "--root", root, "--checkpoint-root", ck, "--available-now"])
+    assert os.path.isdir(f"{ck}/log/offsets") and os.path.isdir(f"{ck}/topic/offsets")
+    assert not os.path.exists(f"{root}/_checkpoints")
+    assert spark.read.parquet(f"{root}/topic").filter("partition >= 0").count() == 10
