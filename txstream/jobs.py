@@ -19,13 +19,18 @@ Each job only wires arguments to the library functions.
 from __future__ import annotations
 
 import argparse
+import sys
 import time
+from pathlib import Path
+
+if __package__ in (None, ""):        # run as a script: make the package importable
+    sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from pyspark.sql import SparkSession, functions as F
 
 from txstream.plans import load, recovery
 from txstream.plans.chain import ChainPaths, log_stage, process_stage, topic_stage
-from txstream.session import checkpoint_root
+from txstream.session import checkpoint_root, ship_package
 from txstream.sources.generators import generate_stream
 
 
@@ -107,6 +112,7 @@ def load_report(spark: SparkSession, root: str, window: str | None = None,
 def run(spark: SparkSession, argv: list[str]) -> list:
     args = _parser().parse_args(argv)
     checkpoint_root(spark)
+    ship_package(spark)
     if args.job == "load-report":
         load_report(spark, args.root)
         return []
@@ -142,7 +148,6 @@ def _stop_after(q, n: int, others=(), poll_s: float = 0.5) -> None:
 
 
 def main() -> None:
-    import sys
     run(SparkSession.builder.appName("txstream-jobs").getOrCreate(), sys.argv[1:])
 
 
