@@ -23,7 +23,8 @@ from txstream.session import get_session  # noqa: E402
 
 STREAMED = {"topic_round_trip", "topic_scan_all", "topic_scan_latest", "log_scan_earliest",
             "chain_end_to_end", "restart_no_reprocess", "bucketed_text_lines",
-            "rate_sliding_streamed", "load_feedback", "lag_histogram_streamed", "recovery_audit"}
+            "rate_sliding_streamed", "load_feedback", "lag_histogram_streamed", "recovery_audit",
+            "chain_small_batches_compacted", "keyed_order_streamed", "event_counter_observed"}
 WRITTEN = {"topic_partition_counts", "document_insert_once", "keyed_order", "lag_rolling_p99"}
 NODES = ["Exchange hashpartitioning", "Exchange rangepartitioning", "Exchange SinglePartition",
          "Exchange RoundRobinPartitioning", "BroadcastExchange", "BroadcastHashJoin",
@@ -50,11 +51,12 @@ def scans(plan: str) -> str:
     for m in re.finditer(r"FileScan parquet \[[^\]]*\][^\n]*?Location: \w+\(\d+ paths\)\[([^\]]*)\]"
                          r"[^\n]*?PushedFilters: \[([^\]]*)\][^\n]*?ReadSchema: struct<([^>]*)>",
                          plan):
-        where = re.sub(r"-[0-9a-f]{12}$", "", m.group(1).rstrip("/").split("/")[-1])
+        first = m.group(1).split(",")[0].strip().rstrip("/").rstrip(".")
+        where = re.sub(r"-[0-9a-f]{12}$", "", first.split("/")[-1])
         cols = len(m.group(3).split(",")) if m.group(3) else 0
         pushed = m.group(2) or "none"
         out.append(f"{where}: {cols} col(s), pushed: {pushed}")
-    return "; ".join(dict.fromkeys(out)) or "–"
+    return re.sub(r"#\d+", "", "; ".join(dict.fromkeys(out))) or "–"
 
 
 def main():
