@@ -119,3 +119,18 @@ def test_kafka_format_is_wired_to_sparks_connector(spark, scratch):
         read_log(spark, "transactions", fmt="kafka",
                  kafka_options={"kafka.bootstrap.servers": "localhost:9"})
     assert "kafka" in str(err.value).lower()
+
+
+def test_topic_scans_prune_the_quarantine_partition(spark, scratch):
+    from txstream.plans.chain import ChainPaths, read_quarantine, topic_stage
+    root = scratch("q")
+    paths = ChainPaths.under(root)
+    spark.createDataFrame([(1, b"1", b'{"accountId":1,"timestamp":2,"amount":3}'),
+                           (2, b"x", b"{bad")], "event_id long, key binary, value binary") \
+        .write.parquet(paths.log)
+    run_available_now(topic_stage(spark, paths))
+    df = topics.scan(spark, paths.topic, REC, stream=False)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(partition" in plan and ">= 0" in plan
+    assert [r.event_id for r in df.collect()] == [1]
+    assert [(r.event_id, r.value) for r in read_quarantine(spark, paths).collect()] == [(2, "{bad")]
