@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txstream.llm import chat
+from txstream.llm import chat, chosen_path
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -24,8 +24,15 @@ def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digest(chat.prefix_target_examples(rows.unionByName(extra)))
 
 
+def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Five-word shingles, Jaccard 0.8: class and number of links of every document."""
+    return chosen_path.jaccard_join(table(spark, sf, "documents")).select(
+        "doc_id", "class_id", "n_links", "copies")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 
 ORACLE: dict[str, str] = {}
