@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txstream.llm import chat, chosen_path
+from txstream.llm import chat, chosen_path, decontaminate, token_files
+from txstream.session import scratch_path
+
+TOKENIZER, END_ID = "byte_bpe_50k.json", 2
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -24,6 +33,19 @@ def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digest(chat.prefix_target_examples(rows.unionByName(extra)))
 
 
+def op8_huffman_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents as Huffman-coded token files; the digest is read back from them."""
+    folder = scratch_path(spark, "token-files")
+    token_files.write_token_files(table(spark, sf, "documents"), folder, tokenizer_path(), END_ID)
+    return token_files.read_token_files(spark, folder)
+
+
+def op9_winnowing_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Words of all documents inside ten-word windows of benchmark items."""
+    return decontaminate.report(decontaminate.contamination(
+        table(spark, sf, "documents"), table(spark, sf, "benchmark")))
+
+
 def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
     """Five-word shingles, Jaccard 0.8: class and number of links of every document."""
     return chosen_path.jaccard_join(table(spark, sf, "documents")).select(
@@ -32,6 +54,8 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op8_huffman_token_files": op8_huffman_token_files,
+    "op9_winnowing_decontamination": op9_winnowing_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
 }
 
@@ -68,3 +92,31 @@ SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns,
        CAST(max(uses) AS BIGINT) AS n_examples
 FROM x GROUP BY conv_id
 """
+
+_ALNUM_WORDS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+  'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLE["op9_winnowing_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS uid, doc_id, coalesce({_ALNUM_WORDS}, []) AS w
+           FROM documents),
+b AS (SELECT item_id, {_ALNUM_WORDS} AS w FROM benchmark WHERE text IS NOT NULL),
+iw AS (
+  SELECT DISTINCT item_id, l, array_to_string(w[i:i + l - 1], ' ') AS win FROM (
+    SELECT item_id, w, l, unnest(range(1, len(w) - l + 2)) AS i FROM (
+      SELECT item_id, w, least(10, len(w)) AS l FROM b WHERE len(w) > 0))
+), dw AS (
+  SELECT uid, l, i, array_to_string(w[i:i + l - 1], ' ') AS win FROM (
+    SELECT uid, w, l, unnest(range(1, len(w) - l + 2)) AS i
+    FROM d, (SELECT DISTINCT l FROM iw) WHERE len(w) >= l)
+), h AS (SELECT uid, l, i, item_id FROM dw JOIN iw USING (l, win)),
+p AS (SELECT uid, count(DISTINCT x) AS n_hit
+      FROM (SELECT uid, unnest(range(i, i + l)) AS x FROM (SELECT DISTINCT uid, l, i FROM h))
+      GROUP BY uid),
+t AS (SELECT uid, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+      FROM (SELECT DISTINCT uid, CAST(item_id AS VARCHAR) AS id FROM h WHERE item_id IS NOT NULL)
+      GROUP BY uid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN p USING (uid) LEFT JOIN t USING (uid)
+"""
