@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txstream.llm import chat, chosen_path, decontaminate, token_files
+from txstream.llm import chat, chosen_path, decontaminate, mixing, token_files
 from txstream.session import scratch_path
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
@@ -33,6 +33,12 @@ def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digest(chat.prefix_target_examples(rows.unionByName(extra)))
 
 
+def op5_mixing_sources(spark: SparkSession, sf: str) -> DataFrame:
+    """Words the mixture takes of every document, with its source's target."""
+    return mixing.mixture(table(spark, sf, "documents")).select(
+        "doc_id", "source", "size", "source_size", "target", "taken")
+
+
 def op8_huffman_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """All documents as Huffman-coded token files; the digest is read back from them."""
     folder = scratch_path(spark, "token-files")
@@ -54,6 +60,7 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op5_mixing_sources": op5_mixing_sources,
     "op8_huffman_token_files": op8_huffman_token_files,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
@@ -120,3 +127,38 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
        coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN p USING (uid) LEFT JOIN t USING (uid)
 """
+
+ORACLE["op5_mixing_sources"] = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))
+                              AS BIGINT) AS size,
+    CASE WHEN coalesce(length(text), 0) = 0 THEN 1.0::DOUBLE ELSE greatest(0.05::DOUBLE, 1.0::DOUBLE
+      - length(regexp_replace(text, '[\p{L}\x20\x09-\x0D]+', '', 'g'))::DOUBLE / length(text)) END AS q,
+    CAST('0x' || substr(md5('mix:' || coalesce(CAST(doc_id AS VARCHAR),
+         'text ' || md5(coalesce(text, '')))), 1, 13) AS BIGINT) AS bits
+  FROM documents
+), k AS (SELECT *, -ln((bits::DOUBLE + 0.5) / 4503599627370496::DOUBLE) / q AS key FROM d),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, 2.0::DOUBLE * source_size AS cap,
+        CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE
+             WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight FROM s),
+l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER (
+          ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+        / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST
+                            ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+t AS (SELECT source, source_size, coalesce(least(cap, weight * (
+          SELECT arg_min(level, cap / weight) FROM l WHERE level <= cap / weight)), cap) AS target FROM l),
+b AS (SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target / source_size) AS BIGINT) ELSE 1 END
+        AS epochs FROM t),
+f AS (
+  SELECT k.*, source_size, target, epochs,
+    CASE WHEN source_size > 0 THEN target - epochs * source_size ELSE 0 END AS budget,
+    sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id NULLS LAST, size
+                    RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS upto,
+    sum(size) OVER (PARTITION BY k.source, key, doc_id, size) AS grp
+  FROM k JOIN b ON k.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, source, size, source_size, target,
+  CAST(size * (epochs + CASE WHEN budget > 0 AND 2 * upto - grp <= 2 * budget THEN 1 ELSE 0 END)
+       AS BIGINT) AS taken
+FROM f
+"""
