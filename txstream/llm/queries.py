@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txstream.llm import chat, chosen_path, decontaminate, mixing, token_files
+from txstream.llm import chat, chosen_path, decontaminate, mixing, quality, token_files
 from txstream.session import scratch_path
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
@@ -33,6 +33,11 @@ def op1_chat_formatting(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digest(chat.prefix_target_examples(rows.unionByName(extra)))
 
 
+def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of all documents from their words and their sites; what is kept."""
+    return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op5_mixing_sources(spark: SparkSession, sf: str) -> DataFrame:
     """Words the mixture takes of every document, with its source's target."""
     return mixing.mixture(table(spark, sf, "documents")).select(
@@ -60,6 +65,7 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_quality_classifier": op2_quality_classifier,
     "op5_mixing_sources": op5_mixing_sources,
     "op8_huffman_token_files": op8_huffman_token_files,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
