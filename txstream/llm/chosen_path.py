@@ -3,16 +3,17 @@
 Documents are sets of hashed k-word shingles (k = 5; a text of one to four words
 is one shingle).  Equal sets form one class, so copies are compared once.  In each
 of ``runs`` repetitions a set of n shingles picks every shingle whose random value
-is below ``per_set / n``: similar sets pick the same ones.  A picked shingle is a
+is below ``per_set[level] / n``: similar sets pick the same ones.  A picked shingle is a
 bucket; buckets of more than ``max_split`` sets are split again on shingles picked
 for the next level (``levels`` in all), the others -- and whatever is still large
 after the last level -- are compared exhaustively in tiles of bounded size.
 
 Recall: two sets of Jaccard t share a fraction b = 2t / (1 + t) of their shingles
 (equal sizes), hence a picked one with probability 1 - exp(-per_set * b) per run and
-level.  At t = 0.8, per_set = 2: 0.83, and 8 runs miss a pair with probability
-0.17^8 < 1e-6 (0.43^8 = 1e-3 if all three levels are needed in every run; ``runs``
-raises it).  Pairs are verified on the full sets, so nothing is reported wrongly.
+level.  At t = 0.8 that is 0.83 for per_set = 2 and 0.74 for 1.5: 8 runs miss a pair
+with probability 0.17^8 < 1e-6, and with 0.55^8 < 1e-2 if every shared shingle of
+every run stands in a bucket that needs all three levels (``runs`` lowers it).  Pairs
+are verified on the full sets, so nothing is reported wrongly.
 
 Before full sets are fetched, each bucket drops members without a partner of
 fitting size and a 64-bin one-permutation sketch agreeing in more than
@@ -95,7 +96,7 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
                                     pa.array(values.view(np.int64)))
 
 
-def _digest_stage(k: int, runs: int, levels: int, per_set: float):
+def _digest_stage(k: int, runs: int, per_set: tuple[float, ...]):
     """Arrow stage: doc_id, text_hash, text -> signature, size, picked shingles, sketch."""
 
     def run(batches):
@@ -105,14 +106,16 @@ def _digest_stage(k: int, runs: int, levels: int, per_set: float):
                 n = np.diff(bounds)
                 d = np.repeat(np.arange(w.n_docs), n)
                 s1, s2 = _signatures(x, bounds)
-                share = np.minimum(1.0, per_set / np.maximum(n, 1))
-                limit = np.minimum(share * 2.0**64, 2.0**64 - 4096).astype(U)
-                limit[share >= 1.0] = U(2**64 - 1)
-                limit = limit[d]
+                limits = []
+                for c in per_set:
+                    share = np.minimum(1.0, c / np.maximum(n, 1))
+                    limit = np.minimum(share * 2.0**64, 2.0**64 - 4096).astype(U)
+                    limit[share >= 1.0] = U(2**64 - 1)
+                    limits.append(limit[d])
                 vals, docs = [], []
-                for tag in range(runs * levels):
+                for tag in range(runs * len(per_set)):
                     m = tb.mix(x + U(((tag + 1) * 0x9E3779B97F4A7C15) % 2**64))
-                    hit = np.flatnonzero(m <= limit)
+                    hit = np.flatnonzero(m <= limits[tag % len(per_set)])
                     vals.append((m[hit] & U(2**64 - LEVEL_TAGS)) | U(tag))
                     docs.append(d[hit])
                 v, dd = np.concatenate(vals), np.concatenate(docs)
@@ -194,7 +197,7 @@ def _verify_stage(threshold: float):
                 cid = np.array([x["cid"] for x in m], np.int64)
                 cop = np.array([x["copies"] for x in m], np.int64)
                 n = np.array([len(s) for s in sets], np.float64)
-                both = intersections(sets)
+                both = intersections(sets).astype(np.float64)      # counts: exact in both
                 link = both * (1 + threshold) >= threshold * (n[:, None] + n[None, :]) - 1e-6
                 np.fill_diagonal(link, False)
                 root = cid.copy()      # smallest id of the member's component in this unit
@@ -321,19 +324,20 @@ def _units(classes: DataFrame, levels: int, max_split: int, unit_grams: int, uni
 
 
 def jaccard_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, runs: int = 8,
-                 per_set: float = 2.0, levels: int = 3, max_split: int = 2048,
-                 unit_grams: int = 250_000, unit_sets: int = 1024) -> DataFrame:
+                 per_set: tuple[float, ...] = (2.0, 1.5, 1.5), max_split: int = 2048,
+                 unit_grams: int = 400_000, unit_sets: int = 2048) -> DataFrame:
     """One row per document: doc_id, text_hash, class_id, n_links, copies, is_first.
 
     ``class_id`` is the smallest doc_id of the connected group, ``n_links`` the
     number of other documents of Jaccard >= threshold (copies included),
     ``is_first`` marks the rows of the document that stands for its group.
     """
+    levels = len(per_set)
     if runs * levels > LEVEL_TAGS:
-        raise ValueError(f"runs * levels must be at most {LEVEL_TAGS}")
+        raise ValueError(f"runs * len(per_set) must be at most {LEVEL_TAGS}")
     base = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     rows = materialize(base.mapInArrow(
-        _digest_stage(k, runs, levels, per_set),
+        _digest_stage(k, runs, per_set),
         "doc_id long, text_hash long, s1 long, s2 long, n long, picked array<long>,"
         " sketch binary").withColumn("uid", F.monotonically_increasing_id()), "cp-rows")
     worded = rows.where("n > 0")
