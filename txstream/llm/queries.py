@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txstream.llm import chat, chosen_path, decontaminate, mixing, quality, token_files
+from txstream.llm import chat, chosen_path, decontaminate, license_scan, mixing, quality, risk_rules, token_files
 from txstream.session import scratch_path
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
@@ -38,12 +38,22 @@ def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op4_risk_controlled_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts of all documents, base rules and rules with risk-controlled cutoffs."""
+    return risk_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op5_mixing_sources(spark: SparkSession, sf: str) -> DataFrame:
     """Words the mixture takes of every document, with its source's target."""
     return mixing.mixture(table(spark, sf, "documents")).select(
         "doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def op6_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Base phrases and license notices in all documents."""
+    return license_scan.scan_licenses(table(spark, sf, "documents"))
+
+
 def op8_huffman_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """All documents as Huffman-coded token files; the digest is read back from them."""
     folder = scratch_path(spark, "token-files")
@@ -66,7 +76,9 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_quality_classifier": op2_quality_classifier,
+    "op4_risk_controlled_rules": op4_risk_controlled_rules,
     "op5_mixing_sources": op5_mixing_sources,
+    "op6_license_scan": op6_license_scan,
     "op8_huffman_token_files": op8_huffman_token_files,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
