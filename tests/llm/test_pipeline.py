@@ -1,0 +1,78 @@
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline as cp
+from tests.llm.test_chosen_path import brute as brute_join
+from tests.llm.test_decontaminate import brute as brute_hits
+from txstream.llm import mixing
+from txstream.llm.queries import END_ID, table, tokenizer_path
+
+SF = "/root/testdata/sf0.01"
+
+
+def rows(df):
+    return sorted((r.doc_id, r.text) for r in df.select("doc_id", "text").collect())
+
+
+def test_stages_against_brute_force(spark):
+    stage = dict(cp.STAGES)
+    docs = table(spark, SF, "documents")
+    columns = docs.columns
+
+    kept = cp.materialize(stage["quality classifier"](spark, docs, SF), "t")
+    assert kept.columns == columns and set(rows(kept)) <= set(rows(docs))
+    labels = table(spark, SF, "labels")
+    known = docs.join(labels, "doc_id").select("doc_id", "quality", "toxic").collect()
+    there = {r.doc_id for r in kept.select("doc_id").collect()}
+    clean = [r.doc_id in there for r in known if r.quality == 1 and r.toxic == 0]
+    junk = [r.doc_id in there for r in known if r.quality == 0]
+    assert np.mean(clean) > 0.97 and np.mean(junk) < 0.1
+
+    before = rows(kept)
+    single = cp.materialize(stage["n-gram Jaccard join"](spark, kept, SF), "t")
+    _, group = brute_join([t for _, t in before])
+    want = sorted({g: min(i for (i, _), h in zip(before, group) if h == g) for g in set(group)}.values())
+    assert single.columns == columns and [i for i, _ in rows(single)] == want
+
+    before = rows(single)
+    items = [(r.item_id, r.text) for r in table(spark, SF, "benchmark").collect()]
+    clean = cp.materialize(stage["benchmark decontamination"](spark, single, SF), "t")
+    hits = brute_hits(before, items)
+    assert clean.columns == columns
+    assert rows(clean) == [d for d, (_, n, _) in zip(before, hits) if n == 0]
+
+    mixed = cp.materialize(stage["mixing sources to target weights"](spark, clean, SF), "t")
+    copies = {r.doc_id: r.copies for r in mixing.mixture(clean).collect()}
+    assert mixed.columns == columns
+    assert rows(mixed) == sorted(d for d in rows(clean) for _ in range(copies[d[0]]))
+
+    out = stage["token-ID / binary output"](spark, mixed, SF).collect()
+    library = Tokenizer.from_file(tokenizer_path())
+    want = []
+    for i, text in rows(mixed):
+        ids = np.array(library.encode(text, add_special_tokens=False).ids + [END_ID], "<u4")
+        want.append((i, len(ids), zlib.crc32(ids.tobytes())))
+    assert sorted((r.doc_id, r.n_tokens, r.ids_crc32) for r in out) == want
+
+
+def test_empty_documents(spark):
+    empty = table(spark, SF, "documents").limit(0)
+    for _, stage in cp.STAGES:
+        out = stage(spark, empty, SF)
+        assert out.count() == 0
+        if out.columns != empty.columns:
+            assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_nulls_pass(spark):
+    docs = table(spark, SF, "documents")
+    odd = docs.limit(40).withColumn("text", F.when(F.col("doc_id") % 7 != 0, F.col("text"))).withColumn(
+        "source", F.when(F.col("doc_id") % 5 != 0, F.col("source"))).withColumn(
+        "lang", F.when(F.col("doc_id") % 3 != 0, F.col("lang"))).withColumn(
+        "doc_id", F.when(F.col("doc_id") % 11 != 0, F.col("doc_id"))).unionByName(docs.limit(10))
+    odd = cp.materialize(odd, "odd")
+    for name, stage in cp.STAGES:
+        assert stage(spark, odd, SF).count() > 0, name

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txstream.llm import chat, chosen_path, decontaminate, license_scan, mixing, quality, risk_rules, token_files
+from txstream.llm import chat, chosen_path, decontaminate, html_text, language_crf, license_scan, mixing, quality, risk_rules, token_files
 from txstream.session import scratch_path
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
@@ -38,6 +38,12 @@ def op2_quality_classifier(spark: SparkSession, sf: str) -> DataFrame:
     return quality.classify(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op3_language_crf(spark: SparkSession, sf: str) -> DataFrame:
+    """Language of all documents by a model of those that are not held out."""
+    docs = table(spark, sf, "documents")
+    return language_crf.predict(docs, language_crf.train(docs))
+
+
 def op4_risk_controlled_rules(spark: SparkSession, sf: str) -> DataFrame:
     """Counts of all documents, base rules and rules with risk-controlled cutoffs."""
     return risk_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
@@ -54,6 +60,11 @@ def op6_license_scan(spark: SparkSession, sf: str) -> DataFrame:
     return license_scan.scan_licenses(table(spark, sf, "documents"))
 
 
+def op7_html_extraction(spark: SparkSession, sf: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.main_text(table(spark, sf, "pages"))
+
+
 def op8_huffman_token_files(spark: SparkSession, sf: str) -> DataFrame:
     """All documents as Huffman-coded token files; the digest is read back from them."""
     folder = scratch_path(spark, "token-files")
@@ -73,15 +84,25 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "class_id", "n_links", "copies")
 
 
+def pipeline(spark: SparkSession, sf: str) -> DataFrame:
+    """``corpus_pipeline.run``: its stages build on the helpers above, so it is imported late."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_language_crf": op3_language_crf,
     "op4_risk_controlled_rules": op4_risk_controlled_rules,
     "op5_mixing_sources": op5_mixing_sources,
     "op6_license_scan": op6_license_scan,
+    "op7_html_extraction": op7_html_extraction,
     "op8_huffman_token_files": op8_huffman_token_files,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
+    "pipeline": pipeline,
 }
 
 ORACLE: dict[str, str] = {}

@@ -135,10 +135,10 @@ def chunks(offsets: np.ndarray, size: int = CHUNK) -> Iterator[tuple[int, int]]:
         i = j
 
 
-def scan(column, table: np.ndarray, lower: bool) -> Iterator[Words]:
+def scan(column, table: np.ndarray, lower: bool, size: int = CHUNK) -> Iterator[Words]:
     """The words of every text, chunk by chunk; all documents appear."""
     raw, offsets = buffers(column)
-    for i, j in chunks(offsets):
+    for i, j in chunks(offsets, size):
         data = raw[offsets[i]:offsets[j]]
         off = offsets[i:j + 1] - offsets[i]
         if lower:
