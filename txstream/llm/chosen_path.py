@@ -305,8 +305,8 @@ def _units(classes: DataFrame, levels: int, max_split: int, unit_grams: int, uni
             if big.limit(1).count() == 0:
                 break
         nxt = picks.where(F.col("level") == level + 1).select("cid", "run", "t")
-        members = big.join(nxt, ["cid", "run"]).select(
-            "cid", "n", F.xxhash64("path", "t").alias("path"), "run")
+        members = materialize(big.join(nxt, ["cid", "run"]).select(
+            "cid", "n", F.xxhash64("path", "t").alias("path"), "run"), "split-buckets")
     lists = []
     for m in ready:
         blocks = F.greatest(F.ceil(F.col("grams") / unit_grams), F.ceil(F.col("size") / unit_sets))
