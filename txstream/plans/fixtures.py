@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from txstream.functions.clock import ntz_to_ms
 from txstream.functions.codec import encode_json
 from txstream.functions.partitioning import partition_of, partition_of_sql
+from txstream.sources.fs import is_dir
 
 # Fixed values of the fixtures.
 GENERATED_EPOCH_MS = 1704067200000   # generated clock: base + id * 100
@@ -28,12 +29,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None):
-    """The ``events`` table as a file stream (one file; ``availableNow`` reads it all)."""
-    schema = table(spark, sf_dir, "events").schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    """The whole ``events`` table as a file stream, be it a folder of files or one file."""
+    path = f"{sf_dir}/events.parquet"
+    r = spark.readStream.schema(table(spark, sf_dir, "events").schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.parquet(sf_dir)
+    if is_dir(spark, path):
+        return r.parquet(path)
+    # a file source takes folders only: the parent, restricted to the file's name
+    return r.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
 
 
 def transactions_from_events(events: DataFrame) -> DataFrame:

@@ -16,6 +16,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def is_dir(spark: SparkSession, path: str) -> bool:
+    fs, p = _fs_path(spark, path)
+    return bool(fs.exists(p)) and bool(fs.getFileStatus(p).isDirectory())
+
+
 def has_data_files(spark: SparkSession, path: str) -> bool:
     """True when ``path`` exists and holds at least one non-hidden file (recursively)."""
     fs, p = _fs_path(spark, path)
