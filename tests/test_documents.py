@@ -1,3 +1,5 @@
+import pytest
+
 from txstream.operators.documents import first_per_key, insert_once, read_documents
 
 COLS = "event_id long, _id long, amount long, timestamp long, transactionFee long"
@@ -64,3 +66,33 @@ def test_compaction_keeps_results_and_bounds_directories(spark, scratch):
     assert latest_base(spark, store) == 4 and not [d for d in list_dirs(spark, store)
                                                    if d.startswith("batch=")]
     assert len(read_documents(spark, store).collect()) == len(after)
+
+
+@pytest.mark.parametrize("pattern", range(8))
+def test_stores_survive_every_pattern_of_empty_batches(spark, scratch, pattern):
+    """Dead letters in some batches only; compaction every two batches loses none."""
+    from txstream.operators.documents import read_documents
+    from txstream.streaming.sinks import process_batch
+    root = scratch("patterns")
+    dead_in = [b for b in range(4) if (pattern * 2 + 1) >> b & 1 or b == 3 and pattern % 2]
+    want = []
+    for b in range(4):
+        rows = [(100 + b, b, 5, b * 10)]
+        if b in dead_in:
+            rows.append((b, b, 0, b * 10 + 1))
+            want.append(b)
+        batch = spark.createDataFrame(rows, "accountId long, timestamp long, amount long, event_id long")
+        process_batch(batch, b, f"{root}/d", f"{root}/dl", compact_every=2)
+        got = read_documents(spark, f"{root}/dl", schema="accountId long")
+        assert sorted(r.accountId for r in got.collect()) == want
+    assert sorted(r._id for r in read_documents(spark, f"{root}/d").collect()) == [100, 101, 102, 103]
+
+
+def test_null_key_is_one_document(spark, scratch):
+    store = scratch("nulls")
+    for b in range(3):
+        df = spark.createDataFrame([(None, 1, b, b), (b, 1, b, b + 10)],
+                                   "_id long, amount long, timestamp long, event_id long")
+        insert_once(df, store, b)
+    ids = [r._id for r in spark.read.parquet(store).collect()]
+    assert sorted(ids, key=str) == [0, 1, 2, None]

@@ -180,7 +180,7 @@ def test_process_stage_with_small_batches_and_compaction(spark):
     # small batches: the earliest *batch* wins; the key set and count do not change
     assert a.count() == b.count()
     assert a.select("_id").exceptAll(b.select("_id")).count() == 0
-    from txstream.operators.documents import read_store
+    from txstream.operators.documents import read_documents as read_store
     assert latest_base(spark, again.dead_letters) is not None
     assert read_store(spark, again.dead_letters).count() == \
         spark.read.parquet(paths.dead_letters).count()

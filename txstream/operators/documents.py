@@ -5,9 +5,9 @@ one batch the first row per key by ``(timestamp, event_id)`` wins; across
 batches the earlier batch wins.  The store is a Parquet table with one
 ``batch=<id>`` directory per micro-batch:
 
-* ``first_per_key`` is a hash aggregation (``min`` of a struct led by the order
-  columns) -- partial aggregation on every map task, so a key that holds a third
-  of all rows is reduced before the shuffle instead of being sorted in one task.
+* ``first_per_key`` is an aggregation (``min`` of a struct led by the order
+  columns; sort-based, since a struct is no fixed-width buffer) -- partial on every
+  map task, so a key that holds a third of all rows is reduced before the shuffle.
 * the anti join against stored keys reads only the ``_id`` column and only
   batches older than this one; AQE picks a broadcast when the batch's keys turn
   out small at run time and keeps a shuffle join otherwise.
@@ -50,16 +50,14 @@ def latest_base(spark: SparkSession, store: str) -> int | None:
 
 def _deltas(spark: SparkSession, store: str, after: int | None,
             before: int | None) -> DataFrame | None:
-    batches = [int(n[6:]) for n in list_dirs(spark, store) if n.startswith("batch=")]
-    batches = [b for b in batches if (after is None or b > after)
-               and (before is None or b < before)]
-    if not batches or not has_data_files(spark, f"{store}/batch={batches[0]}"):
+    batches = sorted(int(n[6:]) for n in list_dirs(spark, store) if n.startswith("batch="))
+    # a batch without rows of this kind leaves a folder without data files
+    paths = [f"{store}/batch={b}" for b in batches
+             if (after is None or b > after) and (before is None or b < before)
+             and has_data_files(spark, f"{store}/batch={b}")]
+    if not paths:
         return None
-    d = spark.read.parquet(store)
-    if after is not None:
-        d = d.filter(F.col("batch") > after)                     # partition pruning
-    if before is not None:
-        d = d.filter(F.col("batch") < before)
+    d = spark.read.option("basePath", store).parquet(*paths)
     if "partition" in d.columns:        # directory values are inferred as int
         d = d.withColumn("partition", F.col("partition").cast("bigint"))
     return d.drop("batch")
@@ -98,16 +96,21 @@ def insert_once(batch: DataFrame, store: str, batch_id: int, key: str = "_id",
     candidates = first_per_key(batch, key, order)
     existing = stored_keys(spark, store, key, before_batch=batch_id)
     if existing is not None:
-        candidates = candidates.join(existing, key, "left_anti")
+        stored = existing.select(F.col(key).alias("_stored"))
+        candidates = candidates.join(stored, candidates[key].eqNullSafe(F.col("_stored")),
+                                     "left_anti")
     new = candidates.select(*columns)
     new.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
     return new
 
 
-def read_documents(spark: SparkSession, store: str, columns=None) -> DataFrame:
+def read_documents(spark: SparkSession, store: str, columns=None, schema=None) -> DataFrame:
+    """The store's rows; with ``schema`` a store without rows is empty instead of an error."""
     docs = _documents(spark, store, None)
     if docs is None:
-        raise FileNotFoundError(f"no documents under {store}")
+        if schema is None:
+            raise FileNotFoundError(f"no documents under {store}")
+        docs = spark.createDataFrame([], schema)
     return docs.select(*(columns or docs.columns))
 
 
@@ -115,8 +118,9 @@ def compact(spark: SparkSession, store: str, upto_batch: int, vacuum: bool = Tru
     """Fold every batch ``<= upto_batch`` into base version ``upto_batch``.
 
     Only batches that are committed (older than any batch still in flight) may
-    be compacted.  The new base is written completely before anything is
-    deleted; ``vacuum`` then removes older bases and the folded batches.
+    be compacted.  The new base is written completely and must hold as many rows
+    as the old base and the folded batches before anything is deleted; ``vacuum``
+    then removes older bases and those batches.
     """
     v = latest_base(spark, store)
     if v is not None and v >= upto_batch:
@@ -124,7 +128,12 @@ def compact(spark: SparkSession, store: str, upto_batch: int, vacuum: bool = Tru
     docs = _documents(spark, store, upto_batch + 1)
     if docs is None:
         return
-    docs.write.mode("overwrite").parquet(f"{store}/{BASE}/v={upto_batch}")
+    new = f"{store}/{BASE}/v={upto_batch}"
+    docs.write.mode("overwrite").parquet(new)
+    want, got = docs.count(), spark.read.parquet(new).count()
+    if want != got:
+        delete(spark, new)
+        raise RuntimeError(f"compaction of {store} up to batch {upto_batch}: {got} of {want} rows")
     if vacuum:
         for name in list_dirs(spark, f"{store}/{BASE}"):
             if name.startswith("v=") and int(name[2:]) < upto_batch:
@@ -133,7 +142,3 @@ def compact(spark: SparkSession, store: str, upto_batch: int, vacuum: bool = Tru
             if name.startswith("batch=") and int(name[6:]) <= upto_batch:
                 delete(spark, f"{store}/{name}")
 
-
-# The same batch-keyed layout serves any append-per-batch table (dead letters):
-read_store = read_documents
-compact_store = compact

@@ -73,6 +73,8 @@ def topic_stage(spark: SparkSession, paths: ChainPaths,
     parsed = parse_json(log.withColumn("value", F.col("value").cast("string")),
                         schemas.TRANSACTION, "value", keep=["event_id"])
     bad = F.col(BAD)
+    # a decoded record without an account is account 0: every row keeps a key and a partition
+    parsed = parsed.withColumn("accountId", F.coalesce("accountId", F.lit(0).cast("bigint")))
     fields = [F.when(~bad, F.col(f.name)).alias(f.name) for f in schemas.TRANSACTION.fields]
     out = parsed.select(*fields, "event_id", F.when(bad, F.col("value")).alias("value"),
                         F.when(bad, F.lit(topics.QUARANTINE_PARTITION).cast("bigint"))

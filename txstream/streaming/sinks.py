@@ -31,7 +31,7 @@ def process_batch(batch: DataFrame, batch_id: int, documents: str, dead_letters:
 
     With ``compact_every=k`` the document and dead-letter stores fold every
     batch before this one into their bases each ``k`` batches (those batches
-    are committed); read them with ``operators.documents.read_store``.
+    are committed); read them with ``operators.documents.read_documents``.
     """
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
