@@ -90,24 +90,32 @@ def test_file_log_latest_start(spark, scratch):
     assert _drain(spark, s2, root, "o2").count() == tx.count() + 5
 
 
-def test_latest_group_prunes_old_files_before_reading(spark, scratch):
+def test_latest_group_reads_late_commits_whatever_their_age(spark, scratch):
+    """A file committed after the group exists is read, however old its time stamp."""
+    import os
     root = scratch("topic")
     topic, group = f"{root}/topic", f"{root}/group"
     tx = fx.transactions(spark, SF_SMALL)
     topics.append(tx, topic, "accountId")
-    # with no slack, files older than the group are not opened at all
-    topics.create_group(spark, topic, group, start="latest", commit_slack_ms=0)
-    topics.append(tx.limit(3), topic, "accountId")
+    topics.create_group(spark, topic, group, start="latest")
+    before = {os.path.join(d, f) for d, _, fs in os.walk(topic) for f in fs}
+    topics.append(tx.limit(1), topic, "accountId")
+    for d, _, files in os.walk(topic):
+        for f in files:
+            if os.path.join(d, f) not in before and f.endswith(".parquet"):
+                os.utime(os.path.join(d, f), (0, 0))
     s = topics.scan(spark, topic, REC, group=group, start="latest")
-    from txstream.sources import groups
-    raw = spark.readStream.schema(topics.topic_schema(REC)).parquet(topic)
-    pruned = groups.skip_group_start(spark, raw, group)
-    q = run_available_now(pruned.writeStream.format("noop")
-                          .option("checkpointLocation", f"{root}/ck_noop"))
-    assert sum(p.numInputRows for p in q.recentProgress) == 3
-    assert _drain(spark, s, root, "o").count() == 3
-    # the group's file list holds only files younger than creation minus slack
-    assert spark.read.parquet(groups.start_marker(group)).count() == 0
+    assert _drain(spark, s, root, "o").count() == 1
+
+
+def test_null_keys_stay_in_the_topic(spark, scratch):
+    root = scratch("topic")
+    df = spark.createDataFrame([(1, 5), (None, 6), (0, 7)], "accountId long, event_id long")
+    topics.append(df, f"{root}/topic", "accountId")
+    rec = T.StructType([T.StructField("accountId", T.LongType()), T.StructField("event_id", T.LongType())])
+    back = topics.scan(spark, f"{root}/topic", rec, stream=False).collect()
+    assert len(back) == 3 and all(r.partition >= 0 for r in back)
+    assert len({r.partition for r in back if not r.accountId}) == 1
 
 
 def test_kafka_format_is_wired_to_sparks_connector(spark, scratch):

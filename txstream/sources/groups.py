@@ -1,24 +1,16 @@
 """Consumer groups over file-backed streams (topic tables, the file log).
 
-A group is a checkpoint folder.  Its start point is fixed when the group is
-first created: ``earliest`` takes every file, ``latest`` skips the files that
-already exist.  For ``latest`` the list of existing recent files is written
-once as a small Parquet table inside the group folder and later anti-joined
-away on the file of each row (``_metadata.file_path``); a restart reuses it, so
-the start never moves.  Files are matched on their last two path components
-(directory and name), which are the same whatever URI form a path is reported
-in.
-
-Old files are not even opened: a file that is not in the snapshot was committed
-after the group was created, so its modification time is later than the
-creation time minus ``commit_slack_ms`` (the longest a writer takes from
-writing a file to committing it).  Everything older is pruned by a filter on
-``_metadata.file_modification_time``, which Spark applies to the file listing;
-only the remaining, recent files go through the exact anti join -- and only
-they need to be in the list.  The creation time is read from the file system
-(the commit marker of a one-row table), the same clock that stamps the data
-files; the slack is stored in that table so reading uses the value of creation.
-(The ``_metadata`` row read for the listing touches only the recent files.)
+A group is a checkpoint folder.  Its start point is fixed when the group is first
+created: ``earliest`` takes every file, ``latest`` skips the files committed by then.
+For ``latest`` the list of those files is written once as a Parquet table inside the
+group folder and later anti-joined away on the file of each row
+(``_metadata.file_path``); a restart reuses it, so the start never moves.  The list is
+complete -- there is no time limit -- so a file committed after the group was created
+is read however long ago its task began to write it.  For a stream-written topic the
+listing is that of its own metadata log (its last committed batch).  Files are matched
+on their last two path components (directory and name), which are the same whatever
+URI form a path is reported in.  The list is as long as the topic has files; the join
+is a broadcast when that is small and a shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -28,42 +20,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from txstream.sources.fs import has_data_files, path_exists
 
 STARTS = ("earliest", "latest")
-DEFAULT_COMMIT_SLACK_MS = 3_600_000
 
 
 def start_marker(group: str) -> str:
     return f"{group}/_group_start"
 
 
-def clock_marker(group: str) -> str:
-    return f"{group}/_group_clock"
-
-
-def create_group(spark: SparkSession, path: str, group: str, start: str = "earliest",
-                 commit_slack_ms: int = DEFAULT_COMMIT_SLACK_MS) -> None:
-    """Create the group once; an existing group keeps its original start point.
-
-    For ``latest``: first a one-row table (the slack) is written; its commit
-    time, by the file system's clock, is the group's creation time.  Then the
-    files present that are younger than creation minus slack are listed --
-    older ones are pruned by the same filter while reading -- so the list
-    holds only recent files and stays small however large the topic is.
-    """
+def create_group(spark: SparkSession, path: str, group: str, start: str = "earliest") -> None:
+    """Create the group once; an existing group keeps its original start point."""
     if start not in STARTS:
         raise ValueError(f"start must be one of {STARTS}, not {start!r}")
     marker = start_marker(group)
     if path_exists(spark, f"{marker}/_SUCCESS"):
         return
-    if start == "earliest":
-        spark.createDataFrame([], "file string").write.mode("overwrite").parquet(marker)
-        return
-    if not path_exists(spark, f"{clock_marker(group)}/_SUCCESS"):
-        spark.createDataFrame([(commit_slack_ms,)], "slack_ms long").coalesce(1) \
-            .write.mode("overwrite").parquet(clock_marker(group))
     files = spark.createDataFrame([], "file string")
-    if has_data_files(spark, path):
-        files = (_recent(spark, spark.read.parquet(path), group)
-                 .select(_tail_col(F.col("_metadata.file_path")).alias("file")).distinct())
+    if start == "latest" and has_data_files(spark, path):
+        files = spark.read.parquet(path).select(
+            _tail_col(F.col("_metadata.file_path")).alias("file")).distinct()
     files.write.mode("overwrite").parquet(marker)
 
 
@@ -71,24 +44,8 @@ def _tail_col(path_col):
     return F.substring_index(path_col, "/", -2)
 
 
-def created_ms(spark: SparkSession, group: str) -> int:
-    """Creation time of a ``latest`` group by the file system's clock (epoch ms)."""
-    from txstream.sources.fs import modification_ms
-    return modification_ms(spark, f"{clock_marker(group)}/_SUCCESS")
-
-
-def _recent(spark: SparkSession, df: DataFrame, group: str) -> DataFrame:
-    """Rows of files younger than the group's creation minus its slack
-    (pruned at file listing; older files are never opened)."""
-    slack = spark.read.parquet(clock_marker(group)).first()["slack_ms"]
-    bound = created_ms(spark, group) - int(slack)
-    return df.filter(F.col("_metadata.file_modification_time")
-                     >= F.timestamp_millis(F.lit(bound)))
-
-
 def skip_group_start(spark: SparkSession, stream: DataFrame, group: str) -> DataFrame:
     """Drop rows of files that existed when a ``latest`` group was created."""
     seen = spark.read.parquet(start_marker(group)).withColumnRenamed("file", "_file")
-    return (_recent(spark, stream, group)
-            .withColumn("_file", _tail_col(F.col("_metadata.file_path")))
+    return (stream.withColumn("_file", _tail_col(F.col("_metadata.file_path")))
             .join(seen, "_file", "left_anti").drop("_file"))
