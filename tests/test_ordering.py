@@ -60,14 +60,21 @@ def test_positions_continue_across_arrow_batches(spark):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
-def test_slice_count_follows_input_size(spark):
-    from txstream.operators import ordering
-    df = spark.range(1000)
-    assert ordering._default_parts(df) == int(spark.conf.get("spark.sql.shuffle.partitions"))
-    old = ordering.TARGET_SLICE_BYTES
-    try:
-        ordering.TARGET_SLICE_BYTES = 1000
-        n = ordering._default_parts(df)
-        assert n >= ordering.estimated_bytes(df) // 1000 > 1
-    finally:
-        ordering.TARGET_SLICE_BYTES = old
+def test_positions_are_exact_for_wide_ids_and_nulls(spark):
+    """64-bit keys next to each other and null cells: nothing passes through doubles."""
+    wide = [2**53, 2**53 + 1, 2**53 - 1, 2**62, 2**62 + 1, None, -2**63]
+    rows = [(i, wide[i % 7], None if i % 5 == 0 else 2**53 + i) for i in range(140)]
+    df = spark.createDataFrame(rows, "event_id long, k long, v long")
+    got = keyed_positions(df.repartition(3), ["k"], ["event_id"], "seq", num_partitions=11).collect()
+    assert sorted((r.event_id, r.k, r.v) for r in got if r.k is not None and r.v is not None) == \
+        sorted(r for r in rows if r[1] is not None and r[2] is not None)
+    assert sum(r.v is None for r in got) == 28
+    for k in wide:
+        assert [r.seq for r in sorted((r for r in got if r.k == k), key=lambda r: r.event_id)] == \
+            list(range(1, 21))
+
+
+def test_one_key_over_many_slices(spark):
+    df = spark.range(500).select(F.col("id").alias("event_id"), F.lit("one").alias("k"))
+    got = keyed_positions(df, ["k"], ["event_id"], num_partitions=40)
+    assert got.where("seq <> event_id + 1").count() == 0

@@ -5,43 +5,25 @@
 give -- but range-partitions on ``(key, order)`` instead of hashing on the key.
 A key that holds a third of all rows is therefore spread over many contiguous
 tasks; each task numbers its slice locally (sorted within the partition), and
-one tiny summary (a row per partition) supplies the offset of every slice that
-continues a key from earlier partitions.  The numbered slices are written once
+one tiny summary (a row per partition, from the slices' marked first and last
+rows) supplies the offset of every slice that continues a key, by a running sum.  The numbered slices are written once
 to the shared scratch folder (``materialize``): range bounds are sampled per
 shuffle, so recomputing them for the summary could cut the slices differently.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from txstream.session import materialize, ship_package
 
 
-TARGET_SLICE_BYTES = 256 * 1024 * 1024
-MAX_SLICES = 200_000
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (file sizes through the projection)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimates are optional
-        return None
-
-
 def _default_parts(df: DataFrame) -> int:
-    """Range slices for ``df``: about 256 MB each, never fewer than the shuffle setting.
-
-    AQE may coalesce range partitions but never splits them, so the count is
-    chosen from the estimated input size up front.
-    """
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = estimated_bytes(df)
-    if size is None:
-        return floor
-    return int(min(MAX_SLICES, max(floor, -(-size // TARGET_SLICE_BYTES))))
+    """Range slices by default: the session's shuffle setting (``num_partitions`` overrides)."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def keyed_order(df: DataFrame, keys, order, num_partitions: int | None = None) -> DataFrame:
@@ -51,38 +33,57 @@ def keyed_order(df: DataFrame, keys, order, num_partitions: int | None = None) -
     return df.repartitionByRange(n, *keys, *order).sortWithinPartitions(*keys, *order)
 
 
-def _same_key_as_previous(cur: pd.DataFrame, prev: pd.DataFrame) -> pd.Series:
-    """Row-wise key equality of two aligned frames, with null equal to null."""
-    same = pd.Series(True, index=cur.index)
-    for c in cur.columns:
-        a, b = cur[c], prev[c]
-        same &= (a == b) | (a.isna() & b.isna())
-    return same
+def _starts(column: pa.Array, last: pa.Scalar | None) -> np.ndarray:
+    """True where a value differs from the one before (null equals null), in its own type.
+
+    ``last`` is the value before the first one; without it the first one starts.
+    """
+    head = pa.array([None if last is None else last.as_py()], column.type)
+    before = pa.concat_arrays([head, column.slice(0, len(column) - 1)])
+    both_null = pc.and_(pc.is_null(column), pc.is_null(before))
+    same = pc.or_(pc.fill_null(pc.equal(column, before), False), both_null)
+    out = ~np.asarray(same.to_numpy(zero_copy_only=False), bool)
+    if last is None:
+        out[0] = True
+    return out
 
 
 def _local_numbering(keys: list[str]):
-    """Number rows per key run inside one sorted partition, across Arrow batches."""
+    """Number rows per key run inside one sorted partition, across Arrow batches.
+
+    No column leaves Arrow: keys are compared in their own type, all others pass through.
+    ``_edge`` marks the slice's first and last row.
+    """
     def run(batches):
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        last_row, last_seq = None, 0
-        for pdf in batches:
-            if pdf.empty:
+        last, last_seq, held = None, 0, None
+
+        def out(batch, seq, edge):
+            n = batch.num_rows
+            return pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(np.full(n, pid, np.int32)), pa.array(seq),
+                 pa.array(edge)], names=[*batch.schema.names, "_pid", "_local_seq", "_edge"])
+
+        for batch in batches:
+            n = batch.num_rows
+            if n == 0:
                 continue
-            k = pdf[keys].reset_index(drop=True)
-            prev = k.shift(1)
-            if last_row is not None:
-                prev.iloc[0] = last_row
-            new = ~_same_key_as_previous(k, prev)
-            if last_row is None:
-                new.iloc[0] = True
-            run_id = new.cumsum()
-            seq = k.groupby(run_id.to_numpy()).cumcount().to_numpy() + 1
-            if not new.iloc[0]:                  # first run continues the previous batch
-                seq[run_id.to_numpy() == run_id.iloc[0]] += last_seq
-            pdf = pdf.assign(_pid=pid, _local_seq=seq.astype("int64"))
-            last_row, last_seq = k.iloc[-1], int(seq[-1])
-            yield pdf
+            cols = [batch.column(batch.schema.get_field_index(k)) for k in keys]
+            new = np.zeros(n, bool)
+            for i, c in enumerate(cols):
+                new |= _starts(c, None if last is None else last[i])
+            start = np.maximum.accumulate(np.where(new, np.arange(n), -1))
+            seq = np.where(start >= 0, np.arange(n) - start + 1, np.arange(n) + 1 + last_seq)
+            edge = np.zeros(n, bool)
+            edge[0] = last is None
+            last, last_seq = [c[n - 1] for c in cols], int(seq[-1])
+            if held is not None:
+                yield out(*held)
+            held = (batch, seq.astype(np.int64), edge)
+        if held is not None:
+            held[2][-1] = True
+            yield out(*held)
     return run
 
 
@@ -90,35 +91,37 @@ def keyed_positions(df: DataFrame, keys, order, out: str = "seq",
                     num_partitions: int | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row within its key, by ``order``.
 
-    ``order`` must make rows unique within a key (add a tie-breaker column).
+    ``order`` must make rows unique within a key (add a tie-breaker column).  Keys may
+    be null (one key) and of any atomic type; values of all columns stay as they are.
     """
     keys, order = list(keys), list(order)
     ship_package(df.sparkSession)
     ranged = keyed_order(df, keys, order, num_partitions)
     schema = T.StructType(ranged.schema.fields + [T.StructField("_pid", T.IntegerType(), False),
-                                                  T.StructField("_local_seq", T.LongType(), False)])
+                                                  T.StructField("_local_seq", T.LongType(), False),
+                                                  T.StructField("_edge", T.BooleanType(), False)])
     # Range bounds are sampled per exchange, so the numbered rows are written
     # once and every consumer below reads the same slices.
-    local = materialize(ranged.mapInPandas(_local_numbering(keys), schema), "positions")
-
-    # One row per non-empty partition: its first key, and its last key with that
-    # key's row count in the partition.  Size is bounded by the partition count.
-    per_part = (local.groupBy("_pid")
-                     .agg(F.min(F.struct(*keys)).alias("head"),
-                          F.max(F.struct(*keys, "_local_seq")).alias("tail")))
-    heads = per_part.select("_pid", *[F.col(f"head.{k}").alias(f"_h_{k}") for k in keys])
-    tails = per_part.select(F.col("_pid").alias("_tpid"),
-                            *[F.col(f"tail.{k}").alias(f"_t_{k}") for k in keys],
-                            F.col("tail._local_seq").alias("_tcount"))
-    cond = [F.col("_tpid") < F.col("_pid")] + \
-           [F.col(f"_h_{k}").eqNullSafe(F.col(f"_t_{k}")) for k in keys]
-    offsets = (heads.join(tails, cond, "inner")
-                    .groupBy("_pid", *[f"_h_{k}" for k in keys])
-                    .agg(F.sum("_tcount").alias("_offset"))
-                    .withColumnRenamed("_pid", "_opid"))
-    # ``offsets`` has at most one row per partition: a proven bound, so broadcast.
-    on = [F.col("_pid") == F.col("_opid")] + \
-         [F.col(k).eqNullSafe(F.col(f"_h_{k}")) for k in keys]
-    return (local.join(F.broadcast(offsets), on, "left")
+    local = materialize(ranged.mapInArrow(_local_numbering(keys), schema), "positions")
+
+    # Only the slices' first and last rows: at most two rows a partition.
+    key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    # the smaller key is the head, and the last key's row of the larger number the tail
+    ends = (local.where("_edge").select("_pid", key.alias("k"), "_local_seq")
+            .groupBy("_pid").agg(F.min("k").alias("head"),
+                                 F.max(F.struct("k", "_local_seq")).alias("t"))
+            .select("_pid", "head", F.col("t.k").alias("tail"),
+                    F.col("t._local_seq").alias("count")))
+    # rows of the tail key up to the end of the slice: a running sum, one row a slice
+    upto = F.sum("count").over(Window.partitionBy("tail").orderBy("_pid"))
+    by_slice = Window.orderBy("_pid")
+    offsets = (ends.withColumn("upto", upto)
+               .withColumn("before", F.lag("tail").over(by_slice))
+               .withColumn("offset", F.lag("upto").over(by_slice))
+               .where(F.col("before").eqNullSafe(F.col("head")) & F.col("before").isNotNull())
+               .select(F.col("_pid").alias("_opid"), F.col("head").alias("_head"),
+                       F.col("offset").alias("_offset")))
+    on = (F.col("_pid") == F.col("_opid")) & key.eqNullSafe(F.col("_head"))
+    return (local.join(offsets, on, "left")
                  .withColumn(out, F.col("_local_seq") + F.coalesce(F.col("_offset"), F.lit(0)))
-                 .drop("_pid", "_opid", "_local_seq", "_offset", *[f"_h_{k}" for k in keys]))
+                 .drop("_pid", "_opid", "_local_seq", "_edge", "_offset", "_head"))
