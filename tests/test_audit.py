@@ -12,7 +12,7 @@ def test_audits(spark):
     assert sorted(r.id for r in audit.audit_missing(produced, delivered).collect()) == \
         [3, 4, 7, 8, 12, 13, 14, 16, 17, 18]
     assert {r.id: r.copies for r in audit.audit_duplicates(delivered).collect()} == {6: 2, 19: 3}
-    gaps = sorted(tuple(r) for r in audit.audit_gaps(delivered, bucket_width=4).collect())
+    gaps = sorted(tuple(r) for r in audit.audit_gaps(delivered, bucket_bits=8).collect())
     assert gaps == [(3, 4, 2), (7, 8, 2), (12, 14, 3), (16, 18, 3)]
     assert [r.id for r in audit.audit_payload(delivered).collect()] == [10]
 
@@ -41,6 +41,6 @@ def test_parse_sequence_line_round_trip(spark):
 def test_gaps_with_negative_ids_and_bucket_edges(spark):
     ids = [-9, -8, -5, -1, 0, 3, 4, 8, 9, 10, 17]
     got = sorted(tuple(r) for r in
-                 audit.audit_gaps(_seq(spark, ids), bucket_width=4).collect())
+                 audit.audit_gaps(_seq(spark, ids), bucket_bits=8).collect())
     want = sorted((a + 1, b - 1, b - a - 1) for a, b in zip(ids, ids[1:]) if b - a > 1)
     assert got == want

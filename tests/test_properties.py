@@ -83,11 +83,19 @@ def test_rolling_quantile_matches_brute_force(spark, values, n, extra, parts):
 
 @SETTINGS
 @given(ids=st.lists(st.integers(-40, 40), min_size=0, max_size=40),
-       width=st.integers(1, 9))
-def test_gaps_match_brute_force(spark, ids, width):
+       bits=st.sampled_from([3, 8, 20]))
+def test_gaps_match_brute_force(spark, ids, bits):
     from txstream.operators.audit import audit_gaps
     df = spark.createDataFrame([(i,) for i in ids], "id long")
-    got = sorted(tuple(r) for r in audit_gaps(df, bucket_width=width).collect())
+    got = sorted(tuple(r) for r in audit_gaps(df, bucket_bits=bits).collect())
     u = sorted(set(ids))
     want = sorted((a + 1, b - 1, b - a - 1) for a, b in zip(u, u[1:]) if b - a > 1)
     assert got == want
+
+
+def test_gaps_of_sparse_wide_ids(spark):
+    from txstream.operators.audit import audit_gaps
+    ids = sorted({0, 1, 5, -7, 2**20, 2**20 + 1, 2**40, 2**62, 2**63 - 1, -2**63 + 1, 3 * 2**55})
+    df = spark.createDataFrame([(i,) for i in ids] + [(None,)], "id long")
+    got = {(r.gap_start, r.gap_end) for r in audit_gaps(df).collect()}
+    assert got == {(a + 1, b - 1) for a, b in zip(ids, ids[1:]) if b - a > 1}

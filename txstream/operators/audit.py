@@ -2,12 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
-
-
-def floor_div(name: str, d: int) -> Column:
-    """Exact integer floor division of a BIGINT column by a constant (no DOUBLE detour)."""
-    return F.expr(f"(`{name}` - pmod(`{name}`, {int(d)})) div {int(d)}")
+from pyspark.sql import DataFrame, Window, functions as F
 
 
 def audit_missing(produced: DataFrame, delivered: DataFrame, key: str = "id") -> DataFrame:
@@ -25,30 +20,28 @@ def audit_duplicates(delivered: DataFrame, key: str = "id") -> DataFrame:
                      .filter(F.col("copies") > 1))
 
 
-def audit_gaps(delivered: DataFrame, key: str = "id", bucket_width: int = 1 << 20) -> DataFrame:
+def audit_gaps(delivered: DataFrame, key: str = "id", bucket_bits: int = 20) -> DataFrame:
     """Ranges of integer keys missing between consecutive delivered keys.
 
-    Keys are cut into value buckets of ``bucket_width``; consecutive keys are
-    paired with ``lead`` inside each bucket (at most ``bucket_width`` distinct
-    keys per window partition), and the pairs that straddle two buckets come
-    from a one-row-per-bucket summary.  Gaps before the first and after the last
-    delivered key are :func:`audit_missing`'s business.
+    Keys are cut into value buckets of ``2^bucket_bits``; consecutive keys are paired
+    with ``lead`` inside each bucket.  Every bucket is then one row (its smallest and
+    largest key), and those rows are paired in the same way in buckets of buckets, until
+    a last level of at most 2^(64 mod bucket_bits) rows: no window partition holds more
+    than ``2^bucket_bits`` rows, however sparse the keys are.  Gaps before the first and
+    after the last delivered key are :func:`audit_missing`'s business.
     """
-    ids = delivered.select(F.col(key).alias("k")).distinct()
-    bucket = floor_div("k", bucket_width)
-    ids = ids.withColumn("b", bucket)
-    inner = (ids.withColumn("nxt", F.lead("k").over(Window.partitionBy("b").orderBy("k")))
-                .filter(F.col("nxt").isNotNull())
-                .select("k", "nxt"))
-    edges = ids.groupBy("b").agg(F.min("k").alias("lo"), F.max("k").alias("hi"))
-    # one row per non-empty bucket: bounded by key range / bucket_width
-    across = (edges.withColumn("nxt", F.lead("lo").over(Window.orderBy("b")))
-                   .filter(F.col("nxt").isNotNull())
-                   .select(F.col("hi").alias("k"), "nxt"))
-    pairs = inner.unionByName(across)
-    return (pairs.filter(F.col("nxt") - F.col("k") > 1)
-                 .select((F.col("k") + 1).alias("gap_start"), (F.col("nxt") - 1).alias("gap_end"),
-                         (F.col("nxt") - F.col("k") - 1).alias("missing")))
+    rows = delivered.select(F.col(key).alias("lo")).where(F.col("lo").isNotNull()).distinct()
+    rows = rows.withColumn("hi", F.col("lo"))
+    pairs = None
+    for shift in [*range(bucket_bits, 64, bucket_bits), 64]:
+        bucket = F.shiftright("lo", shift) if shift < 64 else F.lit(0).cast("bigint")
+        rows = rows.withColumn("b", bucket)
+        nxt = F.lead("lo").over(Window.partitionBy("b").orderBy("lo"))
+        level = rows.select("hi", nxt.alias("nxt")).where(F.col("nxt") - 1 > F.col("hi"))
+        pairs = level if pairs is None else pairs.unionByName(level)
+        rows = rows.groupBy("b").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("b")
+    return pairs.select((F.col("hi") + 1).alias("gap_start"), (F.col("nxt") - 1).alias("gap_end"),
+                        F.try_subtract(F.col("nxt") - 1, F.col("hi")).alias("missing"))
 
 
 def audit_payload(delivered: DataFrame, key: str = "id", payload: str = "payload") -> DataFrame:

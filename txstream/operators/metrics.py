@@ -40,6 +40,17 @@ def observe_counter(df: DataFrame, name: str | Observation = "event_counter") ->
     return df.observe(name, F.count(F.lit(1)).alias("events"))
 
 
+# Spark's setting: the largest limit it pushes below the shuffle.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+
+
+def _cover_group_limit(df: DataFrame, n: int) -> None:
+    """Raise the session's threshold to ``n``, so that any ``n`` is limited map-side."""
+    conf = df.sparkSession.conf
+    if 0 <= int(conf.get(GROUP_LIMIT)) < n:
+        conf.set(GROUP_LIMIT, str(n))
+
+
 def last_n(df: DataFrame, by: str, order: str, n: int = RING_BUFFER_SIZE,
            fan_in: int = 256) -> DataFrame:
     """Newest ``n`` rows per ``by`` by descending ``order``.
@@ -49,6 +60,7 @@ def last_n(df: DataFrame, by: str, order: str, n: int = RING_BUFFER_SIZE,
     ahead of its shuffle, so no task ever receives more than about
     ``n * fan_in`` rows of a group, however many input tasks there are.
     """
+    _cover_group_limit(df, n)
     newest = F.col(order).desc()
     blocked = df.withColumn("_blk", F.floor(F.spark_partition_id() / F.lit(fan_in)))
     w1 = Window.partitionBy(by, "_blk").orderBy(newest)
