@@ -168,6 +168,33 @@ def _window_cols(window_seconds: int):
             F.unix_millis(F.col("window.end")).alias("window_end_ms")]
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def _seconds(duration: str) -> int | None:
+    """Length of a duration such as ``"5 seconds"``; None for other forms."""
+    parts = duration.split()
+    unit = _UNIT_SECONDS.get(parts[1].rstrip("s").lower()) if len(parts) == 2 else None
+    return int(parts[0]) * unit if unit and parts[0].isdigit() else None
+
+
+def _windowed_counts(df: DataFrame, by: list[str], time_ms: str, window: str, slide: str) -> DataFrame:
+    """Events per group and sliding window.
+
+    If the window is a whole number of slides, all events of a slide are in the same
+    windows: they are counted per slide first, and only these counts go to several
+    windows.  Otherwise every event goes to each of its windows.
+    """
+    w, s = _seconds(window), _seconds(slide)
+    if not (w and s and w % s == 0):
+        return (df.groupBy(*by, F.window(event_time(time_ms), window, slide))
+                  .agg(F.count(F.lit(1)).alias("events")))
+    slides = (df.groupBy(*by, F.window(event_time(time_ms), slide).alias("_slide"))
+                .agg(F.count(F.lit(1)).alias("_n")))
+    return (slides.groupBy(*by, F.window(F.col("_slide.start"), window, slide).alias("window"))
+                  .agg(F.sum("_n").alias("events")))
+
+
 def rate_sliding(df: DataFrame, by: str = "partition", time_ms: str = "timestamp",
                  window: str = RATE_WINDOW, slide: str = RATE_STEP,
                  window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
@@ -175,17 +202,15 @@ def rate_sliding(df: DataFrame, by: str = "partition", time_ms: str = "timestamp
 
     Plain count divided by the window length -- no extrapolation at the edges.
     """
-    return (df.groupBy(by, F.window(event_time(time_ms), window, slide))
-              .agg(F.count(F.lit(1)).alias("events"))
+    return (_windowed_counts(df, [by], time_ms, window, slide)
               .select(by, *_window_cols(window_seconds), "events",
                       (F.col("events") / F.lit(float(window_seconds))).alias("rate_per_sec")))
 
 
 def rate_total(df: DataFrame, time_ms: str = "timestamp", window: str = RATE_WINDOW,
                slide: str = RATE_STEP, window_seconds: int = RATE_WINDOW_SECONDS) -> DataFrame:
-    """Sum over groups of :func:`rate_sliding`: one window aggregation, no per-group step."""
-    return (df.groupBy(F.window(event_time(time_ms), window, slide))
-              .agg(F.count(F.lit(1)).alias("events"))
+    """Sum over groups of :func:`rate_sliding`: window counts without the group."""
+    return (_windowed_counts(df, [], time_ms, window, slide)
               .select(*_window_cols(window_seconds), "events",
                       (F.col("events") / F.lit(float(window_seconds))).alias("rate_per_sec")))
 

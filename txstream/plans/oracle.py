@@ -150,3 +150,17 @@ ORACLE: dict[str, str] = {
     "audit_payload": f"select * from {DELIVERED} d where payload is distinct from "
                      f"cast(id as varchar)",
 }
+
+# faulty records: every 97th cannot be decoded, every 11th has no account (account 0)
+_GOOD = (f"(select case when event_id % 11 = 0 then 0 else accountId end as accountId, amount "
+         f"from {TX} t where event_id % {fx.CORRUPT_EVERY} <> 0)")
+ORACLE["chain_conservation"] = (
+    f"select (select count(*) from {TX} t) as log, (select count(*) from {_GOOD} g) as topic, "
+    f"(select count(*) from {TX} t where event_id % {fx.CORRUPT_EVERY} = 0) as quarantine, "
+    f"(select count(distinct accountId) from {_GOOD} g where {MAIN}) as documents, "
+    f"(select count(*) - count(distinct accountId) from {_GOOD} g where {MAIN}) as duplicates, "
+    f"(select count(*) from {_GOOD} g where not {MAIN}) as dead_letters, "
+    f"cast(0 as bigint) as lost_in_topic, cast(0 as bigint) as lost_in_stores")
+ORACLE["lag_over_timestamps"] = (
+    f"select event_id, timestamp + (event_id * {fx.LAG_FACTOR}) % {fx.LAG_MOD} as processed_at, "
+    f"timestamp, (event_id * {fx.LAG_FACTOR}) % {fx.LAG_MOD} as lag_ms from {TX} t")

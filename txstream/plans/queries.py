@@ -13,8 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from txstream import schemas
-from txstream.functions.clock import ntz_to_ms
-from txstream.functions.codec import decode_json, row_to_line, to_log_record
+from txstream.functions.clock import lag_ms, ntz_to_ms
+from txstream.functions.codec import decode_json, encode_json, row_to_line, to_log_record
 from txstream.operators import audit, metrics
 from txstream.operators.documents import first_per_key, insert_once, read_documents
 from txstream.operators.enrich import enrich_fee, exact_duplicates, to_document
@@ -22,13 +22,15 @@ from txstream.operators.ordering import keyed_positions
 from txstream.operators.routing import route, split_counts
 from txstream.plans import fixtures as fx
 from txstream.plans import recovery
-from txstream.plans.chain import ChainPaths, log_stage, process_stage, run_chain
+from txstream.plans.chain import (ChainPaths, log_stage, process_stage, read_quarantine,
+                                  run_chain, topic_stage)
 from txstream.plans.load import load_writers, read_samples
 from txstream.session import scratch_path
 from txstream.sources import generators as gen
 from txstream.sources import log as logsrc
 from txstream.sources import topic as topics
 from txstream.streaming.metrics_sink import histogram_writer, latest_histogram
+from txstream.streaming.progress import observed_total, run_logged
 from txstream.streaming.runner import run_available_now
 from txstream.streaming.sinks import keyed_batch_writer, noop_writer, process_batch, text_writer
 
@@ -131,20 +133,22 @@ def keyed_order_q(spark, sf):
 
 
 def keyed_order_streamed(spark, sf):
-    """D1 on a stream: every micro-batch is handed over ordered per account
-    (``keyed_batch_writer``) and numbered; one batch holds the whole table."""
+    """D1 on a stream: the order in which a micro-batch's rows are handed over
+    (``keyed_batch_writer``) is written down as it is -- the row's place in its batch --
+    and an account's positions follow from these places alone.  All files come in
+    one batch; with several, positions would start anew in each."""
     root = scratch_path(spark, "keyed_stream")
     out = f"{root}/out"
 
     def number(batch, batch_id):
-        keyed_positions(batch, ["accountId"], ["timestamp", "event_id"], "seq") \
-            .select("event_id", "accountId", "timestamp", "seq") \
+        batch.withColumn("place", F.monotonically_increasing_id()) \
             .write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     tx = fx.transactions_from_events(fx.events_stream(spark, sf))
     run_available_now(keyed_batch_writer(tx, ["accountId"], ["timestamp", "event_id"], number,
                                          f"{root}/_ck"))
-    return spark.read.parquet(out).drop("batch")
+    return keyed_positions(spark.read.parquet(out), ["batch", "accountId"], ["place"], "seq") \
+        .select("event_id", "accountId", "timestamp", "seq")
 
 
 def topic_partition_counts(spark, sf):
@@ -245,17 +249,57 @@ def restart_no_reprocess(spark, sf):
 
 
 def chain_small_batches_compacted(spark, sf):
-    """The chain with one topic file per micro-batch and both stores compacted
-    every two batches.  Topic files are per partition and a key lives in one
-    partition, so each account arrives in one batch: the stores must hold the
-    same rows as with one large batch."""
+    """The chain's topic processed in five micro-batches and both stores compacted every
+    two.  The batches are cut by event time, so an account's first row is in the first
+    batch that has it, whatever the topic's files hold: the stores must hold the same
+    rows as with one large batch."""
     tx = fx.transactions_from_events(fx.events_stream(spark, sf))
     paths = run_chain(spark, tx)
     small = paths.with_outputs("_small")
-    run_available_now(process_stage(spark, small, max_files_per_trigger=1, compact_every=2))
+    rows = topics.scan(spark, paths.topic, TX_EID, stream=False)
+    span = rows.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    if span["lo"] is not None:
+        width = (span["hi"] - span["lo"]) // 5 + 1
+        for b in range(5):
+            lo = span["lo"] + b * width
+            process_batch(rows.filter((F.col("timestamp") >= lo) & (F.col("timestamp") < lo + width)),
+                          b, small.documents, small.dead_letters, compact_every=2)
     return _chain_output(spark, small)
 
 
+def chain_conservation(spark, sf):
+    """Rows in and out of the chain's stages, with faulty records: some accounts missing,
+    some records undecodable, compaction every two batches.  In = documents +
+    duplicates of an account + dead letters + quarantine, and nothing is lost."""
+    root = scratch_path(spark, "conservation")
+    paths = ChainPaths.under(root)
+    tx = fx.transactions(spark, sf)
+    no_account = F.col("event_id") % 11 == 0
+    value = F.when(F.col("event_id") % fx.CORRUPT_EVERY == 0, F.lit(fx.CORRUPT_TEXT)).when(
+        no_account, encode_json("timestamp", "amount")).otherwise(
+        encode_json("accountId", "timestamp", "amount"))
+    log = tx.select("event_id", F.col("accountId").cast("string").cast("binary").alias("key"),
+                    value.cast("binary").alias("value"))
+    log.write.parquet(paths.log)
+    run_available_now(topic_stage(spark, paths))
+    run_available_now(process_stage(spark, paths, max_files_per_trigger=1, compact_every=2))
+    rows = topics.scan(spark, paths.topic, TX_EID, stream=False)
+    main, _ = route(rows)
+    docs = read_documents(spark, paths.documents, schema=schemas.DOCUMENT)
+    letters = read_documents(spark, paths.dead_letters, schema=TX_EID)
+    parts = {"log": log, "topic": rows, "quarantine": read_quarantine(spark, paths), "main": main,
+             "documents": docs, "dead_letters": letters}
+    counts = None
+    for name, df in parts.items():
+        one = df.agg(F.lit(name).alias("name"), F.count(F.lit(1)).alias("n"))
+        counts = one if counts is None else counts.unionByName(one)
+    return counts.agg(*[F.max(F.when(F.col("name") == name, F.col("n"))).alias(name) for name in parts]) \
+        .select("log", "topic", "quarantine", "documents",
+                (F.col("main") - F.col("documents")).alias("duplicates"), "dead_letters",
+                (F.col("log") - F.col("topic") - F.col("quarantine")).alias("lost_in_topic"),
+                (F.col("topic") - F.col("main") - F.col("dead_letters")).alias("lost_in_stores"))
+
+
 def bucketed_text_lines(spark, sf):
     root = scratch_path(spark, "text_sink")
     e = fx.events_stream(spark, sf)
@@ -273,16 +317,23 @@ def event_counter(spark, sf):
 
 
 def event_counter_observed(spark, sf):
-    """E1 as a metric: a running count observed on the events stream (noop sink),
-    read back from the query's progress as a one-row frame."""
+    """E1 as a metric: a running count observed on the events stream (noop sink, one file
+    a batch), summed over all progress reports a listener has seen."""
     root = scratch_path(spark, "observed")
-    s = metrics.observe_counter(fx.events_stream(spark, sf), "event_counter")
-    q = run_available_now(noop_writer(s, f"{root}/_ck"))
-    total = sum(int(p.observedMetrics["event_counter"]["events"]) for p in q.recentProgress
-                if "event_counter" in p.observedMetrics)
+    s = metrics.observe_counter(fx.events_stream(spark, sf, max_files_per_trigger=1), "event_counter")
+    _, reports = run_logged(spark, noop_writer(s, f"{root}/_ck"))
+    total = observed_total(reports, "event_counter")
     return spark.createDataFrame([(total,)], "events long")
 
 
+def lag_over_timestamps(spark, sf):
+    """C14: processed-at minus event time, both in ms, of every transaction."""
+    tx = fx.transactions(spark, sf)
+    processed = F.col("timestamp") + (F.col("event_id") * fx.LAG_FACTOR) % fx.LAG_MOD
+    return tx.select("event_id", processed.alias("processed_at"), "timestamp") \
+        .withColumn("lag_ms", lag_ms(F.col("processed_at")))
+
+
 def _round(df: DataFrame, cols) -> DataFrame:
     return df.select(*[F.round(c, ROUND).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
@@ -431,7 +482,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "restart_no_reprocess": restart_no_reprocess,
     "chain_small_batches_compacted": chain_small_batches_compacted,
     "bucketed_text_lines": bucketed_text_lines,
+    "chain_conservation": chain_conservation,
     "event_counter": event_counter,
+    "lag_over_timestamps": lag_over_timestamps,
     "event_counter_observed": event_counter_observed,
     "lag_histogram": lag_histogram,
     "lag_histogram_n_plus_1": lag_histogram_n_plus_1,

@@ -31,18 +31,13 @@ def run_all_available_now(writers, timeout_s: float | None = None) -> list[Strea
     return queries
 
 
-def batch_durations_ms(q: StreamingQuery) -> list[int]:
-    """Trigger durations of the micro-batches still held in ``recentProgress``."""
-    return [int(p.durationMs.get("triggerExecution", 0)) for p in q.recentProgress
-            if p.numInputRows > 0]
-
-
-def rows_dropped_by_watermark(q: StreamingQuery) -> int:
-    """Late input the query's stateful operators dropped (over ``recentProgress``).
+def rows_dropped_by_watermark(q: StreamingQuery, reports: list | None = None) -> int:
+    """Late input the query's stateful operators dropped, over ``reports`` (all of them
+    from ``streaming.progress``; by default the latest ones, ``recentProgress``).
 
     Spark counts what reaches the state store: after map-side partial
     aggregation that is one row per late window (and task), not per raw row.
     Lateness is judged against the previous micro-batch's watermark.
     """
-    return sum(int(op.numRowsDroppedByWatermark) for p in q.recentProgress
+    return sum(int(op.numRowsDroppedByWatermark) for p in (q.recentProgress if reports is None else reports)
                for op in p.stateOperators)
