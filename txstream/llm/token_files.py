@@ -208,7 +208,8 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     # one row a part: prefix sums over the parts give every block its place
     parts = blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     before = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"))
-    placed = blocks.join(before, "part").select(
+    # one short row for each task that wrote blocks: small beside the blocks at any size
+    placed = blocks.join(F.broadcast(before), "part").select(
         (F.col("before") + F.col("first")).alias("start"), "payload")
     return placed.mapInArrow(_read_stage(lengths),
                              "doc_id long, start long, n_tokens long, ids_crc32 long")
