@@ -126,12 +126,23 @@ def test_load_feedback_lags_and_counter(spark, scratch):
         r["count"] for r in samples.groupBy("partition").count().collect())
 
 
-def test_console_sink_prints(spark, scratch, capfd):
-    from txstream.streaming.sinks import console_writer
-    s = fx.transactions_from_events(fx.events_stream(spark, SF_SMALL))
-    run_available_now(console_writer(s, row_to_line("transaction"), num_rows=3)
-                      .option("checkpointLocation", scratch("console")))
-    # the console sink prints from the JVM; only check that the query finished cleanly
+def test_console_sink_prints(tmp_path):
+    """The sink prints from the JVM, so a process of its own is run and its output read."""
+    import subprocess
+    import sys
+    from pathlib import Path
+    code = ("from txstream.session import get_session\n"
+            "from txstream.plans import fixtures as fx\n"
+            "from txstream.functions.codec import row_to_line\n"
+            "from txstream.streaming.sinks import console_writer\n"
+            "from txstream.streaming.runner import run_available_now\n"
+            "s = get_session('local[2]')\n"
+            f"t = fx.transactions_from_events(fx.events_stream(s, {SF_SMALL!r}))\n"
+            "run_available_now(console_writer(t, row_to_line('transaction'), num_rows=3)"
+            f".option('checkpointLocation', {str(tmp_path / 'ck')!r}))\n")
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).resolve().parents[1],
+                         capture_output=True, text=True, timeout=300)
+    assert out.stdout.count("Transaction{accountId=") == 3, out.stderr[-2000:]
 
 
 def test_continuous_chain_reaches_the_same_result(spark, scratch):

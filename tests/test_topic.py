@@ -118,15 +118,41 @@ def test_null_keys_stay_in_the_topic(spark, scratch):
     assert len({r.partition for r in back if not r.accountId}) == 1
 
 
-def test_kafka_format_is_wired_to_sparks_connector(spark, scratch):
-    """The connector jar is not on this class path: the failure must come from
-    Spark's source lookup for ``kafka``, i.e. the options reached the connector."""
-    import pytest
-    from txstream.sources.log import read_log
-    with pytest.raises(Exception) as err:
-        read_log(spark, "transactions", fmt="kafka",
-                 kafka_options={"kafka.bootstrap.servers": "localhost:9"})
-    assert "kafka" in str(err.value).lower()
+class _Recorder:
+    """Stands in for a stream reader or writer and keeps what it is told."""
+
+    def __init__(self):
+        self.said = {}
+
+    def format(self, name):
+        self.said["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.said[key] = value
+        return self
+
+    def load(self):
+        return self
+
+
+def test_both_ends_of_the_chain_take_the_broker(spark, scratch, monkeypatch):
+    """The connector jar is not here, so only the options passed are looked at."""
+    import types
+    from txstream.plans.chain import ChainPaths
+    from txstream.sources.log import log_writer, read_log
+    paths = ChainPaths.under(scratch("k"))
+    paths.log_name = "tx-log"
+    options = {"kafka.bootstrap.servers": "host:9092"}
+    end = _Recorder()
+    log_writer(types.SimpleNamespace(writeStream=end), paths.log_address("kafka"), "ck", "kafka", options)
+    assert end.said == {"checkpointLocation": "ck", "format": "kafka", "topic": "tx-log", **options}
+    start = _Recorder()
+    read_log(types.SimpleNamespace(readStream=start), paths.log_address("kafka"), "kafka",
+             kafka_options=options, max_offsets_per_trigger=5000)
+    assert start.said == {"format": "kafka", "subscribe": "tx-log", "startingOffsets": "earliest",
+                          "maxOffsetsPerTrigger": 5000, **options}
+    assert paths.log_address("parquet") == paths.log
 
 
 def test_topic_scans_prune_the_quarantine_partition(spark, scratch):

@@ -30,7 +30,7 @@ from pyspark.sql import SparkSession, functions as F
 
 from txstream.plans import load, recovery
 from txstream.plans.chain import ChainPaths, log_stage, process_stage, topic_stage
-from txstream.session import checkpoint_root, ship_package
+from txstream.session import DEFAULT_CONF, checkpoint_root, ship_package
 from txstream.sources.generators import generate_stream
 
 
@@ -49,6 +49,10 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--payload-size", type=int, default=100)
     p.add_argument("--start", choices=["earliest", "latest"], default="earliest")
     p.add_argument("--compact-every", type=int)
+    p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--max-bytes-per-trigger", help="for example 8g")
+    p.add_argument("--max-offsets-per-trigger", type=int, help="bound of a broker's batch")
+    p.add_argument("--log-name", default="transactions", help="the log's name on a broker")
     p.add_argument("--log-format", choices=["parquet", "kafka"], default="parquet")
     p.add_argument("--kafka-bootstrap-servers")
     return p
@@ -67,16 +71,20 @@ def writers(spark: SparkSession, args) -> list:
     paths = ChainPaths.under(root)
     if args.checkpoint_root:
         paths.checkpoints = args.checkpoint_root
+    paths.log_name = args.log_name
+    files = {"max_files_per_trigger": args.max_files_per_trigger,
+             "max_bytes_per_trigger": args.max_bytes_per_trigger}
     kafka = ({"kafka.bootstrap.servers": args.kafka_bootstrap_servers}
              if args.kafka_bootstrap_servers else None)
     if args.job == "generate":
         s = generate_stream(spark, "transactions", args.rows_per_second, args.parallelism)
         return [log_stage(_bounded(s, args.max_records), paths, args.log_format, kafka)]
     if args.job == "log-to-topic":
-        return [topic_stage(spark, paths, args.partitions)]
+        return [topic_stage(spark, paths, args.partitions, args.log_format, kafka,
+                            max_offsets_per_trigger=args.max_offsets_per_trigger, **files)]
     if args.job == "process":
         return [process_stage(spark, paths, start=args.start, num_partitions=args.partitions,
-                              compact_every=args.compact_every)]
+                              compact_every=args.compact_every, **files)]
     if args.job == "recovery-producer":
         s = generate_stream(spark, "sequence_events", args.rows_per_second, args.parallelism)
         return [recovery.producer(_bounded(s, args.max_records), root)]
@@ -148,7 +156,10 @@ def _stop_after(q, n: int, others=(), poll_s: float = 0.5) -> None:
 
 
 def main() -> None:
-    run(SparkSession.builder.appName("txstream-jobs").getOrCreate(), sys.argv[1:])
+    builder = SparkSession.builder.appName("txstream-jobs")
+    for k, v in DEFAULT_CONF.items():
+        builder = builder.config(k, v)
+    run(builder.getOrCreate(), sys.argv[1:])
 
 
 if __name__ == "__main__":

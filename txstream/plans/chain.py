@@ -38,12 +38,17 @@ class ChainPaths:
     documents: str
     dead_letters: str
     checkpoints: str
+    log_name: str = "transactions"      # name of the log on a broker
 
     @classmethod
     def under(cls, root: str) -> "ChainPaths":
         return cls(f"{root}/log", f"{root}/topic", f"{root}/documents",
                    f"{root}/dead_letters", f"{root}/_checkpoints")
 
+    def log_address(self, fmt: str) -> str:
+        """Folder of the file log, or the broker's name for it."""
+        return self.log_name if fmt == "kafka" else self.log
+
     def with_outputs(self, suffix: str) -> "ChainPaths":
         """Same log and topic, separate documents, dead letters and checkpoints."""
         return replace(self, documents=self.documents + suffix,
@@ -60,16 +65,23 @@ def log_stage(transactions: DataFrame, paths: ChainPaths, fmt: str = "parquet",
     """
     if "event_id" not in transactions.columns:
         transactions = transactions.withColumn("event_id", F.col("accountId"))
-    records = to_log_record(transactions, keep=["event_id"])
-    return logsrc.log_writer(records, paths.log, f"{paths.checkpoints}/log", fmt, kafka_options)
+    # a broker takes key and value only; there the record's offset breaks ties
+    records = to_log_record(transactions, keep=[] if fmt == "kafka" else ["event_id"])
+    return logsrc.log_writer(records, paths.log_address(fmt), f"{paths.checkpoints}/log", fmt,
+                             kafka_options)
 
 
 def topic_stage(spark: SparkSession, paths: ChainPaths,
-                num_partitions: int = topics.DEFAULT_PARTITIONS):
-    """Stage 2 writer: every log record is parsed once; decoded records go to
+                num_partitions: int = topics.DEFAULT_PARTITIONS, fmt: str = "parquet",
+                kafka_options: dict | None = None, **bounds):
+    """Stage 2 writer (``fmt``, ``kafka_options``: as for the log's writer; ``bounds``:
+    the ``max_*_per_trigger`` arguments of ``read_log``): every log record is parsed once; decoded records go to
     their key's partition, undecodable ones (raw text kept in ``value``) to the
     reserved quarantine partition of the same topic.  One exactly-once sink."""
-    log = logsrc.read_log(spark, paths.log, extra_fields=[T.StructField("event_id", T.LongType())])
+    log = logsrc.read_log(spark, paths.log_address(fmt), fmt, kafka_options=kafka_options,
+                          extra_fields=[T.StructField("event_id", T.LongType())], **bounds)
+    if fmt == "kafka":
+        log = log.select(F.col("offset").alias("event_id"), "key", "value")
     parsed = parse_json(log.withColumn("value", F.col("value").cast("string")),
                         schemas.TRANSACTION, "value", keep=["event_id"])
     bad = F.col(BAD)
@@ -98,11 +110,12 @@ def read_quarantine(spark: SparkSession, paths: ChainPaths) -> DataFrame:
 def process_stage(spark: SparkSession, paths: ChainPaths, start: str = "earliest",
                   fee: int = 5, num_partitions: int = topics.DEFAULT_PARTITIONS,
                   group: str = "transaction-group", max_files_per_trigger: int | None = None,
-                  compact_every: int | None = None):
+                  compact_every: int | None = None, max_bytes_per_trigger: str | None = None):
     record = schemas.with_fields(schemas.TRANSACTION, T.StructField("event_id", schemas.L))
     group_dir = f"{paths.checkpoints}/{group}"
     stream = topics.scan(spark, paths.topic, record, group=group_dir, start=start,
-                         max_files_per_trigger=max_files_per_trigger)
+                         max_files_per_trigger=max_files_per_trigger,
+                         max_bytes_per_trigger=max_bytes_per_trigger)
     return process_writer(stream, paths.documents, paths.dead_letters, group_dir, fee,
                           num_partitions, compact_every)
 
@@ -135,6 +148,6 @@ def start_chain(spark: SparkSession, transactions: DataFrame, root: str,
             .trigger(processingTime=trigger_interval).start()
 
     queries = {"log": go(log_stage(transactions, paths, fmt, kafka_options), "log")}
-    queries["topic"] = go(topic_stage(spark, paths), "topic")
+    queries["topic"] = go(topic_stage(spark, paths, fmt=fmt, kafka_options=kafka_options), "topic")
     queries["process"] = go(process_stage(spark, paths, start=start), "process")
     return queries

@@ -58,6 +58,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not (sc.master or "").startswith("local[") and sc.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder all machines share; a local"
+                           f" folder does not serve {sc.master}")
     root = tempfile.mkdtemp(prefix="txstream-ckpt-")
     sc.setCheckpointDir(root)
     return root
@@ -114,7 +117,7 @@ def ship_package(spark: SparkSession) -> None:
         folder = Path(tempfile.gettempdir()) / f"txstream-pyfiles-{digest}"
         folder.mkdir(parents=True, exist_ok=True)
         target = folder / f"txstream-{digest}.zip"
-        if not target.exists():
+        if not target.exists() or target.read_bytes() != data:
             tmp = folder / f".{uuid.uuid4().hex}.zip"
             tmp.write_bytes(data)
             os.replace(tmp, target)

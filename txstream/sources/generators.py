@@ -44,20 +44,25 @@ GENERATORS = {
 }
 
 
+def columns_of(kind, id_col: Column, clock: Column, **kw) -> list[Column]:
+    """Columns of a built-in record type, or of a caller's ``(id_col, clock) -> [Column]``."""
+    return (kind if callable(kind) else GENERATORS[kind])(id_col, clock, **kw)
+
+
 def generate(spark: SparkSession, n: int, kind: str = "transactions",
              num_partitions: int | None = None, clock: Column | None = None,
              **kw) -> DataFrame:
     """Bounded batch of ``n`` generated rows over ids ``0..n-1``."""
     ids = spark.range(0, n, 1, num_partitions)
     clock = now_ms() if clock is None else clock
-    return ids.select(*GENERATORS[kind](F.col("id"), clock, **kw))
+    return ids.select(*columns_of(kind, F.col("id"), clock, **kw))
 
 
 def generate_from(df: DataFrame, id_col: str, kind: str = "transactions",
                   clock: Column | None = None, keep=(), **kw) -> DataFrame:
     """Apply a generator to an id column of any frame (batch or stream)."""
     clock = now_ms() if clock is None else clock
-    return df.select(*keep, *GENERATORS[kind](F.col(id_col), clock, **kw))
+    return df.select(*keep, *columns_of(kind, F.col(id_col), clock, **kw))
 
 
 def generate_stream(spark: SparkSession, kind: str = "transactions",
@@ -70,7 +75,7 @@ def generate_stream(spark: SparkSession, kind: str = "transactions",
     The default rate depends on the record type (``DEFAULT_RATES``).
     """
     if rows_per_second is None:
-        rows_per_second = DEFAULT_RATES[kind]
+        rows_per_second = 1 if callable(kind) else DEFAULT_RATES[kind]
     if deterministic:
         src = (spark.readStream.format("rate-micro-batch")
                .option("rowsPerBatch", rows_per_second)
@@ -81,4 +86,4 @@ def generate_stream(spark: SparkSession, kind: str = "transactions",
         src = (spark.readStream.format("rate").option("rowsPerSecond", rows_per_second)
                .option("numPartitions", num_partitions).load())
     clock = F.unix_millis(F.col("timestamp"))
-    return src.select(*GENERATORS[kind](F.col("value"), clock, **kw))
+    return src.select(*columns_of(kind, F.col("value"), clock, **kw))

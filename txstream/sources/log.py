@@ -31,22 +31,33 @@ def log_writer(records: DataFrame, path_or_topic: str, checkpoint: str,
 def read_log(spark: SparkSession, path_or_topic: str, fmt: str = "parquet",
              stream: bool = True, starting: str = "earliest",
              kafka_options: dict | None = None, extra_fields=(),
-             group: str | None = None) -> DataFrame:
+             group: str | None = None, max_files_per_trigger: int | None = None,
+             max_bytes_per_trigger: str | None = None,
+             max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Scan the log from the earliest record (default) as a stream or a batch.
 
     ``starting="latest"`` on the file log needs ``group`` (the checkpoint folder
     of the reading query) to remember which records existed at its first start.
+    The ``max_*_per_trigger`` arguments bound a micro-batch (files and bytes of the file
+    log, records of the broker).
     """
     if fmt == "kafka":
         r = (spark.readStream if stream else spark.read).format("kafka")
         r = r.option("subscribe", path_or_topic).option("startingOffsets", starting)
+        if stream and max_offsets_per_trigger:
+            r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
         for k, v in (kafka_options or {}).items():
             r = r.option(k, v)
         return r.load()
     schema = T.StructType(list(extra_fields) + list(schemas.LOG_RECORD.fields))
     if not stream:
         return spark.read.schema(schema).parquet(path_or_topic)
-    df = spark.readStream.schema(schema).parquet(path_or_topic)
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+    df = reader.parquet(path_or_topic)
     if starting == "latest":
         if group is None:
             raise ValueError("starting='latest' on the file log needs a group")

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -33,26 +32,21 @@ def process_batch(batch: DataFrame, batch_id: int, documents: str, dead_letters:
     batch before this one into their bases each ``k`` batches (those batches
     are committed); read them with ``operators.documents.read_documents``.
     """
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        main, dead = route(batch)
-        docs = to_document(enrich_fee(main, fee), keep=["event_id"])
-        cols = [c for c in DEAD_LETTER_COLUMNS if c in dead.columns]
-        dead_out = assign_partition(dead.select(*cols), "accountId", num_partitions)
+    main, dead = route(batch)       # two reads of the batch's files, each with its filter pushed down
+    docs = to_document(enrich_fee(main, fee), keep=["event_id"])
+    cols = [c for c in DEAD_LETTER_COLUMNS if c in dead.columns]
+    dead_out = assign_partition(dead.select(*cols), "accountId", num_partitions)
 
-        def write_documents():
-            insert_once(docs, documents, batch_id, key="_id", columns=DOCUMENT_COLUMNS)
+    def write_documents():
+        insert_once(docs, documents, batch_id, key="_id", columns=DOCUMENT_COLUMNS)
 
-        def write_dead_letters():
-            dead_out.write.mode("overwrite").partitionBy(PARTITION) \
-                .parquet(f"{dead_letters}/batch={batch_id}")
+    def write_dead_letters():
+        dead_out.write.mode("overwrite").partitionBy(PARTITION) \
+            .parquet(f"{dead_letters}/batch={batch_id}")
 
-        # the two outputs only read the persisted batch: run them as concurrent jobs
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            for f in [pool.submit(write_documents), pool.submit(write_dead_letters)]:
-                f.result()
-    finally:
-        batch.unpersist()
+    with ThreadPoolExecutor(max_workers=2) as pool:     # concurrent jobs
+        for f in [pool.submit(write_documents), pool.submit(write_dead_letters)]:
+            f.result()
     if compact_every and batch_id > 0 and batch_id % compact_every == 0:
         spark = batch.sparkSession
         with ThreadPoolExecutor(max_workers=2) as pool:
@@ -80,7 +74,7 @@ def text_writer(stream: DataFrame, line: Column, path: str, checkpoint: str,
                 num_partitions: int | None = None) -> DataStreamWriter:
     """One UTF-8 line per row into ``bucket=<time bucket>/`` folders (UTC buckets).
 
-    Each micro-batch is range-partitioned on ``(bucket, time, line)`` before the
+    Each micro-batch is range-partitioned on ``(bucket, time, hash)`` before the
     write: every task receives a contiguous run of buckets, so a batch writes
     about ``buckets + tasks`` files instead of ``buckets x tasks``, and a hot
     bucket is split over several tasks rather than landing on one.
@@ -95,7 +89,7 @@ def text_writer(stream: DataFrame, line: Column, path: str, checkpoint: str,
                         F.date_format(ms_to_ntz(time_ms), bucket_format).alias("bucket"),
                         F.col(time_ms).alias("_t"))
     if n > 0:
-        out = out.repartitionByRange(n, "bucket", "_t", "value")
+        out = out.repartitionByRange(n, "bucket", "_t", F.xxhash64("value"))
     out = out.drop("_t")
     return (out.writeStream.format("text").partitionBy("bucket")
             .option("path", path).option("checkpointLocation", checkpoint)
