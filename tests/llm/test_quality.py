@@ -1,0 +1,91 @@
+import math
+
+import numpy as np
+import pytest
+
+from txstream.llm import quality
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_logistic_fit_separates_words_and_ignores_noise():
+    rng = np.random.default_rng(0)
+    doc, bucket, y = [], [], rng.integers(0, 2, 600)
+    for i, bad in enumerate(y):
+        words = set(rng.integers(1000, 200_000, 60).tolist()) | ({7} if bad else set())
+        doc += [i] * len(words)
+        bucket += sorted(words)
+    shape = rng.normal(0, 1, (600, quality.N_SHAPE))
+    head = quality.fit(np.array(doc), np.array(bucket), shape, y)
+    z = head.log_odds(600, np.array(doc), np.array(bucket), shape)
+    assert ((z > 0) == (y == 1)).mean() > 0.99 and head.buckets[7] > 2
+    assert np.count_nonzero(head.buckets) < 10
+
+
+def test_one_kind_of_label_gives_a_constant():
+    none = quality.fit(np.empty(0, int), np.empty(0, int), np.empty((0, quality.N_SHAPE)), np.empty(0, int))
+    assert none.bias == 30
+    zeros = quality.fit(np.array([0]), np.array([1]), np.zeros((1, quality.N_SHAPE)), np.array([0]))
+    assert zeros.bias == -30
+
+
+def test_posteriors_shrink_sparse_sites(spark):
+    rows = [("big", "a", 0.9)] * 400 + [("big", "b", 0.1)] * 300 + [("small", "a", 0.1)] + [(None, None, 0.2)] * 3
+    df = spark.createDataFrame(rows, "h string, l string, p double")
+    got = {(r.h, r.l): r for r in quality.posteriors(df, "h", ["h", "l"]).collect()}
+    base = sum(r[2] for r in rows) / len(rows)
+    assert math.isclose(got["big", "a"].base, base) and got["big", "a"].n == 400
+    post = {k: (r.strength * r.host_mean + r.good) / (r.strength + r.n) for k, r in got.items()}
+    assert abs(post["big", "a"] - 0.9) < 0.05 and abs(post["big", "b"] - 0.1) < 0.05
+    assert 0.1 < post["small", "a"] < base + 0.1       # one document says little
+    hosts = {}
+    for h, _, p in rows:
+        n, g = hosts.get(h, (0, 0.0))
+        hosts[h] = n + 1, g + p
+    spread = sum(n * (g / n - base) ** 2 for n, g in hosts.values()) / len(rows)
+    noise = base * (1 - base) * len(hosts) / len(rows)
+    s0 = min(1e4, max(2.0, base * (1 - base) / max(spread - noise, 1e-5) - 1))
+    for (h, _), r in got.items():
+        n, g = hosts[h]
+        assert math.isclose(r.host_mean, (s0 * base + g) / (s0 + n), rel_tol=1e-9)
+
+
+def test_documents_are_kept_and_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = quality.classify(docs, labels).join(labels, "doc_id").toPandas()
+    clean = got[(got.quality == 1) & (got.toxic == 0)]
+    assert clean.kept.mean() > 0.97
+    assert got[got.quality == 0].kept.mean() < 0.1
+    assert ((got.score >= 0) & (got.score <= 1)).all() and ((got.score >= 0.5) == got.kept).all()
+
+
+def test_edge_cases(spark):
+    labels = spark.createDataFrame([], "doc_id long, quality long, toxic long")
+    rows = [(1, "fine words here", None, None, 5), (2, None, "s", "en", 5), (3, "", "s", "en", 5),
+            (None, "more words", "s", "en", 5), (1, "fine words here", None, None, 5),
+            (4, "word " * 40_000, "s", None, 5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, p long")
+    kept = quality.filter_quality(df, labels)
+    assert kept.columns == df.columns
+    assert sorted((r.doc_id or 0, r.p) for r in kept.collect()) == [(0, 5), (1, 5), (1, 5), (4, 5)]
+    assert quality.classify(df, labels).count() == len(rows)
+    assert quality.classify(df.limit(0), labels).count() == 0
+    odd = spark.createDataFrame([(1, 1, 0), (1, 0, None), (None, 1, 1), (4, None, 0)],
+                                "doc_id long, quality long, toxic long")
+    assert quality.classify(df, odd).count() == len(rows)
+
+
+@pytest.mark.parametrize("name", ["op1_chat_formatting", "op5_mixing_sources", "op9_winnowing_decontamination"])
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+    from tools.check_oracle import rows_of
+    from txstream.llm.queries import ORACLE, QUERIES
+    sf = "/root/testdata/sf0.001"
+    got = QUERIES[name](spark, sf)
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "conversations"):
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    cur = con.execute(ORACLE[name])
+    want, cols = cur.fetchall(), [d[0] for d in cur.description]
+    assert rows_of(got.columns, [tuple(r) for r in got.collect()]) == rows_of(cols, want)
