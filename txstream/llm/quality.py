@@ -9,8 +9,8 @@ document's score adds the log-odds of its own evidence and of its path, without
 own share in the path.  ``documents`` has no address; its host is ``source`` and its
 path ``(source, lang)`` -- both are parameters.
 
-The model sees hashed words (presence, 2^18 buckets) that differ clearly between the
-classes, and shape: shares of signs, digits, capitals and repeated words, word
+The model sees hashed words and word beginnings (presence, 2^18 buckets) that differ
+clearly between the classes, and shape: shares of signs, digits, capitals and repeated words, word
 and line lengths.
 
 Defined results: a text without words (null, empty) has probability 0 and is not kept;
@@ -22,7 +22,7 @@ also of clashing names, pass through ``filter_quality`` unchanged.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,7 @@ from txstream.session import materialize
 U = np.uint64
 BUCKETS = 1 << 18
 N_SHAPE = 9
+PREFIXES = (4, 5)       # bytes
 EPS = 1e-6
 
 
@@ -70,8 +71,14 @@ def features(column):
     """Per chunk: words, (document, bucket) pairs without repeats, shape."""
     raw, offsets = tb.buffers(column)
     for w in tb.scan(column, tb.ALNUM, True):
-        h = w.hashes()
-        pair = np.unique(w.docs() * BUCKETS + (h & U(BUCKETS - 1)).astype(np.int64))
+        h, doc = w.hashes(), w.docs()
+        pairs = [doc * BUCKETS + (h & U(BUCKETS - 1)).astype(np.int64)]
+        for n in PREFIXES:      # words of one stem share these
+            longer = np.flatnonzero(w.ends - w.starts > n)
+            stem = replace(w, starts=w.starts[longer], ends=w.starts[longer] + n).hashes()
+            pairs.append(doc[longer] * BUCKETS
+                         + (tb.mix(stem + U(n)) & U(BUCKETS - 1)).astype(np.int64))
+        pair = np.unique(np.concatenate(pairs))
         part = raw[offsets[w.first_doc]:offsets[w.first_doc + w.n_docs]]
         yield w, pair // BUCKETS, pair % BUCKETS, shape_of(w, part, h)
 
@@ -92,7 +99,7 @@ class Head:
 
 
 def fit(doc: np.ndarray, bucket: np.ndarray, shape: np.ndarray, y: np.ndarray,
-        most_buckets: int = 400, z_min: float = 5.0, ridge: float = 1.0) -> Head:
+        most_buckets: int = 400, z_min: float = 5.0, ridge: float = 0.3) -> Head:
     """Ridge logistic regression on the words that differ clearly between the classes."""
     n, weights = len(y), np.zeros(BUCKETS)
     mean = shape.mean(0) if n else np.zeros(N_SHAPE)
