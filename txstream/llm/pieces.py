@@ -19,6 +19,7 @@ import numpy as np
 from txstream.llm.textbytes import chunks
 
 U = np.uint64
+AT_ONCE = 2048            # pieces or texts given to the library in one call
 KEEP = 1_000_000          # distinct pieces a worker remembers; more start a new memory
 
 # Ranges of code points whose classes have long been settled, and the
@@ -101,7 +102,11 @@ class PieceEncoder:
         self.pool = np.empty(0, np.uint32)
 
     def plain(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+        out = []
+        for a in range(0, len(texts), AT_ONCE):      # the library's results are large objects
+            out += [e.ids for e in self.library.encode_batch_fast(texts[a:a + AT_ONCE],
+                                                                  add_special_tokens=False)]
+        return out
 
     def _remember(self, keys, proof, pieces) -> None:
         ids = self.plain(pieces)

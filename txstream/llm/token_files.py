@@ -61,23 +61,24 @@ def _tokenize_stage(path: str, end_id: int):
     return run
 
 
-def _unpack(b) -> tuple[np.ndarray, np.ndarray]:
-    """Concatenated ids of a batch and bounds."""
+def _unpack(b):
+    """Row ranges of about STEP ids: first and last row, their ids and bounds."""
     n = np.asarray(b.column("n_tokens"), np.int64)
-    raw = b"".join(b.column("ids").to_pylist())
-    width = len(raw) // max(1, int(n.sum()))
-    return (np.frombuffer(raw, np.uint16 if width == 2 else np.uint32),
-            np.concatenate(([0], np.cumsum(n))))
+    bounds = np.concatenate(([0], np.cumsum(n)))
+    for i, j in chunks(bounds, STEP):
+        raw = b"".join(b.column("ids")[i:j].to_pylist())
+        width = len(raw) // max(1, int(bounds[j] - bounds[i]))
+        yield i, j, np.frombuffer(raw, np.uint16 if width == 2 else np.uint32), bounds[i:j + 1] - bounds[i]
 
 
 def _count_stage(batches):
     """Arrow stage: token table -> count of every id in this task."""
     total = np.zeros(0, np.int64)
     for b in batches:
-        ids, _ = _unpack(b)
-        got = np.bincount(ids, minlength=len(total))
-        got[:len(total)] += total
-        total = got
+        for _, _, ids, _ in _unpack(b):
+            got = np.bincount(ids, minlength=len(total))
+            got[:len(total)] += total
+            total = got
     used = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
@@ -88,11 +89,8 @@ def _bits_stage(lengths: np.ndarray, interval: int):
 
     def run(batches):
         for b in batches:
-            ids, bounds = _unpack(b)
-            for i, j in chunks(bounds, STEP):
-                cut = bounds[i:j + 1] - bounds[i]
-                bits, at, marks, mark_at = huffman.encode(
-                    ids[bounds[i]:bounds[j]], cut, lengths, codes, interval)
+            for i, j, ids, cut in _unpack(b):
+                bits, at, marks, mark_at = huffman.encode(ids, cut, lengths, codes, interval)
                 raw, mraw = bits.tobytes(), marks.tobytes()
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id")[i:j], b.column("n_tokens")[i:j], b.column("crc")[i:j],
