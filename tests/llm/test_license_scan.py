@@ -12,11 +12,9 @@ def brute(text, marks, block):
     base, labels, best = {x for _, x in places}, set(), 0.0
     for b in range(0, max(1, len(w)), half):
         part = set(w[b:b + block])
-        for t in marks:
-            got = len(part & set(t.words))
-            if not t.phrase and got >= t.need:
-                labels.add(t.label)
-                best = max(best, got / len(t.words))
+        found = [t for t in marks if not t.phrase and len(part & set(t.words)) >= t.need]
+        labels |= {t.label for t in found if not any(set(t.words) < set(u.words) for u in found)}
+        best = max([best, *(len(part & set(t.words)) / len(t.words) for t in found)])
     starts = sorted(i for i, _ in places)
     return (len(w), len(starts), starts[0] if starts else None, starts[-1] if starts else None,
             ",".join(sorted(base)), ",".join(sorted(base | labels)), 1.0 if base else best)

@@ -8,6 +8,8 @@ documents (counted first, only for template words), and of each template only th
 ``need`` words are skipped (length filter); the words are then compared in that order
 and given up as soon as the rest cannot reach ``need`` (positional filter).  No block
 that meets the threshold is missed, and matches are verified on the words themselves.
+Where a block matches two notices of which one has all words of the other and more,
+only that one gives its label.
 
 Phrases are templates of threshold 1 whose words must also stand one after another;
 every such place is counted.
@@ -123,11 +125,14 @@ def _scan_stage(marks: list[Template], frequency: dict[str, int], block: int):
     looked_up = np.array([bool(x) for x in by_word])
     half = block // 2
 
+    wider = [{j for j, u in enumerate(marks) if not u.phrase and set(t.words) < set(u.words)}
+             for t in marks]      # notices that contain a notice's words and more
+
     def search(ids: np.ndarray, text_of) -> tuple[list, set, float]:
         """Phrase places, labels and best containment of one document."""
         candidates = {(b, k) for p in np.flatnonzero((ids >= 0) & looked_up[ids])
                       for b in {p // half, max(0, p // half - 1)} for k in by_word[ids[p]]}
-        places, labels, best = set(), set(), 0.0
+        places, found, best = set(), set(), 0.0
         for b, k in sorted(candidates):
             t, part = marks[k], ids[b * half:b * half + block]
             if len(part) < t.need:
@@ -146,8 +151,10 @@ def _scan_stage(marks: list[Template], frequency: dict[str, int], block: int):
                                 text_of(at + j) == w for j, w in enumerate(t.words)):
                             places.add((at, k))
                 else:
-                    labels.add(t.label)
+                    found.add((b, k))
                     best = max(best, got / len(ordered[k]))
+        # the more specific notice of a block speaks for it
+        labels = {marks[k].label for b, k in found if not any((b, j) in found for j in wider[k])}
         return sorted(places), labels, best
 
     def run(batches):
