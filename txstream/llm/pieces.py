@@ -20,7 +20,7 @@ from txstream.llm.textbytes import chunks
 
 U = np.uint64
 AT_ONCE = 2048            # pieces or texts given to the library in one call
-KEEP = 1_000_000          # distinct pieces a worker remembers; more start a new memory
+KEEP = 500_000            # distinct pieces a worker remembers; more start a new memory
 
 # Ranges of code points whose classes have long been settled, and the
 # contractions and white space of the byte-level pattern.

@@ -67,17 +67,27 @@ def shape_of(words: tb.Words, raw: np.ndarray, hashes: np.ndarray) -> np.ndarray
     return out
 
 
-def features(column):
-    """Per chunk: words, (document, bucket) pairs without repeats, shape."""
+def _pairs(doc: np.ndarray, h: np.ndarray, wanted: np.ndarray | None) -> np.ndarray:
+    bucket = (h & U(BUCKETS - 1)).astype(np.int64)
+    if wanted is not None:
+        use = np.flatnonzero(wanted[bucket])
+        doc, bucket = doc[use], bucket[use]
+    return doc * BUCKETS + bucket
+
+
+def features(column, wanted: np.ndarray | None = None):
+    """Per chunk: words, (document, bucket) pairs without repeats, shape.
+
+    ``wanted`` (a flag per bucket) leaves out pairs of other buckets.
+    """
     raw, offsets = tb.buffers(column)
     for w in tb.scan(column, tb.ALNUM, True):
         h, doc = w.hashes(), w.docs()
-        pairs = [doc * BUCKETS + (h & U(BUCKETS - 1)).astype(np.int64)]
+        pairs = [_pairs(doc, h, wanted)]
         for n in PREFIXES:      # words of one stem share these
             longer = np.flatnonzero(w.ends - w.starts > n)
             stem = replace(w, starts=w.starts[longer], ends=w.starts[longer] + n).hashes()
-            pairs.append(doc[longer] * BUCKETS
-                         + (tb.mix(stem + U(n)) & U(BUCKETS - 1)).astype(np.int64))
+            pairs.append(_pairs(doc[longer], tb.mix(stem + U(n)), wanted))
         pair = np.unique(np.concatenate(pairs))
         part = raw[offsets[w.first_doc]:offsets[w.first_doc + w.n_docs]]
         yield w, pair // BUCKETS, pair % BUCKETS, shape_of(w, part, h)
@@ -184,9 +194,10 @@ def _score_stage(heads, extra: tuple[str, str]):
 
     def run(batches):
         good, bad = heads()
+        wanted = (good.buckets != 0) | (bad.buckets != 0)      # others weigh nothing
         for b in batches:
             out = [np.empty(b.num_rows), np.empty(b.num_rows)]
-            for w, doc, bucket, shape in features(b.column("text")):
+            for w, doc, bucket, shape in features(b.column("text"), wanted):
                 rows = slice(w.first_doc, w.first_doc + w.n_docs)
                 for k, head in enumerate((good, bad)):
                     z = np.clip(head.log_odds(w.n_docs, doc, bucket, shape), -30, 30)

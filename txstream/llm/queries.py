@@ -18,7 +18,13 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return str(public_tokenizers.path(name))
 
 
+# Texts travel to Python workers in batches of about this size: two workers of an
+# executor then stay within a few hundred MB beside its heap.
+BATCH_BYTES = "16m"
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
