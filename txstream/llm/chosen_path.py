@@ -100,6 +100,7 @@ def _digest_stage(k: int, runs: int, per_set: tuple[float, ...]):
     """Arrow stage: doc_id, text_hash, text -> signature, size, picked shingles, sketch."""
 
     def run(batches):
+        tb.release_memory()
         for b in batches:
             for w in tb.scan(b.column("text"), tb.ALNUM, True):
                 x, bounds = shingle_sets(w, k)

@@ -106,6 +106,7 @@ def _document_stage(k: int, window: int, short: list[int], filter_words):
     """Arrow stage: documents -> n_words and the fingerprints that may be an item's."""
 
     def run(batches):
+        tb.release_memory()
         known = filter_words()
         for b in batches:
             for w in tb.scan(b.column("text"), tb.ALNUM, True):

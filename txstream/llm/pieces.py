@@ -16,7 +16,7 @@ import unicodedata
 
 import numpy as np
 
-from txstream.llm.textbytes import chunks
+from txstream.llm.textbytes import KEPT, chunks
 
 U = np.uint64
 AT_ONCE = 2048            # pieces or texts given to the library in one call
@@ -201,6 +201,9 @@ class PieceEncoder:
         return self.pool[index], np.diff(per_text)
 
 
+KEPT.append(_cache.clear)
+
+
 def encoder(path: str) -> PieceEncoder:
     """The worker's encoder of a tokenizer file."""
     if ("encoder", path) not in _cache:

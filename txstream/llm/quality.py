@@ -193,6 +193,7 @@ def _score_stage(heads, extra: tuple[str, str]):
     """Arrow stage: any columns with ``text`` -> the same and both probabilities."""
 
     def run(batches):
+        tb.release_memory()
         good, bad = heads()
         wanted = (good.buckets != 0) | (bad.buckets != 0)      # others weigh nothing
         for b in batches:

@@ -8,6 +8,7 @@ working arrays stay small whatever the batch holds.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,6 +36,23 @@ LETTERS = byte_class([*range(0x61), *range(0x7B, 0x80)])
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
+KEPT: list = []     # callables that drop what a module remembers across tasks
+
+
+def release_memory() -> None:
+    """Drop other stages' memories and give freed memory back to the system.
+
+    Python workers are reused by later stages, beside an executor's heap; a stage calls
+    this when it begins.
+    """
+    for drop in KEPT:
+        drop()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # only some C libraries have it
+    if trim is not None:
+        trim(0)
+
+
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**64, 256, dtype=U)
 _BASE = U(0x9E3779B97F4A7C15)                      # odd, so it has an inverse mod 2^64

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from txstream.llm import huffman
 from txstream.llm.pieces import encoder
-from txstream.llm.textbytes import chunks
+from txstream.llm.textbytes import chunks, release_memory
 from txstream.session import materialize
 
 MAGIC = b"TXH1"
@@ -73,6 +73,7 @@ def _unpack(b):
 
 def _count_stage(batches):
     """Arrow stage: token table -> count of every id in this task."""
+    release_memory()
     total = np.zeros(0, np.int64)
     for b in batches:
         for _, _, ids, _ in _unpack(b):
@@ -166,6 +167,7 @@ def _read_stage(lengths: np.ndarray):
     """Arrow stage: blocks with their start -> documents with start, ids and checksum."""
 
     def run(batches):
+        release_memory()
         table = huffman.decode_table(lengths)
         for b in batches:
             for start, payload in zip(b.column("start").to_pylist(), b.column("payload").to_pylist()):
