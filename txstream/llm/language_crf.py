@@ -29,7 +29,7 @@ from txstream.llm import textbytes as tb
 
 U = np.uint64
 BITS = 17
-STEP = 8 << 20          # bytes of text worked on at once
+STEP = 2 << 20          # bytes of text worked on at once
 
 
 def word_features(words: tb.Words) -> tuple[np.ndarray, np.ndarray]:
@@ -207,6 +207,7 @@ def word_probabilities(model: Model, words: tb.Words) -> np.ndarray:
 
 def _predict_stage(get_model):
     def run(batches):
+        tb.release_memory()
         model = get_model()
         names = np.array([*model.labels, "und"], object)
         for b in batches:
