@@ -242,11 +242,11 @@ def train(docs: DataFrame, per_language: int = 200) -> Model:
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return Model([], np.zeros((1, 0), np.float32), np.zeros((0, 0)), np.zeros(0))
-    rates = docs.sparkSession.createDataFrame(
-        [(k, int((1 << 30) * min(1.0, per_language / n))) for k, n in counts.items()], "_lang string, _rate long")
-    part = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) <= F.col("_rate")
-    got = (known.join(rates, known["lang"] == rates["_lang"]).where(part)
-           .select("doc_id", "lang", "text").collect())
+    # one literal a language: texts are filtered where they are read
+    rates = F.create_map(*[F.lit(x) for k, n in counts.items()
+                           for x in (k, int((1 << 30) * min(1.0, per_language / n)))])
+    part = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) <= rates[F.col("lang")]
+    got = known.where(part).select("doc_id", "lang", "text").collect()
     got.sort(key=lambda r: (r["doc_id"], r["lang"], r["text"]))
     return fit([r["text"] for r in got], [r["lang"] for r in got])
 
