@@ -98,3 +98,20 @@ def test_intersections():
     got = cp.intersections(sets, cells=64)
     assert all(got[i, j] == len(np.intersect1d(sets[i], sets[j])) for i in range(17) for j in range(17)
                if i != j)
+
+
+def test_pairs_count_in_one_unit_and_are_not_listed():
+    """A member's row is three numbers, however many partners and units it has."""
+    import pyarrow as pa
+
+    grams = np.arange(50, dtype=np.uint64)
+    m = [{"cid": i, "copies": i + 1, "units": [4, 7], "grams": grams.tobytes()} for i in range(3)]
+    m.append({"cid": 9, "copies": 1, "units": [7], "grams": grams.tobytes()})
+    unit_of = {4: m[:3], 7: m}
+    batch = pa.RecordBatch.from_pylist([{"unit": u, "m": x} for u, x in unit_of.items()])
+    out = pa.Table.from_batches(cp._verify_stage(0.8)([batch])).to_pylist()
+    assert [sorted(r) for r in out] == [["cid", "linked_docs", "root"]] * 7
+    total = Counter()
+    for r in out:
+        total[r["cid"]] += r["linked_docs"]
+    assert total == {0: 6, 1: 5, 2: 4, 9: 6}

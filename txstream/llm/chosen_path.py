@@ -185,12 +185,15 @@ def intersections(sets: list[np.ndarray], cells: int = 1 << 22) -> np.ndarray:
 
 
 def _verify_stage(threshold: float):
-    """Arrow stage: unit members with full sets -> per member its exact partners."""
+    """Arrow stage: unit members with full sets -> per member the documents it links to.
+
+    A pair that stands in several units counts in the one of the smallest number.
+    """
 
     def run(batches):
         for b in batches:
-            cids, roots, lists, copies = [], [], [], []
-            for row in b.column("m"):
+            cids, roots, linked = [], [], []
+            for unit, row in zip(b.column("unit").to_pylist(), b.column("m"), strict=True):
                 m = row.as_py()
                 if len(m) < 2:
                     continue
@@ -208,15 +211,15 @@ def _verify_stage(threshold: float):
                     if (new == root).all():
                         break
                     root = new
+                before = [np.array([u for u in x["units"] if u < unit], np.int64) for x in m]
+                docs = (link & (intersections(before) == 0)) @ cop
                 for i in np.flatnonzero(link.any(1)):
                     cids.append(int(cid[i]))
                     roots.append(int(root[i]))
-                    lists.append(cid[link[i]])
-                    copies.append(cop[link[i]])
+                    linked.append(int(docs[i]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cids, pa.int64()), pa.array(roots, pa.int64()),
-                 pa.array(lists, pa.list_(pa.int64())), pa.array(copies, pa.list_(pa.int64()))],
-                names=["cid", "root", "partners", "copies"])
+                 pa.array(linked, pa.int64())], names=["cid", "root", "linked_docs"])
 
     return run
 
@@ -243,22 +246,6 @@ def _grams_stage(k: int, active: np.ndarray):
     return run
 
 
-def _count_links(batches):
-    """Arrow stage: all partner lists of a class -> linked classes and documents."""
-    for b in batches:
-        cid, n_classes, n_docs = [], [], []
-        for row in b.to_pylist():
-            p = np.concatenate([np.asarray(x, np.int64) for x in row["partners"]])
-            c = np.concatenate([np.asarray(x, np.int64) for x in row["copies"]])
-            _, first = np.unique(p, return_index=True)
-            cid.append(row["cid"])
-            n_classes.append(len(first))
-            n_docs.append(int(c[first].sum()))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cid, pa.int64()), pa.array(n_classes, pa.int64()),
-             pa.array(n_docs, pa.int64())], names=["cid", "linked_classes", "linked_docs"])
-
-
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of ``edges`` (a, b): node, label = smallest node reached.
 
@@ -358,22 +345,20 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, runs: int
               .where("size(members) >= 2").distinct())
     units = numbered(pruned)
     members = units.select("unit", F.explode("members").alias("cid"))
-    active = classes.join(members.select("cid").distinct(), "cid").select(
-        "cid", "s1", "s2", "copies")
+    active = classes.join(members.groupBy("cid").agg(F.collect_list("unit").alias("units")),
+                          "cid").select("cid", "s1", "s2", "copies", "units")
     words = docs.sparkSession.sparkContext.broadcast(bloom.build(active, "s1"))
     sets = (docs.select("text").mapInArrow(
         lambda it: _grams_stage(k, words.value)(it), "s1 long, s2 long, grams binary")
         .groupBy("s1", "s2").agg(F.first("grams").alias("grams"))
-        .join(active, ["s1", "s2"]).select("cid", "copies", "grams"))
+        .join(active, ["s1", "s2"]).select("cid", "copies", "units", "grams"))
     found = materialize(
         members.join(sets, "cid").groupBy("unit")
-        .agg(F.collect_list(F.struct("cid", "copies", "grams")).alias("m"))
-        .select("m").mapInArrow(_verify_stage(threshold),
-                                "cid long, root long, partners array<long>, copies array<long>"),
+        .agg(F.collect_list(F.struct("cid", "copies", "units", "grams")).alias("m"))
+        .select("unit", "m").mapInArrow(_verify_stage(threshold),
+                                        "cid long, root long, linked_docs long"),
         "cp-links")
-    links = (found.groupBy("cid").agg(F.collect_list("partners").alias("partners"),
-                                      F.collect_list("copies").alias("copies"))
-             .mapInArrow(_count_links, "cid long, linked_classes long, linked_docs long"))
+    links = found.groupBy("cid").agg(F.sum("linked_docs").alias("linked_docs"))
     groups = components(found.select(F.col("cid").alias("a"), F.col("root").alias("b")))
     labelled = (classes.select("s1", "s2", "cid", "copies", "first_id")
                 .join(links, "cid", "left")
