@@ -100,6 +100,35 @@ def test_intersections():
                if i != j)
 
 
+def test_large_group_of_different_near_copies(spark):
+    """More sets than max_split at production parameters, all of them linked or nearly so."""
+    rng = np.random.default_rng(8)
+    base = [f"w{i}" for i in range(100)]
+    at = rng.integers(0, 100, 2300)
+    texts = [" ".join(base[:p] + [f"x{i}"] + base[p + 1:]) for i, p in enumerate(at)]
+    lost = [set(range(max(0, p - 4), min(95, p) + 1)) for p in range(100)]   # shingles a change takes
+    both = np.array([[96 - len(a | b) for b in lost] for a in lost])
+    linked = both * 1.8 >= 0.8 * 192 - 1e-9
+    many = np.bincount(at, minlength=100)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in cp.jaccard_join(df).collect()}
+    assert [got[i] for i in range(len(at))] == [int(many[linked[p]].sum()) - 1 for p in at]
+
+
+def test_pairs_of_hot_shingles_only(spark):
+    """All shingles are common, buckets separate: the larger set of a pair contains the other."""
+    rng = np.random.default_rng(11)
+    rings = [[f"r{j}w{i}" for i in range(700)] for j in range(3)]
+    texts = []
+    for _ in range(500):
+        words = [w for r in rings for a in [rng.integers(0, 700)] for w in (r + r)[a:a + 100]]
+        texts += [" ".join(words), " ".join(words[:241])]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_links for r in cp.jaccard_join(df, max_split=4).collect()}
+    links, _ = brute(texts)
+    assert min(links) >= 1 and [got[i] for i in range(len(texts))] == links
+
+
 def test_pairs_count_in_one_unit_and_are_not_listed():
     """A member's row is three numbers, however many partners and units it has."""
     import pyarrow as pa

@@ -4,16 +4,22 @@ Documents are sets of hashed k-word shingles (k = 5; a text of one to four words
 is one shingle).  Equal sets form one class, so copies are compared once.  In each
 of ``runs`` repetitions a set of n shingles picks every shingle whose random value
 is below ``per_set[level] / n``: similar sets pick the same ones.  A picked shingle is a
-bucket; buckets of more than ``max_split`` sets are split again on shingles picked
-for the next level (``levels`` in all), the others -- and whatever is still large
-after the last level -- are compared exhaustively in tiles of bounded size.
-
-Recall: two sets of Jaccard t share a fraction b = 2t / (1 + t) of their shingles
-(equal sizes), hence a picked one with probability 1 - exp(-per_set * b) per run and
-level.  At t = 0.8 that is 0.83 for per_set = 2 and 0.74 for 1.5: 8 runs miss a pair
-with probability 0.17^8 < 1e-6, and with 0.55^8 < 1e-2 if every shared shingle of
-every run stands in a bucket that needs all three levels (``runs`` lowers it).  Pairs
-are verified on the full sets, so nothing is reported wrongly.
+bucket.  A bucket of more than ``max_split`` sets is split again on shingles picked for
+the next level (``levels`` in all) if that separates its sets, that is if fewer than
+half of its pairs (estimated on some 256 members) would meet again; the others -- and
+whatever is still large after the last level -- are compared exhaustively in tiles of
+bounded size.
+
+Recall: of two sets of Jaccard >= t the larger one shares at least a fraction t of its
+shingles (t if it contains the other, 2t / (1 + t) at equal sizes), so both pick a common
+one with probability p >= 1 - exp(-per_set[level] * t) per run and level.  ``miss`` is the
+stated target: no pair is missed with a higher probability.  ``runs`` is the smallest
+number that misses a pair by at most miss / 2 on the first level alone; sets with a pick
+in a split bucket take part in more runs, until a pair that needs all levels in every run
+is missed by at most miss / 2 as well.  A pair of which one set stands in no split bucket
+is found by the first runs.  At t = 0.8, miss = 1e-5 and per_set 2, 1.5, 1.5 (p >= 0.798,
+0.699, 0.699) that makes 8 and 25 runs.  Pairs are verified on the full sets, so nothing
+is reported wrongly.
 
 Before full sets are fetched, each bucket drops members without a partner of
 fitting size and a 64-bin one-permutation sketch agreeing in more than
@@ -27,6 +33,8 @@ other, the smallest non-null doc_id names a class; other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -37,7 +45,8 @@ from txstream.session import materialize
 U = np.uint64
 BINS = 64
 SKETCH_FROM = 128      # smaller sets are compared without the sketch
-LEVEL_TAGS = 32        # a picked value's low bits hold run * levels + level
+LEVEL_TAGS = 256       # a picked value's low bits hold run * levels + level
+SAMPLE = 256           # members of a large bucket that tell whether splitting separates it
 
 
 def shingle_sets(words: tb.Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,6 +105,33 @@ def _lists(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
                                     pa.array(values.view(np.int64)))
 
 
+def runs_for(miss: float, threshold: float, per_set: tuple[float, ...]) -> int:
+    """Runs after which a pair that needs every level of ``per_set`` is missed by at most ``miss``."""
+    found = math.prod(1 - math.exp(-c * threshold) for c in per_set)
+    return math.ceil(math.log(miss) / math.log1p(-found) - 1e-9)
+
+
+def _picks(x: np.ndarray, bounds: np.ndarray, runs: range, per_set: tuple[float, ...]) -> pa.Array:
+    """Per document the tagged shingles it picks on all levels of ``runs``."""
+    n = np.diff(bounds)
+    d = np.repeat(np.arange(len(n)), n)
+    limits = []
+    for c in per_set:
+        share = np.minimum(1.0, c / np.maximum(n, 1))
+        limit = np.minimum(share * 2.0**64, 2.0**64 - 4096).astype(U)
+        limit[share >= 1.0] = U(2**64 - 1)
+        limits.append(limit[d])
+    vals, docs = [np.empty(0, U)], [np.empty(0, np.int64)]
+    for tag in range(runs.start * len(per_set), runs.stop * len(per_set)):
+        m = tb.mix(x + U(((tag + 1) * 0x9E3779B97F4A7C15) % 2**64))
+        hit = np.flatnonzero(m <= limits[tag % len(per_set)])
+        vals.append((m[hit] & U(2**64 - LEVEL_TAGS)) | U(tag))
+        docs.append(d[hit])
+    v, dd = np.concatenate(vals), np.concatenate(docs)
+    order = np.argsort(dd, kind="stable")
+    return _lists(v[order], np.searchsorted(dd[order], np.arange(len(n) + 1)))
+
+
 def _digest_stage(k: int, runs: int, per_set: tuple[float, ...]):
     """Arrow stage: doc_id, text_hash, text -> signature, size, picked shingles, sketch."""
 
@@ -104,30 +140,14 @@ def _digest_stage(k: int, runs: int, per_set: tuple[float, ...]):
         for b in batches:
             for w in tb.scan(b.column("text"), tb.ALNUM, True):
                 x, bounds = shingle_sets(w, k)
-                n = np.diff(bounds)
-                d = np.repeat(np.arange(w.n_docs), n)
                 s1, s2 = _signatures(x, bounds)
-                limits = []
-                for c in per_set:
-                    share = np.minimum(1.0, c / np.maximum(n, 1))
-                    limit = np.minimum(share * 2.0**64, 2.0**64 - 4096).astype(U)
-                    limit[share >= 1.0] = U(2**64 - 1)
-                    limits.append(limit[d])
-                vals, docs = [], []
-                for tag in range(runs * len(per_set)):
-                    m = tb.mix(x + U(((tag + 1) * 0x9E3779B97F4A7C15) % 2**64))
-                    hit = np.flatnonzero(m <= limits[tag % len(per_set)])
-                    vals.append((m[hit] & U(2**64 - LEVEL_TAGS)) | U(tag))
-                    docs.append(d[hit])
-                v, dd = np.concatenate(vals), np.concatenate(docs)
-                order = np.argsort(dd, kind="stable")
-                cut = np.searchsorted(dd[order], np.arange(w.n_docs + 1))
                 rows = slice(w.first_doc, w.first_doc + w.n_docs)
                 sk = _sketches(x, bounds)
                 yield pa.RecordBatch.from_arrays(
                     [b.column("doc_id")[rows], b.column("text_hash")[rows],
                      pa.array(s1.view(np.int64)), pa.array(s2.view(np.int64)),
-                     pa.array(n.astype(np.int64)), _lists(v[order], cut),
+                     pa.array(np.diff(bounds).astype(np.int64)),
+                     _picks(x, bounds, range(runs), per_set),
                      pa.array([r.tobytes() for r in sk], pa.binary())],
                     names=["doc_id", "text_hash", "s1", "s2", "n", "picked", "sketch"])
 
@@ -224,20 +244,43 @@ def _verify_stage(threshold: float):
     return run
 
 
+def _active(w: tb.Words, k: int, active: np.ndarray):
+    """Sets and signatures of a chunk, and the documents that may be active, one of each set."""
+    x, bounds = shingle_sets(w, k)
+    s1, s2 = _signatures(x, bounds)
+    keep = np.flatnonzero(bloom.contains(active, s1) & (np.diff(bounds) > 0))
+    seen, rows = set(), []
+    for i in keep:
+        if (s1[i], s2[i]) not in seen:
+            seen.add((s1[i], s2[i]))
+            rows.append(i)
+    return x, bounds, s1, s2, rows
+
+
+def _more_picks_stage(k: int, active: np.ndarray, runs: range, per_set: tuple[float, ...]):
+    """Arrow stage: text -> signature and picks of further runs of documents that may be active."""
+
+    def run(batches):
+        for b in batches:
+            for w in tb.scan(b.column("text"), tb.ALNUM, True):
+                x, bounds, s1, s2, rows = _active(w, k, active)
+                parts = [x[bounds[i]:bounds[i + 1]] for i in rows]
+                cut = np.concatenate(([0], np.cumsum([len(p) for p in parts], dtype=np.int64)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(s1[rows].view(np.int64)), pa.array(s2[rows].view(np.int64)),
+                     _picks(np.concatenate([np.empty(0, U), *parts]), cut, runs, per_set)],
+                    names=["s1", "s2", "picked"])
+
+    return run
+
+
 def _grams_stage(k: int, active: np.ndarray):
     """Arrow stage: text -> signature and full set of the documents that may be active."""
 
     def run(batches):
         for b in batches:
             for w in tb.scan(b.column("text"), tb.ALNUM, True):
-                x, bounds = shingle_sets(w, k)
-                s1, s2 = _signatures(x, bounds)
-                keep = np.flatnonzero(bloom.contains(active, s1) & (np.diff(bounds) > 0))
-                seen, rows = set(), []
-                for i in keep:
-                    if (s1[i], s2[i]) not in seen:
-                        seen.add((s1[i], s2[i]))
-                        rows.append(i)
+                x, bounds, s1, s2, rows = _active(w, k, active)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(s1[rows].view(np.int64)), pa.array(s2[rows].view(np.int64)),
                      pa.array([x[bounds[i]:bounds[i + 1]].tobytes() for i in rows], pa.binary())],
@@ -270,13 +313,29 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _units(classes: DataFrame, levels: int, max_split: int, unit_grams: int, unit_sets: int):
-    """Lists of class ids to be compared exhaustively; every list is bounded in size."""
+def _alike(big: DataFrame, picks: DataFrame, level: int) -> DataFrame:
+    """Paths of large buckets that the picks of ``level`` would not separate.
+
+    Of some ``SAMPLE`` members all runs' picks are compared, so a run in which
+    similar sets happen to pick nothing does not count as separation.
+    """
+    part = F.pmod(F.xxhash64("cid", F.lit(11)), F.lit(1 << 30)) * F.col("size") < SAMPLE * (1 << 30)
+    sample = materialize(big.where(part).select("path", "cid"), "bucket-samples")
+    own = picks.where(F.col("level") == level).select("cid", "run", "t")
+    meet = (sample.join(own, "cid").groupBy("path", "t").agg(F.count(F.lit(1)).alias("c"))
+            .groupBy("path").agg(F.sum(F.expr("c * (c - 1)")).alias("met")))
+    pairs = sample.groupBy("path").agg(F.expr("count(1) * (count(1) - 1)").alias("pairs"))
+    return pairs.join(meet, "path", "left").crossJoin(own.agg(F.countDistinct("run").alias("runs"))).where(
+        "2 * coalesce(met, 0) >= runs * pairs").select("path")
+
+
+def _buckets(classes: DataFrame, levels: int, max_split: int):
+    """Buckets to be compared exhaustively (cid, path, size, grams), and the cid in split ones."""
     tag = F.col("t").bitwiseAND(LEVEL_TAGS - 1)
     picks = classes.select("cid", "n", F.explode("picked").alias("t")).select(
         "cid", "n", "t", (tag % levels).alias("level"), F.floor(tag / levels).alias("run"))
     members = picks.where("level = 0").select("cid", "n", F.col("t").alias("path"), "run")
-    ready = []
+    ready, split = [], None
     for level in range(levels):
         sizes = (members.groupBy("path").agg(F.count(F.lit(1)).alias("size"),
                                              F.sum("n").alias("grams"))
@@ -287,14 +346,22 @@ def _units(classes: DataFrame, levels: int, max_split: int, unit_grams: int, uni
             break
         # a bucket of more sets than max_split is split on the next level's picks
         ready.append(members.where(F.col("size") <= max_split))
-        big = members.where(F.col("size") > max_split).select("cid", "path", "run", "n")
+        big = materialize(members.where(F.col("size") > max_split), "big-buckets")
+        if big.limit(1).count() == 0:
+            break
+        alike = materialize(_alike(big, picks, level + 1), "alike-buckets")
+        ready.append(big.join(alike, "path", "left_semi"))
+        big = big.join(alike, "path", "left_anti").select("cid", "path", "run", "n")
         if level == 0:
-            big = materialize(big, "big-buckets")
-            if big.limit(1).count() == 0:
-                break
+            split = materialize(big.select("cid").distinct(), "split-members")
         nxt = picks.where(F.col("level") == level + 1).select("cid", "run", "t")
         members = materialize(big.join(nxt, ["cid", "run"]).select(
             "cid", "n", F.xxhash64("path", "t").alias("path"), "run"), "split-buckets")
+    return ready, split
+
+
+def _units(ready: list[DataFrame], unit_grams: int, unit_sets: int):
+    """Lists of class ids to be compared exhaustively; every list is bounded in size."""
     lists = []
     for m in ready:
         blocks = F.greatest(F.ceil(F.col("grams") / unit_grams), F.ceil(F.col("size") / unit_sets))
@@ -311,18 +378,20 @@ def _units(classes: DataFrame, levels: int, max_split: int, unit_grams: int, uni
     return out.where("size(members) >= 2").select("members").distinct()
 
 
-def jaccard_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, runs: int = 8,
+def jaccard_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, miss: float = 1e-5,
                  per_set: tuple[float, ...] = (2.0, 1.5, 1.5), max_split: int = 2048,
                  unit_grams: int = 400_000, unit_sets: int = 2048) -> DataFrame:
     """One row per document: doc_id, text_hash, class_id, n_links, copies, is_first.
 
     ``class_id`` is the smallest doc_id of the connected group, ``n_links`` the
     number of other documents of Jaccard >= threshold (copies included),
-    ``is_first`` marks the rows of the document that stands for its group.
+    ``is_first`` marks the rows of the document that stands for its group.  ``miss``
+    bounds the probability that a pair is missed.
     """
     levels = len(per_set)
-    if runs * levels > LEVEL_TAGS:
-        raise ValueError(f"runs * len(per_set) must be at most {LEVEL_TAGS}")
+    runs, all_runs = (runs_for(miss / 2, threshold, c) for c in (per_set[:1], per_set))
+    if all_runs * levels > LEVEL_TAGS:
+        raise ValueError(f"{all_runs} runs of {levels} levels are more than {LEVEL_TAGS}")
     base = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
     rows = materialize(base.mapInArrow(
         _digest_stage(k, runs, per_set),
@@ -336,7 +405,17 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, runs: int
 
     numbered = lambda df: materialize(
         df.withColumn("unit", F.monotonically_increasing_id()), "cp-units")
-    units = numbered(_units(classes, levels, max_split, unit_grams, unit_sets))
+    ready, split = _buckets(classes, levels, max_split)
+    if split is not None and split.limit(1).count():
+        hot = materialize(classes.join(split, "cid").select("cid", "n", "s1", "s2"), "cp-hot")
+        hot_words = docs.sparkSession.sparkContext.broadcast(bloom.build(hot, "s1"))
+        more = materialize(docs.select("text").mapInArrow(
+            lambda it: _more_picks_stage(k, hot_words.value, range(runs, all_runs), per_set)(it),
+            "s1 long, s2 long, picked array<long>")
+            .groupBy("s1", "s2").agg(F.first("picked").alias("picked"))
+            .join(hot, ["s1", "s2"]).select("cid", "n", "picked"), "cp-more-picks")
+        ready += _buckets(more, levels, max_split)[0]
+    units = numbered(_units(ready, unit_grams, unit_sets))
     member = F.struct("cid", "n", "sketch").alias("x")
     pruned = (units.select("unit", F.explode("members").alias("cid"))
               .join(classes.select("cid", "n", "sketch"), "cid")
