@@ -51,3 +51,37 @@ def test_spark_rows(spark):
         (i, t, len(t)) for i, (_, t) in enumerate(PAGES) for _ in range(2))
     assert h.main_text(df.limit(0)).count() == 0
     assert h.main_text(df).count() == len(rows)
+
+
+LONG = "buy this now " * 40
+MENU = "<ul>" + "<li><a href=x>go to part</a></li>" * 100 + "</ul>"
+
+
+@pytest.mark.parametrize("block", [f"<aside>{LONG}</aside>", f"<form><p>{LONG}</p></form>", f"<nav>{MENU}</nav>",
+                                   f'<div class="newsletter"><div>{LONG}</div></div>',
+                                   f"<div><aside>{LONG}</aside></div><aside>{LONG}</aside>"])
+@pytest.mark.parametrize("before, after", [
+    ("<article>", "</article>"), ("<article>", ""), ("<main><section>", "</section></main>"), ("<body>", "</body>"),
+    ("<div id=content>", "</div>"), ("", "")])
+def test_long_boilerplate_within_a_text(block, before, after):
+    head, last = "<h1>six word title stands right here</h1>", "<p>a short last paragraph</p>"
+    text = "words of the text " * 20
+    got = h.extract(f"{before}{head}{block}<p>{text}</p>{block}{last}{after}", dict(h.PRIOR))
+    assert got.split("\n\n") == ["six word title stands right here", text.strip(), "a short last paragraph"]
+
+
+def test_long_boilerplate_between_like_containers():
+    page = f"<body><div class=p>one two three four five</div><aside>{LONG}</aside><div class=p>{'text ' * 30}</div>"
+    assert h.extract(page, dict(h.PRIOR)).startswith("one two")
+
+
+def test_long_boilerplate_between_parts_keeps_its_cost():
+    text = "text " * 30
+    for part in (f"<article><p>{text}</p></article>", f"<div><main><p>{text}</p></main></div>", f"<div>{text}</div>"):
+        page = f"<body><p>site name and a claim</p><nav>{MENU}</nav>{part}<aside>{LONG}</aside><p>tail of it</p></body>"
+        assert h.extract(page, dict(h.PRIOR)) == text.strip()
+
+
+def test_learning_ignores_what_scores_nothing():
+    page = f"<body><article><h1>six word title stands right here</h1><aside><b>{LONG}</b></aside><p>x y</p></article>"
+    assert h.learn([page + "</body>"] * 5) == h.PRIOR

@@ -1,9 +1,13 @@
 """HTML extraction by maximum-scoring subsequence.
 
 A page is a sequence of words and tags.  A word scores +1, a tag its weight, which is
-zero or negative, and both score ``IN_BOILERPLATE`` inside an element that is
-boilerplate by name, role or class; one linear scan finds the contiguous stretch of highest score, and its
-words outside boilerplate elements are the text.  Tag weights start from ``PRIOR`` and
+zero or negative; one linear scan finds the contiguous stretch of highest score, and its
+words outside boilerplate elements (by name, role or class) are the text.  A boilerplate
+element scores zero, whatever its length, where it stands within one text: the innermost
+element with text on both sides of it is, or lies in, an ``<article>`` or ``<main>``, or
+holds these texts without containers, in like containers, or (below body) one of them
+without a container.  Elsewhere, between the parts of a page, its words and tags score
+``IN_BOILERPLATE`` each.  Tag weights start from ``PRIOR`` and
 are learned on labelled pages -- pages whose one ``<article>`` or ``<main>`` tells the
 region -- by a structured perceptron: where the best stretch misses words of the region
 the tags in between get lighter, where it takes foreign words they get heavier.
@@ -21,6 +25,7 @@ from __future__ import annotations
 
 import html as entities
 import re
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -45,9 +50,10 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "br", "cite", "code"
           "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr"}
 VOID = {"br", "hr", "img", "input", "link", "meta", "wbr", "source", "area", "base", "col", "embed"}
 REGIONS = {"article", "main"}
+CONTAINERS = REGIONS | {"div", "section", "header", "table", "td", "center"}
 PRIOR = {"div": -1.0, "section": -0.5, "table": -0.5, "a": -0.3, "ul": -0.2, "ol": -0.2, "li": -0.1, "p": 0.0,
          "h1": 0.0, "h2": 0.0, "h3": 0.0, "h4": 0.0, "blockquote": 0.0, "pre": 0.0, "br": 0.0}
-IN_BOILERPLATE = -0.1      # such words are dropped anyway; the region may reach over them
+IN_BOILERPLATE = -0.1      # between parts; such words are dropped anyway, a region may reach over them
 
 _TOKEN = re.compile(
     r"<!--(?:>|->|.*?(?:--!?>|\Z))"                       # comment
@@ -111,6 +117,7 @@ class Page:
                 if name != "head":
                     at = stop.start() if stop else len(source)
         self._mark(flags)
+        self._bridge()
 
     def _add(self, kind: str, text: str, opens: bool) -> None:
         self.kind.append(kind)
@@ -122,6 +129,7 @@ class Page:
         n = len(self.kind)
         self.bad = [False] * n
         ends = self._ends()
+        self.spans: list[tuple[int, int]] = []     # boilerplate elements with their end tags
         until = -1
         for i in range(n):
             if i < until:
@@ -133,6 +141,49 @@ class Page:
                                  ("article", "main", "h1", "body")), n)
                 until = stop
                 self.bad[i] = True
+                self.spans.append((i, stop + (i in ends)))
+
+    def _bridge(self) -> None:
+        """Marks the tokens of boilerplate elements that stand within one text."""
+        n = len(self.kind)
+        self.free = [False] * n
+        is_text = [not k and not bad and not t.isspace()
+                   for k, t, bad in zip(self.kind, self.text, self.bad, strict=True)]
+        places = [i for i in range(n) if is_text[i]]
+        upto = list(accumulate(is_text, initial=0))
+        starts = {z: a for a, z in self.ends.items()}
+        around, at, gap = [(-1, n)], 0, None      # elements around the place, outermost first
+        for first, stop in self.spans:
+            for i in range(at, first):
+                if self.kind[i] and self.opens[i]:
+                    z = self.ends.get(i, n if self.kind[i] in REGIONS else -1)
+                    if z >= stop:
+                        around.append((i, z))
+            at = stop
+            around = [x for x in around if x[1] >= stop]
+            holder = next((k for k in range(len(around) - 1, -1, -1) if upto[first] > upto[around[k][0] + 1]
+                           and upto[around[k][1]] > upto[stop]), None)
+            if holder is None:
+                continue
+            within = any(self.kind[a] in REGIONS for a, _ in around[1:holder + 1])
+            if not within:
+                u, v = places[upto[first] - 1], places[upto[stop]]
+                if gap != (u, v):                  # containers that end or begin between the two texts
+                    gap = u, v
+                    inner = [i for i in range(u + 1, v) if self.kind[i] in CONTAINERS]
+                    ending = [i for i in inner if starts.get(i, n) < u]
+                    opening = [i for i in inner if self.opens[i] and self.ends.get(i, n) > v]
+                left = [starts[i] for i in ending if i < first]
+                right = [i for i in opening if i >= stop]
+                outside = holder == 0 or self.kind[around[holder][0]] in ("html", "body")
+                if any(self.kind[i] in REGIONS for i in left + right):
+                    within = False
+                elif left and right:
+                    within = self.text[left[-1]] == self.text[right[0]]
+                else:
+                    within = not (outside and (left or right))
+            if within:
+                self.free[first:stop] = [True] * (stop - first)
 
     def _ends(self) -> dict[int, int]:
         """Index of the matching end tag of every closed element."""
@@ -158,7 +209,9 @@ class Page:
     def scores(self, weights: dict[str, float]) -> np.ndarray:
         out = np.empty(len(self.kind))
         for i, name in enumerate(self.kind):
-            if self.bad[i]:
+            if self.free[i]:
+                out[i] = 0.0
+            elif self.bad[i]:
                 out[i] = IN_BOILERPLATE * (1 if name else len(self.text[i].split()))
             elif name:
                 out[i] = weights.get(name, -0.5 if name not in INLINE else -0.1)
@@ -205,8 +258,9 @@ def learn(pages: list[str], rounds: int = 10, rate: float = 0.5) -> dict[str, fl
             if gold is None:
                 continue
             a, b = best_stretch(page.scores(weights))
-            missed = [page.kind[i] for i in range(*gold) if not a <= i < b]
-            foreign = [page.kind[i] for i in range(a, b) if not gold[0] <= i < gold[1]]
+            scored = [not bad and not free for bad, free in zip(page.bad, page.free, strict=True)]
+            missed = [page.kind[i] for i in range(*gold) if scored[i] and not a <= i < b]
+            foreign = [page.kind[i] for i in range(a, b) if scored[i] and not gold[0] <= i < gold[1]]
             if "" not in missed + foreign:       # the words are right
                 continue
             wrong += 1
