@@ -85,3 +85,15 @@ def test_long_boilerplate_between_parts_keeps_its_cost():
 def test_learning_ignores_what_scores_nothing():
     page = f"<body><article><h1>six word title stands right here</h1><aside><b>{LONG}</b></aside><p>x y</p></article>"
     assert h.learn([page + "</body>"] * 5) == h.PRIOR
+
+
+@pytest.mark.parametrize("page", [
+    "<article class='post share'><p>{0}</p><article class='comment'><p>I like it</p></article></article>",
+    "<main id=related><p>{0}</p><article class=Comment><p>I like it</p></article></main>",
+    "<article><p>{0}</p></article><article id='reply-7'><p>I like it</p></article>",
+    "<main><article class=post><p>{0}</p><article role='complementary'><p>I like it</p></article></article></main>"])
+def test_articles_that_are_comments(page):
+    source = "<body>" + page.format("text " * 30) + "</body>"
+    assert h.extract(source, dict(h.PRIOR)) == ("text " * 30).strip()
+    parsed = h.Page(source)
+    assert parsed.region() and "".join(h.Page(source).blocks(*parsed.region())) == ("text " * 30).strip()

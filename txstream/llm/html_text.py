@@ -66,11 +66,11 @@ _SPACE = re.compile(r"\s+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I) for name in RAW}
 
 
-def _flagged(name: str, tag: str, inside_region: bool) -> bool:
-    """The opening tag begins a boilerplate element."""
+def _flagged(name: str, tag: str, inside_region: bool, first_region: bool) -> bool:
+    """The opening tag begins a boilerplate element; the page's first article or main never does."""
     if name in BOILERPLATE or (name == "header" and not inside_region):
         return True
-    if name in REGIONS or name in ("html", "body"):
+    if first_region or name in ("html", "body"):
         return False
     for m in _ATTRIBUTE.finditer(tag):
         value = (m[2] or m[3] or m[4] or "").lower()
@@ -94,7 +94,7 @@ class Page:
         self.opens: list[bool] = []
         self.bad: list[bool] = []
         flags: list[bool] = []
-        at, depth_region = 0, 0
+        at, depth_region, regions = 0, 0, 0
         while at < len(source):
             m = _TOKEN.search(source, at)
             end = m.start() if m else len(source)
@@ -110,8 +110,10 @@ class Page:
             name, closing = name[1].lower(), m[0][1] == "/"
             if name in REGIONS:
                 depth_region = max(0, depth_region + (-1 if closing else 1))
+                regions += not closing
             self._add(name, m[0], not closing)
-            flags.append(not closing and name not in VOID and _flagged(name, m[0], depth_region > 0))
+            flags.append(not closing and name not in VOID and _flagged(
+                name, m[0], depth_region > 0, name in REGIONS and regions == 1))
             if not closing and name in RAW and not m[0].endswith("/>"):
                 stop = _RAW_END[name].search(source, at) if name != "head" else None
                 if name != "head":
@@ -199,9 +201,9 @@ class Page:
         return out
 
     def region(self) -> tuple[int, int] | None:
-        """Token range inside the one article or main element; None if there is not one."""
+        """Token range inside the one article or main that is no boilerplate; None if there is not one."""
         for name in ("article", "main"):
-            at = [i for i, k in enumerate(self.kind) if k == name and self.opens[i]]
+            at = [i for i, k in enumerate(self.kind) if k == name and self.opens[i] and not self.bad[i]]
             if len(at) == 1 and at[0] in self.ends:
                 return at[0] + 1, self.ends[at[0]]
         return None
