@@ -59,3 +59,32 @@ def test_cutoffs_need_enough_good_documents(spark, n_good, holds):
     got = {r.doc_id: r.kept for r in rr.judge(df, labels).collect()}
     assert all(got[i] for i in range(n_good))
     assert any(got[10_000 + i] for i in range(30)) != holds
+
+
+def test_all_rules_together_meet_the_risk(spark):
+    """Three statistics reject 0.5 % of the good documents each, and others each."""
+    words = [f"word{i}" for i in range(60)]
+    faults = [lambda w: w + "###", str.upper, lambda w: w + "longer" * 6]
+    rows = [(i, " ".join(map(faults[i % 200], words) if i % 200 < 3 else words) + f" {i}", lang)
+            for lang, start in (("en", 0), (None, 4000)) for i in range(start, start + 4000)]
+    rows += [(10_000 + i, " ".join(map(faults[i % 3], words)) + f" {i}", ("en", None)[i % 2])
+             for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], int(r[0] < 10_000), 0) for r in rows],
+                                   "doc_id long, quality long, toxic long")
+    got = rr.judge(df, labels).collect()
+    for part in (range(4000), range(4000, 8000)):
+        assert sum(not r.kept for r in got if r.doc_id in part) <= 0.01 * 4000
+    for odd in (0, 1):
+        assert any(not r.kept for r in got if r.doc_id >= 10_000 and r.doc_id % 2 == odd)
+
+
+def test_chain_is_nested_and_cheapest_first():
+    import numpy as np
+
+    places = np.array([[3, 0, 0, 0, 0], [1, 0, 0, 0, 0], [0, 2, 0, 0, 0], [0, 0, 0, 0, 0]])
+    good, bad = np.array([0, 1, 1, 298]), np.array([5, 5, 30, 0])
+    chain = rr.rule_chain(places, good, bad, 0.01)
+    assert [c[:2].tolist() for c in chain] == [[9, 2], [3, 2], [1, 2]]
+    assert all((a >= b).all() for a, b in zip(chain, chain[1:], strict=False))
+    assert rr.rule_chain(places, good, bad * 0, 0.01) == []
