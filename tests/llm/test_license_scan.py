@@ -43,3 +43,13 @@ def test_against_brute_force(spark):
     want = [(r[0], *brute(r[1], marks, block)) for r in rows]
     assert sorted(got, key=repr) == sorted(want, key=repr)
     assert ls.scan_licenses(df.limit(0)).count() == 0
+
+
+def test_notices_that_are_both_there(spark):
+    by, nc, sa = "Licensed under CC BY 4.0. ", "Licensed under CC BY-NC 4.0. ", "Licensed under CC BY-SA 4.0. "
+    cases = [(by, "cc-by"), (nc, "cc-by-nc"), (by + nc, "cc-by,cc-by-nc"), (nc + "the text is " + by, "cc-by,cc-by-nc"),
+             (nc + "or " + sa, "cc-by-nc,cc-by-sa"), (nc + nc, "cc-by-nc"), (sa + by + nc, "cc-by,cc-by-nc,cc-by-sa"),
+             ("x " * 300 + by + "y " * 40 + sa + "z " * 300, "cc-by,cc-by-sa"), ("under CC BY-NC 4.0", "")]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r.doc_id: r.labels for r in ls.scan_licenses(df).collect()}
+    assert [got[i] for i in range(len(cases))] == [want for _, want in cases]

@@ -2,14 +2,17 @@
 
 A text is cut into blocks of consecutive words that overlap by half (any stretch of
 half a block lies inside one).  A template matches a block that contains at least
-``threshold`` of its distinct words.  Words are ordered by their frequency in all
+``threshold`` of its distinct words; a notice of fewer than 8 words has threshold 1 (six of
+the seven words of "Licensed under CC BY-NC 4.0" are the notice "Licensed under CC BY 4.0",
+at 0.8 each text under the one would be under the other).  Words are ordered by their frequency in all
 documents (counted first, only for template words), and of each template only the
 |T| - need + 1 rarest words are looked up (prefix filter); blocks with fewer than
 ``need`` words are skipped (length filter); the words are then compared in that order
 and given up as soon as the rest cannot reach ``need`` (positional filter).  No block
 that meets the threshold is missed, and matches are verified on the words themselves.
-Where a block matches two notices of which one has all words of the other and more,
-only that one gives its label.
+Where a block matches two notices of which one has all words of the other and more, the
+shorter one gives its label only if the block still matches it without the places (shortest
+stretches with the words that are needed) of the longer one.
 
 Phrases are templates of threshold 1 whose words must also stand one after another;
 every such place is counted.
@@ -22,6 +25,7 @@ row; other columns are ignored.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -67,7 +71,7 @@ def templates(threshold: float = 0.8) -> list[Template]:
     out = [Template(label, tuple(p.split()), len(set(p.split())), True) for p, label in PHRASES.items()]
     for label, text in NOTICES:
         words = tuple(dict.fromkeys(words_of(text)))
-        # very short notices must be there in full
+        # very short notices must be there in full: they differ in one word
         need = len(words) if len(words) < 8 else math.ceil(threshold * len(words) - 1e-9)
         out.append(Template(label, words, need, False))
     return out
@@ -128,6 +132,30 @@ def _scan_stage(marks: list[Template], frequency: dict[str, int], block: int):
     wider = [{j for j, u in enumerate(marks) if not u.phrase and set(t.words) < set(u.words)}
              for t in marks]      # notices that contain a notice's words and more
 
+    def place(part: np.ndarray, k: int) -> slice | None:
+        """The shortest stretch with the words a template needs; None if there is none."""
+        own, seen, best = set(ordered[k]), Counter(), None
+        at = [p for p in np.flatnonzero(part >= 0).tolist() if part[p] in own]
+        left = 0
+        for p in at:
+            seen[part[p]] += 1
+            while len(seen) >= marks[k].need:
+                if best is None or p + 1 - at[left] < best.stop - best.start:
+                    best = slice(at[left], p + 1)
+                seen[part[at[left]]] -= 1
+                if not seen[part[at[left]]]:
+                    del seen[part[at[left]]]
+                left += 1
+        return best
+
+    def apart(part: np.ndarray, k: int, longer: list[int]) -> bool:
+        """The block matches notice k beside all places of the longer ones."""
+        rest = part.copy()
+        for j in longer:
+            while (x := place(rest, j)) is not None:
+                rest[x] = -1
+        return place(rest, k) is not None
+
     def search(ids: np.ndarray, text_of) -> tuple[list, set, float]:
         """Phrase places, labels and best containment of one document."""
         candidates = {(b, k) for p in np.flatnonzero((ids >= 0) & looked_up[ids])
@@ -153,8 +181,13 @@ def _scan_stage(marks: list[Template], frequency: dict[str, int], block: int):
                 else:
                     found.add((b, k))
                     best = max(best, got / len(ordered[k]))
-        # the more specific notice of a block speaks for it
-        labels = {marks[k].label for b, k in found if not any((b, j) in found for j in wider[k])}
+        # where they share a place the more specific notice speaks for it
+        labels = set()
+        for b, k in sorted(found):
+            longer = [j for j in sorted(wider[k]) if (b, j) in found]
+            if marks[k].label not in labels and (
+                    not longer or apart(ids[b * half:b * half + block], k, longer)):
+                labels.add(marks[k].label)
         return sorted(places), labels, best
 
     def run(batches):
