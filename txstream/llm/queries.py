@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txstream.llm import chat, chosen_path, decontaminate, html_text, language_crf, license_scan, mixing, quality, risk_rules, token_files
+from txstream.llm import centroids, chat, chosen_path, decontaminate, html_text, language_crf, license_scan, mixing, quality, risk_rules, token_files
 from txstream.session import scratch_path
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
@@ -90,6 +90,11 @@ def op10_jaccard_join(spark: SparkSession, sf: str) -> DataFrame:
         "doc_id", "class_id", "n_links", "copies")
 
 
+def op11_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    """40 clusters of all whole vectors after five rounds, on exact integers."""
+    return centroids.clusters(table(spark, sf, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """``corpus_pipeline.run``: its stages build on the helpers above, so it is imported late."""
     import corpus_pipeline
@@ -108,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_huffman_token_files": op8_huffman_token_files,
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_centroid_clustering": op11_centroid_clustering,
     "pipeline": pipeline,
 }
 
@@ -207,3 +213,40 @@ SELECT doc_id, source, size, source_size, target,
        AS BIGINT) AS taken
 FROM f
 """
+
+
+def _kmeans_sql(rounds: int = 5) -> str:
+    """The rounds written out one after the other."""
+    sql = """
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS id, CAST(vec_id AS BIGINT) AS vec_id,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: isfinite(CAST(x AS DOUBLE)))) = 64),
+x AS MATERIALIZED (SELECT id, i, v[i] AS x FROM v, range(1, 65) t(i)),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS c, v FROM v
+  QUALIFY c < 40)"""
+    for r in range(rounds + 1):
+        sql += f""",
+a{r} AS MATERIALIZED (
+  SELECT id, CAST(m % 64 AS BIGINT) AS c, CAST(m // 64 AS BIGINT) AS d FROM (
+    SELECT id, min(CAST(list_sum(list_transform(range(1, 65),
+      lambda i: (v.v[i] - c.v[i]) * (v.v[i] - c.v[i]))) AS HUGEINT) * 64 + c) AS m
+    FROM v, c{r} c GROUP BY id))"""
+        if r < rounds:
+            sql += f""",
+c{r + 1} AS MATERIALIZED (
+  SELECT c{r}.c, coalesce(n.v, c{r}.v) AS v FROM c{r} LEFT JOIN (
+    SELECT c, list(m ORDER BY i) AS v FROM (
+      SELECT c, i, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS m
+      FROM a{r} JOIN x USING (id) GROUP BY c, i) GROUP BY c) n USING (c))"""
+    return sql + f"""
+SELECT vec_id, CAST(a.c AS INTEGER) AS cluster, d AS distance,
+  CAST(sum(d) OVER (PARTITION BY a.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(f.v, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (id) JOIN c{rounds} f ON f.c = a.c
+"""
+
+
+ORACLE["op11_centroid_clustering"] = _kmeans_sql()
