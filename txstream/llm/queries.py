@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txstream.llm import centroids, chat, chosen_path, decontaminate, html_text, language_crf, license_scan, mixing, quality, risk_rules, token_files
+from txstream.llm import centroids, chat, chosen_path, conversation_repair, decontaminate, html_text, language_crf, license_scan, mixing, quality, risk_rules, token_files, toxicity
 from txstream.session import scratch_path
 
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
@@ -95,6 +95,17 @@ def op11_centroid_clustering(spark: SparkSession, sf: str) -> DataFrame:
     return centroids.clusters(table(spark, sf, "embeddings"))
 
 
+def op12_toxicity_kneser_ney(spark: SparkSession, sf: str) -> DataFrame:
+    """Toxicity of all documents by models of the labelled ones that are not held out."""
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf: str) -> DataFrame:
+    """Faults, cheapest edits and repaired rows of all conversations after repeatable damage."""
+    rows = table(spark, sf, "conversations")
+    return conversation_repair.report(conversation_repair.damage(rows), rows)
+
+
 def pipeline(spark: SparkSession, sf: str) -> DataFrame:
     """``corpus_pipeline.run``: its stages build on the helpers above, so it is imported late."""
     import corpus_pipeline
@@ -114,6 +125,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_winnowing_decontamination": op9_winnowing_decontamination,
     "op10_jaccard_join": op10_jaccard_join,
     "op11_centroid_clustering": op11_centroid_clustering,
+    "op12_toxicity_kneser_ney": op12_toxicity_kneser_ney,
+    "op13_conversation_repair": op13_conversation_repair,
     "pipeline": pipeline,
 }
 
@@ -250,3 +263,85 @@ FROM a{rounds} a JOIN v USING (id) JOIN c{rounds} f ON f.c = a.c
 
 
 ORACLE["op11_centroid_clustering"] = _kmeans_sql()
+
+ORACLE["op13_conversation_repair"] = r"""
+WITH RECURSIVE t(i, c, k) AS (
+  SELECT i, CAST(i AS BIGINT), 0 FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1
+  FROM t WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS tab FROM t WHERE k = 8),
+r AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(
+      coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''),
+      lambda x: CAST(ord(x) AS BIGINT))),
+      lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), CAST(4294967295 AS BIGINT)) % 20 AS m
+  FROM conversations, tab),
+d AS (
+  SELECT conv_id, turn, CASE m WHEN 4 THEN 'user' ELSE role END AS role,
+    CASE m WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE m WHEN 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM r WHERE m <> 0),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS pos,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS shown,
+    CASE WHEN left(role, 1) IN ('s', 'u', 'a') THEN left(role, 1) ELSE 'o' END AS ini
+  FROM d),
+f AS (
+  SELECT *, CASE WHEN shown = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+                 WHEN right(shown, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(ini) OVER (PARTITION BY conv_id ORDER BY pos) AS prev
+  FROM o),
+s AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (prev IS NOT NULL AND prev || ini NOT IN ('su', 'ua', 'au')) AS illegal,
+    list(ini ORDER BY pos) AS ini, list(fault ORDER BY pos) AS fault, count(*) AS n
+  FROM f GROUP BY conv_id),
+dp(conv_id, i, b) AS (
+  SELECT conv_id, n + 1, [{'c': 0, 'a': ''}, {'c': 6, 'a': 'II'}, {'c': 3, 'a': 'I'}, {'c': 0, 'a': ''}] FROM s
+  UNION ALL
+  SELECT conv_id, i, [list_min([z[1], {'c': 3 + y.c, 'a': 'I' || y.a}]), list_min([z[2], {'c': 3 + y.c, 'a': 'I' || y.a}]),
+                      y, list_min([z[4], {'c': 3 + y.c, 'a': 'I' || y.a}])]
+  FROM (
+    SELECT conv_id, i, z, list_min([z[3], {'c': 3 + z[4].c, 'a': 'I' || z[4].a}]) AS y FROM (
+      SELECT conv_id, i, list_transform([1, 2, 3, 4], lambda q: list_min([
+        {'c': 4 + b[q].c, 'a': 'D' || b[q].a},
+        CASE WHEN stay AND r = 's' AND q = 1 THEN {'c': p + b[2].c, 'a': 'K' || b[2].a}
+             WHEN stay AND r = 'u' AND q <> 3 THEN {'c': p + b[3].c, 'a': 'K' || b[3].a}
+             WHEN stay AND r = 'a' AND q = 3 THEN {'c': p + b[4].c, 'a': 'K' || b[4].a}
+             ELSE {'c': 1000000000, 'a': 'Z'} END,
+        CASE WHEN NOT stay THEN {'c': 1000000000, 'a': 'Z'}
+             WHEN q = 3 THEN {'c': 3 + p + b[4].c, 'a': 'R' || b[4].a}
+             ELSE {'c': 3 + p + b[3].c, 'a': 'R' || b[3].a} END])) AS z
+      FROM (SELECT dp.conv_id, dp.i - 1 AS i, b, s.ini[dp.i - 1] AS r,
+              s.fault[dp.i - 1] NOT IN ('blank', 'duplicate') AS stay,
+              CASE WHEN s.fault[dp.i - 1] = 'truncated' THEN 3 ELSE 0 END AS p
+            FROM dp JOIN s ON dp.conv_id IS NOT DISTINCT FROM s.conv_id WHERE dp.i > 1)))),
+w AS (SELECT conv_id, b[1].c AS cost, b[1].a AS audit FROM dp WHERE i = 1),
+e AS (
+  SELECT conv_id, letter, sum(CASE WHEN letter <> 'I' THEN 1 ELSE 0 END) OVER v AS pos,
+    sum(CASE WHEN letter <> 'D' THEN 1 ELSE 0 END) OVER v - 1 AS place
+  FROM (SELECT conv_id, k, substr(audit, k, 1) AS letter
+        FROM (SELECT conv_id, audit, unnest(range(1, length(audit) + 1)) AS k FROM w))
+  WINDOW v AS (PARTITION BY conv_id ORDER BY k ROWS UNBOUNDED PRECEDING)),
+g AS (
+  SELECT e.conv_id, letter, place, f.role, f.text,
+    max(CASE WHEN place = 0 AND letter = 'K' AND ini = 's' THEN 1 ELSE 0 END) OVER (PARTITION BY e.conv_id) AS led
+  FROM e LEFT JOIN f ON e.conv_id IS NOT DISTINCT FROM f.conv_id AND e.pos = f.pos
+  WHERE letter <> 'D'),
+h AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - led) % 2 = 0 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY place) AS whole
+  FROM g GROUP BY conv_id)
+SELECT ids.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost,
+  coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) ids
+LEFT JOIN s ON ids.conv_id IS NOT DISTINCT FROM s.conv_id
+LEFT JOIN w ON ids.conv_id IS NOT DISTINCT FROM w.conv_id
+LEFT JOIN h ON ids.conv_id IS NOT DISTINCT FROM h.conv_id
+"""
