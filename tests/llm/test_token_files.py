@@ -78,3 +78,38 @@ def test_files_hold_every_document_in_order(spark):
 
 def test_empty_table(spark):
     assert _digest(spark, []) == []
+
+
+def test_the_models_alphabet_is_the_librarys():
+    enc = PieceEncoder(tokenizer_path())
+    pieces = [chr(c) * k for c in [*range(0x20, 0x250), 0x4E2D, 0x1F600, 0x20AC] for k in (1, 3)]
+    pieces = [p for p in pieces if len(enc.library.pre_tokenizer.pre_tokenize_str(p)) == 1]
+    assert len(pieces) > 900 and enc.by_model(pieces) == enc.plain(pieces)
+
+
+def test_any_number_of_used_ids_round_trips():
+    rng = np.random.default_rng(3)
+    used = 200_000
+    n = np.array([60_000, 0, 150_000, 256, 1, 39_743, 90_000])
+    ids = np.concatenate((rng.permutation(used), (rng.zipf(1.3, int(n.sum()) - used) % used))).astype(np.int64)
+    rng.shuffle(ids)
+    lengths = huffman.code_lengths(np.bincount(ids))
+    assert 17 < lengths.max() <= huffman.LONGEST and (lengths > 0).sum() == used
+    assert (0.5 ** lengths[lengths > 0].astype(float)).sum() <= 1
+    codes, _ = huffman.canonical_codes(lengths)
+    bounds = np.concatenate(([0], np.cumsum(n)))
+    bits, at, marks, _ = huffman.encode(ids, bounds, lengths, codes)
+    assert (huffman.decode(bits, at, n, marks, huffman.decode_table(lengths)) == ids).all()
+    flat = huffman.code_lengths(np.ones(70_000, np.int64))        # more ids than 16 bits have codes
+    assert flat.max() == 17 and (flat > 0).all()
+
+
+def test_parts_are_ranges_also_where_one_row_is_repeated(spark):
+    rows = [(7, "same words")] * 300 + [(i, f"text {i}") for i in range(40)] + [(None, "x")] * 20
+    got = _digest(spark, rows)
+    assert len(got) == 360 and [r[0] for r in got] == [None] * 20 + sorted(r[0] for r in rows if r[0] is not None)
+    assert [r[1] for r in got] == np.concatenate(([0], np.cumsum([r[2] for r in got])))[:-1].tolist()
+    tokens = spark.createDataFrame([(r[0], 2, 5) for r in rows], "doc_id long, n_tokens long, crc long")
+    bounds = token_files.part_bounds(tokens, 8)
+    assert len(bounds) == 7 and bounds == sorted(bounds) and len(set(bounds)) < 7
+    assert token_files.part_bounds(tokens.limit(0), 8) == []

@@ -3,7 +3,7 @@
 A byte-level BPE splits a text into pieces (a word with the space before it, a run
 of digits, signs or white space) and encodes every piece for itself.  Texts are
 therefore cut into pieces with numpy, and only pieces not seen before by this worker
-go through the library.  Texts with anything else that matters (a special token's
+go through the library, piece by piece to its BPE model.  Texts with anything else that matters (a special token's
 string, rare scripts whose classes differ between Unicode versions) and tokenizers of
 another kind take the library's plain way.
 """
@@ -27,11 +27,15 @@ KEEP = 500_000            # distinct pieces a worker remembers; more start a new
 SETTLED = [(0x0, 0x52F), (0x1E00, 0x206F), (0x20A0, 0x20BF), (0x2100, 0x218B), (0x2190, 0x23F3),
            (0x2500, 0x26FF), (0x3000, 0x303F), (0x3041, 0x3096), (0x30A0, 0x30FF),
            (0x4E00, 0x9FA5), (0xAC00, 0xD7A3)]
+# The byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ...
+PRINTABLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 ONE_LETTER = "stmd"
 TWO_LETTERS = ["re", "ve", "ll"]
 WHITE = [0x9, 0xA, 0xB, 0xC, 0xD, 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
          0x2029, 0x202F, 0x205F, 0x3000]
 
+ALPHABET = {b: chr(b) for b in PRINTABLE}
+ALPHABET |= {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in ALPHABET)}
 OTHER, LETTER, NUMBER, SPACE, UNSETTLED = range(5)
 _cache: dict = {}
 
@@ -108,8 +112,18 @@ class PieceEncoder:
                                                                   add_special_tokens=False)]
         return out
 
+    def by_model(self, pieces: list[str]) -> list[list[int]]:
+        """Ids of pieces, straight from the library's BPE model."""
+        raw = [p.encode("utf-8", "surrogatepass") for p in pieces]
+        shown = b"".join(raw).decode("latin-1").translate(ALPHABET)
+        tokenize, at, out = self.library.model.tokenize, 0, []
+        for r in raw:
+            out.append([t.id for t in tokenize(shown[at:at + len(r)])])
+            at += len(r)
+        return out
+
     def _remember(self, keys, proof, pieces) -> None:
-        ids = self.plain(pieces)
+        ids = self.by_model(pieces)
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         at = np.searchsorted(self.keys, keys)
         first = len(self.pool) + np.concatenate(([0], np.cumsum(size)[:-1]))

@@ -19,6 +19,7 @@ are kept; an empty table gives empty files; other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import struct
 import zlib
 
@@ -84,25 +85,59 @@ def _count_stage(batches):
     yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "n"])
 
 
-def _bits_stage(lengths: np.ndarray, interval: int):
-    """Arrow stage: token table -> every document's own bits and checkpoints."""
+def _bits_stage(lengths: np.ndarray, interval: int, bounds: list[tuple]):
+    """Arrow stage: token table -> every document's part, own bits and checkpoints.
+
+    Part p holds the documents between bounds p - 1 and p; one equal to several bounds
+    (a row that is repeated very often) may go to any part between them.
+    """
     codes, _ = huffman.canonical_codes(lengths)
 
+    def part(key, k):
+        low = bisect.bisect_left(bounds, key)
+        return low + k % (bisect.bisect_right(bounds, key, lo=low) - low + 1)
+
     def run(batches):
         for b in batches:
             for i, j, ids, cut in _unpack(b):
                 bits, at, marks, mark_at = huffman.encode(ids, cut, lengths, codes, interval)
                 raw, mraw = bits.tobytes(), marks.tobytes()
+                keys = zip(*(b.column(c)[i:j].to_pylist() for c in ("doc_id", "n_tokens", "crc")))
+                parts = [part(_key(*x), k) for k, x in enumerate(keys, i)]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column("doc_id")[i:j], b.column("n_tokens")[i:j], b.column("crc")[i:j],
+                    [pa.array(parts, pa.int32()), b.column("doc_id")[i:j], b.column("n_tokens")[i:j],
+                     b.column("crc")[i:j],
                      pa.array([raw[x:y] for x, y in zip(at, at[1:])], pa.binary()),
                      pa.array([mraw[4 * x:4 * y] for x, y in zip(mark_at, mark_at[1:])],
                               pa.binary())],
-                    names=["doc_id", "n_tokens", "crc", "bits", "marks"])
+                    names=["p", "doc_id", "n_tokens", "crc", "bits", "marks"])
 
     return run
 
 
+def _key(doc_id, n_tokens: int, crc: int) -> tuple:
+    return (doc_id is not None, doc_id or 0, n_tokens, crc)
+
+
+def part_bounds(tokens: DataFrame, parts: int, each: int = 60, most: int = 1_000_000) -> list[tuple]:
+    """``parts`` - 1 keys that cut the token table into parts of about as many ids.
+
+    From a sample by hash of about ``each`` documents a part and ``most`` at all, of three narrow
+    columns: the ids themselves are not read.
+    """
+    n = tokens.count()
+    share = min(1.0, min(parts * each, most) / max(1, n))
+    found = tokens.where(F.pmod(F.xxhash64("doc_id", "crc", "n_tokens"), F.lit(1 << 62)) < int(share * (1 << 62)))
+    rows = sorted((_key(r[0], r[1], r[2]), r[1]) for r in found.select("doc_id", "n_tokens", "crc").collect())
+    total = sum(r[1] for r in rows)
+    bounds, upto = [], 0
+    for key, size in rows:
+        upto += size
+        while len(bounds) < parts - 1 and upto * parts >= total * (len(bounds) + 1):
+            bounds.append(key)
+    return bounds
+
+
 def _payload(docs: list, interval: int) -> bytes:
     null = np.array([d[0] is None for d in docs], np.uint8)
     ids = np.array([d[0] or 0 for d in docs], np.int64)
@@ -154,9 +189,10 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     lengths = huffman.code_lengths(counts)
     docs.sparkSession.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary") \
         .coalesce(1).write.parquet(f"{folder}/codebook")
-    (tokens.mapInArrow(_bits_stage(lengths, interval),
-                       "doc_id long, n_tokens long, crc long, bits binary, marks binary")
-     .repartitionByRange("doc_id", "n_tokens", "crc")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (tokens.mapInArrow(_bits_stage(lengths, interval, part_bounds(tokens, parts)),
+                       "p int, doc_id long, n_tokens long, crc long, bits binary, marks binary")
+     .repartitionById(parts, "p").drop("p")
      .sortWithinPartitions("doc_id", "n_tokens", "crc")
      .mapInArrow(_blocks_stage(block_tokens, interval),
                  "part int, block long, first long, n_docs long, n_tokens long, payload binary")
