@@ -40,6 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from txstream.llm import bloom, textbytes as tb
+from txstream.llm.decontaminate import without
 from txstream.session import materialize
 
 U = np.uint64
@@ -463,20 +464,22 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` with one document left of every near-duplicate group.
 
     The document with the smallest doc_id stays; rows that repeat it (same doc_id
-    and text) are one row.  Texts without words all stay.
+    and text) are one row.  Texts without words all stay.  Columns of any name pass;
+    texts are not shuffled while the rejected documents are few enough to be broadcast
+    (:func:`without`).
     """
     marked = jaccard_join(docs, **options)
     verdict = materialize(marked.groupBy("doc_id", "text_hash").agg(
         F.max("is_first").alias("_first"), F.count(F.lit(1)).alias("_rows"),
         F.max("copies").alias("_copies")), "cp-verdict")
     out = F.coalesce(F.col("_first"), F.lit(True))
-    gone = verdict.where(~out).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th"))
-    keyed = docs.withColumn("_h", F.xxhash64("text"))
-    kept = keyed.join(gone, same, "left_anti")
+    kept = without(docs, verdict.where(~out))
     again = (verdict.where(out & (F.col("_rows") > 1) & (F.col("_copies") > 1))
              .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_th")))
     if again.limit(1).count() == 0:
-        return kept.drop("_h")
-    repeated = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "_h"])
-    return kept.join(again, same, "left_anti").unionByName(repeated).drop("_h")
+        return kept
+    rows = kept.select(F.struct(*[kept[c] for c in kept.columns]).alias("_row")).select(
+        "_row", F.col("_row.doc_id").alias("_key"), F.xxhash64("_row.text").alias("_hash"))
+    same = F.col("_key").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th"))
+    repeated = rows.join(again, same, "left_semi").dropDuplicates(["_key", "_hash"])
+    return rows.join(again, same, "left_anti").unionByName(repeated).select("_row.*")
