@@ -88,3 +88,18 @@ def test_chain_is_nested_and_cheapest_first():
     assert [c[:2].tolist() for c in chain] == [[9, 2], [3, 2], [1, 2]]
     assert all((a >= b).all() for a, b in zip(chain, chain[1:], strict=False))
     assert rr.rule_chain(places, good, bad * 0, 0.01) == []
+
+
+def test_copies_are_one_trial(spark):
+    """A hundred copies of each good text are no more evidence than the texts themselves."""
+    clean = " ".join(f"word{i}" for i in range(80))
+    junk = " ".join(f"word{i}###" for i in range(80))
+    rows = [(c * 1000 + i, clean + f" {i}", "en") for i in range(60) for c in range(100)] + \
+           [(200_000 + i, junk + f" {i}", "en") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], int(r[0] < 200_000), 0) for r in rows],
+                                   "doc_id long, quality long, toxic long")
+    assert all(r.kept for r in rr.judge(df, labels).collect())      # 45 trials prove no risk of 1 %
+    noisy = labels.selectExpr("doc_id", "if(doc_id < 3000, 0, quality) quality", "toxic")
+    cells = rr.thresholds(rr.measure(df), noisy).collect()
+    assert len(cells) == len(rr.STATISTICS) and all(c.cutoff == math.inf for c in cells)

@@ -1,8 +1,9 @@
 """Quality rules with risk-controlled thresholds.
 
 Base rules are fixed.  For the statistics in ``STATISTICS`` the cutoffs are selected
-together per stratum (language).  All labelled bad documents and a quarter of the good
-ones (by a hash of doc_id) give a chain of rule sets, each stricter than the one before:
+together per stratum (language).  A text is one trial however many documents are copies of it:
+equal texts of a stratum count once, good if most of their labels are.  All labelled bad texts and a
+quarter of the good ones (by a hash of the text) give a chain of rule sets, each stricter than the one before:
 the next cutoff is the one that rejects most further bad documents for the further good
 ones, while the set rejects at most ``risk`` of that quarter.  The other good documents
 test the sets in this order.  A set holds while its false rejections k of n by any of its
@@ -10,7 +11,7 @@ rules together have an exact binomial (Clopper-Pearson) upper bound of at most `
 that is P(Bin(n, risk) <= k) <= delta / strata; the last set before the first failure is
 taken.  The chain does not depend on the documents that test it and the test ends at the
 first failure, so with probability 1 - ``delta`` no stratum loses more than ``risk`` of
-its good documents that pass the base rules to all statistics together.  A cutoff that
+its good texts that pass the base rules to all statistics together.  A cutoff that
 rejects no further bad document is not set; the statistic is then off there.
 
 Defined results: null and empty texts have no words and fail the base rules; a null
@@ -84,19 +85,20 @@ def _measure_stage(batches):
             letter = upper | ((part >= 0x61) & (part <= 0x7A))
             rows = slice(w.first_doc, w.first_doc + w.n_docs)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id")[rows], b.column("lang")[rows], pa.array(w.counts),
+                [b.column("doc_id")[rows], b.column("lang")[rows], b.column("text_hash")[rows], pa.array(w.counts),
                  pa.array(sums(inside)), pa.array(sums(np.isin(part, SYMBOLS))),
                  pa.array([duplicate_lines(t) for t in texts[rows]], pa.int64()),
                  pa.array(repeated_words(w, w.hashes())), pa.array(sums(upper)),
                  pa.array(sums(letter))],
-                names=["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+                names=["doc_id", "lang", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                        "n_repeat_words", "n_upper", "n_letters"])
 
 
 def measure(docs: DataFrame) -> DataFrame:
     """Counts of every whole text."""
-    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").mapInArrow(
-        _measure_stage, "doc_id long, lang string, n_words long, word_chars long, n_symbols long,"
+    return docs.select("doc_id", F.col("lang").cast("string").alias("lang"), "text",
+                       F.xxhash64("text").alias("text_hash")).mapInArrow(
+        _measure_stage, "doc_id long, lang string, text_hash long, n_words long, word_chars long, n_symbols long,"
                         " n_dup_lines long, n_repeat_words long, n_upper long, n_letters long")
 
 
@@ -190,12 +192,15 @@ def thresholds(measured: DataFrame, labels: DataFrame, risk: float = 0.01,
     """
     known = (labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
              .where("doc_id is not null and quality is not null"))
-    holdout = measured.where(~base_failed()).join(known, "doc_id")
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_upper", "n_letters")
+    holdout = (measured.where(~base_failed()).join(known, "doc_id").groupBy("lang", "text_hash")
+               .agg(*[F.first(c).alias(c) for c in counts],        # equal texts have equal counts
+                    F.avg((F.col("quality") >= 1).cast("int")).alias("share")))
     places = [sum(((stat > c).cast("int") for c in STATISTICS[name]), F.lit(0)).alias(name)
               for name, stat in statistics().items()]
-    testing = F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(4)) > 0
+    testing = F.pmod(F.xxhash64("text_hash", F.lit(5)), F.lit(4)) > 0
     cells = (holdout.select(F.col("lang").alias("stratum"), *places, testing.alias("testing"),
-                            (F.col("quality") >= 1).alias("good"))
+                            (F.col("share") >= 0.5).alias("good"))
              .groupBy("stratum", *STATISTICS, "testing", "good").agg(F.count(F.lit(1)).alias("n")))
     cells = materialize(cells, "rule-cells")
     strata = cells.select("stratum").distinct().count()
