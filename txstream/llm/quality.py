@@ -166,9 +166,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> tuple[Head,
                   F.max("toxic").cast("long").alias("toxic"))
              .where("quality is not null and toxic is not null"))
     n = known.count()
-    part = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 20)) < int((1 << 20) * min(
-        1.0, sample / max(1, n)))
-    got = (docs.select("doc_id", "text").join(known.where(part), "doc_id")
+    part = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 62)) < int(min(1.0, sample / max(1, n)) * (1 << 62))
+    chosen = materialize(known.where(part), "quality-sample")     # ``sample`` rows, about: broadcast
+    got = (docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
            .select("text", "quality", "toxic")
            .mapInArrow(_feature_stage, "quality long, toxic long, buckets array<int>,"
                                        " shape array<double>").toPandas())
@@ -263,18 +263,13 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source",
     heads = train(docs, labels, sample)
     keys = list(dict.fromkeys([host, *path]))
     p = (F.col("quality_prob") * (1 - F.col("toxic_prob"))).alias("p")
-    sites_input = docs.select(*[docs[k].alias(f"k{i}") for i, k in enumerate(keys)], "text", "doc_id")
-    if carry:
-        sites_input = docs.select(*[docs[k].alias(f"k{i}") for i, k in enumerate(keys)], "text", "doc_id",
-                                  F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     names = [f"k{i}" for i in range(len(keys))]
-    light = with_probabilities(sites_input.drop("_row"), heads).select(
-        "doc_id", *names, "quality_prob", "toxic_prob", p)
-    if not carry:
-        light = materialize(light, "quality-scores")
-    sites = posteriors(light, "k0", names[1:])
-    scored = (with_probabilities(sites_input, heads).drop("text").withColumn("p", p)
-              if carry else light)
+    sites_input = docs.select(*[docs[k].alias(n) for n, k in zip(names, keys)], "text", "doc_id",
+                              *([F.struct(*[docs[c] for c in docs.columns]).alias("_row")] if carry else []))
+    # every text is scored once; the rows are written with their scores and read again
+    scored = materialize(with_probabilities(sites_input, heads).select(
+        "_row" if carry else "doc_id", *names, "quality_prob", "toxic_prob", p), "quality-scores")
+    sites = posteriors(scored.select(*names, "p"), "k0", names[1:])
     cond = None
     for k in names:
         c = scored[k].eqNullSafe(sites[k])
