@@ -4,7 +4,8 @@ Each source's target is a share of ``share`` (1.5) times all words by the source
 weights, at most ``most`` (2) times its size, what is cut off going to the others by
 weight.  A document is taken ``floor(target / source size)`` whole times (complete
 epochs); for the rest every document gets the exponential key ``-ln(u) / quality``,
-u being a hash of its doc_id, and the documents of smallest key are taken until the
+u being a hash of its doc_id and quality a column of weights (a classifier's score) or, without
+one, the text's share of letters, and the documents of smallest key are taken until the
 remaining words are filled, the last one if that comes nearer the target.
 
 No source is ever ordered in one task: keys are counted in about sqrt(n) buckets per
@@ -78,10 +79,18 @@ def targets(sizes: DataFrame, share: float = 1.5, most: float = 2.0,
         F.least(F.col("cap"), F.col("level") * F.col("weight")), F.col("cap")).alias("target"))
 
 
-def _measured(docs: DataFrame, seed: str) -> DataFrame:
+def _weight(text: Column, column: Column | None) -> Column:
+    """The quality weight: a column's values (0.05 at least, null: 1), or ``quality_of`` the text."""
+    if column is None:
+        return quality_of(text)
+    return F.coalesce(F.greatest(F.lit(0.05), column.cast("double")), F.lit(1.0))
+
+
+def _measured(docs: DataFrame, seed: str, quality: str | None = None) -> DataFrame:
     text = F.col("text")
+    weight = _weight(text, F.col(quality) if quality else None)
     return docs.select("doc_id", "source", size_of(text).alias("size"),
-                       key_of(F.col("doc_id"), text, quality_of(text), seed).alias("key"))
+                       key_of(F.col("doc_id"), text, weight, seed).alias("key"))
 
 
 def thresholds(measured: DataFrame, **options) -> DataFrame:
@@ -136,9 +145,12 @@ def _copies() -> Column:
     return F.col("epochs") + part.cast("long")
 
 
-def mixture(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
-    """Per document: doc_id, source, size, source_size, target, copies, taken."""
-    measured = materialize(_measured(docs, seed), "mix-sizes")
+def mixture(docs: DataFrame, seed: str = "mix", quality: str | None = None, **options) -> DataFrame:
+    """Per document: doc_id, source, size, source_size, target, copies, taken.
+
+    ``quality`` names a column of quality weights, such as a classifier's score.
+    """
+    measured = materialize(_measured(docs, seed, quality), "mix-sizes")
     plan = thresholds(measured, **options)
     joined = measured.join(plan, measured["source"].eqNullSafe(plan["_source"]))
     return joined.withColumn("copies", _copies()).select(
@@ -146,15 +158,16 @@ def mixture(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
         (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def mix(docs: DataFrame, seed: str = "mix", **options) -> DataFrame:
+def mix(docs: DataFrame, seed: str = "mix", quality: str | None = None, **options) -> DataFrame:
     """The rows of ``docs``, each repeated as often as the mixture takes it."""
-    plan = thresholds(materialize(_measured(docs, seed), "mix-sizes"), **options)
+    plan = thresholds(materialize(_measured(docs, seed, quality), "mix-sizes"), **options)
     text = F.col("_row.text")
+    weight = _weight(text, F.col("_row")[quality] if quality else None)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))
     measured = rows.select(
         "_row", F.col("_row.doc_id").alias("doc_id"), F.col("_row.source").alias("source"),
         size_of(text).alias("size"),
-        key_of(F.col("_row.doc_id"), text, quality_of(text), seed).alias("key"))
+        key_of(F.col("_row.doc_id"), text, weight, seed).alias("key"))
     copies = _copies().alias("copies")
     return (measured.join(plan, F.col("source").eqNullSafe(plan["_source"]))
             .select("_row", copies).where("copies > 0")
