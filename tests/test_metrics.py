@@ -85,3 +85,42 @@ def test_two_round_top_n_equals_single_window(spark):
     want = df.withColumn("r", F.row_number().over(w)).filter("r <= 700").drop("r")
     assert got.count() == want.count() == 2100
     assert got.exceptAll(want).count() == 0
+
+
+def test_rolling_quantile_keeps_wide_ids_and_nulls(spark):
+    wide = [2**53 + 1, None, 2**53 + 3, 2**53 - 1, -2**63, 2**62 + 1]
+    rows = [(i, wide[i % 6], None if i % 4 == 0 else wide[(i + 1) % 6], i % 3) for i in range(90)]
+    df = spark.createDataFrame(rows, "event_id long, p long, extra long, lag long")
+    got = metrics.rolling_quantile(df.repartition(3), "p", "event_id", "lag", n=4, chunk_rows=5, num_partitions=4)
+    assert sorted(map(tuple, got.select("event_id", "p", "extra", "lag").collect())) == sorted(rows)
+    w = Window.partitionBy("p").orderBy("event_id").rowsBetween(-3, 0)
+    want = {r.event_id: r.q for r in df.withColumn("q", F.percentile("lag", 0.99).over(w)).collect()}
+    assert all(abs(r.rolling_p99 - want[r.event_id]) < 1e-9 for r in got.collect())
+
+
+def test_rolling_quantile_of_null_values(spark):
+    df = spark.createDataFrame([(i, 1, None if i < 3 else float(i)) for i in range(8)],
+                               "event_id long, p long, lag double")
+    got = {r.event_id: r.rolling_p99 for r in
+           metrics.rolling_quantile(df, "p", "event_id", "lag", q=0.5, n=2, chunk_rows=3).collect()}
+    assert got == {0: None, 1: None, 2: None, 3: 3.0, 4: 3.5, 5: 4.5, 6: 5.5, 7: 6.5}
+
+
+def test_merged_sketches_stay_within_their_rank_error(spark):
+    """Skewed lags, one group with most rows: ranks of p50 and p99 against the exact ones."""
+    df = spark.range(60_000).selectExpr(
+        "id event_id", "if(id % 10 < 8, 0, id % 10) partition",
+        "cast(pow(1.0003, id % 30011) * 10 as long) lag", "1704067200000 + id * 60 timestamp")
+    slides = metrics.lag_sketches(df.repartition(5), slide="5 minutes")
+    for by in ("partition", None):
+        got = metrics.sketch_windows(slides, by, "30 minutes", "10 minutes", (0.5, 0.99)).collect()
+        assert len(got) > 7
+        exact = df.toPandas()
+        for r in got:
+            part = exact[(exact.timestamp >= r.window_start_ms) & (exact.timestamp < r.window_end_ms)]
+            if by:
+                part = part[part.partition == r.partition]
+            assert r.n == len(part)
+            for q, v in ((0.5, r.p50), (0.99, r.p99)):
+                assert (part.lag < v).mean() <= q + 3 * metrics.RANK_ERROR
+                assert (part.lag <= v).mean() >= q - 3 * metrics.RANK_ERROR

@@ -18,6 +18,9 @@ batches the earlier batch wins.  The store is a Parquet table with one
   scan stays bounded.  Readers use the newest complete base plus the batches
   after it; deleting what a base covers is garbage collection, so a crash at
   any point leaves a consistent store.
+
+:mod:`txstream.operators.keyed_store` keeps the same documents at steady cost a batch (sorted
+runs, merged level by level); the chain writes that one, and ``read_documents`` reads both.
 """
 
 from __future__ import annotations
@@ -106,6 +109,10 @@ def insert_once(batch: DataFrame, store: str, batch_id: int, key: str = "_id",
 
 def read_documents(spark: SparkSession, store: str, columns=None, schema=None) -> DataFrame:
     """The store's rows; with ``schema`` a store without rows is empty instead of an error."""
+    from txstream.operators import keyed_store
+
+    if keyed_store.exists(spark, store):
+        return keyed_store.read(spark, store, columns, schema)
     docs = _documents(spark, store, None)
     if docs is None:
         if schema is None:
@@ -114,6 +121,19 @@ def read_documents(spark: SparkSession, store: str, columns=None, schema=None) -
     return docs.select(*(columns or docs.columns))
 
 
+def vacuum_covered(spark: SparkSession, store: str) -> None:
+    """Delete the bases and batches that the newest base covers."""
+    v = latest_base(spark, store)
+    if v is None:
+        return
+    for name in list_dirs(spark, f"{store}/{BASE}"):
+        if name.startswith("v=") and int(name[2:]) < v:
+            delete(spark, f"{store}/{BASE}/{name}")
+    for name in list_dirs(spark, store):
+        if name.startswith("batch=") and int(name[6:]) <= v:
+            delete(spark, f"{store}/{name}")
+
+
 def compact(spark: SparkSession, store: str, upto_batch: int, vacuum: bool = True) -> None:
     """Fold every batch ``<= upto_batch`` into base version ``upto_batch``.
 
@@ -135,10 +155,4 @@ def compact(spark: SparkSession, store: str, upto_batch: int, vacuum: bool = Tru
         delete(spark, new)
         raise RuntimeError(f"compaction of {store} up to batch {upto_batch}: {got} of {want} rows")
     if vacuum:
-        for name in list_dirs(spark, f"{store}/{BASE}"):
-            if name.startswith("v=") and int(name[2:]) < upto_batch:
-                delete(spark, f"{store}/{BASE}/{name}")
-        for name in list_dirs(spark, store):
-            if name.startswith("batch=") and int(name[6:]) <= upto_batch:
-                delete(spark, f"{store}/{name}")
-
+        vacuum_covered(spark, store)

@@ -34,7 +34,8 @@ def keyed_order(df: DataFrame, keys, order, num_partitions: int | None = None) -
 
 
 def _starts(column: pa.Array, last: pa.Scalar | None) -> np.ndarray:
-    """True where a value differs from the one before (null equals null), in its own type.
+    """True where a value differs from the one before, in its own type (null equals null and
+    NaN equals NaN, as in a window partition).
 
     ``last`` is the value before the first one; without it the first one starts.
     """
@@ -42,14 +43,18 @@ def _starts(column: pa.Array, last: pa.Scalar | None) -> np.ndarray:
     before = pa.concat_arrays([head, column.slice(0, len(column) - 1)])
     both_null = pc.and_(pc.is_null(column), pc.is_null(before))
     same = pc.or_(pc.fill_null(pc.equal(column, before), False), both_null)
+    if pa.types.is_floating(column.type):
+        both_nan = pc.and_(pc.is_nan(column), pc.is_nan(before))
+        same = pc.or_(same, pc.fill_null(both_nan, False))
     out = ~np.asarray(same.to_numpy(zero_copy_only=False), bool)
     if last is None:
         out[0] = True
     return out
 
 
-def _local_numbering(keys: list[str]):
-    """Number rows per key run inside one sorted partition, across Arrow batches.
+def _local_numbering(keys: list[str], weight: str | None = None):
+    """Number rows per key run inside one sorted partition, across Arrow batches; with
+    ``weight`` (a column of integers >= 0) the running sum of it in place of the number.
 
     No column leaves Arrow: keys are compared in their own type, all others pass through.
     ``_edge`` marks the slice's first and last row.
@@ -74,7 +79,10 @@ def _local_numbering(keys: list[str]):
             for i, c in enumerate(cols):
                 new |= _starts(c, None if last is None else last[i])
             start = np.maximum.accumulate(np.where(new, np.arange(n), -1))
-            seq = np.where(start >= 0, np.arange(n) - start + 1, np.arange(n) + 1 + last_seq)
+            steps = np.ones(n, np.int64) if weight is None else np.asarray(
+                batch.column(batch.schema.get_field_index(weight)).cast(pa.int64()))
+            total = np.cumsum(steps)
+            seq = total - np.where(start >= 0, (total - steps)[start], -last_seq)
             edge = np.zeros(n, bool)
             edge[0] = last is None
             last, last_seq = [c[n - 1] for c in cols], int(seq[-1])
@@ -88,11 +96,13 @@ def _local_numbering(keys: list[str]):
 
 
 def keyed_positions(df: DataFrame, keys, order, out: str = "seq",
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, weight: str | None = None) -> DataFrame:
     """Add ``out`` = 1-based position of each row within its key, by ``order``.
 
     ``order`` must make rows unique within a key (add a tie-breaker column).  Keys may
     be null (one key) and of any atomic type; values of all columns stay as they are.
+    With ``weight``, a column of integers >= 0 without nulls, ``out`` is its running sum, the row's
+    own included.
     """
     keys, order = list(keys), list(order)
     ship_package(df.sparkSession)
@@ -102,7 +112,7 @@ def keyed_positions(df: DataFrame, keys, order, out: str = "seq",
                                                   T.StructField("_edge", T.BooleanType(), False)])
     # Range bounds are sampled per exchange, so the numbered rows are written
     # once and every consumer below reads the same slices.
-    local = materialize(ranged.mapInArrow(_local_numbering(keys), schema), "positions")
+    local = materialize(ranged.mapInArrow(_local_numbering(keys, weight), schema), "positions")
 
     # Only the slices' first and last rows: at most two rows a partition.
     key = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])

@@ -31,6 +31,10 @@ from txstream.streaming.runner import run_available_now
 from txstream.streaming.sinks import process_writer
 
 
+# Fixed value: the consumer group's name in the source system.
+GROUP = "transaction-group"
+
+
 @dataclass
 class ChainPaths:
     log: str
@@ -109,15 +113,16 @@ def read_quarantine(spark: SparkSession, paths: ChainPaths) -> DataFrame:
 
 def process_stage(spark: SparkSession, paths: ChainPaths, start: str = "earliest",
                   fee: int = 5, num_partitions: int = topics.DEFAULT_PARTITIONS,
-                  group: str = "transaction-group", max_files_per_trigger: int | None = None,
-                  compact_every: int | None = None, max_bytes_per_trigger: str | None = None):
+                  group: str = GROUP, max_files_per_trigger: int | None = None,
+                  compact_every: int | None = None, max_bytes_per_trigger: str | None = None,
+                  background: bool = False):
     record = schemas.with_fields(schemas.TRANSACTION, T.StructField("event_id", schemas.L))
     group_dir = f"{paths.checkpoints}/{group}"
     stream = topics.scan(spark, paths.topic, record, group=group_dir, start=start,
                          max_files_per_trigger=max_files_per_trigger,
                          max_bytes_per_trigger=max_bytes_per_trigger)
     return process_writer(stream, paths.documents, paths.dead_letters, group_dir, fee,
-                          num_partitions, compact_every)
+                          num_partitions, compact_every, background)
 
 
 def run_chain(spark: SparkSession, transactions: DataFrame, root: str | None = None,
@@ -131,11 +136,20 @@ def run_chain(spark: SparkSession, transactions: DataFrame, root: str | None = N
     return paths
 
 
+# Bounds of a long-running chain's micro-batches and how often its stores are merged.
+MAX_FILES, MAX_OFFSETS, COMPACT_EVERY = 1000, 10_000_000, 8
+
+
 def start_chain(spark: SparkSession, transactions: DataFrame, root: str,
                 trigger_interval: str = "1 second", start: str = "earliest",
-                fmt: str = "parquet", kafka_options: dict | None = None) -> dict:
+                fmt: str = "parquet", kafka_options: dict | None = None,
+                max_files_per_trigger: int | None = MAX_FILES, max_offsets_per_trigger: int | None = MAX_OFFSETS,
+                compact_every: int | None = COMPACT_EVERY) -> dict:
     """Start the stages as long-running queries with a processing-time trigger.
 
+    By default a backlog is worked off in bounded micro-batches (files, or offsets of a broker's
+    log), and the stores are merged in the background every ``compact_every`` batches.
+
     The trigger interval is the knob for commit frequency and latency (one
     commit per micro-batch).  Each stage keeps its own checkpoint, so any of
     them can be stopped and restarted independently and resumes where it left
@@ -148,6 +162,10 @@ def start_chain(spark: SparkSession, transactions: DataFrame, root: str,
             .trigger(processingTime=trigger_interval).start()
 
     queries = {"log": go(log_stage(transactions, paths, fmt, kafka_options), "log")}
-    queries["topic"] = go(topic_stage(spark, paths, fmt=fmt, kafka_options=kafka_options), "topic")
-    queries["process"] = go(process_stage(spark, paths, start=start), "process")
+    bounds = ({"max_offsets_per_trigger": max_offsets_per_trigger} if fmt == "kafka"
+              else {"max_files_per_trigger": max_files_per_trigger})
+    queries["topic"] = go(topic_stage(spark, paths, fmt=fmt, kafka_options=kafka_options, **bounds), "topic")
+    queries["process"] = go(process_stage(spark, paths, start=start, compact_every=compact_every,
+                                          max_files_per_trigger=max_files_per_trigger, background=True),
+                            "process")
     return queries

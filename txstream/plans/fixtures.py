@@ -102,9 +102,18 @@ def sequence_events(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("event_id").cast("string").alias("payload"))
 
 
+def sequence_from_events(events: DataFrame) -> DataFrame:
+    return events.select(F.col("event_id").alias("id"), ntz_to_ms("ts").alias("timestamp"),
+                         F.col("event_id").cast("string").alias("payload"))
+
+
 def delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What an at-least-once consumer received: some ids lost, some twice, some altered."""
-    seq = sequence_events(spark, sf_dir)
+    return delivered_from(sequence_events(spark, sf_dir))
+
+
+def delivered_from(seq: DataFrame) -> DataFrame:
+    """The same of any sequence, a stream too."""
     altered = F.when(F.col("id") % ALTER_EVERY == ALTER_REM,
                      F.concat(F.col("payload"), F.lit("!"))).otherwise(F.col("payload"))
     seq = seq.withColumn("payload", altered)

@@ -164,3 +164,25 @@ ORACLE["chain_conservation"] = (
 ORACLE["lag_over_timestamps"] = (
     f"select event_id, timestamp + (event_id * {fx.LAG_FACTOR}) % {fx.LAG_MOD} as processed_at, "
     f"timestamp, (event_id * {fx.LAG_FACTOR}) % {fx.LAG_MOD} as lag_ms from {TX} t")
+
+ORACLE["document_store_levels"] = FIRST_DOCS
+ORACLE["keyed_order_continued"] = ORACLE["keyed_order"]
+ORACLE["rate_total_streamed"] = (f"select * from ({_rate(False, SLIDE_MS)}) w where window_end_ms <= "
+                                 f"(select max(epoch_us(ts) // 1000) from events)")
+ORACLE["lag_sketch_p99"] = (
+    f"select partition, timestamp // 86400000 * 86400000 as window_start_ms, count(*) as samples, "
+    f"count(*) as n, true as within from {LAG} l group by all")
+ORACLE["epoch_sink_round_trip"] = f"select * from {TX} t"
+ORACLE["epoch_sink_counted"] = "select count(*) as events, cast(0 as bigint) as files from events"
+ORACLE["audit_gaps_incremental"] = ORACLE["audit_gaps"]
+ORACLE["audit_missing_ranges"] = (
+    f"select min(id) as first, max(id) as last, count(*) as missing from "
+    f"(select id, id - row_number() over (order by id) as g from {SEQ} s where not exists "
+    f"(select 1 from {DELIVERED} d where d.id = s.id)) m group by g")
+ORACLE["topic_scan_epochs_latest"] = f"select * from {CTX} t"
+ORACLE["topic_group_lag"] = (
+    f"select partition, count(*) as records, count(*) filter (where old) as finished, "
+    f"count(*) filter (where not old) as lag from (select {PART} as partition, true as old from {TX} a "
+    f"union all select {PART} as partition, false as old from {CTX} b) u group by partition")
+ORACLE["text_rolling_lines"] = ORACLE["bucketed_text_lines"]
+ORACLE["delivered_once"] = f"select distinct id, timestamp, payload from {DELIVERED} d"

@@ -15,8 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from txstream import schemas
 from txstream.functions.clock import lag_ms, ntz_to_ms
 from txstream.functions.codec import decode_json, encode_json, row_to_line, to_log_record
-from txstream.operators import audit, metrics
-from txstream.operators.documents import first_per_key, insert_once, read_documents
+from txstream.operators import audit, intervals, keyed_store, metrics
+from txstream.operators.documents import first_per_key, read_documents
 from txstream.operators.enrich import enrich_fee, exact_duplicates, to_document
 from txstream.operators.ordering import keyed_positions
 from txstream.operators.routing import route, split_counts
@@ -26,10 +26,15 @@ from txstream.plans.chain import (ChainPaths, log_stage, process_stage, read_qua
                                   run_chain, topic_stage)
 from txstream.plans.load import load_writers, read_samples
 from txstream.session import scratch_path
+from txstream.sources import epochs, groups
 from txstream.sources import generators as gen
 from txstream.sources import log as logsrc
 from txstream.sources import topic as topics
+from txstream.streaming import rolling
+from txstream.streaming.dedup import unique_writer
+from txstream.streaming.epoch_sink import epoch_writer, ledger, read_epochs
 from txstream.streaming.metrics_sink import histogram_writer, latest_histogram
+from txstream.streaming.positions import number_batch
 from txstream.streaming.progress import observed_total, run_logged
 from txstream.streaming.runner import run_available_now
 from txstream.streaming.sinks import keyed_batch_writer, noop_writer, process_batch, text_writer
@@ -151,6 +156,17 @@ def keyed_order_streamed(spark, sf):
         .select("event_id", "accountId", "timestamp", "seq")
 
 
+def keyed_order_continued(spark, sf):
+    """D1 over micro-batches: the month in ten batches, one of them replayed; an account's
+    positions go on from batch to batch and equal those of the whole table."""
+    root = scratch_path(spark, "keyed_continued")
+    for b, part in _cuts(fx.transactions(spark, sf), 10):
+        for _ in range(2 if b == 6 else 1):
+            number_batch(part, b, ["accountId"], ["timestamp", "event_id"], f"{root}/out",
+                         f"{root}/state", fold_every=4)
+    return spark.read.parquet(f"{root}/out").select("event_id", "accountId", "timestamp", "seq")
+
+
 def topic_partition_counts(spark, sf):
     root = scratch_path(spark, "topic_counts")
     topics.append(fx.transactions(spark, sf), f"{root}/topic", "accountId")
@@ -199,6 +215,38 @@ def topic_scan_latest(spark, sf):
     return _drain(spark, s, root, "out")
 
 
+def topic_scan_epochs_latest(spark, sf):
+    """A group on an epoch table, created after its first rows: it reads what is committed later,
+    from the commit log alone."""
+    root = scratch_path(spark, "epochs_latest")
+    table, group = f"{root}/table", f"{root}/_ck/group"
+
+    def keep(rows, batch_id):
+        rows.write.mode("overwrite").parquet(f"{root}/out/batch={batch_id}")
+
+    run_available_now(epoch_writer(fx.transactions_from_events(fx.events_stream(spark, sf)), table,
+                                   f"{root}/_ck/writer"))
+    epochs.create_group(spark, table, group, start="latest")
+    fx.customer_transactions(spark, sf).write.parquet(f"{root}/more")
+    both = spark.readStream.schema(TX_EID).option("recursiveFileLookup", "true").parquet(f"{root}/more")
+    # epochs of another query have numbers of their own: they go on behind the table's last one
+    run_available_now(epoch_writer(both, table, f"{root}/_ck/writer2", first_epoch=epochs.last_epoch(spark, table) + 1))
+    run_available_now(epochs.consume(spark, table, TX_EID, group, keep, start="latest"))
+    return spark.read.schema(TX_EID).parquet(f"{root}/out").drop("batch")
+
+
+def topic_group_lag(spark, sf):
+    """records of each partition that a group has finished and that it has yet to read, from
+    its checkpoint, after the topic has grown behind its last batch."""
+    root = scratch_path(spark, "group_lag")
+    topic, group = f"{root}/topic", f"{root}/_ck/group"
+    topics.append(fx.transactions(spark, sf), topic, "accountId")
+    s = topics.scan(spark, topic, TX_EID, group=group)
+    run_available_now(noop_writer(s, group))
+    topics.append(fx.customer_transactions(spark, sf), topic, "accountId")
+    return groups.group_lag(spark, topic, group, topics.topic_schema(TX_EID))
+
+
 def log_scan_earliest(spark, sf):
     root = scratch_path(spark, "log_scan")
     paths = ChainPaths.under(root)
@@ -216,12 +264,36 @@ def document_insert_once(spark, sf):
     docs = to_document(enrich_fee(route(fx.transactions(spark, sf))[0]), keep=["event_id"])
     cut = fx.GENERATED_EPOCH_MS + 15 * 86_400_000
     cols = ["_id", "amount", "timestamp", "transactionFee"]
-    insert_once(docs.filter(F.col("timestamp") < cut), store, 0, columns=cols)
-    insert_once(docs.filter(F.col("timestamp") >= cut), store, 1, columns=cols)
-    insert_once(docs.filter(F.col("timestamp") >= cut), store, 1, columns=cols)  # replay
+    keyed_store.insert(docs.filter(F.col("timestamp") < cut), store, 0, columns=cols)
+    keyed_store.insert(docs.filter(F.col("timestamp") >= cut), store, 1, columns=cols)
+    keyed_store.insert(docs.filter(F.col("timestamp") >= cut), store, 1, columns=cols)  # replay
     return read_documents(spark, store)
 
 
+def _cuts(rows: DataFrame, n: int):
+    """``rows`` cut into ``n`` parts of equal length in event time, none if there are no rows."""
+    span = rows.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
+    if span["lo"] is None:
+        return
+    width = (span["hi"] - span["lo"]) // n + 1
+    for b in range(n):
+        lo = span["lo"] + b * width
+        yield b, rows.filter((F.col("timestamp") >= lo) & (F.col("timestamp") < lo + width))
+
+
+def document_store_levels(spark, sf):
+    """Twelve micro-batches in the order of time, every third one replayed, merged whenever a level
+    has three runs: runs of up to nine batches replace the single ones."""
+    store = f"{scratch_path(spark, 'levels')}/documents"
+    docs = to_document(enrich_fee(route(fx.transactions(spark, sf))[0]), keep=["event_id"])
+    cols = ["_id", "amount", "timestamp", "transactionFee"]
+    for b, part in _cuts(docs, 12):
+        for _ in range(2 if b % 3 == 2 else 1):
+            keyed_store.insert(part, store, b, columns=cols, buckets=4)
+        keyed_store.merge(spark, store, fan_out=3)
+    return keyed_store.read(spark, store, schema=schemas.DOCUMENT)
+
+
 def _chain_output(spark, paths: ChainPaths) -> DataFrame:
     docs = read_documents(spark, paths.documents)
     dead = read_documents(spark, paths.dead_letters)
@@ -257,13 +329,8 @@ def chain_small_batches_compacted(spark, sf):
     paths = run_chain(spark, tx)
     small = paths.with_outputs("_small")
     rows = topics.scan(spark, paths.topic, TX_EID, stream=False)
-    span = rows.agg(F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")).first()
-    if span["lo"] is not None:
-        width = (span["hi"] - span["lo"]) // 5 + 1
-        for b in range(5):
-            lo = span["lo"] + b * width
-            process_batch(rows.filter((F.col("timestamp") >= lo) & (F.col("timestamp") < lo + width)),
-                          b, small.documents, small.dead_letters, compact_every=2)
+    for b, part in _cuts(rows, 5):
+        process_batch(part, b, small.documents, small.dead_letters, compact_every=2)
     return _chain_output(spark, small)
 
 
@@ -311,6 +378,19 @@ def bucketed_text_lines(spark, sf):
     return out.select("bucket", F.col("value").alias("line"))
 
 
+def text_rolling_lines(spark, sf):
+    """B4 with files of 64 KB: the events in three micro-batches a minute apart, then the timer
+    closes what is idle; all lines are in finished files."""
+    root = scratch_path(spark, "rolling")
+    out, state = f"{root}/lines", f"{root}/state"
+    seq = fx.sequence_events(spark, sf)
+    for b in range(3):
+        rolling.roll_batch(seq.where(F.col("id") % 3 == b), b, out, state, b * 60_000, row_to_line("sequence_event"),
+                           target=1 << 16)
+    rolling.close_idle(spark, out, state, 10 * 60_000, target=1 << 16)
+    return rolling.read_lines(spark, out).select("bucket", F.col("value").alias("line"))
+
+
 # ------------------------------------------------------------- metrics E1-E6
 def event_counter(spark, sf):
     return metrics.event_counter(fx.lag_samples(spark, sf), "partition")
@@ -404,6 +484,47 @@ def rate_sliding_streamed(spark, sf):
     return _round(out, ["rate_per_sec"])
 
 
+def rate_total_streamed(spark, sf):
+    """E4 as a stream: the slides' counts over all partitions, then the windows over them."""
+    root = scratch_path(spark, "total_stream")
+    tx = fx.transactions_from_events(fx.events_stream(spark, sf))
+    r = metrics.rate_sliding_stream(tx, None, window=RATE_WINDOW, slide=RATE_SLIDE,
+                                    window_seconds=RATE_SECONDS, watermark="0 seconds")
+    return _round(_drain(spark, r, root, "out"), ["rate_per_sec"])
+
+
+def lag_sketch_p99(spark, sf):
+    """E5 over all events of a day, not the last 1000: p99 from merged sketches, told by its exact
+    rank -- whether it lies within three times the sketches' rank error."""
+    samples = fx.lag_samples(spark, sf)
+    windows = metrics.sketch_windows(metrics.lag_sketches(samples, slide="1 hour"), window="1 day", slide="1 day")
+    day = F.floor(F.col("timestamp") / 86_400_000) * 86_400_000
+    ranked = samples.withColumn("window_start_ms", day).join(windows, ["partition", "window_start_ms"])
+    off = 3 * metrics.RANK_ERROR
+    return ranked.groupBy("partition", "window_start_ms").agg(
+        F.count(F.lit(1)).alias("samples"), F.max("n").alias("n"),
+        ((F.avg((F.col("lag") < F.col("p99")).cast("int")) <= 0.99 + off)
+         & (F.avg((F.col("lag") <= F.col("p99")).cast("int")) >= 0.99 - off)).alias("within"))
+
+
+def epoch_sink_round_trip(spark, sf):
+    """The library's own sink: the events stream in epochs, read back from what was committed."""
+    root = scratch_path(spark, "epochs")
+    tx = fx.transactions_from_events(fx.events_stream(spark, sf))
+    run_available_now(epoch_writer(tx, f"{root}/out", f"{root}/_ck"))
+    run_available_now(epoch_writer(tx, f"{root}/out", f"{root}/_ck"))      # restart: nothing new
+    return read_epochs(spark, f"{root}/out", TX_EID).drop("epoch")
+
+
+def epoch_sink_counted(spark, sf):
+    """The same sink without keeping rows: what it took, from its commit messages."""
+    root = scratch_path(spark, "counted")
+    run_available_now(epoch_writer(fx.events_stream(spark, sf, max_files_per_trigger=1), f"{root}/out",
+                                   f"{root}/_ck", keep=False))
+    return ledger(spark, f"{root}/out").agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("events"),
+                                            F.coalesce(F.sum("files"), F.lit(0)).alias("files"))
+
+
 def load_feedback(spark, sf):
     """Payload events -> topic (4 partitions, keyed by id text) -> read back in the
     same session; events per partition as seen by the reader."""
@@ -425,10 +546,38 @@ def audit_duplicates(spark, sf):
     return audit.audit_duplicates(fx.delivered(spark, sf))
 
 
+def delivered_once(spark, sf):
+    """R2 on a stream: repeats are removed within the watermark, later ones by the keyed store."""
+    root = scratch_path(spark, "delivered_once")
+    stream = fx.delivered_from(fx.sequence_from_events(fx.events_stream(spark, sf)))
+    run_available_now(unique_writer(stream, "id", f"{root}/store", f"{root}/_ck", delay="1 hour"))
+    return keyed_store.read(spark, f"{root}/store", schema=schemas.SEQUENCE_EVENT)
+
+
 def audit_gaps(spark, sf):
     return audit.audit_gaps(fx.delivered(spark, sf))
 
 
+def audit_gaps_incremental(spark, sf):
+    """R3 batch by batch: delivered ids in eight batches (each third one replayed) merge into a
+    table of ranges; the gaps are read from the ranges after the last batch."""
+    state = f"{scratch_path(spark, 'ranges')}/state"
+    ids = fx.delivered(spark, sf).select("id")
+    for b in range(8):
+        part = ids.where(F.pmod(F.xxhash64("id"), F.lit(8)) == b)
+        for _ in range(2 if b % 3 == 2 else 1):
+            intervals.add_batch(part, b, state, bits=10)
+    return intervals.gaps(intervals.ranges_after(spark, state))
+
+
+def audit_missing_ranges(spark, sf):
+    """R1 as ranges: produced less delivered ids, by one sweep over the ranges' ends."""
+    missing = intervals.subtract(intervals.of_ids(fx.sequence_events(spark, sf)),
+                                 intervals.of_ids(fx.delivered(spark, sf)))
+    return intervals.stitched(missing).select(F.col("lo").alias("first"), F.col("hi").alias("last"),
+                          (F.col("hi") - F.col("lo") + 1).alias("missing"))
+
+
 def audit_payload(spark, sf):
     return audit.audit_payload(fx.delivered(spark, sf))
 
@@ -472,16 +621,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_to_line": row_to_line_q,
     "keyed_order": keyed_order_q,
     "keyed_order_streamed": keyed_order_streamed,
+    "keyed_order_continued": keyed_order_continued,
     "topic_partition_counts": topic_partition_counts,
     "topic_round_trip": topic_round_trip,
     "topic_scan_all": topic_scan_all,
     "topic_scan_latest": topic_scan_latest,
+    "topic_scan_epochs_latest": topic_scan_epochs_latest,
+    "topic_group_lag": topic_group_lag,
     "log_scan_earliest": log_scan_earliest,
     "document_insert_once": document_insert_once,
+    "document_store_levels": document_store_levels,
     "chain_end_to_end": chain_end_to_end,
     "restart_no_reprocess": restart_no_reprocess,
     "chain_small_batches_compacted": chain_small_batches_compacted,
     "bucketed_text_lines": bucketed_text_lines,
+    "text_rolling_lines": text_rolling_lines,
     "chain_conservation": chain_conservation,
     "event_counter": event_counter,
     "lag_over_timestamps": lag_over_timestamps,
@@ -496,10 +650,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rate_tumbling": rate_tumbling,
     "rate_total": rate_total,
     "rate_sliding_streamed": rate_sliding_streamed,
+    "rate_total_streamed": rate_total_streamed,
+    "lag_sketch_p99": lag_sketch_p99,
+    "epoch_sink_round_trip": epoch_sink_round_trip,
+    "epoch_sink_counted": epoch_sink_counted,
     "load_feedback": load_feedback,
     "audit_missing": audit_missing,
     "audit_duplicates": audit_duplicates,
+    "delivered_once": delivered_once,
     "audit_gaps": audit_gaps,
+    "audit_gaps_incremental": audit_gaps_incremental,
+    "audit_missing_ranges": audit_missing_ranges,
     "audit_payload": audit_payload,
     "recovery_audit": recovery_audit,
     "document_first_per_account": flagship,

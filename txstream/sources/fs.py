@@ -55,3 +55,35 @@ def modification_ms(spark: SparkSession, path: str) -> int:
 def mkdirs(spark: SparkSession, path: str) -> None:
     fs, p = _fs_path(spark, path)
     fs.mkdirs(p)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the direct children of ``path`` (empty if it does not exist)."""
+    fs, p = _fs_path(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file as a whole."""
+    fs, p = _fs_path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A new small text file, visible under its name only when complete."""
+    fs, p = _fs_path(spark, path)
+    if fs.exists(p):
+        raise FileExistsError(path)
+    folder, name = path.rsplit("/", 1)
+    tmp = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}.tmp")
+    stream = fs.create(tmp, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not fs.rename(tmp, p):
+        raise OSError(f"cannot name {path}")

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from txstream.sources.fs import has_data_files, path_exists
+from txstream.sources.fs import has_data_files, list_names, path_exists
 
 STARTS = ("earliest", "latest")
 
@@ -49,3 +49,34 @@ def skip_group_start(spark: SparkSession, stream: DataFrame, group: str) -> Data
     seen = spark.read.parquet(start_marker(group)).withColumnRenamed("file", "_file")
     return (stream.withColumn("_file", _tail_col(F.col("_metadata.file_path")))
             .join(seen, "_file", "left_anti").drop("_file"))
+
+
+def taken_files(spark: SparkSession, group: str) -> DataFrame:
+    """``file``: directory and name of every file in the group's finished batches, read from its
+    checkpoint (the file source's log and the commit log)."""
+    done = [int(n) for n in list_names(spark, f"{group}/commits") if n.isdigit()]
+    if not done or not path_exists(spark, f"{group}/sources/0"):
+        return spark.createDataFrame([], "file string")
+    lines = spark.read.text(f"{group}/sources/0").where("value like '{%'")
+    entry = F.from_json("value", "path string, batchId long")
+    return (lines.select(entry.alias("e")).where(F.col("e.batchId") <= max(done))
+            .select(_tail_col(F.col("e.path")).alias("file")).distinct())
+
+
+def group_lag(spark: SparkSession, topic: str, group: str, schema, by: str = "partition") -> DataFrame:
+    """Per partition of the topic: records at its end, records the group has finished or skipped at
+    its start, and the rest, its lag.
+
+    Records are counted a file, from Parquet footers; a file belongs to a group's finished batches
+    as a whole.
+    """
+    counted = (spark.read.schema(schema).parquet(topic)
+               .groupBy(F.col(by), _tail_col(F.col("_metadata.file_path")).alias("file"))
+               .agg(F.count(F.lit(1)).alias("n")))
+    taken = taken_files(spark, group)
+    if path_exists(spark, f"{start_marker(group)}/_SUCCESS"):
+        taken = taken.unionByName(spark.read.schema("file string").parquet(start_marker(group))).distinct()
+    both = counted.join(taken.withColumn("_t", F.lit(1)), "file", "left")
+    done = F.coalesce(F.sum(F.when(F.col("_t") == 1, F.col("n"))), F.lit(0))
+    return both.groupBy(by).agg(F.sum("n").alias("records"), done.alias("finished"),
+                                (F.sum("n") - done).alias("lag"))

@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from txstream.functions.clock import ms_to_ntz
-from txstream.operators.documents import compact, insert_once
+from txstream.operators import keyed_store
+from txstream.operators.documents import compact, vacuum_covered
 from txstream.operators.enrich import DEFAULT_FEE, enrich_fee, to_document
 from txstream.operators.routing import route
 from txstream.sources.topic import DEFAULT_PARTITIONS, PARTITION, assign_partition
@@ -24,43 +25,57 @@ DEAD_LETTER_COLUMNS = ["accountId", "timestamp", "amount", "event_id"]
 
 def process_batch(batch: DataFrame, batch_id: int, documents: str, dead_letters: str,
                   fee: int = DEFAULT_FEE, num_partitions: int = DEFAULT_PARTITIONS,
-                  compact_every: int | None = None) -> None:
+                  compact_every: int | None = None, writer: str = "",
+                  background: bool = False) -> None:
     """Route one micro-batch: main rows -> enriched documents (insert once),
     the rest -> the dead-letter topic (keyed by accountId).
 
-    With ``compact_every=k`` the document and dead-letter stores fold every
-    batch before this one into their bases each ``k`` batches (those batches
-    are committed); read them with ``operators.documents.read_documents``.
+    Documents go to a levelled store (``operators.keyed_store``; ``compact_every`` is its
+    fan-out, 8 if not given).  With ``compact_every=k`` the dead-letter store folds every batch
+    before this one into its base each ``k`` batches (those batches are committed).  Read
+    both with ``operators.documents.read_documents``.  ``background=True`` merges and folds on
+    other threads beside the next batches; the dead letters' folded folders are then deleted only at
+    the next fold.
     """
     main, dead = route(batch)       # two reads of the batch's files, each with its filter pushed down
     docs = to_document(enrich_fee(main, fee), keep=["event_id"])
     cols = [c for c in DEAD_LETTER_COLUMNS if c in dead.columns]
     dead_out = assign_partition(dead.select(*cols), "accountId", num_partitions)
 
+    spark, fan_out = batch.sparkSession, max(2, compact_every or keyed_store.FAN_OUT)
+
     def write_documents():
-        insert_once(docs, documents, batch_id, key="_id", columns=DOCUMENT_COLUMNS)
+        keyed_store.insert(docs, documents, batch_id, key="_id", columns=DOCUMENT_COLUMNS, writer=writer)
+        if background:
+            keyed_store.merge_later(spark, documents, fan_out)
+        else:
+            while keyed_store.merge(spark, documents, fan_out) is not None:
+                pass
 
     def write_dead_letters():
         dead_out.write.mode("overwrite").partitionBy(PARTITION) \
             .parquet(f"{dead_letters}/batch={batch_id}")
 
+    def fold_dead_letters():
+        vacuum_covered(spark, dead_letters)
+        compact(spark, dead_letters, batch_id - 1, vacuum=False)
+
     with ThreadPoolExecutor(max_workers=2) as pool:     # concurrent jobs
         for f in [pool.submit(write_documents), pool.submit(write_dead_letters)]:
             f.result()
     if compact_every and batch_id > 0 and batch_id % compact_every == 0:
-        spark = batch.sparkSession
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            for f in [pool.submit(compact, spark, store, batch_id - 1)
-                      for store in (documents, dead_letters)]:
-                f.result()
+        if background:
+            keyed_store.run_later(dead_letters, fold_dead_letters)
+        else:
+            compact(spark, dead_letters, batch_id - 1)
 
 
 def process_writer(stream: DataFrame, documents: str, dead_letters: str, checkpoint: str,
                    fee: int = DEFAULT_FEE, num_partitions: int = DEFAULT_PARTITIONS,
-                   compact_every: int | None = None) -> DataStreamWriter:
+                   compact_every: int | None = None, background: bool = False) -> DataStreamWriter:
     def each(batch: DataFrame, batch_id: int) -> None:
         process_batch(batch, batch_id, documents, dead_letters, fee, num_partitions,
-                      compact_every)
+                      compact_every, writer=checkpoint, background=background)
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
 
 
