@@ -4,6 +4,24 @@ from txstream.llm import license_scan as ls
 from txstream.llm.decontaminate import words_of
 
 
+def shortest(part, t):
+    """The first of the shortest stretches with the words that t needs, over all stretches."""
+    for size in range(t.need, len(part) + 1):
+        for i in range(len(part) - size + 1):
+            if len(set(part[i:i + size]) & set(t.words)) >= t.need:
+                return i, i + size
+    return None
+
+
+def beside(part, t, longer):
+    """t is in the block also where the longer notices' places are blotted out."""
+    rest = list(part)
+    for u in longer:
+        while (x := shortest(rest, u)) is not None:
+            rest[x[0]:x[1]] = [None] * (x[1] - x[0])
+    return shortest(rest, t) is not None
+
+
 def brute(text, marks, block):
     """All phrases at all places, and every template against every block."""
     w, half = words_of(text), block // 2
@@ -13,7 +31,10 @@ def brute(text, marks, block):
     for b in range(0, max(1, len(w)), half):
         part = set(w[b:b + block])
         found = [t for t in marks if not t.phrase and len(part & set(t.words)) >= t.need]
-        labels |= {t.label for t in found if not any(set(t.words) < set(u.words) for u in found)}
+        for t in found:
+            longer = [u for u in found if set(t.words) < set(u.words)]
+            if not longer or beside(w[b:b + block], t, longer):
+                labels.add(t.label)
         best = max([best, *(len(part & set(t.words)) / len(t.words) for t in found)])
     starts = sorted(i for i, _ in places)
     return (len(w), len(starts), starts[0] if starts else None, starts[-1] if starts else None,
@@ -34,6 +55,9 @@ def test_against_brute_force(spark):
             rng.shuffle(keep)
             texts.append("a b " * int(rng.integers(0, 120)) + " q ".join(keep))
     texts += [" ".join(rng.choice(vocab, int(rng.integers(1, 400)))) for _ in range(60)]
+    by, nc, sa = (f"licensed under cc by{x} 4 0 " for x in ("", " nc", " sa"))
+    texts += ["u " * int(rng.integers(0, 90)) + "".join(rng.choice([by, nc, sa, "x y ", "cc by ", "4 0 "], 6))
+              for _ in range(40)]
     texts += texts[:5]
     rows = [(i if i % 11 else None, t, "l") for i, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string, labels string")

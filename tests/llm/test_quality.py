@@ -89,3 +89,42 @@ def test_queries_equal_their_sql(spark, name):
     cur = con.execute(ORACLE[name])
     want, cols = cur.fetchall(), [d[0] for d in cur.description]
     assert rows_of(got.columns, [tuple(r) for r in got.collect()]) == rows_of(cols, want)
+
+
+def test_site_score_and_verdict_equal_plain_loops(spark):
+    """From the texts' probabilities on: every site, score and verdict recomputed row by row."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = docs.limit(30).selectExpr("doc_id + 100000 doc_id", "if(doc_id % 3 = 0, '', text) text", "null lang",
+                                    "if(doc_id % 2 = 0, null, source) source", "n_chars").select(*docs.columns)
+    docs = docs.unionByName(odd)
+    got = quality.classify(docs, spark.read.parquet(f"{SF}/labels.parquet")).join(
+        docs.select("doc_id", "source", "lang"), "doc_id").collect()
+    assert len(got) == docs.count()
+    p = {r.doc_id: r.quality_prob * (1 - r.toxic_prob) for r in got}
+    base = min(1 - quality.EPS, max(quality.EPS, sum(p.values()) / len(p)))
+    hosts, paths = {}, {}
+    for r in got:
+        hosts.setdefault(r.source, []).append(p[r.doc_id])
+        paths.setdefault((r.source, r.lang), []).append(p[r.doc_id])
+
+    def strength(sites):
+        n = sum(k for k, _, _ in sites)
+        spread = sum(k * (m - c) ** 2 for k, m, c in sites) / n - base * (1 - base) * len(sites) / n
+        return min(1e4, max(2.0, base * (1 - base) / max(spread, 1e-5) - 1))
+
+    s0 = strength([(len(v), sum(v) / len(v), base) for v in hosts.values()])
+    host = {h: (s0 * base + sum(v)) / (s0 + len(v)) for h, v in hosts.items()}
+    s1 = strength([(len(v), sum(v) / len(v), host[h]) for (h, _), v in paths.items()])
+    logit = lambda x: math.log((x := min(max(x, quality.EPS), 1 - quality.EPS)) / (1 - x))      # noqa: E731
+    for r in got:
+        v = paths[r.source, r.lang]
+        site = (s1 * host[r.source] + max(sum(v) - p[r.doc_id], 0)) / (s1 + len(v) - 1)
+        odds = logit(p[r.doc_id]) + logit(site) - logit(base)
+        score = 0.0 if r.quality_prob == 0 else 1 / (1 + math.exp(-odds))
+        assert math.isclose(r.site, site, rel_tol=1e-7) and math.isclose(r.score, score, rel_tol=1e-6, abs_tol=1e-9)
+        assert r.kept == (r.score >= 0.5) and (abs(score - 0.5) < 1e-6 or r.kept == (score >= 0.5))
+
+
+def test_the_sample_is_not_empty_at_any_number_of_labels(spark):
+    """A share below 2^-20 still chooses; the threshold is one of 2^62."""
+    assert int(min(1.0, 6000 / 10**13) * (1 << 62)) > 0
