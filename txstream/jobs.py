@@ -29,9 +29,10 @@ if __package__ in (None, ""):        # run as a script: make the package importa
 from pyspark.sql import SparkSession, functions as F
 
 from txstream.plans import load, recovery
-from txstream.plans.chain import ChainPaths, log_stage, process_stage, topic_stage
+from txstream.plans.chain import COMPACT_EVERY, MAX_FILES, ChainPaths, log_stage, process_stage, topic_stage
 from txstream.session import DEFAULT_CONF, checkpoint_root, ship_package
 from txstream.sources.generators import generate_stream
+from txstream.streaming.progress import ProgressLog
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -48,8 +49,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--parallelism", type=int, default=1)
     p.add_argument("--payload-size", type=int, default=100)
     p.add_argument("--start", choices=["earliest", "latest"], default="earliest")
-    p.add_argument("--compact-every", type=int)
-    p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--compact-every", type=int, default=COMPACT_EVERY)
+    p.add_argument("--max-files-per-trigger", type=int, default=MAX_FILES)
     p.add_argument("--max-bytes-per-trigger", help="for example 8g")
     p.add_argument("--max-offsets-per-trigger", type=int, help="bound of a broker's batch")
     p.add_argument("--log-name", default="transactions", help="the log's name on a broker")
@@ -84,7 +85,8 @@ def writers(spark: SparkSession, args) -> list:
                             max_offsets_per_trigger=args.max_offsets_per_trigger, **files)]
     if args.job == "process":
         return [process_stage(spark, paths, start=args.start, num_partitions=args.partitions,
-                              compact_every=args.compact_every, **files)]
+                              compact_every=args.compact_every, background=not args.available_now,
+                              **files)]
     if args.job == "recovery-producer":
         s = generate_stream(spark, "sequence_events", args.rows_per_second, args.parallelism)
         return [recovery.producer(_bounded(s, args.max_records), root)]
@@ -124,7 +126,8 @@ def run(spark: SparkSession, argv: list[str]) -> list:
     if args.job == "load-report":
         load_report(spark, args.root)
         return []
-    started = []
+    started, log = [], ProgressLog()
+    spark.streams.addListener(log)
     for w in writers(spark, args):
         w = w.trigger(availableNow=True) if args.available_now \
             else w.trigger(processingTime=args.trigger)
@@ -133,24 +136,20 @@ def run(spark: SparkSession, argv: list[str]) -> list:
             started[-1].awaitTermination()
     if not args.available_now:
         if args.max_records is not None:
-            _stop_after(started[-1], args.max_records, started[:-1])
+            _stop_after(started[-1], args.max_records, started[:-1], log)
         else:
             spark.streams.awaitAnyTermination()
+    spark.streams.removeListener(log)
     for q in started:
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))
     return started
 
 
-def _stop_after(q, n: int, others=(), poll_s: float = 0.5) -> None:
-    """Stop ``q`` and ``others`` once ``q`` has committed ``n`` source rows."""
-    seen, last = 0, -1
-    while q.isActive and seen < n:
+def _stop_after(q, n: int, others, log: ProgressLog, poll_s: float = 0.5) -> None:
+    """Stop ``q`` and ``others`` once ``q`` has committed ``n`` source rows (by all its reports)."""
+    while q.isActive and sum(p.numInputRows for p in log.so_far(q)) < n:
         time.sleep(poll_s)
-        for p in q.recentProgress:
-            if p.batchId > last and p.numInputRows:
-                seen += p.numInputRows
-                last = p.batchId
     for other in (q, *others):
         other.stop()
 

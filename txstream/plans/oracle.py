@@ -186,3 +186,5 @@ ORACLE["topic_group_lag"] = (
     f"union all select {PART} as partition, false as old from {CTX} b) u group by partition")
 ORACLE["text_rolling_lines"] = ORACLE["bucketed_text_lines"]
 ORACLE["delivered_once"] = f"select distinct id, timestamp, payload from {DELIVERED} d"
+ORACLE["wall_clock"] = ("select count(*) as events, cast(1 as bigint) as clocks, count(*) as not_before, "
+                        "count(*) as behind_events from events")

@@ -8,12 +8,13 @@ a batch read of what the stream wrote.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from txstream import schemas
-from txstream.functions.clock import lag_ms, ntz_to_ms
+from txstream.functions.clock import lag_ms, now_ms, ntz_to_ms
 from txstream.functions.codec import decode_json, encode_json, row_to_line, to_log_record
 from txstream.operators import audit, intervals, keyed_store, metrics
 from txstream.operators.documents import first_per_key, read_documents
@@ -414,6 +415,16 @@ def lag_over_timestamps(spark, sf):
         .withColumn("lag_ms", lag_ms(F.col("processed_at")))
 
 
+def wall_clock(spark, sf):
+    """C7: the clock column on every event -- one value a query, between the driver's readings, and
+    behind all event times."""
+    before = int(time.time() * 1000)
+    e = fx.transactions(spark, sf).select("timestamp", now_ms().alias("now"))
+    return e.agg(F.count(F.lit(1)).alias("events"), F.countDistinct("now").alias("clocks"),
+                 F.count_if(F.col("now") >= before).alias("not_before"),
+                 F.count_if(F.col("now") > F.col("timestamp")).alias("behind_events"))
+
+
 def _round(df: DataFrame, cols) -> DataFrame:
     return df.select(*[F.round(c, ROUND).alias(c) if c in cols else F.col(c)
                        for c in df.columns])
@@ -639,6 +650,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chain_conservation": chain_conservation,
     "event_counter": event_counter,
     "lag_over_timestamps": lag_over_timestamps,
+    "wall_clock": wall_clock,
     "event_counter_observed": event_counter_observed,
     "lag_histogram": lag_histogram,
     "lag_histogram_n_plus_1": lag_histogram_n_plus_1,

@@ -39,12 +39,16 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event) -> None:
         self._event(str(event.runId)).set()
 
+    def so_far(self, q: StreamingQuery) -> list:
+        """The reports of a query that have arrived until now, in batch order."""
+        with self._lock:
+            return [p for _, p in sorted(self._reports.get(str(q.runId), {}).items())]
+
     def reports(self, q: StreamingQuery, timeout_s: float = 60) -> list:
         """Every report of an ended query in batch order (waits for the listener's queue)."""
         if not q.isActive and not self._event(str(q.runId)).wait(timeout_s):
             raise TimeoutError(f"no end report of stream {q.name or q.id}")
-        with self._lock:
-            return [p for _, p in sorted(self._reports.get(str(q.runId), {}).items())]
+        return self.so_far(q)
 
 
 def run_logged(spark: SparkSession, writer: DataStreamWriter) -> tuple[StreamingQuery, list]:
