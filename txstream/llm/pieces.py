@@ -215,7 +215,8 @@ class PieceEncoder:
         return self.pool[index], np.diff(per_text)
 
 
-KEPT.append(_cache.clear)
+FORGET = _cache.clear
+KEPT.append(FORGET)
 
 
 def encoder(path: str) -> PieceEncoder:

@@ -26,6 +26,7 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from txstream.llm import textbytes as tb
@@ -189,8 +190,9 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = 6000) -> tuple[Head,
     return good, fit(doc, bucket, shape, bad)
 
 
-def _score_stage(heads, extra: tuple[str, str]):
-    """Arrow stage: any columns with ``text`` -> the same and both probabilities."""
+def _score_stage(heads, extra: tuple[str, str], row: str | None = None):
+    """Arrow stage: any columns with ``text`` (or a struct ``row`` that has it) -> the same and both
+    probabilities."""
 
     def run(batches):
         tb.release_memory()
@@ -198,7 +200,8 @@ def _score_stage(heads, extra: tuple[str, str]):
         wanted = (good.buckets != 0) | (bad.buckets != 0)      # others weigh nothing
         for b in batches:
             out = [np.empty(b.num_rows), np.empty(b.num_rows)]
-            for w, doc, bucket, shape in features(b.column("text"), wanted):
+            text = b.column("text") if row is None else pc.struct_field(b.column(row), "text")
+            for w, doc, bucket, shape in features(text, wanted):
                 rows = slice(w.first_doc, w.first_doc + w.n_docs)
                 for k, head in enumerate((good, bad)):
                     z = np.clip(head.log_odds(w.n_docs, doc, bucket, shape), -30, 30)
@@ -210,10 +213,10 @@ def _score_stage(heads, extra: tuple[str, str]):
 
 
 def with_probabilities(df: DataFrame, heads: tuple[Head, Head],
-                       names: tuple[str, str] = ("quality_prob", "toxic_prob")) -> DataFrame:
+                       names: tuple[str, str] = ("quality_prob", "toxic_prob"), row: str | None = None) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(heads)     # fixed size: two weight vectors
     schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.DoubleType()) for n in names)])
-    return df.mapInArrow(_score_stage(lambda: shared.value, names), schema)
+    return df.mapInArrow(_score_stage(lambda: shared.value, names, row), schema)
 
 
 def posteriors(scored: DataFrame, host: str, path: list[str]) -> DataFrame:
@@ -264,10 +267,11 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source",
     keys = list(dict.fromkeys([host, *path]))
     p = (F.col("quality_prob") * (1 - F.col("toxic_prob"))).alias("p")
     names = [f"k{i}" for i in range(len(keys))]
-    sites_input = docs.select(*[docs[k].alias(n) for n, k in zip(names, keys)], "text", "doc_id",
-                              *([F.struct(*[docs[c] for c in docs.columns]).alias("_row")] if carry else []))
+    # a text travels to the workers once, in its row or by itself
+    what = [F.struct(*[docs[c] for c in docs.columns]).alias("_row")] if carry else [docs["doc_id"], docs["text"]]
+    sites_input = docs.select(*[docs[k].alias(n) for n, k in zip(names, keys)], *what)
     # every text is scored once; the rows are written with their scores and read again
-    scored = materialize(with_probabilities(sites_input, heads).select(
+    scored = materialize(with_probabilities(sites_input, heads, row="_row" if carry else None).select(
         "_row" if carry else "doc_id", *names, "quality_prob", "toxic_prob", p), "quality-scores")
     sites = posteriors(scored.select(*names, "p"), "k0", names[1:])
     cond = None

@@ -39,14 +39,15 @@ LOWER[0x41:0x5B] += 32
 KEPT: list = []     # callables that drop what a module remembers across tasks
 
 
-def release_memory() -> None:
-    """Drop other stages' memories and give freed memory back to the system.
+def release_memory(keep=None) -> None:
+    """Drop other stages' memories (all of KEPT but ``keep``) and give freed memory back to the system.
 
     Python workers are reused by later stages, beside an executor's heap; a stage calls
     this when it begins.
     """
     for drop in KEPT:
-        drop()
+        if drop is not keep:
+            drop()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # only some C libraries have it
     if trim is not None:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from txstream.llm import huffman
-from txstream.llm.pieces import encoder
+from txstream.llm.pieces import FORGET, encoder
 from txstream.llm.textbytes import chunks, release_memory
 from txstream.session import materialize
 
@@ -42,6 +42,7 @@ def _tokenize_stage(path: str, end_id: int):
     """Arrow stage: doc_id, text -> doc_id, n_tokens, ids (u32 or u16), checksum."""
 
     def run(batches):
+        release_memory(keep=FORGET)        # the pieces remembered by earlier tasks stay
         enc = encoder(path)
         small = enc.library.get_vocab_size(with_added_tokens=True) <= 1 << 16
         kind = np.uint16 if small and end_id < 1 << 16 else np.uint32
@@ -98,6 +99,7 @@ def _bits_stage(lengths: np.ndarray, interval: int, bounds: list[tuple]):
         return low + k % (bisect.bisect_right(bounds, key, lo=low) - low + 1)
 
     def run(batches):
+        release_memory()
         for b in batches:
             for i, j, ids, cut in _unpack(b):
                 bits, at, marks, mark_at = huffman.encode(ids, cut, lengths, codes, interval)
