@@ -139,7 +139,6 @@ def _digest_stage(k: int, runs: int, per_set: tuple[float, ...]):
     """Arrow stage: doc_id, text_hash, text -> signature, size, picked shingles, sketch."""
 
     def run(batches):
-        tb.release_memory()
         for b in batches:
             for w in tb.scan(b.column("text"), tb.ALNUM, True):
                 x, bounds = shingle_sets(w, k)
@@ -154,7 +153,7 @@ def _digest_stage(k: int, runs: int, per_set: tuple[float, ...]):
                      pa.array([r.tobytes() for r in sk], pa.binary())],
                     names=["doc_id", "text_hash", "s1", "s2", "n", "picked", "sketch"])
 
-    return run
+    return tb.trimmed(run)
 
 
 def _prune_stage(threshold: float):
@@ -182,7 +181,7 @@ def _prune_stage(threshold: float):
                 out.append(np.sort(cid[live]).tolist())
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.list_(pa.int64()))], ["members"])
 
-    return run
+    return tb.trimmed(run)
 
 
 def intersections(sets: list[np.ndarray], cells: int = 1 << 22) -> np.ndarray:
@@ -244,7 +243,7 @@ def _verify_stage(threshold: float):
                 [pa.array(cids, pa.int64()), pa.array(roots, pa.int64()),
                  pa.array(linked, pa.int64())], names=["cid", "root", "linked_docs"])
 
-    return run
+    return tb.trimmed(run)
 
 
 def _active(w: tb.Words, k: int, active: np.ndarray):
@@ -274,7 +273,7 @@ def _more_picks_stage(k: int, active: np.ndarray, runs: range, per_set: tuple[fl
                      _picks(np.concatenate([np.empty(0, U), *parts]), cut, runs, per_set)],
                     names=["s1", "s2", "picked"])
 
-    return run
+    return tb.trimmed(run)
 
 
 def _grams_stage(k: int, active: np.ndarray):
@@ -289,7 +288,7 @@ def _grams_stage(k: int, active: np.ndarray):
                      pa.array([x[bounds[i]:bounds[i + 1]].tobytes() for i in rows], pa.binary())],
                     names=["s1", "s2", "grams"])
 
-    return run
+    return tb.trimmed(run)
 
 
 def components(edges: DataFrame) -> DataFrame:

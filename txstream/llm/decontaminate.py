@@ -113,7 +113,6 @@ def _document_stage(k: int, window: int, short: list[int], filter_words):
     """Arrow stage: documents -> n_words and the windows whose fingerprint may be an item's."""
 
     def run(batches):
-        tb.release_memory()
         known = filter_words()
         for b in batches:
             for w in tb.scan(b.column("text"), tb.ALNUM, True):
@@ -141,7 +140,7 @@ def _document_stage(k: int, window: int, short: list[int], filter_words):
                     [b.column("doc_id")[rows], b.column("text_hash")[rows], pa.array(w.counts), *lists],
                     names=["doc_id", "text_hash", "n_words", "first", "fp", "wa", "wb", "size"])
 
-    return run
+    return tb.trimmed(run)
 
 
 def item_windows(benchmark: DataFrame, window: int, k: int) -> tuple[DataFrame, DataFrame]:

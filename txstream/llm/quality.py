@@ -195,7 +195,6 @@ def _score_stage(heads, extra: tuple[str, str], row: str | None = None):
     probabilities."""
 
     def run(batches):
-        tb.release_memory()
         good, bad = heads()
         wanted = (good.buckets != 0) | (bad.buckets != 0)      # others weigh nothing
         for b in batches:
@@ -209,7 +208,7 @@ def _score_stage(heads, extra: tuple[str, str], row: str | None = None):
             yield pa.RecordBatch.from_arrays([*b.columns, *map(pa.array, out)],
                                              names=[*b.schema.names, *extra])
 
-    return run
+    return tb.trimmed(run)
 
 
 def with_probabilities(df: DataFrame, heads: tuple[Head, Head],

@@ -54,6 +54,17 @@ def release_memory(keep=None) -> None:
         trim(0)
 
 
+def trimmed(stage, keep=None):
+    """An Arrow stage that begins and ends with :func:`release_memory`: its worker may stand idle beside
+    the next stages' heap, and holds little then."""
+    def run(batches):
+        release_memory(keep)
+        yield from stage(batches)
+        release_memory(keep)
+
+    return run
+
+
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**64, 256, dtype=U)
 _BASE = U(0x9E3779B97F4A7C15)                      # odd, so it has an inverse mod 2^64

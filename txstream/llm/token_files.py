@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from txstream.llm import huffman
 from txstream.llm.pieces import FORGET, encoder
-from txstream.llm.textbytes import chunks, release_memory
+from txstream.llm.textbytes import chunks, release_memory, trimmed
 from txstream.session import materialize
 
 MAGIC = b"TXH1"
@@ -42,7 +42,6 @@ def _tokenize_stage(path: str, end_id: int):
     """Arrow stage: doc_id, text -> doc_id, n_tokens, ids (u32 or u16), checksum."""
 
     def run(batches):
-        release_memory(keep=FORGET)        # the pieces remembered by earlier tasks stay
         enc = encoder(path)
         small = enc.library.get_vocab_size(with_added_tokens=True) <= 1 << 16
         kind = np.uint16 if small and end_id < 1 << 16 else np.uint32
@@ -60,7 +59,7 @@ def _tokenize_stage(path: str, end_id: int):
                      pa.array([zlib.crc32(r) for r in rows], pa.int64())],
                     names=["doc_id", "n_tokens", "ids", "crc"])
 
-    return run
+    return trimmed(run, keep=FORGET)        # the pieces remembered by earlier tasks stay
 
 
 def _unpack(b):
@@ -99,7 +98,6 @@ def _bits_stage(lengths: np.ndarray, interval: int, bounds: list[tuple]):
         return low + k % (bisect.bisect_right(bounds, key, lo=low) - low + 1)
 
     def run(batches):
-        release_memory()
         for b in batches:
             for i, j, ids, cut in _unpack(b):
                 bits, at, marks, mark_at = huffman.encode(ids, cut, lengths, codes, interval)
@@ -114,7 +112,7 @@ def _bits_stage(lengths: np.ndarray, interval: int, bounds: list[tuple]):
                               pa.binary())],
                     names=["p", "doc_id", "n_tokens", "crc", "bits", "marks"])
 
-    return run
+    return trimmed(run)
 
 
 def _key(doc_id, n_tokens: int, crc: int) -> tuple:
@@ -205,7 +203,6 @@ def _read_stage(lengths: np.ndarray):
     """Arrow stage: blocks with their start -> documents with start, ids and checksum."""
 
     def run(batches):
-        release_memory()
         table = huffman.decode_table(lengths)
         for b in batches:
             for start, payload in zip(b.column("start").to_pylist(), b.column("payload").to_pylist()):
@@ -217,7 +214,7 @@ def _read_stage(lengths: np.ndarray):
                      pa.array(np.diff(bounds)), pa.array([zlib.crc32(r) for r in rows], pa.int64())],
                     names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return run
+    return trimmed(run)
 
 
 def decode_block(payload: bytes, table):
