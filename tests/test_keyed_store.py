@@ -158,3 +158,21 @@ def test_many_keys_are_joined_by_shuffle(spark, scratch):
     assert ks.insert(one, store, 0, columns=DOC) == 20_000
     assert ks.insert(two, store, 1, columns=DOC) == 20_000 - 6667
     assert ks.read(spark, store).groupBy("_id").count().where("count > 1").count() == 0
+
+
+def test_a_batch_of_thousands_of_keys_is_pushed_in_short_lists(spark, scratch):
+    """One list of 4096 keys overflowed the stack of a task in Parquet's filters."""
+    store, want = scratch("store"), 0
+    for b, (low, new) in enumerate([(0, 4000), (2000, 2000), (1000, 0), (5500, 3500)]):
+        frame = spark.range(low, low + 4000).selectExpr("id event_id", "id _id", "1L amount", "id timestamp")
+        assert ks.insert(frame, store, b, columns=DOC, buckets=4) == new
+        want += new
+        ks.merge(spark, store, fan_out=2)
+    assert ks.read(spark, store).count() == want
+    for keys in (list(range(4096)), [float(i) for i in range(600)], [str(i) for i in range(257)]):
+        frame = spark.createDataFrame([(k,) for k in (keys[0], keys[-1])], ["k"])
+        found = frame.where(ks._in_list("k", keys))
+        assert found.count() == 2 and frame.where(ks._in_list("k", keys[1:-1])).count() == 0
+        plan = found._jdf.queryExecution().analyzed().toString()
+        assert all(part.count(",") < ks.IN_KEYS + 9 for part in plan.split(" IN (")[1:]) and plan.count(" IN (") > 1
+    assert int(spark.conf.get(ks.IN_LIMIT)) <= ks.IN_KEYS

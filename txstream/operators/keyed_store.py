@@ -11,8 +11,8 @@ A batch looks up only what may hold one of its keys:
 
 * the manifest (one small JSON file a commit) has every run's smallest and largest key, by
   bucket; runs and buckets outside the batch's keys are not opened,
-* if the batch has at most ``few`` different keys, they are pushed to the scan as an ``IN``
-  filter, which Parquet answers from row-group statistics and Bloom filters, and the few
+* if the batch has at most ``few`` different keys, they are pushed to the scan as ``IN``
+  filters, which Parquet answers from row-group statistics and Bloom filters, and the few
   rows that remain are broadcast to a left anti join (at most one stored row a key); larger
   batches use a shuffle join on the same pruned runs.
 
@@ -33,6 +33,7 @@ import time
 import uuid
 from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
@@ -44,8 +45,9 @@ MANIFEST, LEVELS = "_manifest", "_levels"
 RUN, BUCKET = "_run", "_bucket"
 BUCKETS, FAN_OUT, FEW, ROWS_PER_FILE, ROWS_PER_BUCKET = 64, 8, 4096, 1_000_000, 1 << 16
 KEPT_MANIFESTS = 8
-# Spark's setting: the longest IN list that is pushed to Parquet as it is.
-IN_LIMIT = "spark.sql.parquet.pushdown.inFilterThreshold"
+# Spark's setting: the longest IN list that is pushed to Parquet as it is.  There it is a chain of ORs
+# that Parquet descends recursively, so longer lists are cut into several of IN_KEYS.
+IN_LIMIT, IN_KEYS = "spark.sql.parquet.pushdown.inFilterThreshold", 256
 
 _locks: dict[str, threading.RLock] = {}
 _running: dict[str, Future] = {}
@@ -203,16 +205,18 @@ def stored(spark: SparkSession, store: str, m: Manifest, wanted: dict[str, list]
 
 
 def _in_list(key: str, keys: list) -> Column:
-    """``key IN (...)`` as one SQL text: a call a literal would cost more than the lookup."""
+    """``key IN (...)`` as one SQL text: a call a literal would cost more than the lookup.  More than
+    ``IN_KEYS`` keys make several lists (the parser balances their ORs)."""
     def literal(v):
         if isinstance(v, str):
             return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
         return f"{v}" if v > -(1 << 63) else f"({v + 1}L - 1L)"
     if not keys:
         return F.lit(False)
+    lists = [keys[i:i + IN_KEYS] for i in range(0, len(keys), IN_KEYS)]
     if all(isinstance(v, (int, str)) and not isinstance(v, bool) for v in keys):
-        return F.expr(f"`{key}` IN ({', '.join(map(literal, keys))})")
-    return F.col(key).isin(keys)
+        return F.expr(" OR ".join(f"`{key}` IN ({', '.join(map(literal, some))})" for some in lists))
+    return reduce(Column.__or__, [F.col(key).isin(some) for some in lists])
 
 
 def _wanted(candidates: DataFrame, key: str, buckets: int, few: int):
@@ -263,8 +267,8 @@ def insert(batch: DataFrame, store: str, batch_id: int, key: str = "_id",
     spark = batch.sparkSession
     columns = list(columns or [c for c in batch.columns if c != "event_id"])
     conf = spark.conf
-    if int(conf.get(IN_LIMIT)) < few:
-        conf.set(IN_LIMIT, str(few))
+    if int(conf.get(IN_LIMIT)) < IN_KEYS:
+        conf.set(IN_LIMIT, str(IN_KEYS))
     with lock(store):
         m = load(spark, store)
         if m is None:
