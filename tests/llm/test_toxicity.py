@@ -113,6 +113,50 @@ def test_log_ratios_equal_the_two_models(spark, monkeypatch):
         assert got[i].n == len(set(words_of(probe[i])))
 
 
+def test_pairs_of_both_classes_are_counted_whole(spark):
+    """A pair of clean texts alone is kept, the number of pair types is exact, and each class has
+    its own discount; the words of pairs are alike in both classes, so words alone tell nothing."""
+    def rows(toxic, n, fixed):
+        return [(toxic, f"{fixed} " + " ".join(f"x{toxic}{i}a{j} y{toxic}{i}a{j}" for j in range(3))) for i in range(n)]
+    # pairs seen twice: some in toxic texts, more in clean ones
+    data = (rows(1, 60, "good bye then") + rows(0, 60, "bye good then") + [(1, "m n")] * 2
+            + [(0, f"c{i} d{i}") for i in range(9)] * 2)
+    texts = spark.createDataFrame([(t, 1, x, i) for i, (t, x) in enumerate(data)],
+                                  "toxic int, fold int, text string, doc_id long").repartition(3)
+    model, base = tx.weights(texts, evidence=8.0, ratio=1.5, toxic_texts=0)
+    probe = ["good bye", "bye good", "then"]
+    docs = spark.createDataFrame(list(enumerate(probe)), "doc_id long, text string")
+    got = {r.doc_id: r.ratio for r in tx.log_ratios(docs, F.lit(False), model, base).collect()}
+
+    bi, begun, before = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0]), defaultdict(set)
+    uni = defaultdict(lambda: [0, 0])
+    for toxic, text in data:
+        ws, ps = grams(text)
+        for w in ws:
+            uni[w][1 - toxic] += 1
+        for a, b in ps:
+            bi[a, b][1 - toxic] += 1
+            begun[a][1 - toxic] += 1
+            before[b].add(a)
+    total = [sum(v[c] for v in begun.values()) for c in (0, 1)]
+    kept = {p for p, v in bi.items() if clear(*v, *total, 8.0, 1.5)}
+    assert {("good", "bye"), ("bye", "good")} <= kept and bi["bye", "good"][0] == 0
+    assert not any(clear(*uni[w], *[sum(v[c] for v in uni.values()) for c in (0, 1)], 8.0, 1.5) for w in uni)
+    disc = [tx._discount(*(sum(v[c] == n for v in bi.values()) for n in (1, 2))) for c in (0, 1)]
+    assert abs(disc[0] - disc[1]) > 0.02
+
+    def q(a, b, c):
+        return max(bi[a, b][c] - disc[c], 0) / begun[a][c] if (a, b) in kept and begun[a][c] else 0
+
+    def lam(a, c):
+        return max(1e-9, 1 - sum(q(x, y, c) for x, y in kept if x == a))
+    for i, (a, b) in enumerate([("good", "bye"), ("bye", "good")]):
+        shared = len(before[b]) / len(bi)
+        want = 2 * base + math.log((q(a, b, 0) + lam(a, 0) * shared) / (q(a, b, 1) + lam(a, 1) * shared))
+        assert got[i] == pytest.approx(want, abs=1e-5)
+    assert got[2] == pytest.approx(base)
+
+
 def test_held_out_toxic_documents_are_found(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")

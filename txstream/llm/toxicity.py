@@ -1,7 +1,8 @@
 """Toxicity by two class-conditional Kneser-Ney models of words and word pairs.
 
 Labelled texts outside the held-out part are counted by class, every n-gram once a text.
-With absolute discount D, class c gives a word w after the word h
+With absolute discounts D (each class's own, for words and for pairs, from its n-grams seen
+once and twice), class c gives a word w after the word h
 
     P_c(w | h) = max(n_c(h w) - D, 0) / n_c(h .)  +  l_c(h) P_c(w)
     P_c(w)     = max(n_c(w) - D, 0) / n_c(.)      +  l_c    P(w)
@@ -30,7 +31,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from txstream.llm import bloom, textbytes as tb
 from txstream.session import materialize
@@ -106,39 +107,46 @@ def _word_stage(batches):
     yield from sums.flush(["key", "t", "o", "ht", "ho"], force=True)
 
 
-def _pair_stage(wanted):
-    """Arrow stage: toxic, text -> key, left, right, t, o of every pair that ``wanted`` passes."""
+def _pair_stage(batches):
+    """Arrow stage: toxic, text -> key, t, o (texts with the pair)."""
+    tb.release_memory()
+    sums = _Sums(2)
+    for b in batches:
+        label = np.asarray(b.column("toxic"), np.int64)
+        for rows, _, (doc, pair, _, _) in _words(b.column("text")):
+            bad = label[rows][doc]
+            sums.add(pair, bad, 1 - bad)
+            yield from sums.flush(["key", "t", "o"])
+    yield from sums.flush(["key", "t", "o"], force=True)
+
+
+def _ends_stage(wanted):
+    """Arrow stage: text -> key, left, right of every pair that ``wanted`` passes."""
 
     def run(batches):
         tb.release_memory()
-        words = wanted()
+        pairs = wanted()
         for b in batches:
-            label = np.asarray(b.column("toxic"), np.int64)
-            for rows, _, (doc, pair, left, right) in _words(b.column("text")):
-                bad = label[rows][doc]
-                if words is not None:
-                    use = np.flatnonzero(bloom.contains(words, pair))
-                    pair, left, right, bad = pair[use], left[use], right[use], bad[use]
-                key, first, back = np.unique(pair, return_index=True, return_inverse=True)
+            for _, _, (_, pair, left, right) in _words(b.column("text")):
+                use = np.flatnonzero(bloom.contains(pairs, pair))
+                key, first = np.unique(pair[use], return_index=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x.view(np.int64)) for x in (key, left[first], right[first])]
-                    + [pa.array(np.bincount(back, x, len(key)).astype(np.int64)) for x in (bad, 1 - bad)],
-                    names=["key", "left", "right", "t", "o"])
+                    [pa.array(x.view(np.int64)) for x in (key, left[use][first], right[use][first])],
+                    names=["key", "left", "right"])
 
     return run
 
 
 def _context_stage(wanted):
-    """Arrow stage: text -> key, right: the pairs of words that ``wanted`` passes, or all."""
+    """Arrow stage: text -> key, right: the pairs before words that ``wanted`` passes."""
 
     def run(batches):
         tb.release_memory()
         words = wanted()
         for b in batches:
             for _, _, (_, pair, _, right) in _words(b.column("text")):
-                if words is not None:
-                    use = np.flatnonzero(bloom.contains(words, right))
-                    pair, right = pair[use], right[use]
+                use = np.flatnonzero(bloom.contains(words, right))
+                pair, right = pair[use], right[use]
                 pair, first = np.unique(pair, return_index=True)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(pair.view(np.int64)), pa.array(right[first].view(np.int64))], names=["key", "right"])
@@ -194,9 +202,11 @@ def _clear(t: str, o: str, n_t: float, n_o: float, evidence: float, ratio: float
     return (g2 >= evidence) & (factor >= float(np.log(ratio)))
 
 
-def weights(texts: DataFrame, evidence: float = 20.0, ratio: float = 2.0) -> tuple[DataFrame, float]:
+def weights(texts: DataFrame, evidence: float = 20.0, ratio: float = 2.0,
+            toxic_texts: int = 2) -> tuple[DataFrame, float]:
     """key, value (log-ratio in 1/UNIT) of all kept words, histories and pairs; and the ratio
-    of every other word."""
+    of every other word.  A kept pair stands in ``toxic_texts`` toxic texts at least (:func:`score`
+    asks for none: pairs that mark clean texts are kept as well)."""
     counted = texts.where("fold != 0")
     words = materialize(counted.select("toxic", "text").mapInArrow(
         _word_stage, "key long, t long, o long, ht long, ho long")
@@ -209,37 +219,38 @@ def weights(texts: DataFrame, evidence: float = 20.0, ratio: float = 2.0) -> tup
     kept = materialize(words.where(_clear("t", "o", s["t"], s["o"], evidence, ratio))
                        .select("key", "t", "o"), "toxicity-kept-words")
 
-    # pairs: those of at least two toxic texts, then their counts in all texts
-    sums = lambda df: df.groupBy("key").agg(F.first("left").alias("left"), F.first("right").alias("right"),
-                                            F.sum("t").alias("t"), F.sum("o").alias("o"))
-    pair_schema = "key long, left long, right long, t long, o long"
-    toxic = materialize(sums(counted.where("toxic = 1").select("toxic", "text").mapInArrow(
-        _pair_stage(lambda: None), pair_schema)).select("key", "t"), "toxicity-pairs")
-    p = toxic.agg(F.count_if(F.col("t") == 1).alias("n1"), F.count_if(F.col("t") == 2).alias("n2")).first()
-    some = toxic.where("t >= 2").select("key")
-    pairs = sums(counted.select("toxic", "text").mapInArrow(_pair_stage(_filter(some)), pair_schema))
-    pairs = materialize(pairs.join(some, "key", "left_semi")
-                        .where(_clear("t", "o", s["ht"], s["ho"], evidence, ratio)), "toxicity-kept-pairs")
+    # pairs: all are counted in both classes; those that differ clearly go on
+    p = Observation()
+    facts = [F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c) == n).alias(f"{c}{n}") for c in "to" for n in (1, 2)]]
+    clear = materialize(
+        counted.select("toxic", "text").mapInArrow(_pair_stage, "key long, t long, o long")
+        .groupBy("key").agg(F.sum("t").alias("t"), F.sum("o").alias("o")).observe(p, *facts)
+        .where(_clear("t", "o", s["ht"], s["ho"], evidence, ratio) & (F.col("t") >= toxic_texts)),
+        "toxicity-clear-pairs")
+    p = p.get
+    ends = counted.select("text").mapInArrow(_ends_stage(_filter(clear)), "key long, left long, right long") \
+        .groupBy("key").agg(F.first("left").alias("left"), F.first("right").alias("right"))
+    pairs = materialize(clear.join(ends, "key"), "toxicity-kept-pairs")
 
     # contexts: distinct words before each word that needs its shared probability
     needed = kept.select("key").union(pairs.select("right")).distinct()
     before = (counted.select("text").mapInArrow(_context_stage(_filter(needed)), "key long, right long")
               .distinct().groupBy(F.col("right").alias("key")).agg(F.count(F.lit(1)).alias("before")))
-    types = counted.select("text").mapInArrow(_context_stage(lambda: None), "key long, right long") \
-        .agg(F.approx_count_distinct("key", 0.01).alias("n")).first()["n"]
-    return _log_ratios(words, kept, pairs, needed.join(before, "key", "left"), s, p, max(1, types))
+    return _log_ratios(words, kept, pairs, needed.join(before, "key", "left"), s, p)
 
 
-def _log_ratios(words, kept, pairs, shared, s, p, types: int) -> tuple[DataFrame, float]:
-    """The two models' log-ratios from their counts."""
+def _log_ratios(words, kept, pairs, shared, s, p) -> tuple[DataFrame, float]:
+    """The two models' log-ratios from their counts (``s`` of words, ``p`` of pairs)."""
     d1 = {c: _discount(s[f"{c}1"], s[f"{c}2"]) for c in "to"}
-    d2 = _discount(p["n1"], p["n2"])              # of pairs, where only the toxic ones are all counted
+    # a class without pairs seen once and twice has no discount of its own: it takes the other's
+    d2 = {c: _discount(*next(((p[f"{x}1"], p[f"{x}2"]) for x in (c, *"to") if p[f"{x}1"] and p[f"{x}2"]), (0, 0)))
+          for c in "to"}
     less = lambda c, d: F.greatest(F.col(c) - d, F.lit(0.0))      # noqa: E731
     mass = kept.agg(*[F.coalesce(F.sum(less(c, d1[c])), F.lit(0.0)).alias(c) for c in "to"]).first()
     left_over = {c: max(1e-9, 1 - mass[c] / s[c]) for c in "to"}
     base = float(np.log(left_over["t"] / left_over["o"]))
     # a word of no pair (it only begins texts) shares the least probability
-    common = F.greatest(F.coalesce("before", F.lit(0)), F.lit(0.5)) / float(types)
+    common = F.greatest(F.coalesce("before", F.lit(0)), F.lit(0.5)) / float(max(1, p["n"]))
     prob = shared.select("key", common.alias("shared")).join(kept, "key", "left").select(
         "key", F.col("t").isNotNull().alias("own"),
         *[(F.coalesce(less(c, d1[c]), F.lit(0.0)) / float(s[c]) + left_over[c] * F.col("shared")).alias(f"p{c}")
@@ -250,7 +261,7 @@ def _log_ratios(words, kept, pairs, shared, s, p, types: int) -> tuple[DataFrame
     begun = words.select(F.col("key").alias("left"), "ht", "ho")
     rows = pairs.join(begun, "left")
     rows = materialize(rows.select("key", "left", "right", *[
-        F.when(F.col(f"h{c}") > 0, less(c, d2) / F.col(f"h{c}")).otherwise(0.0).alias(f"q{c}") for c in "to"]),
+        F.when(F.col(f"h{c}") > 0, less(c, d2[c]) / F.col(f"h{c}")).otherwise(0.0).alias(f"q{c}") for c in "to"]),
         "toxicity-pair-mass")
     lam = rows.groupBy("left").agg(*[F.greatest(1 - F.sum(f"q{c}"), F.lit(1e-9)).alias(f"l{c}") for c in "to"])
     history = F.log(F.col("lt") / F.col("lo"))
@@ -336,7 +347,7 @@ def score(docs: DataFrame, labels: DataFrame, held_out: Column | None = None, th
         key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
         held_out = F.crc32(key.cast("binary")) % 3 == 1
     texts = training_texts(docs, labels, held_out)
-    model, base = weights(texts, **options)
+    model, base = weights(texts, **{"toxic_texts": 0, **options})
     found = materialize(log_ratios(docs, held_out, model, base), "toxicity-ratios")
     left = texts.where("fold = 0").select("doc_id", "toxic")
     part = min(1.0, sample / max(1, left.count()))
