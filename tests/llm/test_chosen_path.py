@@ -144,3 +144,17 @@ def test_pairs_count_in_one_unit_and_are_not_listed():
     for r in out:
         total[r["cid"]] += r["linked_docs"]
     assert total == {0: 6, 1: 5, 2: 4, 9: 6}
+
+
+def test_units_inside_others_are_left_out(spark):
+    """Full sets travel once for each unit they stand in: a unit whose members all stand in another
+    one is not compared again."""
+    lists = [[1, 2], [2, 3], [1, 2, 3], [3, 4], [1, 4], [5, 6, 7, 8], [6, 8], [9, 10], list(range(20, 120)),
+             list(range(20, 100)), [20, 119]]
+    units = spark.createDataFrame(list(enumerate(lists)), "unit long, members array<long>").repartition(3)
+    got = {r.unit: list(r.members) for r in cp._largest(units, small=64).collect()}
+    # a large unit stays though it stands in another one
+    assert got == {i: lists[i] for i in (2, 3, 4, 5, 7, 8, 9)}
+    pairs = lambda some: {(a, b) for m in some for a in m for b in m}       # noqa: E731
+    assert pairs(got.values()) == pairs(lists)
+    assert cp._largest(units.limit(0)).count() == 0

@@ -24,7 +24,8 @@ is reported wrongly.
 
 Before full sets are fetched, each bucket drops members without a partner of
 fitting size and a 64-bin one-permutation sketch agreeing in more than
-``threshold - 0.25`` of the bins (sets of at most 128 shingles skip the sketch).  For a pair at the
+``threshold - 0.25`` of the bins (sets of at most 128 shingles skip the sketch), and small units
+inside another one are left out, as all their pairs are compared there.  For a pair at the
 threshold that loses 4e-6 (all 64 bins filled) to 2e-5 (52 of them), by the exact binomial, once
 for each bucket they share; so a pair of larger sets is missed with at most about 3e-5 in all.
 
@@ -380,6 +381,16 @@ def _units(ready: list[DataFrame], unit_grams: int, unit_sets: int):
     return out.where("size(members) >= 2").select("members").distinct()
 
 
+def _largest(units: DataFrame, small: int = 64) -> DataFrame:
+    """Units (unit, members) without those of at most ``small`` members that all stand in another one:
+    every pair of theirs is compared there."""
+    member = units.select("unit", F.explode("members").alias("cid"), (F.size("members") <= small).alias("few"))
+    lists = member.groupBy("cid").agg(F.collect_list("unit").alias("units"))
+    inside = (member.where("few").join(lists, "cid").groupBy("unit").agg(F.collect_list("units").alias("m"))
+              .where(F.expr("size(aggregate(m, m[0], (a, x) -> array_intersect(a, x))) > 1")).select("unit"))
+    return units.join(inside, "unit", "left_anti")
+
+
 def jaccard_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, miss: float = 1e-5,
                  per_set: tuple[float, ...] = (2.0, 1.5, 1.5), max_split: int = 2048,
                  unit_grams: int = 400_000, unit_sets: int = 2048) -> DataFrame:
@@ -424,7 +435,7 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, miss: floa
               .groupBy("unit").agg(F.collect_list(member).alias("m"))
               .select("m").mapInArrow(_prune_stage(threshold), "members array<long>")
               .where("size(members) >= 2").distinct())
-    units = numbered(pruned)
+    units = materialize(_largest(numbered(pruned)), "cp-units")
     members = units.select("unit", F.explode("members").alias("cid"))
     active = classes.join(members.groupBy("cid").agg(F.collect_list("unit").alias("units")),
                           "cid").select("cid", "s1", "s2", "copies", "units")
