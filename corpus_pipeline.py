@@ -3,7 +3,8 @@
 Each stage takes the documents its predecessor kept and returns documents, but for the
 last, which returns the token files' digest.  ``run`` writes every stage's result under
 ``spark.checkpoint.dir`` and reads it back for the next, so a lost executor repeats at
-most one stage's tasks.
+most one stage's tasks.  Tables that later stages do not read are deleted as soon as the
+result made from them is written.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from txstream.llm import chosen_path, decontaminate, mixing, quality, token_files
 from txstream.llm.queries import END_ID, table, tokenizer_path
-from txstream.session import materialize, scratch_path
+from txstream.session import materialize, scratch_path, settled, temporary_tables  # noqa: F401
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,9 +57,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of ``sf_dir``."""
-    docs = table(spark, sf_dir, "documents")
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = materialize(docs, f"pipeline-{i}")
-    return docs
+    def result(i: int) -> DataFrame:
+        docs = settled(spark, lambda: result(i - 1), f"pipeline-{i - 1}") if i else table(spark, sf_dir, "documents")
+        return STAGES[i][1](spark, docs, sf_dir)
+
+    with temporary_tables(spark):      # the last stage's result reads its token files only
+        return result(len(STAGES) - 1)

@@ -9,6 +9,7 @@ from tests.llm.test_chosen_path import brute as brute_join
 from tests.llm.test_decontaminate import brute as brute_hits
 from txstream.llm import mixing
 from txstream.llm.queries import END_ID, table, tokenizer_path
+from txstream.session import checkpoint_root
 
 SF = "/root/testdata/sf0.01"
 
@@ -76,3 +77,24 @@ def test_nulls_pass(spark):
     odd = cp.materialize(odd, "odd")
     for name, stage in cp.STAGES:
         assert stage(spark, odd, SF).count() > 0, name
+
+
+def test_stages_leave_no_tables_of_the_size_of_their_input(spark):
+    """Scratch tables that a stage's result does not read are deleted; no stage keeps a second copy of the texts."""
+    sc = spark.sparkContext
+    base = sc._jvm.org.apache.hadoop.fs.Path(f"{checkpoint_root(spark)}/txstream-scratch")
+    fs = base.getFileSystem(sc._jsc.hadoopConfiguration())
+    tables = lambda: {str(x.getPath().getName()) for x in fs.listStatus(base)}
+    docs = cp.materialize(table(spark, SF, "documents"), "t")
+    left = {}
+    for name, stage in cp.STAGES:
+        before = tables()
+        out = stage(spark, docs, SF)
+        left[name] = sorted(x.rsplit("-", 1)[0] for x in tables() - before)
+        docs = cp.materialize(out, "t")
+    assert left == {
+        "quality classifier": ["quality-paths", "quality-sample", "quality-sites"],
+        "n-gram Jaccard join": ["cp-verdict", "gone"],
+        "benchmark decontamination": ["contaminated", "gone"],
+        "mixing sources to target weights": ["mix-thresholds"],
+        "token-ID / binary output": ["pipeline-token-files"]}

@@ -44,7 +44,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from txstream.llm import bloom, textbytes as tb
 from txstream.llm.decontaminate import without
-from txstream.session import materialize
+from txstream.session import materialize, settled
 
 U = np.uint64
 BINS = 64
@@ -418,24 +418,28 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, k: int = 5, miss: floa
 
     numbered = lambda df: materialize(
         df.withColumn("unit", F.monotonically_increasing_id()), "cp-units")
-    ready, split = _buckets(classes, levels, max_split)
-    if split is not None and split.limit(1).count():
-        hot = materialize(classes.join(split, "cid").select("cid", "n", "s1", "s2"), "cp-hot")
-        hot_words = docs.sparkSession.sparkContext.broadcast(bloom.build(hot, "s1"))
-        more = materialize(docs.select("text").mapInArrow(
-            lambda it: _more_picks_stage(k, hot_words.value, range(runs, all_runs), per_set)(it),
-            "s1 long, s2 long, picked array<long>")
-            .groupBy("s1", "s2").agg(F.first("picked").alias("picked"))
-            .join(hot, ["s1", "s2"]).select("cid", "n", "picked"), "cp-more-picks")
-        ready += _buckets(more, levels, max_split)[0]
-    units = numbered(_units(ready, unit_grams, unit_sets))
-    member = F.struct("cid", "n", "sketch").alias("x")
-    pruned = (units.select("unit", F.explode("members").alias("cid"))
-              .join(classes.select("cid", "n", "sketch"), "cid")
-              .groupBy("unit").agg(F.collect_list(member).alias("m"))
-              .select("m").mapInArrow(_prune_stage(threshold), "members array<long>")
-              .where("size(members) >= 2").distinct())
-    units = materialize(_largest(numbered(pruned)), "cp-units")
+
+    def candidates():
+        ready, split = _buckets(classes, levels, max_split)
+        if split is not None and split.limit(1).count():
+            hot = materialize(classes.join(split, "cid").select("cid", "n", "s1", "s2"), "cp-hot")
+            hot_words = docs.sparkSession.sparkContext.broadcast(bloom.build(hot, "s1"))
+            more = materialize(docs.select("text").mapInArrow(
+                lambda it: _more_picks_stage(k, hot_words.value, range(runs, all_runs), per_set)(it),
+                "s1 long, s2 long, picked array<long>")
+                .groupBy("s1", "s2").agg(F.first("picked").alias("picked"))
+                .join(hot, ["s1", "s2"]).select("cid", "n", "picked"), "cp-more-picks")
+            ready += _buckets(more, levels, max_split)[0]
+        units = numbered(_units(ready, unit_grams, unit_sets))
+        member = F.struct("cid", "n", "sketch").alias("x")
+        pruned = (units.select("unit", F.explode("members").alias("cid"))
+                  .join(classes.select("cid", "n", "sketch"), "cid")
+                  .groupBy("unit").agg(F.collect_list(member).alias("m"))
+                  .select("m").mapInArrow(_prune_stage(threshold), "members array<long>")
+                  .where("size(members) >= 2").distinct())
+        return _largest(numbered(pruned))
+
+    units = settled(docs.sparkSession, candidates, "cp-units")      # the buckets' tables go here
     members = units.select("unit", F.explode("members").alias("cid"))
     active = classes.join(members.groupBy("cid").agg(F.collect_list("unit").alias("units")),
                           "cid").select("cid", "s1", "s2", "copies", "units")
@@ -480,8 +484,8 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     texts are not shuffled while the rejected documents are few enough to be broadcast
     (:func:`without`).
     """
-    marked = jaccard_join(docs, **options)
-    verdict = materialize(marked.groupBy("doc_id", "text_hash").agg(
+    # of the join's tables only the verdict stays
+    verdict = settled(docs.sparkSession, lambda: jaccard_join(docs, **options).groupBy("doc_id", "text_hash").agg(
         F.max("is_first").alias("_first"), F.count(F.lit(1)).alias("_rows"),
         F.max("copies").alias("_copies")), "cp-verdict")
     out = F.coalesce(F.col("_first"), F.lit(True))

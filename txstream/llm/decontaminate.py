@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from txstream.llm import bloom, textbytes as tb
-from txstream.session import materialize
+from txstream.session import materialize, settled
 
 U = np.uint64
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -219,4 +219,6 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of ``docs`` without any hit word."""
-    return without(docs, contamination(docs, benchmark, **options).where("n_hit > 0"))
+    hit = settled(docs.sparkSession, lambda: contamination(docs, benchmark, **options).where("n_hit > 0").select(
+        "doc_id", "text_hash"), "contaminated")
+    return without(docs, hit)

@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from txstream.session import materialize
+from txstream.session import materialize, settled
 
 # The weights of the sources in the order of their names, repeating.
 WEIGHTS = (5, 2, 1)
@@ -160,7 +160,8 @@ def mixture(docs: DataFrame, seed: str = "mix", quality: str | None = None, **op
 
 def mix(docs: DataFrame, seed: str = "mix", quality: str | None = None, **options) -> DataFrame:
     """The rows of ``docs``, each repeated as often as the mixture takes it."""
-    plan = thresholds(materialize(_measured(docs, seed, quality), "mix-sizes"), **options)
+    plan = settled(docs.sparkSession, lambda: thresholds(
+        materialize(_measured(docs, seed, quality), "mix-sizes"), **options), "mix-thresholds")
     text = F.col("_row.text")
     weight = _weight(text, F.col("_row")[quality] if quality else None)
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("_row"))

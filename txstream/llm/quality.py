@@ -268,11 +268,15 @@ def classify(docs: DataFrame, labels: DataFrame, host: str = "source",
     names = [f"k{i}" for i in range(len(keys))]
     # a text travels to the workers once, in its row or by itself
     what = [F.struct(*[docs[c] for c in docs.columns]).alias("_row")] if carry else [docs["doc_id"], docs["text"]]
-    sites_input = docs.select(*[docs[k].alias(n) for n, k in zip(names, keys)], *what)
-    # every text is scored once; the rows are written with their scores and read again
-    scored = materialize(with_probabilities(sites_input, heads, row="_row" if carry else None).select(
-        "_row" if carry else "doc_id", *names, "quality_prob", "toxic_prob", p), "quality-scores")
-    sites = posteriors(scored.select(*names, "p"), "k0", names[1:])
+    keyed = [docs[k].alias(n) for n, k in zip(names, keys)]
+    scored = with_probabilities(docs.select(*keyed, *what), heads, row="_row" if carry else None).select(
+        "_row" if carry else "doc_id", *names, "quality_prob", "toxic_prob", p)
+    if carry:      # texts are scored for the sites and again beside them: whole rows are not written
+        for_sites = with_probabilities(docs.select(*keyed, docs["text"]), heads).select(*names, p)
+    else:          # every text is scored once, the narrow scores are written and read again
+        scored = materialize(scored, "quality-scores")
+        for_sites = scored.select(*names, "p")
+    sites = posteriors(for_sites, "k0", names[1:])
     cond = None
     for k in names:
         c = scored[k].eqNullSafe(sites[k])

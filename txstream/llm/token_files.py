@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from txstream.llm import huffman
 from txstream.llm.pieces import FORGET, encoder
 from txstream.llm.textbytes import chunks, release_memory, trimmed
-from txstream.session import materialize
+from txstream.session import materialize, temporary_tables, write_parquet
 
 MAGIC = b"TXH1"
 HEAD = struct.Struct("<4sIQQ")
@@ -178,6 +178,12 @@ def _blocks_stage(block_tokens: int, interval: int):
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
                       block_tokens: int = 1 << 18, interval: int = huffman.INTERVAL) -> None:
     """Tokenize every text once, count all ids, and write codebook and blocks to ``folder``."""
+    with temporary_tables(docs.sparkSession):      # the ids go when the blocks are written
+        _write_token_files(docs, folder, tokenizer, end_id, block_tokens, interval)
+
+
+def _write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int, block_tokens: int,
+                       interval: int) -> None:
     tokens = materialize(docs.select("doc_id", "text").mapInArrow(
         _tokenize_stage(tokenizer, end_id), "doc_id long, n_tokens long, ids binary, crc long"),
         "token-ids")
@@ -190,13 +196,14 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     docs.sparkSession.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary") \
         .coalesce(1).write.parquet(f"{folder}/codebook")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (tokens.mapInArrow(_bits_stage(lengths, interval, part_bounds(tokens, parts)),
-                       "p int, doc_id long, n_tokens long, crc long, bits binary, marks binary")
-     .repartitionById(parts, "p").drop("p")
-     .sortWithinPartitions("doc_id", "n_tokens", "crc")
-     .mapInArrow(_blocks_stage(block_tokens, interval),
-                 "part int, block long, first long, n_docs long, n_tokens long, payload binary")
-     .write.parquet(f"{folder}/blocks"))
+    write_parquet(
+        tokens.mapInArrow(_bits_stage(lengths, interval, part_bounds(tokens, parts)),
+                          "p int, doc_id long, n_tokens long, crc long, bits binary, marks binary")
+        .repartitionById(parts, "p").drop("p")
+        .sortWithinPartitions("doc_id", "n_tokens", "crc")
+        .mapInArrow(_blocks_stage(block_tokens, interval),
+                    "part int, block long, first long, n_docs long, n_tokens long, payload binary"),
+        f"{folder}/blocks")
 
 
 def _read_stage(lengths: np.ndarray):

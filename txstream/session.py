@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -71,6 +72,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/txstream-scratch/{name}-{uuid.uuid4().hex[:12]}"
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df, name: str):
     """Write ``df`` once as a Parquet table in the shared scratch folder and read it back.
 
@@ -80,7 +84,58 @@ def materialize(df, name: str):
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    write_parquet(df, path)
+    _made_here().append(path)
+    return spark.read.parquet(path)
+
+
+def write_parquet(df, path: str) -> None:
+    """Write ``df``; its shuffle files go when the write ends, not when the driver collects garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(SHUFFLE_CLEANUP, None)
+    if before == "true":      # set by the caller, or by another thread that resets it
+        df.write.parquet(path)
+        return
+    conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(SHUFFLE_CLEANUP) if before is None else conf.set(SHUFFLE_CLEANUP, before)
+
+
+_made = threading.local()
+
+
+def _made_here() -> list[str]:
+    """Paths materialized by this thread in its innermost :func:`temporary_tables`."""
+    return getattr(_made, "paths", [])
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession):
+    """Deletes at its end the tables this thread materialized inside.
+
+    Frames that read them may not be used afterwards.  After an error they stay, for
+    :func:`cleanup_scratch`.
+    """
+    outer, own = _made_here(), []
+    _made.paths = own
+    try:
+        yield
+    finally:
+        _made.paths = outer
+    sc = spark.sparkContext
+    for path in own:
+        p = sc._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(sc._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def settled(spark: SparkSession, make, name: str):
+    """``materialize`` the frame that ``make`` returns, and delete the tables ``make`` materialized for it."""
+    path = scratch_path(spark, name)
+    with temporary_tables(spark):
+        write_parquet(make(), path)
+    _made_here().append(path)
     return spark.read.parquet(path)
 
 
