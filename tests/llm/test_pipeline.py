@@ -98,3 +98,7 @@ def test_stages_leave_no_tables_of_the_size_of_their_input(spark):
         "benchmark decontamination": ["contaminated", "gone"],
         "mixing sources to target weights": ["mix-thresholds"],
         "token-ID / binary output": ["pipeline-token-files"]}
+    before = tables()
+    whole = cp.run(spark, SF)
+    assert sorted(x.rsplit("-", 1)[0] for x in tables() - before) == ["pipeline-token-files"]
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, docs.collect()))
