@@ -1,9 +1,13 @@
+import json
+import tracemalloc
 import zlib
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from txstream.llm import huffman, token_files
+from txstream.llm import huffman, textbytes, token_files
 from txstream.llm.pieces import PieceEncoder
 from txstream.llm.queries import END_ID, tokenizer_path
 from txstream.session import scratch_path
@@ -23,6 +27,61 @@ def test_pieces_equal_the_library():
         assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == enc.plain(texts)
 
 
+def _peak_mb(work) -> float:
+    tracemalloc.start()      # sees Python's and numpy's memory
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def _large_batch() -> pa.RecordBatch:
+    rng = np.random.default_rng(5)
+    words = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(2, 9, 3000)]
+    texts = [" ".join(words[i] for i in rng.integers(0, 3000, 300)) for _ in range(2500)]
+    return pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+
+
+def test_a_worker_tokenizes_a_large_batch_in_little_memory():
+    batch = _large_batch()
+    assert batch.nbytes > 4 << 20
+    textbytes.release_memory()
+    stage = token_files._tokenize_stage(tokenizer_path(), END_ID)
+    got = []
+    assert _peak_mb(lambda: got.extend(b.column("n_tokens") for b in stage([batch]))) < 60
+    assert sum(map(len, got)) == batch.num_rows
+    textbytes.release_memory()
+
+
+def test_a_worker_scans_a_large_batch_in_little_memory_and_forgets_its_tables():
+    text = _large_batch().column("text")
+    textbytes.release_memory()
+    n = []
+
+    def work():
+        n.extend(len(w.hashes()) for w in textbytes.scan(text, textbytes.ALNUM, True))
+
+    assert _peak_mb(work) < 40
+    assert sum(n) == 300 * len(text)
+    textbytes.release_memory()
+    assert sum(p.nbytes for p in textbytes._powers) < 1000
+
+
+@pytest.mark.parametrize("part", ["normalizer", "prefix", "dropout", "no regex"])
+def test_other_tokenizers_take_the_librarys_plain_way(tmp_path, part):
+    config = json.loads(Path(tokenizer_path()).read_text())
+    if part == "normalizer":
+        config["normalizer"] = {"type": "Lowercase"}
+    elif part == "dropout":
+        config["model"]["dropout"] = 0.5
+    else:
+        config["pre_tokenizer"].update({"add_prefix_space": True} if part == "prefix" else {"use_regex": False})
+    (tmp_path / "other.json").write_text(json.dumps(config))
+    assert not PieceEncoder(str(tmp_path / "other.json")).by_piece
+    assert PieceEncoder(tokenizer_path()).by_piece
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_huffman_round_trip(seed):
     rng = np.random.default_rng(seed)

@@ -10,16 +10,16 @@ another kind take the library's plain way.
 
 from __future__ import annotations
 
-import json
 import os
 import unicodedata
 
 import numpy as np
 
-from txstream.llm.textbytes import KEPT, chunks
+from txstream.llm.textbytes import KEPT, chunks, powers
 
 U = np.uint64
 AT_ONCE = 2048            # pieces or texts given to the library in one call
+AT_WORK = 1 << 18         # code points cut into pieces at once: the arrays take some 100 bytes of each
 KEEP = 500_000            # distinct pieces a worker remembers; more start a new memory
 
 # Ranges of code points whose classes have long been settled, and the
@@ -88,16 +88,15 @@ class PieceEncoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
+        # asked part by part: the whole configuration as Python objects takes 30 MB and more
         self.library = Tokenizer.from_file(path)
-        config = json.loads(self.library.to_str())
-        pre = config.get("pre_tokenizer") or {}
-        self.by_piece = (config.get("normalizer") is None and pre.get("type") == "ByteLevel"
-                         and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-                         and config["model"].get("type") == "BPE"
-                         and not config["model"].get("dropout"))
-        self.special = [t["content"] for t in config.get("added_tokens", [])]
+        pre, model = self.library.pre_tokenizer, self.library.model
+        self.by_piece = (self.library.normalizer is None and type(pre) is pre_tokenizers.ByteLevel
+                         and pre.use_regex and not pre.add_prefix_space
+                         and type(model) is models.BPE and not model.dropout)
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.forget()
 
     def forget(self) -> None:
@@ -149,7 +148,7 @@ class PieceEncoder:
                     np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int64))
         offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
         parts, counts = [], np.zeros(len(texts), np.int64)
-        for i, j in chunks(offsets, 1 << 20):
+        for i, j in chunks(offsets, AT_WORK):
             got, n = self._chunk(texts[i:j], offsets[i:j + 1] - offsets[i])
             parts.append(got)
             counts[i:j] = n
@@ -182,15 +181,10 @@ class PieceEncoder:
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
         starts = np.flatnonzero(piece_starts(cp, kind, offsets))
         ends = np.append(starts[1:], len(cp))
-        if len(_cache.get("pow", ())) < len(cp):
-            base = U(0x9E3779B97F4A7C15)
-            for name, b in (("pow", base), ("inv", U(pow(int(base), -1, 2**64)))):
-                p = np.full(max(len(cp), 1 << 20), b, U)
-                p[0] = 1
-                _cache[name] = np.multiply.accumulate(p)
+        pw, inv = powers(len(cp))
         s = np.zeros(len(cp) + 1, U)
-        np.cumsum(values[cp] * _cache["pow"][:len(cp)], out=s[1:])
-        h = (s[ends] - s[starts]) * _cache["inv"][starts]
+        np.cumsum(values[cp] * pw, out=s[1:])
+        h = (s[ends] - s[starts]) * inv[starts]
         keys, sample, inverse = np.unique(h, return_index=True, return_inverse=True)
         a, b = starts[sample], ends[sample]
         proof = ((b - a).astype(U) << U(42)) | (cp[a].astype(U) << U(21)) | cp[b - 1].astype(U)

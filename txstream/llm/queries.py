@@ -20,7 +20,7 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 
 # Texts travel to Python workers in batches of about this size: two workers of an
 # executor then stay within a few hundred MB beside its heap.
-BATCH_BYTES = "8m"
+BATCH_BYTES = "4m"
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 U = np.uint64
 
 
@@ -73,7 +73,7 @@ _GRAM = U(0xD1342543DE82EF95)
 _powers = [np.ones(1, U), np.ones(1, U)]
 
 
-def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         m = max(n, CHUNK + 4096)
         for k, base in enumerate((_BASE, _INV)):
@@ -83,6 +83,13 @@ def _pow(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1]
 
 
+def _forget_powers() -> None:
+    _powers[:] = np.ones(1, U), np.ones(1, U)
+
+
+KEPT.append(_forget_powers)
+
+
 def mix(h: np.ndarray) -> np.ndarray:
     """Finalizer of splitmix64."""
     h = (h ^ (h >> U(30))) * U(0xBF58476D1CE4E5B9)
@@ -114,7 +121,7 @@ class Words:
         """64-bit hash of every word's bytes."""
         if not len(self.starts):
             return np.empty(0, U)
-        pw, inv = _pow(len(self.data))
+        pw, inv = powers(len(self.data))
         table = _BYTE if not salt else mix(_BYTE + U(salt))
         v = table[self.data] * pw
         s = np.empty(len(v) + 1, U)

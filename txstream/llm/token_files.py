@@ -25,6 +25,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -46,10 +47,10 @@ def _tokenize_stage(path: str, end_id: int):
         small = enc.library.get_vocab_size(with_added_tokens=True) <= 1 << 16
         kind = np.uint16 if small and end_id < 1 << 16 else np.uint32
         for b in batches:
-            texts = b.column("text").fill_null("").to_pylist()
-            size = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
-            for i, j in chunks(size, 4 << 20):
-                ids, bounds = enc.encode(texts[i:j])
+            texts = b.column("text").fill_null("")
+            size = np.concatenate(([0], np.cumsum(np.asarray(pc.utf8_length(texts), np.int64))))
+            for i, j in chunks(size, 1 << 20):
+                ids, bounds = enc.encode(texts[i:j].to_pylist())
                 ids = np.insert(ids, bounds[1:], end_id).astype(kind)
                 bounds = bounds + np.arange(len(bounds))
                 raw, width = ids.tobytes(), ids.itemsize
